@@ -11,9 +11,12 @@ give the same answers at any size:
    so its size is bounded by the partition count we chose, not by the data;
 4. a broadcast join of those offsets finishes the global value.
 
-The ranged input is evaluated by two jobs (totals and final result).  Range
-boundaries come from deterministic sampling and the order key is total, so
-both evaluations agree; callers may also persist the input first.
+Spark seeds the range-boundary sample with the RDD id, so two separate jobs
+over the same ``repartitionByRange`` may cut partitions differently.  The
+ranged frame is therefore persisted (memory and disk): the totals job and
+the final job read the same partitions.  A lost cached block is recomputed
+from the same shuffle dependency — the same, already fixed partitioner — so
+results stay consistent when executors die.
 """
 
 from __future__ import annotations
@@ -25,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
+from pyspark.storagelevel import StorageLevel
 
 _PID = "__pid"
 _LOCAL = "__local"
@@ -50,6 +54,10 @@ def _ranged(df: DataFrame, order: Sequence, num_partitions: int | None) -> DataF
               .withColumn(_PID, F.spark_partition_id()))
 
 
+def _pinned(df: DataFrame) -> DataFrame:
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def _offsets(spark, totals: list, cols: Sequence[str]) -> DataFrame:
     """Exclusive prefix sums of per-partition totals (one row per partition)."""
     totals = sorted(totals, key=lambda r: r[_PID])
@@ -68,8 +76,8 @@ def _offsets(spark, totals: list, cols: Sequence[str]) -> DataFrame:
 def global_row_number(df: DataFrame, order: Sequence, name: str = "row_number",
                       num_partitions: int | None = None) -> DataFrame:
     """1-based row number in ``order`` (which must be a total order to be deterministic)."""
-    ranged = _ranged(df, order, num_partitions).withColumn(
-        _LOCAL, F.monotonically_increasing_id() - F.shiftleft(F.col(_PID).cast("long"), 33))
+    ranged = _pinned(_ranged(df, order, num_partitions).withColumn(
+        _LOCAL, F.monotonically_increasing_id() - F.shiftleft(F.col(_PID).cast("long"), 33)))
     totals = ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias("n")).collect()
     offs = _offsets(df.sparkSession, totals, ["n"])
     return (ranged.join(F.broadcast(offs), _PID, "left")
@@ -84,7 +92,7 @@ def running_totals(df: DataFrame, order: Sequence, sum_cols: Sequence[str],
     Rows with equal order keys are accumulated one by one, so pass a
     total order (e.g. distinct values after a ``groupBy``).
     """
-    ranged = _ranged(df, order, num_partitions)
+    ranged = _pinned(_ranged(df, order, num_partitions))
     in_schema = ranged.schema
     out_schema = T.StructType(list(in_schema.fields) + [
         T.StructField(prefix + c, T.DoubleType() if isinstance(in_schema[c].dataType,
@@ -103,7 +111,7 @@ def running_totals(df: DataFrame, order: Sequence, sum_cols: Sequence[str],
                     carry[c] = cs.iloc[-1]
             yield pdf
 
-    local = ranged.mapInPandas(local_cumsum, out_schema)
+    local = _pinned(ranged.mapInPandas(local_cumsum, out_schema))
     totals = ranged.groupBy(_PID).agg(*[F.sum(c).alias(c) for c in sum_cols]).collect()
     totals = [{_PID: r[_PID], **{c: (float(r[c]) if is_float[c] else int(r[c] or 0))
                                  for c in sum_cols}} for r in totals]

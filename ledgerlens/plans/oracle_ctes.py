@@ -94,4 +94,7 @@ def with_star(body: str, extra: str = "") -> str:
     ctes = STAR_SQL.strip()
     if extra:
         ctes = ctes + ",\n" + extra.strip()
-    return "WITH " + ctes + "\n" + body.strip()
+    body = body.strip()
+    if body[:5].upper() == "WITH ":
+        return "WITH " + ctes + ",\n" + body[5:]
+    return "WITH " + ctes + "\n" + body
