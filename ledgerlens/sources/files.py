@@ -60,7 +60,7 @@ def write_parquet(df: DataFrame, path: str, partition_by=None) -> None:
 def text_lines(df: DataFrame, key: str, text: str = "text", line: str = "line",
                position: str = "line_no") -> DataFrame:
     """One row per line of every document, with its 1-based line number."""
-    return df.select(key, F.posexplode(F.split(F.col(text), "\r?\n")).alias(position, line)) \
+    return df.select(key, F.posexplode(F.split(F.col(text), "\n")).alias(position, line)) \
              .withColumn(position, F.col(position) + 1)
 
 
