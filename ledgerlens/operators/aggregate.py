@@ -237,8 +237,7 @@ def histogram(df: DataFrame, column: str, bins: int = 10) -> DataFrame:
     x = F.col(column).cast("double")
     bounds = df.agg(F.min(x).alias("__lo"), F.max(x).alias("__hi"))
     src = df.select(x.alias("__x")).where(F.col("__x").isNotNull())
-    j = src.join(F.broadcast(bounds), how="inner") if False else \
-        src.withColumn("__one", F.lit(1)).join(F.broadcast(bounds.withColumn("__one", F.lit(1))), "__one")
+    j = src.withColumn("__one", F.lit(1)).join(F.broadcast(bounds.withColumn("__one", F.lit(1))), "__one")
     width = (F.col("__hi") - F.col("__lo")) / bins
     b = F.when(F.col("__hi") == F.col("__lo"), F.lit(0)).otherwise(
         F.least(F.floor((F.col("__x") - F.col("__lo")) / width), F.lit(bins - 1))).cast("int")
