@@ -301,7 +301,7 @@ def all_oracles() -> dict[str, str]:
 
 def _load_all():
     # further registrations live in sibling modules; importing registers them
-    from . import catalog_more, catalog_clean, catalog_stats  # noqa: F401
+    from . import catalog_clean, catalog_ml, catalog_more, catalog_stats  # noqa: F401
 
 
 _ = (testbed, _tables)

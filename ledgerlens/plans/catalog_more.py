@@ -23,7 +23,7 @@ def wide(spark, sf):
     t = _wh(spark, sf)
     f, s, g, i, d = (t["fact_startup_funding"], t["dim_startup"], t["dim_geography"],
                      t["dim_industry"], t["dim_date"])
-    j = (f.join(s.drop("category_count"), "startup_id", "inner")
+    j = (f.join(s, "startup_id", "inner")
           .join(g, "geography_id", "left").join(i, "industry_id", "left"))
     j = join_date_role(j, d.select("date_id", "full_date", "year"), "first_funding_date_id", "ff_")
     j = join_date_role(j, d.select("date_id", "full_date", "year"), "founded_date_id", "fd_")
