@@ -71,8 +71,9 @@ def encoder_stages(categorical: Sequence[str], numeric: Sequence[str], out: str
     for c in categorical:
         stages.append(StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep",
                                     stringOrderType="alphabetAsc"))
-        stages.append(OneHotEncoder(inputCol=f"{c}__idx", outputCol=f"{c}__ohe", dropLast=True,
-                                    handleInvalid="keep"))
+        # the indexer's extra "unseen" bucket is the last category, and dropLast
+        # removes exactly that bucket: every seen level keeps a column, unseen → zeros
+        stages.append(OneHotEncoder(inputCol=f"{c}__idx", outputCol=f"{c}__ohe", dropLast=True))
         cols.append(f"{c}__ohe")
     stages.append(VectorAssembler(inputCols=cols, outputCol=out, handleInvalid="keep"))
     return stages
