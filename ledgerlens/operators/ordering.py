@@ -33,6 +33,10 @@ from pyspark.storagelevel import StorageLevel
 _PID = "__pid"
 _LOCAL = "__local"
 
+# Inputs with at most this many rows (a checked count) are ordered by one
+# window task — cheaper than a range shuffle and bounded by the check.
+SMALL_ROWS = 100_000
+
 
 def _order_exprs(order: Sequence) -> list[Column]:
     return [F.col(o) if isinstance(o, str) else o for o in order]
@@ -73,9 +77,21 @@ def _offsets(spark, totals: list, cols: Sequence[str]) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
 
+def _checked(df: DataFrame, small_rows: int | None) -> tuple[DataFrame, bool]:
+    """Persist the input once and test its row count against the small bound."""
+    limit = SMALL_ROWS if small_rows is None else small_rows
+    if limit <= 0:
+        return df, False
+    pinned = _pinned(df)
+    return pinned, pinned.count() <= limit
+
+
 def global_row_number(df: DataFrame, order: Sequence, name: str = "row_number",
-                      num_partitions: int | None = None) -> DataFrame:
+                      num_partitions: int | None = None, small_rows: int | None = None) -> DataFrame:
     """1-based row number in ``order`` (which must be a total order to be deterministic)."""
+    df, small = _checked(df, small_rows)
+    if small:
+        return df.withColumn(name, F.row_number().over(Window.orderBy(*_order_exprs(order))).cast("long"))
     ranged = _pinned(_ranged(df, order, num_partitions).withColumn(
         _LOCAL, F.monotonically_increasing_id() - F.shiftleft(F.col(_PID).cast("long"), 33)))
     totals = ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias("n")).collect()
@@ -86,12 +102,17 @@ def global_row_number(df: DataFrame, order: Sequence, name: str = "row_number",
 
 
 def running_totals(df: DataFrame, order: Sequence, sum_cols: Sequence[str],
-                   prefix: str = "cum_", num_partitions: int | None = None) -> DataFrame:
+                   prefix: str = "cum_", num_partitions: int | None = None,
+                   small_rows: int | None = None) -> DataFrame:
     """Inclusive running sums of ``sum_cols`` in global ``order``.
 
     Rows with equal order keys are accumulated one by one, so pass a
     total order (e.g. distinct values after a ``groupBy``).
     """
+    df, small = _checked(df, small_rows)
+    if small:
+        w = Window.orderBy(*_order_exprs(order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return df.withColumns({prefix + c: F.sum(c).over(w) for c in sum_cols})
     ranged = _pinned(_ranged(df, order, num_partitions))
     in_schema = ranged.schema
     out_schema = T.StructType(list(in_schema.fields) + [
@@ -142,7 +163,7 @@ def ntile_of_position(pos: Column, n_rows: Column, buckets: int) -> Column:
 
 
 def group_quantiles(df: DataFrame, by: Sequence[str], value, probs: dict[str, float],
-                    num_partitions: int | None = None) -> DataFrame:
+                    num_partitions: int | None = None, small_rows: int | None = None) -> DataFrame:
     """Exact linear-interpolated quantiles of ``value`` per group of ``by``.
 
     Same definition as SQL ``percentile``/``median`` (position ``p*(n-1)``),
@@ -158,7 +179,7 @@ def group_quantiles(df: DataFrame, by: Sequence[str], value, probs: dict[str, fl
     v = F.col(value) if isinstance(value, str) else value
     base = df.select(*by, v.cast("double").alias("__v")).where(F.col("__v").isNotNull())
     order = [F.col(b).asc_nulls_first() for b in by] + [F.col("__v").asc()]
-    numbered = global_row_number(base, order, "__rn", num_partitions)
+    numbered = global_row_number(base, order, "__rn", num_partitions, small_rows)
     stats = numbered.groupBy(*by).agg(F.min("__rn").alias("__s"), F.count(F.lit(1)).alias("__n"))
     qs = F.array(*[F.struct(F.lit(k).alias("q"), F.lit(float(p)).alias("p")) for k, p in probs.items()])
     pos = (stats.select(*by, "__s", "__n", F.explode(qs).alias("__qp"))

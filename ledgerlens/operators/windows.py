@@ -28,18 +28,24 @@ def _c(c) -> Column:
 # ----------------------------------------------------------------------------- W1, T5
 def top_n_per_group(df: DataFrame, group: str | Sequence[str], order: str, n: int,
                     rank_col: str = "rank", ties: bool = True, tie_break: Sequence[str] = (),
-                    salts: int = 16) -> DataFrame:
+                    salts: int | None = None) -> DataFrame:
     """W1 (``RANK``, ties kept) / T5 (``ROW_NUMBER``, first ``n``) per group, descending ``order``.
 
-    Two passes: rows are first ranked inside ``(group, salt)`` buckets and
-    only each bucket's top ``n`` survive (a row in the global top ``n`` is
-    in its bucket's top ``n``), then the survivors — at most ``salts * n``
-    plus ties per group — are ranked per group.  A hot group is thus split
-    over ``salts`` tasks.
+    A hot group must not be shuffled whole into one task.  For ``n`` up to
+    ``spark.sql.optimizer.windowGroupLimitThreshold`` Spark plans a
+    ``WindowGroupLimit`` on the map side of the exchange, so each input task
+    ships at most ``n`` (plus ties) rows per group.  Above that threshold
+    (or when ``salts`` is given) a salted first pass does the same by hand:
+    rows are ranked inside ``(group, salt)`` buckets and only each bucket's
+    top ``n`` survive (a row in the global top ``n`` is in its bucket's top
+    ``n``), then the survivors are ranked per group.
     """
     groups = [group] if isinstance(group, str) else list(group)
     ordering = [F.col(order).desc()] + [F.col(t).asc() for t in tie_break]
     fn = F.rank if ties else F.row_number
+    if salts is None:
+        limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+        salts = 0 if 0 < n <= limit else 16
     if salts and salts > 1:
         salt = F.abs(F.xxhash64(*df.columns)) % salts
         w1 = Window.partitionBy(*groups, salt).orderBy(*ordering)

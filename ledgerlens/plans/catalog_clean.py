@@ -633,3 +633,65 @@ def s7_lookup_table(spark, sf):
                                                                  .select("round_type_id", "round_type_name")),
                                                      "round_type_id")
     return fb.join(F.broadcast(rt), "round_type_name").groupBy("stage_category").agg(F.count(F.lit(1)).alias("n"))
+
+
+# =============================================================================
+# Files and the published warehouse
+# =============================================================================
+
+def _scratch(spark, name: str) -> str:
+    import hashlib
+    import time
+    from ..sources.warehouse import warehouse_root
+    return warehouse_root(spark, f"{name}-{hashlib.sha1(str(time.time_ns()).encode()).hexdigest()[:10]}")
+
+
+@query("s1_s3_c1_c2_csv_roundtrip", with_star("""
+SELECT o_orderstatus, COUNT(*) AS n, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total
+FROM orders GROUP BY o_orderstatus"""))
+def s1_s3_c1_c2_csv_roundtrip(spark, sf):
+    """Export orders as CSV with padded header names and blank rows, read it
+    back as all-text, trim the names, drop blank rows, parse money."""
+    from ..sources.files import read_csv, write_csv
+    o = _tables(spark, sf)["orders"]
+    padded = o.select(*[F.col(c).cast("string").alias(f" {c} ") for c in o.columns])
+    blank = spark.range(3).select(*[F.lit(None).cast("string").alias(f" {c} ") for c in o.columns])
+    path = _scratch(spark, "csv-roundtrip")
+    write_csv(padded.unionByName(blank), path)
+    back = CL.drop_all_null_rows(CL.trim_rename_columns(read_csv(spark, path)))
+    return back.groupBy("o_orderstatus").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(C.parse_currency("o_totalprice").cast("decimal(18,2)")).cast("double").alias("total"))
+
+
+@query("s4_s5_published_warehouse", with_star("""
+SELECT 'dim_date' AS "table", COUNT(*) AS rows FROM (SELECT founded_at AS d FROM star UNION SELECT first_funding_at FROM star
+  UNION SELECT last_funding_at FROM star) x WHERE d IS NOT NULL
+UNION ALL SELECT 'dim_geography', COUNT(*) FROM (SELECT DISTINCT country_name, region, city FROM feat) g
+UNION ALL SELECT 'dim_industry', COUNT(*) FROM (SELECT DISTINCT primary_category, market FROM feat) i
+UNION ALL SELECT 'dim_round_type', CAST(5 AS BIGINT)
+UNION ALL SELECT 'dim_startup', COUNT(*) FROM star
+UNION ALL SELECT 'fact_startup_funding', COUNT(*) FROM star
+UNION ALL SELECT 'fact_funding_by_type', COUNT(*) FROM fact_type"""))
+def s4_s5_published_warehouse(spark, sf):
+    t = _wh(spark, sf)
+    return D.warehouse_inventory(t).select("table", "rows")
+
+
+@query("s9_model_save_load")
+def s9_model_save_load(spark, sf):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+
+    from ..sources.files import load_model, save_model
+    w = wide(spark, sf).where(F.col("log_funding_total_usd").isNotNull())
+    m = Pipeline(stages=[VectorAssembler(inputCols=["funding_rounds"], outputCol="features"),
+                         LinearRegression(featuresCol="features", labelCol="log_funding_total_usd")]).fit(w)
+    path = _scratch(spark, "model")
+    save_model(m, path)
+    back = load_model(path)
+    a = m.transform(w).select("startup_id", F.col("prediction").alias("before"))
+    b = back.transform(w).select("startup_id", F.col("prediction").alias("after"))
+    return a.join(b, "startup_id").select("startup_id", "before", "after",
+                                          (F.col("before") == F.col("after")).alias("same"))

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import dist
 from ..operators import evaluate as E
 from ..operators import stats as H
 from . import testbed
@@ -39,7 +40,17 @@ def h1_mean_ci(spark, sf):
     return H.mean_stats(_w(spark, sf), X)
 
 
-@query("h2_median_ci")
+_Z975 = repr(dist.norm_ppf(0.975))
+
+
+@query("h2_median_ci", with_star(f"""
+WITH v AS (SELECT {X} AS x FROM feat WHERE {X} IS NOT NULL),
+c AS (SELECT COUNT(*) AS n FROM v),
+p AS (SELECT n, GREATEST(1, CAST(floor(n / 2.0 - {_Z975} * sqrt(n) / 2.0) AS BIGINT)) AS j,
+        LEAST(n, CAST(ceil(n / 2.0 + 1 + {_Z975} * sqrt(n) / 2.0) AS BIGINT)) AS k FROM c),
+o AS (SELECT x, ROW_NUMBER() OVER (ORDER BY x) AS rn FROM v)
+SELECT n, (SELECT x FROM o WHERE rn = j) AS lo, (SELECT quantile_cont(x, 0.5) FROM v) AS median,
+  (SELECT x FROM o WHERE rn = k) AS hi FROM p"""))
 def h2_median_ci(spark, sf):
     r = H.median_ci(_w(spark, sf), X)
     return _row(spark, r, ["n", "lo", "median", "hi"])
@@ -213,12 +224,26 @@ def h20_normality_ks(spark, sf):
     return _row(spark, r, ["n", "jb", "jb_p", "ks_stat", "ks_p"])
 
 
-@query("h21_qq_points")
+def _qq_sql():
+    ps = [i / 100 for i in range(1, 100)]
+    vals = ", ".join(f"({i + 1}, {p!r}, {dist.norm_ppf(p)!r})" for i, p in enumerate(ps))
+    plist = ", ".join(repr(p) for p in ps)
+    return with_star(f"""
+WITH q AS (SELECT quantile_cont({X}, [{plist}]) AS qs FROM feat WHERE {X} IS NOT NULL)
+SELECT t.p, t.theoretical, qs[t.i] AS sample FROM q, (VALUES {vals}) AS t(i, p, theoretical)""")
+
+
+@query("h21_qq_points", _qq_sql())
 def h21_qq_points(spark, sf):
     return H.qq_points(_w(spark, sf), X, 99)
 
 
-@query("h22_residual_table")
+@query("h22_residual_table", with_star(f"""
+WITH r AS (SELECT REGR_INTERCEPT({X}, CAST(funding_rounds AS DOUBLE)) AS b0,
+             REGR_SLOPE({X}, CAST(funding_rounds AS DOUBLE)) AS b1
+           FROM feat WHERE {X} IS NOT NULL AND funding_rounds IS NOT NULL)
+SELECT startup_id, b0 + b1 * funding_rounds AS fitted, {X} - (b0 + b1 * funding_rounds) AS residual
+FROM feat, r WHERE {X} IS NOT NULL AND funding_rounds IS NOT NULL"""))
 def h22_residual_table(spark, sf):
     w = _w(spark, sf).where(F.col(X).isNotNull() & F.col("funding_rounds").isNotNull())
     fit = H.ols(w, X, ["funding_rounds"])

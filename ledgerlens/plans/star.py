@@ -110,7 +110,10 @@ class StarSchema:
 
     @cached_property
     def wide(self) -> DataFrame:
-        return engineer_features(self.entities, self.round_cols, self.reference_date)
+        # the hub every dimension and fact is derived from: computed once
+        from pyspark.storagelevel import StorageLevel
+        return engineer_features(self.entities, self.round_cols, self.reference_date) \
+            .persist(StorageLevel.MEMORY_AND_DISK)
 
     @cached_property
     def dim_geography(self) -> DataFrame:
@@ -162,6 +165,10 @@ class StarSchema:
         return {n: getattr(self, n) for n in TABLE_ORDER}
 
 
+# Bumped whenever the star's definition changes: a published star is reused
+# only by code that builds the same tables.
+STAR_VERSION = "3"
+
 # Dimensions before facts (load order of S4).
 TABLE_ORDER = ["dim_date", "dim_geography", "dim_industry", "dim_round_type", "dim_startup",
                "fact_startup_funding", "fact_funding_by_type"]
@@ -181,7 +188,8 @@ def warehouse(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     if key not in _WAREHOUSES:
-        root = warehouse_root(spark, "star-" + hashlib.sha1(key[1].encode()).hexdigest()[:12])
+        tag = hashlib.sha1(f"{key[1]}|{STAR_VERSION}".encode()).hexdigest()[:12]
+        root = warehouse_root(spark, "star-" + tag)
         try:
             tables = read_warehouse(spark, root)
         except FileNotFoundError:

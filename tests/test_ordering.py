@@ -16,7 +16,7 @@ def _skewed(spark, n=3000):
 
 def test_row_number_unique_and_ordered(spark):
     df = _skewed(spark)
-    n = global_row_number(df, ["v", "id"], "rn", num_partitions=7)
+    n = global_row_number(df, ["v", "id"], "rn", num_partitions=7, small_rows=0)
     r = n.agg(F.count("*").alias("c"), F.count_distinct("rn").alias("d"), F.min("rn").alias("lo"),
               F.max("rn").alias("hi")).first()
     assert (r.c, r.d, r.lo, r.hi) == (3000, 3000, 1, 3000)
@@ -26,7 +26,8 @@ def test_row_number_unique_and_ordered(spark):
 
 def test_group_quantiles_match_percentile_on_hot_group(spark):
     df = _skewed(spark)
-    q = group_quantiles(df, ["g"], "v", {"p25": 0.25, "med": 0.5, "p90": 0.9}, num_partitions=6)
+    q = group_quantiles(df, ["g"], "v", {"p25": 0.25, "med": 0.5, "p90": 0.9}, num_partitions=6,
+                        small_rows=0)
     ref = df.groupBy("g").agg(F.percentile("v", 0.25).alias("a"), F.median("v").alias("b"),
                               F.percentile("v", 0.9).alias("c"))
     j = q.join(ref, "g").collect()
@@ -37,7 +38,7 @@ def test_group_quantiles_match_percentile_on_hot_group(spark):
 
 def test_running_totals(spark):
     df = spark.range(1, 501).select(F.col("id").alias("k"), (F.col("id") % 3).alias("x"))
-    out = running_totals(df, ["k"], ["x"], num_partitions=5)
+    out = running_totals(df, ["k"], ["x"], num_partitions=5, small_rows=0)
     ref = df.withColumn("c", F.sum("x").over(Window.orderBy("k").rowsBetween(Window.unboundedPreceding, 0)))
     assert out.join(ref, "k").where(F.col("cum_x") != F.col("c")).count() == 0
 
@@ -48,3 +49,13 @@ def test_ntile_formula_matches_sql(spark):
         got = df.select("pos", ntile_of_position(F.col("pos"), F.lit(n), 10).alias("b"))
         ref = df.select("pos", F.ntile(10).over(Window.orderBy("pos")).alias("b2"))
         assert got.join(ref, "pos").where(F.col("b") != F.col("b2")).count() == 0
+
+
+def test_small_path_agrees_with_distributed(spark):
+    df = _skewed(spark, 900)
+    a = global_row_number(df, ["v", "id"], "rn")            # checked small path
+    b = global_row_number(df, ["v", "id"], "rn2", small_rows=0)
+    assert a.join(b, "id").where(F.col("rn") != F.col("rn2")).count() == 0
+    qa = {r.g: r.m for r in group_quantiles(df, ["g"], "v", {"m": 0.5}).collect()}
+    qb = {r.g: r.m for r in group_quantiles(df, ["g"], "v", {"m": 0.5}, small_rows=0).collect()}
+    assert qa == qb
