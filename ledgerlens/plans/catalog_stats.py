@@ -226,7 +226,8 @@ def h20_normality_ks(spark, sf):
 
 def _qq_sql():
     ps = [i / 100 for i in range(1, 100)]
-    vals = ", ".join(f"({i + 1}, {p!r}, {dist.norm_ppf(p)!r})" for i, p in enumerate(ps))
+    vals = ", ".join(f"({i + 1}, CAST({p!r} AS DOUBLE), CAST({dist.norm_ppf(p)!r} AS DOUBLE))"
+                     for i, p in enumerate(ps))
     plist = ", ".join(repr(p) for p in ps)
     return with_star(f"""
 WITH q AS (SELECT quantile_cont({X}, [{plist}]) AS qs FROM feat WHERE {X} IS NOT NULL)
