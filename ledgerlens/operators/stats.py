@@ -166,14 +166,27 @@ def chi_square(df: DataFrame, a: str, b: str, top_n: int | None = None) -> dict:
 
 
 # ----------------------------------------------------------------------------- rank tests
-def value_ranks(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
-    """Average rank of every distinct value (ties share the mean rank), with
-    per-group counts of that value: ``(value, *by, cnt, avg_rank)``."""
+def _ranked_values(df: DataFrame, col: str, by: Sequence[str] = ()):
+    """Per-(value, *by) counts — persisted: every later step reads them —
+    and the per-value table ``(value, t, avg_rank)``."""
+    from pyspark.storagelevel import StorageLevel
     x = _x(col)
-    per = df.where(x.isNotNull()).groupBy(x.alias("value"), *by).agg(F.count(F.lit(1)).alias("cnt"))
+    per = (df.where(x.isNotNull()).groupBy(x.alias("value"), *by).agg(F.count(F.lit(1)).alias("cnt"))
+             .persist(StorageLevel.MEMORY_AND_DISK))
     vals = per.groupBy("value").agg(F.sum("cnt").alias("t"))
     cum = running_totals(vals, ["value"], ["t"], prefix="cum_")
     ranked = cum.select("value", "t", ((F.col("cum_t") - F.col("t")) + (F.col("t") + 1) / 2.0).alias("avg_rank"))
+    return per, ranked
+
+
+def _tie_sum(ranked: DataFrame) -> DataFrame:
+    return ranked.agg(F.sum(F.pow("t", 3) - F.col("t")).alias("tie_sum"))
+
+
+def value_ranks(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
+    """Average rank of every distinct value (ties share the mean rank), with
+    per-group counts of that value: ``(value, *by, cnt, t, avg_rank)``."""
+    per, ranked = _ranked_values(df, col, by)
     return per.join(ranked, "value")
 
 
@@ -181,12 +194,12 @@ def mann_whitney_stats(df: DataFrame, col: str, flag: str) -> DataFrame:
     """H8: U of the flagged group, mean/sd of U under H0 with tie
     correction, z with continuity correction and U/(n1·n0) (= AUC)."""
     g = F.coalesce(F.col(flag), F.lit(False)).cast("int").alias("__g")
-    r = value_ranks(df.select(F.col(col), g), col, ["__g"])
+    per, ranked = _ranked_values(df.select(F.col(col), g), col, ["__g"])
+    r = per.join(ranked.select("value", "avg_rank"), "value")
     s = r.agg(F.sum(F.when(F.col("__g") == 1, F.col("cnt") * F.col("avg_rank"))).alias("r1"),
               F.sum(F.when(F.col("__g") == 1, F.col("cnt"))).alias("n1"),
               F.sum(F.when(F.col("__g") == 0, F.col("cnt"))).alias("n0"))
-    ties = r.select("value", "t").distinct().agg(F.sum(F.pow("t", 3) - F.col("t")).alias("tie_sum"))
-    s = s.withColumn("__one", F.lit(1)).join(ties.withColumn("__one", F.lit(1)), "__one").drop("__one")
+    s = s.withColumn("__one", F.lit(1)).join(_tie_sum(ranked).withColumn("__one", F.lit(1)), "__one").drop("__one")
     n = F.col("n1") + F.col("n0")
     u1 = F.col("r1") - F.col("n1") * (F.col("n1") + 1) / 2.0
     mu = F.col("n1") * F.col("n0") / 2.0
@@ -203,12 +216,12 @@ def mann_whitney(df: DataFrame, col: str, flag: str) -> dict:
 
 def kruskal_wallis_stats(df: DataFrame, group: str, col: str) -> DataFrame:
     """Tie-corrected Kruskal–Wallis H from per-group rank sums."""
-    r = value_ranks(df.where(F.col(group).isNotNull()), col, [group])
+    per, ranked = _ranked_values(df.where(F.col(group).isNotNull()), col, [group])
+    r = per.join(ranked.select("value", "avg_rank"), "value")
     g = r.groupBy(group).agg(F.sum(F.col("cnt") * F.col("avg_rank")).alias("rsum"), F.sum("cnt").alias("ng"))
     s = g.agg(F.sum(F.col("rsum") * F.col("rsum") / F.col("ng")).alias("__a"), F.sum("ng").alias("n"),
               F.count(F.lit(1)).alias("k"))
-    ties = r.select("value", "t").distinct().agg(F.sum(F.pow("t", 3) - F.col("t")).alias("tie_sum"))
-    s = s.withColumn("__one", F.lit(1)).join(ties.withColumn("__one", F.lit(1)), "__one").drop("__one")
+    s = s.withColumn("__one", F.lit(1)).join(_tie_sum(ranked).withColumn("__one", F.lit(1)), "__one").drop("__one")
     n = F.col("n")
     h = 12.0 / (n * (n + 1)) * F.col("__a") - 3 * (n + 1)
     c = 1 - F.col("tie_sum") / (n * n * n - n)

@@ -17,17 +17,38 @@ def _dbl(c):
     return F.col(c).cast("double").alias(c)
 
 
-def wide(spark, sf):
+_DIM_COLS = {
+    "startup": {"name", "status", "is_exited", "is_closed", "is_unicorn", "category_count"},
+    "geography": {"country_name", "region", "city"},
+    "industry": {"primary_category", "market"},
+    "ff": {"ff_full_date", "ff_year"},
+    "fd": {"fd_full_date", "fd_year"},
+}
+
+
+def wide(spark, sf, cols=None):
     """J6 + J7: fact ⋈ startup ⟕ geography ⟕ industry, plus the first-funding
-    and founded date roles."""
+    and founded date roles.  With ``cols`` only the dimensions providing
+    those columns are joined (Spark cannot drop an outer join by itself)."""
     t = _wh(spark, sf)
     f, s, g, i, d = (t["fact_startup_funding"], t["dim_startup"], t["dim_geography"],
                      t["dim_industry"], t["dim_date"])
-    j = (f.join(s, "startup_id", "inner")
-          .join(g, "geography_id", "left").join(i, "industry_id", "left"))
-    j = join_date_role(j, d.select("date_id", "full_date", "year"), "first_funding_date_id", "ff_")
-    j = join_date_role(j, d.select("date_id", "full_date", "year"), "founded_date_id", "fd_")
-    return j.withColumn("funding", F.col("funding_total_usd").cast("double"))
+    need = set(cols) if cols is not None else None
+
+    def uses(dim):
+        return need is None or bool(need & _DIM_COLS[dim])
+
+    j = f.join(s, "startup_id", "inner")  # inner: the view's entity set
+    if uses("geography"):
+        j = j.join(g, "geography_id", "left")
+    if uses("industry"):
+        j = j.join(i, "industry_id", "left")
+    if uses("ff"):
+        j = join_date_role(j, d.select("date_id", "full_date", "year"), "first_funding_date_id", "ff_")
+    if uses("fd"):
+        j = join_date_role(j, d.select("date_id", "full_date", "year"), "founded_date_id", "fd_")
+    j = j.withColumn("funding", F.col("funding_total_usd").cast("double"))
+    return j if need is None else j.select(*cols)
 
 
 def trend(spark, sf):

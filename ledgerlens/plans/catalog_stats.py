@@ -123,7 +123,7 @@ SELECT n1, n0, r1 - n1 * (n1 + 1) / 2.0 AS u, n1 * n0 / 2.0 AS mu,
     / SQRT(n1 * n0 / 12.0 * ((n1 + n0 + 1) - tie_sum / ((n1 + n0) * (n1 + n0 - 1)))) AS z,
   (r1 - n1 * (n1 + 1) / 2.0) / (n1 * n0) AS auc FROM s, ties""", _RANKS))
 def h8_mann_whitney(spark, sf):
-    return H.mann_whitney_stats(_w(spark, sf), X, "is_exited")
+    return H.mann_whitney_stats(wide(spark, sf, [X, "is_exited"]), X, "is_exited")
 
 
 @query("h13_kruskal_wallis", with_star("""
@@ -133,7 +133,7 @@ s AS (SELECT SUM(rsum * rsum / ng) AS a, SUM(ng) AS n, COUNT(*) AS k FROM g)
 SELECT n, k, (12.0 / (n * (n + 1)) * a - 3 * (n + 1)) / (1 - tie_sum / (CAST(n AS DOUBLE) * n * n - n)) AS h,
   k - 1 AS dof FROM s, ties""", _RANKS))
 def h13_kruskal_wallis(spark, sf):
-    return H.kruskal_wallis_stats(_w(spark, sf), "market", X)
+    return H.kruskal_wallis_stats(wide(spark, sf, [X, "market"]), "market", X)
 
 
 _GROUPS = f"""gs AS (SELECT market, COUNT({X}) AS n, AVG({X}) AS mean, VAR_SAMP({X}) AS var FROM feat

@@ -63,6 +63,28 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+class _Tables(dict):
+    """Parquet tables opened on first access (a read lists files and reads
+    footers, so only the tables a query touches are opened)."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, names):
+        super().__init__()
+        self._spark, self._dir, self._names = spark, sf_dir.rstrip("/"), set(names)
+
+    def __missing__(self, name: str) -> DataFrame:
+        if name not in self._names:
+            raise KeyError(name)
+        df = self._spark.read.parquet(f"{self._dir}/{name}.parquet")
+        self[name] = df
+        return df
+
+
+_OPENED: dict[tuple, _Tables] = {}
+
+
 def read_tables(spark: SparkSession, sf_dir: str, names=TABLES) -> dict[str, DataFrame]:
-    """Lazily open the parquet test tables of one scale factor."""
-    return {n: spark.read.parquet(f"{sf_dir.rstrip('/')}/{n}.parquet") for n in names}
+    """The parquet tables of one scale factor, opened lazily and reused per session."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), tuple(names))
+    if key not in _OPENED:
+        _OPENED[key] = _Tables(spark, sf_dir, names)
+    return _OPENED[key]
