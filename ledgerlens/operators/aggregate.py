@@ -13,7 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ordering import group_quantiles, small_window, with_quantiles
+from .ordering import attach_row, group_quantiles, small_window, with_quantiles
 
 
 def _money(c):
@@ -237,14 +237,14 @@ def histogram(df: DataFrame, column: str, bins: int = 10) -> DataFrame:
     x = F.col(column).cast("double")
     bounds = df.agg(F.min(x).alias("__lo"), F.max(x).alias("__hi"))
     src = df.select(x.alias("__x")).where(F.col("__x").isNotNull())
-    j = src.withColumn("__one", F.lit(1)).join(F.broadcast(bounds.withColumn("__one", F.lit(1))), "__one")
+    j = attach_row(src, bounds)
     width = (F.col("__hi") - F.col("__lo")) / bins
     b = F.when(F.col("__hi") == F.col("__lo"), F.lit(0)).otherwise(
         F.least(F.floor((F.col("__x") - F.col("__lo")) / width), F.lit(bins - 1))).cast("int")
     counts = j.groupBy(b.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
     spark = df.sparkSession
     all_bins = spark.range(bins).select(F.col("id").cast("int").alias("bin"))
-    edges = all_bins.withColumn("__one", F.lit(1)).join(F.broadcast(bounds.withColumn("__one", F.lit(1))), "__one")
+    edges = attach_row(all_bins, bounds)
     w = (F.col("__hi") - F.col("__lo")) / bins
     edges = edges.select("bin", (F.col("__lo") + F.col("bin") * w).alias("lo"),
                          (F.col("__lo") + (F.col("bin") + 1) * w).alias("hi"))
@@ -262,21 +262,20 @@ def five_number_summary(df: DataFrame, column: str, by: Sequence[str] = ()) -> D
     if by:
         box = mm.join(q, by, "inner")
     else:
-        box = mm.withColumn("__one", F.lit(1)).join(q.withColumn("__one", F.lit(1)), "__one").drop("__one")
+        box = attach_row(mm, q)
     box = box.withColumn("iqr", F.col("q3") - F.col("q1"))
     x = F.col(column).cast("double")
     if by:
         j = df.select(*by, x.alias("__x")).join(box.select(*by, "q1", "q3", "iqr"), by, "inner")
     else:
-        j = df.select(x.alias("__x")).withColumn("__one", F.lit(1)).join(
-            F.broadcast(box.select("q1", "q3", "iqr").withColumn("__one", F.lit(1))), "__one")
+        j = attach_row(df.select(x.alias("__x")), box.select("q1", "q3", "iqr"))
     inside = (F.col("__x") >= F.col("q1") - 1.5 * F.col("iqr")) & (F.col("__x") <= F.col("q3") + 1.5 * F.col("iqr"))
     wh = (j.groupBy(*by) if by else j.groupBy()).agg(
         F.min(F.when(inside, F.col("__x"))).alias("whisker_lo"),
         F.max(F.when(inside, F.col("__x"))).alias("whisker_hi"))
     if by:
         return box.join(wh, by, "inner")
-    return box.withColumn("__one", F.lit(1)).join(wh.withColumn("__one", F.lit(1)), "__one").drop("__one")
+    return attach_row(box, wh)
 
 
 # ----------------------------------------------------------------------------- A20

@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ordering import group_quantiles, running_totals, with_quantiles
+from .ordering import attach_row, group_quantiles, running_totals, with_quantiles
 
 
 def _x(c):
@@ -100,7 +100,7 @@ def roc_curve(df: DataFrame, label: str, score: str) -> DataFrame:
     """(threshold, fpr, tpr) at every distinct score, highest first."""
     c = score_counts(df, label, score)
     tot = c.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    j = c.withColumn("__one", F.lit(1)).join(F.broadcast(tot.withColumn("__one", F.lit(1))), "__one")
+    j = attach_row(c, tot)
     return j.select(F.col("score").alias("threshold"),
                     (F.col("cum_neg") / F.col("N")).alias("fpr"), (F.col("cum_pos") / F.col("P")).alias("tpr"))
 
@@ -119,7 +119,7 @@ def pr_curve(df: DataFrame, label: str, score: str) -> DataFrame:
     """E5: (threshold, precision, recall) per distinct score."""
     c = score_counts(df, label, score)
     tot = c.agg(F.sum("pos").alias("P"))
-    j = c.withColumn("__one", F.lit(1)).join(F.broadcast(tot.withColumn("__one", F.lit(1))), "__one")
+    j = attach_row(c, tot)
     return j.select(F.col("score").alias("threshold"),
                     (F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))).alias("precision"),
                     (F.col("cum_pos") / F.col("P")).alias("recall"))

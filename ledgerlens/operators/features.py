@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators.cleaning import group_top_n
-from .ordering import global_row_number
+from .ordering import attach_row, global_row_number
 
 _BUCKETS = 1_000_000
 
@@ -97,7 +97,7 @@ def standardise(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """M7: ``(x - mean) / population sd`` (one aggregation for all columns)."""
     s = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"m_{i}") for i, c in enumerate(cols)],
                *[F.stddev_pop(F.col(c).cast("double")).alias(f"s_{i}") for i, c in enumerate(cols)])
-    j = df.withColumn("__one", F.lit(1)).join(F.broadcast(s.withColumn("__one", F.lit(1))), "__one")
+    j = attach_row(df, s)
     return j.withColumns({c: (F.col(c).cast("double") - F.col(f"m_{i}")) / F.col(f"s_{i}")
                           for i, c in enumerate(cols)}).select(*df.columns)
 
@@ -124,8 +124,7 @@ def mutual_information(df: DataFrame, features: Sequence[str], target: str, bins
         px = joint.groupBy("__b").agg(F.sum("__nxy").alias("__nx"))
         py = joint.groupBy(target).agg(F.sum("__nxy").alias("__ny"))
         tot = joint.agg(F.sum("__nxy").alias("__n"))
-        j = joint.join(px, "__b").join(py, target).withColumn("__one", F.lit(1)).join(
-            F.broadcast(tot.withColumn("__one", F.lit(1))), "__one")
+        j = attach_row(joint.join(px, "__b").join(py, target), tot)
         mi = j.agg(F.sum(F.col("__nxy") / F.col("__n") *
                          F.log(F.col("__nxy") * F.col("__n") / (F.col("__nx") * F.col("__ny")))).alias("mi"))
         parts.append(mi.select(F.lit(f).alias("feature"), "mi"))
@@ -141,7 +140,7 @@ def class_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
     """Balanced class weights ``n / (classes · n_class)`` (classes from one small aggregate)."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("__nc"))
     tot = counts.agg(F.sum("__nc").alias("__n"), F.count(F.lit(1)).alias("__k"))
-    w = counts.withColumn("__one", F.lit(1)).join(tot.withColumn("__one", F.lit(1)), "__one") \
+    w = attach_row(counts, tot) \
               .select(label, (F.col("__n") / (F.col("__k") * F.col("__nc"))).alias(name))
     return df.join(F.broadcast(w), label, "left")
 

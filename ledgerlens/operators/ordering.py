@@ -143,6 +143,16 @@ def running_totals(df: DataFrame, order: Sequence, sum_cols: Sequence[str],
     return out.drop(_PID, *["__off_" + c for c in sum_cols])
 
 
+def attach_row(df: DataFrame, row_df: DataFrame) -> DataFrame:
+    """Attach the columns of a one-row frame (an ungrouped aggregate: exactly
+    one row by construction) to every row as typed literals.  One small
+    action instead of a constant-key join, which Catalyst would plan as a
+    nested-loop (cartesian) join."""
+    r = row_df.first()
+    return df.select("*", *[F.lit(None if r is None else r[f.name]).cast(f.dataType).alias(f.name)
+                            for f in row_df.schema.fields])
+
+
 def small_window(order: Sequence | None = None) -> Window:
     """A global window — only for inputs already aggregated to a bounded size."""
     w = Window.partitionBy()
@@ -202,9 +212,7 @@ def with_quantiles(agg: DataFrame, df: DataFrame, by: Sequence[str], value,
     """Attach :func:`group_quantiles` columns to an aggregate keyed by ``by`` (null-safe)."""
     q = group_quantiles(df, by, value, probs)
     if not by:
-        # both sides hold exactly one row: an equi-join on a constant key
-        return agg.withColumn("__one", F.lit(1)).join(q.withColumn("__one", F.lit(1)), "__one",
-                                                      "left").drop("__one")
+        return attach_row(agg, q)
     qr = q.select(*[F.col(b).alias("__k_" + b) for b in by], *probs.keys())
     cond = None
     for b in by:
@@ -214,6 +222,6 @@ def with_quantiles(agg: DataFrame, df: DataFrame, by: Sequence[str], value,
 
 
 __all__ = ["global_row_number", "running_totals", "small_window", "ntile_of_position",
-           "group_quantiles", "with_quantiles"]
+           "group_quantiles", "with_quantiles", "attach_row"]
 
 _ = pd  # pandas is used inside tasks by mapInPandas

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import first_item, normalise_key
+from .ordering import attach_row
 
 
 def _all_null(cols: Sequence[str]):
@@ -31,7 +32,7 @@ def row_reconciliation(raw: Mapping[str, DataFrame], clean: Mapping[str, DataFra
     for name, r in raw.items():
         a = r.agg(F.count(F.lit(1)).alias("raw_rows"), F.count_if(_all_null(r.columns)).alias("blank_rows"))
         k = clean[name].agg(F.count(F.lit(1)).alias("kept_rows"))
-        parts.append(a.withColumn("__one", F.lit(1)).join(k.withColumn("__one", F.lit(1)), "__one")
+        parts.append(attach_row(a, k)
                       .select(F.lit(name).alias("source"), "raw_rows", "blank_rows", "kept_rows"))
     return _union(parts)
 
@@ -74,7 +75,7 @@ def source_overview(df: DataFrame, name: str = "source") -> DataFrame:
     """Rows, columns, fully blank rows and exact duplicate rows."""
     base = df.agg(F.count(F.lit(1)).alias("rows"), F.count_if(_all_null(df.columns)).alias("blank_rows"))
     distinct_rows = df.distinct().agg(F.count(F.lit(1)).alias("__d"))
-    j = base.withColumn("__one", F.lit(1)).join(distinct_rows.withColumn("__one", F.lit(1)), "__one")
+    j = attach_row(base, distinct_rows)
     return j.select(F.lit(name).alias("source"), "rows", F.lit(len(df.columns)).cast("long").alias("columns"),
                     "blank_rows", (F.col("rows") - F.col("__d")).alias("duplicate_rows"))
 

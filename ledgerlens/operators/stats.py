@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from . import dist
 from .joins import semi_join_top_n
-from .ordering import group_quantiles, running_totals
+from .ordering import attach_row, group_quantiles, running_totals
 
 
 def _x(c):
@@ -144,8 +144,7 @@ def contingency(df: DataFrame, a: str, b: str, top_n: int | None = None) -> Data
     ra = obs.groupBy(a).agg(F.sum("observed").alias("__ra"))
     cb = obs.groupBy(b).agg(F.sum("observed").alias("__cb"))
     tot = obs.agg(F.sum("observed").alias("__n"))
-    j = obs.join(ra, a).join(cb, b).withColumn("__one", F.lit(1)).join(
-            F.broadcast(tot.withColumn("__one", F.lit(1))), "__one").drop("__one")
+    j = attach_row(obs.join(ra, a).join(cb, b), tot)
     return j.select(a, b, "observed", (F.col("__ra") * F.col("__cb") / F.col("__n")).alias("expected"),
                     F.col("__n").alias("n"))
 
@@ -199,7 +198,7 @@ def mann_whitney_stats(df: DataFrame, col: str, flag: str) -> DataFrame:
     s = r.agg(F.sum(F.when(F.col("__g") == 1, F.col("cnt") * F.col("avg_rank"))).alias("r1"),
               F.sum(F.when(F.col("__g") == 1, F.col("cnt"))).alias("n1"),
               F.sum(F.when(F.col("__g") == 0, F.col("cnt"))).alias("n0"))
-    s = s.withColumn("__one", F.lit(1)).join(_tie_sum(ranked).withColumn("__one", F.lit(1)), "__one").drop("__one")
+    s = attach_row(s, _tie_sum(ranked))
     n = F.col("n1") + F.col("n0")
     u1 = F.col("r1") - F.col("n1") * (F.col("n1") + 1) / 2.0
     mu = F.col("n1") * F.col("n0") / 2.0
@@ -221,7 +220,7 @@ def kruskal_wallis_stats(df: DataFrame, group: str, col: str) -> DataFrame:
     g = r.groupBy(group).agg(F.sum(F.col("cnt") * F.col("avg_rank")).alias("rsum"), F.sum("cnt").alias("ng"))
     s = g.agg(F.sum(F.col("rsum") * F.col("rsum") / F.col("ng")).alias("__a"), F.sum("ng").alias("n"),
               F.count(F.lit(1)).alias("k"))
-    s = s.withColumn("__one", F.lit(1)).join(_tie_sum(ranked).withColumn("__one", F.lit(1)), "__one").drop("__one")
+    s = attach_row(s, _tie_sum(ranked))
     n = F.col("n")
     h = 12.0 / (n * (n + 1)) * F.col("__a") - 3 * (n + 1)
     c = 1 - F.col("tie_sum") / (n * n * n - n)
@@ -247,7 +246,7 @@ def anova_stats(df: DataFrame, group: str, col: str, min_n: int = 30) -> DataFra
     g = group_stats(df, group, col, min_n)
     tot = g.agg(F.sum("n").alias("__total"), (F.sum(F.col("n") * F.col("mean")) / F.sum("n")).alias("__grand"),
                 F.count(F.lit(1)).alias("__k"))
-    j = g.withColumn("__one", F.lit(1)).join(F.broadcast(tot.withColumn("__one", F.lit(1))), "__one")
+    j = attach_row(g, tot)
     s = j.agg(F.sum(F.col("n") * F.pow(F.col("mean") - F.col("__grand"), 2)).alias("ss_between"),
               F.sum((F.col("n") - 1) * F.coalesce(F.col("var"), F.lit(0.0))).alias("ss_within"),
               F.first("__total").alias("n"), F.first("__k").alias("k"))
@@ -274,8 +273,7 @@ def tukey_stats(df: DataFrame, group: str, col: str, min_n: int = 0) -> DataFram
     g = group_stats(df, group, col, min_n)
     pooled = g.agg((F.sum((F.col("n") - 1) * F.col("var")) / (F.sum("n") - F.count(F.lit(1)))).alias("msw"),
                    (F.sum("n") - F.count(F.lit(1))).alias("df_within"), F.count(F.lit(1)).alias("k"))
-    p = _pairs(g, group).withColumn("__one", F.lit(1)).join(
-        F.broadcast(pooled.withColumn("__one", F.lit(1))), "__one").drop("__one")
+    p = attach_row(_pairs(g, group), pooled)
     se = F.sqrt(F.col("msw") / 2 * (1 / F.col("n_a") + 1 / F.col("n_b")))
     return p.select(F.col(group + "_a").alias("group_a"), F.col(group + "_b").alias("group_b"),
                     (F.col("mean_b") - F.col("mean_a")).alias("diff"),

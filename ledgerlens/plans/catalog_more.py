@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import aggregate as A
 from ..operators import windows as W
 from ..operators.joins import join_date_role
+from ..operators.ordering import attach_row
 from . import measures as B
 from . import testbed
 from .catalog import _tables, _wh, query
@@ -185,7 +186,7 @@ def a17_skewness(spark, sf):
     w = wide(spark, sf)
     raw = A.skewness(w, "funding")
     lg = A.skewness(w, "funding", log1p=True, name="skewness_log1p")
-    return raw.withColumn("__one", F.lit(1)).join(lg.withColumn("__one", F.lit(1)), "__one").drop("__one")
+    return attach_row(raw, lg)
 
 
 @query("a18_histogram", with_star("""
