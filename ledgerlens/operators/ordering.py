@@ -95,6 +95,7 @@ def global_row_number(df: DataFrame, order: Sequence, name: str = "row_number",
     ranged = _pinned(_ranged(df, order, num_partitions).withColumn(
         _LOCAL, F.monotonically_increasing_id() - F.shiftleft(F.col(_PID).cast("long"), 33)))
     totals = ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias("n")).collect()
+    df.unpersist()  # the ranged copy is materialised; keep one cached copy only
     offs = _offsets(df.sparkSession, totals, ["n"])
     return (ranged.join(F.broadcast(offs), _PID, "left")
                   .withColumn(name, F.coalesce(F.col("__off_n"), F.lit(0)) + F.col(_LOCAL) + 1)
@@ -134,6 +135,7 @@ def running_totals(df: DataFrame, order: Sequence, sum_cols: Sequence[str],
 
     local = _pinned(ranged.mapInPandas(local_cumsum, out_schema))
     totals = ranged.groupBy(_PID).agg(*[F.sum(c).alias(c) for c in sum_cols]).collect()
+    df.unpersist()  # the ranged copy is materialised; keep one cached copy only
     totals = [{_PID: r[_PID], **{c: (float(r[c]) if is_float[c] else int(r[c] or 0))
                                  for c in sum_cols}} for r in totals]
     offs = _offsets(df.sparkSession, totals, list(sum_cols))

@@ -78,7 +78,7 @@ def refresh_summaries(t: dict[str, DataFrame], root: str) -> dict[str, DataFrame
             if dups:
                 raise ValueError(f"summary {n} has {dups} duplicate keys on {k}")
 
-    load_warehouse(built, root, checks=check)
+    load_warehouse(built, root, checks=check, partition_by={"country_year_funding": ["year"]})
     return read_warehouse(spark=next(iter(t.values())).sparkSession, root=root)
 
 

@@ -41,18 +41,6 @@ def _write_text(spark: SparkSession, path: str, text: str) -> None:
         raise OSError(f"could not publish {path}")
 
 
-def _read_text(spark: SparkSession, path: str) -> str:
-    fs, p, jvm = _fs(spark, path)
-    if not fs.exists(p):
-        raise FileNotFoundError(path)
-    stream = fs.open(p)
-    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-    try:
-        return reader.readLine().strip()
-    finally:
-        reader.close()
-
-
 def warehouse_root(spark: SparkSession, name: str) -> str:
     """A warehouse folder inside the shared folder named by ``spark.checkpoint.dir``."""
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/warehouse/{name}"
@@ -60,8 +48,12 @@ def warehouse_root(spark: SparkSession, name: str) -> str:
 
 def load_warehouse(tables: Mapping[str, DataFrame], root: str, order: Sequence[str] | None = None,
                    checks: Callable[[dict[str, DataFrame]], None] | None = None,
-                   empty_as_null: bool = True) -> str:
-    """Idempotent full reload of a set of tables; returns the new version."""
+                   empty_as_null: bool = True,
+                   partition_by: Mapping[str, Sequence[str]] | None = None) -> str:
+    """Idempotent full reload of a set of tables; returns the new version.
+
+    ``partition_by`` names Hive-style partition columns per table (e.g. a
+    summary by year), so filters on them prune whole folders."""
     names = list(order or tables.keys())
     spark = next(iter(tables.values())).sparkSession
     version = f"v{int(time.time() * 1000)}"
@@ -72,7 +64,10 @@ def load_warehouse(tables: Mapping[str, DataFrame], root: str, order: Sequence[s
             df = df.replace("", None, subset=[f.name for f in df.schema.fields
                                                if f.dataType.typeName() == "string"]) \
                 if any(f.dataType.typeName() == "string" for f in df.schema.fields) else df
-        df.write.mode("overwrite").parquet(f"{base}/{n}")
+        w = df.write.mode("overwrite")
+        if partition_by and partition_by.get(n):
+            w = w.partitionBy(*partition_by[n])
+        w.parquet(f"{base}/{n}")
     staged = {n: spark.read.parquet(f"{base}/{n}") for n in names}
     if checks is not None:
         checks(staged)  # raises → pointer untouched, old version stays live
