@@ -199,7 +199,7 @@ def quantiles(df: DataFrame, column: str, probs: Sequence[float], by: Sequence[s
 def trim_below_quantile(df: DataFrame, column: str, p: float) -> DataFrame:
     """Rows whose value is at or above the ``p`` quantile."""
     q = group_quantiles(df, [], column, {"__q": p})
-    return df.join(F.broadcast(q), F.col(column) >= F.col("__q"), "inner").drop("__q")
+    return attach_row(df, q).where(F.col(column) >= F.col("__q")).drop("__q")
 
 
 # ----------------------------------------------------------------------------- A17
