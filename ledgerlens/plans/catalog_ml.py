@@ -109,7 +109,29 @@ def m8_variance_filter(spark, sf):
     return M.variance_filter(wide(spark, sf), ["funding_rounds", "category_count"], 0.5)
 
 
-@query("m9_mutual_information")
+def _mi_sql():
+    cc = ("funding_rounds IS NOT NULL AND years_since_founded IS NOT NULL AND num_round_types_used IS NOT NULL "
+          "AND category_count IS NOT NULL AND log_funding_total_usd IS NOT NULL")
+    part = """
+  SELECT '{f}' AS feature, SUM(nxy / n * LN(nxy * n / (nx * ny))) AS mi FROM (
+    SELECT b, y, CAST(COUNT(*) AS DOUBLE) AS nxy,
+      CAST(SUM(COUNT(*)) OVER (PARTITION BY b) AS DOUBLE) AS nx,
+      CAST(SUM(COUNT(*)) OVER (PARTITION BY y) AS DOUBLE) AS ny,
+      CAST(SUM(COUNT(*)) OVER () AS DOUBLE) AS n
+    FROM (SELECT 1 + (SELECT COUNT(*) FROM edges_{f} ed WHERE CAST(base.{f} AS DOUBLE) > ed.e) AS b, y
+          FROM base) t
+    GROUP BY b, y) j"""
+    feats = ["funding_rounds", "years_since_founded"]
+    edges = "".join(f""",
+all_{f} AS (SELECT DISTINCT unnest(quantile_cont(CAST({f} AS DOUBLE), [0.0,0.1,0.2,0.3,0.4,0.5,0.6,0.7,0.8,0.9,1.0])) AS e FROM base),
+edges_{f} AS (SELECT e FROM all_{f} WHERE e > (SELECT MIN(e) FROM all_{f}) AND e < (SELECT MAX(e) FROM all_{f}))"""
+                    for f in feats)
+    body = " UNION ALL ".join(part.format(f=f) for f in feats)
+    return with_star(f"""WITH base AS (SELECT funding_rounds, years_since_founded, CAST(is_exited AS INTEGER) AS y
+  FROM feat WHERE {cc}){edges} {body}""")
+
+
+@query("m9_mutual_information", _mi_sql())
 def m9_mutual_information(spark, sf):
     return M.mutual_information(_data(spark, sf), ["funding_rounds", "years_since_founded"], LABEL_CLF)
 

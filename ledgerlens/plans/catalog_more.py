@@ -283,8 +283,9 @@ def a24_filtered_summary(spark, sf):
 # =============================================================================
 
 @query("w6_quantile_bins", with_star("""
-WITH e AS (SELECT quantile_cont(CAST(funding_total_usd AS DOUBLE), [0.1,0.2,0.3,0.4,0.5,0.6,0.7,0.8,0.9]) AS q FROM feat),
-inner_edges AS (SELECT DISTINCT unnest(q) AS x FROM e)
+WITH e AS (SELECT quantile_cont(CAST(funding_total_usd AS DOUBLE), [0.0,0.1,0.2,0.3,0.4,0.5,0.6,0.7,0.8,0.9,1.0]) AS q FROM feat),
+ed AS (SELECT DISTINCT unnest(q) AS x FROM e),
+inner_edges AS (SELECT x FROM ed WHERE x > (SELECT MIN(x) FROM ed) AND x < (SELECT MAX(x) FROM ed))
 SELECT f.startup_id, CAST(1 + (SELECT COUNT(*) FROM inner_edges WHERE CAST(f.funding_total_usd AS DOUBLE) > x) AS BIGINT) AS bin
 FROM feat f WHERE f.funding_total_usd IS NOT NULL"""))
 def w6_quantile_bins(spark, sf):

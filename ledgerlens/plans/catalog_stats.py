@@ -196,7 +196,14 @@ def h17_ols_table(spark, sf):
     return spark.createDataFrame(rows, "term string, coef double, se double, t double, p double")
 
 
-@query("h18_vif")
+@query("h18_vif", with_star("""
+WITH c AS (SELECT CORR(CAST(funding_rounds AS DOUBLE), CAST(years_since_founded AS DOUBLE)) AS ab,
+  CORR(CAST(funding_rounds AS DOUBLE), CAST(num_round_types_used AS DOUBLE)) AS ac,
+  CORR(CAST(years_since_founded AS DOUBLE), CAST(num_round_types_used AS DOUBLE)) AS bc
+  FROM feat WHERE funding_rounds IS NOT NULL AND years_since_founded IS NOT NULL AND num_round_types_used IS NOT NULL)
+SELECT 'funding_rounds' AS feature, 1 / (1 - (ab * ab + ac * ac - 2 * ab * ac * bc) / (1 - bc * bc)) AS vif FROM c
+UNION ALL SELECT 'years_since_founded', 1 / (1 - (ab * ab + bc * bc - 2 * ab * ac * bc) / (1 - ac * ac)) FROM c
+UNION ALL SELECT 'num_round_types_used', 1 / (1 - (ac * ac + bc * bc - 2 * ab * ac * bc) / (1 - ab * ab)) FROM c"""))
 def h18_vif(spark, sf):
     v = H.vif(_w(spark, sf), ["funding_rounds", "years_since_founded", "num_round_types_used"])
     return spark.createDataFrame(list(v.items()), "feature string, vif double")
@@ -338,8 +345,9 @@ def e5_average_precision(spark, sf):
 
 
 @query("e6_calibration", with_star("""
-WITH e AS (SELECT quantile_cont(score, [0.1,0.2,0.3,0.4,0.5,0.6,0.7,0.8,0.9]) AS q FROM scored),
-inner_edges AS (SELECT DISTINCT unnest(q) AS x FROM e),
+WITH e AS (SELECT quantile_cont(score, [0.0,0.1,0.2,0.3,0.4,0.5,0.6,0.7,0.8,0.9,1.0]) AS q FROM scored),
+ed AS (SELECT DISTINCT unnest(q) AS x FROM e),
+inner_edges AS (SELECT x FROM ed WHERE x > (SELECT MIN(x) FROM ed) AND x < (SELECT MAX(x) FROM ed)),
 b AS (SELECT s.score, s.label, CAST(1 + (SELECT COUNT(*) FROM inner_edges WHERE s.score > x) AS BIGINT) AS bin
       FROM scored s WHERE s.score IS NOT NULL)
 SELECT bin, AVG(score) AS mean_predicted, AVG(CAST(label AS DOUBLE)) AS fraction_positive, COUNT(*) AS n
