@@ -64,9 +64,13 @@ def load_warehouse(tables: Mapping[str, DataFrame], root: str, order: Sequence[s
             df = df.replace("", None, subset=[f.name for f in df.schema.fields
                                                if f.dataType.typeName() == "string"]) \
                 if any(f.dataType.typeName() == "string" for f in df.schema.fields) else df
+        parts = list(partition_by.get(n, [])) if partition_by else []
+        # REBALANCE: AQE sizes the output files to the advisory partition size
+        # (coalescing small partitions, splitting skewed ones) at any scale
+        df = df.hint("rebalance", *parts) if parts else df.hint("rebalance")
         w = df.write.mode("overwrite")
-        if partition_by and partition_by.get(n):
-            w = w.partitionBy(*partition_by[n])
+        if parts:
+            w = w.partitionBy(*parts)
         w.parquet(f"{base}/{n}")
     staged = {n: spark.read.parquet(f"{base}/{n}") for n in names}
     if checks is not None:
