@@ -27,3 +27,53 @@ def test_search(spark):
     items = K.extract_numbered_items(docs, "doc_id")
     assert K.search_insights(items, "seed", "Funding").count() == 0  # number 1 kept from first occurrence
     assert K.search_insights(items, "hubs").count() == 1
+
+
+def _expected_items(docs):
+    """Plain per-document scan: the definition C36 must reproduce."""
+    import re
+    out = {}
+    for key, text in docs:
+        section, seen = None, set()
+        for line in text.split("\n"):
+            h = re.match(r"^\s*#{1,6}\s+(.+?)\s*$", line)
+            if h:
+                section = h.group(1)
+                continue
+            m = re.match(r"^\s*(\d+)\.\s+(.*\S)\s*$", line)
+            if m and int(m.group(1)) not in seen:
+                seen.add(int(m.group(1)))
+                out[(key, int(m.group(1)))] = (section, m.group(2).replace("**", "").strip())
+    return out
+
+
+def test_distributed_paths_match_per_document_scan(spark, monkeypatch):
+    """Range-sorted path (forced): headings carried across partition borders,
+    never across documents; one hot document holds most lines."""
+    import random
+
+    from ledgerlens.operators import ordering
+    rnd = random.Random(7)
+    docs = []
+    for d in range(6):
+        n = 3000 if d == 2 else rnd.randint(0, 60)
+        lines = []
+        for _ in range(n):
+            r = rnd.random()
+            if r < 0.03:
+                lines.append(f"## Part {rnd.randint(0, 99)}")
+            elif r < 0.6:
+                lines.append(f"{rnd.randint(1, 400)}. item **{rnd.randint(0, 9)}** hubs")
+            else:
+                lines.append(rnd.choice(["", "plain text", "Hubs and more"]))
+        docs.append((d, "\n".join(lines)))
+    frame = spark.createDataFrame(docs, "doc_id int, text string").repartition(3)
+    monkeypatch.setattr(ordering, "SMALL_ROWS", 0)
+    got = {(r.doc_id, r.number): (r.section, r.item)
+           for r in K.extract_numbered_items(frame, "doc_id").collect()}
+    assert got == _expected_items(docs)
+    hits = K.search_documents(frame, "doc_id", "hubs", k=3).collect()
+    for key, text in docs:
+        found = [i + 1 for i, ln in enumerate(text.split("\n")) if ln.strip() and "hubs" in ln.lower()]
+        mine = sorted((h.hit_no, h.line_no, h.matches) for h in hits if h.doc_id == key)
+        assert mine == [(j + 1, ln, len(found)) for j, ln in enumerate(found[:3])]
