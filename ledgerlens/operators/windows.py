@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .ordering import global_row_number, ntile_of_position, small_window
+from .ordering import global_row_number, ntile_of_position, running_totals, small_window
 
 
 def _c(c) -> Column:
@@ -161,11 +161,25 @@ def quantile_bins(df: DataFrame, value: str, q: int = 10, name: str = "bin",
 
 # ----------------------------------------------------------------------------- W7, W16, W17
 def global_ranks(df: DataFrame, specs: dict[str, str], dense: bool = False) -> DataFrame:
-    """One ``RANK`` (ties skip) per ``{rank_name: value_column}``,
-    descending, over an already aggregated input."""
-    fn = F.dense_rank if dense else F.rank
-    return df.select("*", *[fn().over(small_window([F.col(v).desc()])).cast("long").alias(r)
-                            for r, v in specs.items()])
+    """One ``RANK`` (ties skip; ``dense`` for ``DENSE_RANK``) per
+    ``{rank_name: value_column}``, descending, nulls last.
+
+    A row's rank is one plus the number of rows with a larger value, so it
+    is computed over distinct values: a map-side-combined count per value,
+    then a running count in descending value order (``running_totals``: one
+    window task up to a checked bound, a range-partitioned scan above it),
+    joined back on the value.  No step sees all rows in one task.
+    """
+    out = df
+    for r, v in specs.items():
+        counts = df.groupBy(F.col(v).alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
+        if dense:
+            counts = counts.withColumn("__n", F.lit(1).cast("long"))
+        cum = running_totals(counts, [F.col("__v").desc_nulls_last()], ["__n"], prefix="__cum")
+        rank = (F.col("__cum__n") if dense else F.col("__cum__n") - F.col("__n") + 1).cast("long")
+        ranks = cum.select(F.col("__v"), rank.alias(r))
+        out = out.join(ranks, out[v].eqNullSafe(ranks["__v"]), "left").drop("__v")
+    return out.select(*df.columns, *specs)
 
 
 def top_n_share(df: DataFrame, key: str, value: str, n: int, ties: bool = True,
