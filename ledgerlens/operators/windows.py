@@ -185,13 +185,24 @@ def global_ranks(df: DataFrame, specs: dict[str, str], dense: bool = False) -> D
 def top_n_share(df: DataFrame, key: str, value: str, n: int, ties: bool = True,
                 name: str = "top_share") -> DataFrame:
     """Share of the grand total held by the top ``n`` keys (``TOPN``
-    keeps ties; ``ties=False`` is ``head(n)`` with a key tie-break)."""
+    keeps ties; ``ties=False`` is ``head(n)`` with a key tie-break).
+
+    No ranking of all keys: an ordered ``limit`` (per-partition top-n, then
+    a merge of at most ``n`` rows per partition) gives the top keys.  With
+    ties their smallest total is the threshold (a key ranks within ``n`` iff
+    its total reaches the ``n``-th largest), applied in one conditional sum.
+    """
+    from .ordering import attach_row
     agg = df.groupBy(key).agg(F.sum(F.col(value).cast("decimal(18,2)")).alias("__t"))
-    w = small_window([F.col("__t").desc(), F.col(key).asc()] if not ties else [F.col("__t").desc()])
-    r = (F.rank() if ties else F.row_number()).over(w)
-    ranked = agg.withColumn("__r", r)
-    return ranked.agg((F.sum(F.when(F.col("__r") <= n, F.col("__t"))).cast("double") /
-                       F.sum("__t").cast("double")).alias(name))
+    top = agg.orderBy(F.col("__t").desc_nulls_last(), F.col(key).asc()).limit(n)
+    if ties:
+        cut = attach_row(agg, top.agg(F.min("__t").alias("__cut")))
+        share = F.sum(F.when(F.col("__t") >= F.col("__cut"), F.col("__t"))).cast("double") / \
+            F.sum("__t").cast("double")
+        return cut.agg(share.alias(name))
+    top_sum = top.agg(F.sum("__t").alias("__top"))
+    with_grand = attach_row(top_sum, agg.agg(F.sum("__t").alias("__all")))
+    return with_grand.select((F.col("__top").cast("double") / F.col("__all").cast("double")).alias(name))
 
 
 # ----------------------------------------------------------------------------- W10–W15

@@ -83,3 +83,15 @@ def test_global_ranks_distributed_matches_sql_rank(spark, monkeypatch, dense):
     ref = df.select("k", fn().over(Window.orderBy(F.col("v").desc())).alias("rv"),
                     fn().over(Window.orderBy(F.col("w").desc())).alias("rw"))
     assert got == {r.k: (r.rv, r.rw) for r in ref.collect()}
+
+
+def test_top_n_share_ties_and_head(spark):
+    from ledgerlens.operators.windows import top_n_share
+    rows = [("a", 10.0), ("b", 7.0), ("c", 7.0), ("c", 0.0), ("d", 7.0), ("e", 1.0), ("f", None)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    grand = 10 + 7 + 7 + 7 + 1
+    # TOPN(2): a (rank 1) and the three-way tie at rank 2
+    assert abs(top_n_share(df, "k", "v", 2).first()[0] - 31 / grand) < 1e-12
+    # head(2) with key tie-break: a, b
+    assert abs(top_n_share(df, "k", "v", 2, ties=False).first()[0] - 17 / grand) < 1e-12
+    assert abs(top_n_share(df, "k", "v", 50).first()[0] - 1.0) < 1e-12
