@@ -131,13 +131,21 @@ def dynamic_measure(df: DataFrame, metric: str | None, by: Sequence[str] = (), r
 def share_ignoring(df: DataFrame, value_measure: str, by: Sequence[str], ignore: str,
                    name: str = "share", roles=None) -> DataFrame:
     """A measure's share of its total with the ``ignore`` dimension removed
-    from the grouping (DAX ``CALCULATE(..., ALL(dim))``).  Runs on the
-    aggregated rows: the window is partitioned by the remaining keys."""
-    from pyspark.sql.window import Window
+    from the grouping (DAX ``CALCULATE(..., ALL(dim))``).  The totals are a
+    map-side-combined aggregate of the measure rows by the remaining keys,
+    joined back null-safely (or attached as literals when no key remains),
+    rather than a window that sorts each remaining key's rows in one task."""
+    from ..operators.ordering import attach_row
     agg = measure(df, [value_measure], by, roles=roles)
     rest = [b for b in by if b != ignore]
-    w = Window.partitionBy(*rest) if rest else Window.partitionBy()
-    return agg.withColumn(name, _ratio(F.col(value_measure), F.sum(value_measure).over(w)))
+    if not rest:
+        with_tot = attach_row(agg, agg.agg(F.sum(value_measure).alias("__tot")))
+    else:
+        tot = agg.groupBy(*[F.col(b).alias(f"__k{i}") for i, b in enumerate(rest)]) \
+                 .agg(F.sum(value_measure).alias("__tot"))
+        cond = [agg[b].eqNullSafe(tot[f"__k{i}"]) for i, b in enumerate(rest)]
+        with_tot = agg.join(tot, cond, "left")
+    return with_tot.select(*agg.columns, _ratio(F.col(value_measure), F.col("__tot")).alias(name))
 
 
 def kpi_status(rate: Column, green: float = 0.15, amber: float = 0.08) -> Column:
