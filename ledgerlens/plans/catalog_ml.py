@@ -69,7 +69,14 @@ def m3_hash_split(spark, sf):
         .groupBy("part").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("m4_stratified_split")
+# Sizes are exact and hash-independent: round(0.2 · n_class) rows of each class go to test.
+@query("m4_stratified_split", with_star("""
+WITH d AS (SELECT CAST(is_exited AS INTEGER) AS is_exited FROM feat WHERE funding_rounds IS NOT NULL
+  AND years_since_founded IS NOT NULL AND num_round_types_used IS NOT NULL AND category_count IS NOT NULL
+  AND log_funding_total_usd IS NOT NULL),
+c AS (SELECT is_exited, COUNT(*) AS n, CAST(round(COUNT(*) * 0.2) AS BIGINT) AS t FROM d GROUP BY is_exited)
+SELECT is_exited, true AS is_test, t AS n FROM c WHERE t > 0
+UNION ALL SELECT is_exited, false AS is_test, n - t AS n FROM c WHERE n - t > 0"""))
 def m4_stratified_split(spark, sf):
     s = M.stratified_split(_data(spark, sf), LABEL_CLF, "startup_id", 0.2)
     return M.split_sizes(s, "is_test", LABEL_CLF)
