@@ -205,27 +205,24 @@ def trim_below_quantile(df: DataFrame, column: str, p: float) -> DataFrame:
 # ----------------------------------------------------------------------------- A17
 def skewness(df: DataFrame, column: str, by: Sequence[str] = (), log1p: bool = False,
              name: str = "skewness") -> DataFrame:
-    """Bias-adjusted sample skewness (pandas/DuckDB definition).
+    """Bias-adjusted sample skewness (pandas/DuckDB definition),
+    ``g1 * sqrt(n(n-1)) / (n-2)``.
 
-    From algebraic moments: ``g1 * sqrt(n(n-1)) / (n-2)``.
+    ``g1`` is Spark's ``skewness``: central moments merged pairwise across
+    partial aggregates (numerically stable), not raw power sums, whose
+    cancellation on large money values grows with the row count.
     """
     x = F.col(column).cast("double")
     if log1p:
         x = F.log1p(x)
     n = F.count(x)
-    mean = F.avg(x)
-    m2 = F.avg(x * x) - mean * mean
-    m3 = F.avg(x * x * x) - 3 * mean * F.avg(x * x) + 2 * mean * mean * mean
-    g1 = m3 / F.pow(m2, 1.5)
-    adj = F.when(n > 2, g1 * F.sqrt(n * (n - 1)) / (n - 2))
+    adj = F.when(n > 2, F.skewness(x) * F.sqrt(n * (n - 1)) / (n - 2))
     return (df.groupBy(*by) if by else df.groupBy()).agg(adj.alias(name))
 
 
 def skewness_stable(df: DataFrame, column: str, name: str = "skewness") -> DataFrame:
-    """A17 via Spark's (numerically stable, unadjusted) ``skewness`` × adjustment."""
-    x = F.col(column).cast("double")
-    n = F.count(x)
-    return df.agg(F.when(n > 2, F.skewness(x) * F.sqrt(n * (n - 1)) / (n - 2)).alias(name))
+    """A17 without grouping (kept for callers of the earlier name)."""
+    return skewness(df, column, name=name)
 
 
 # ----------------------------------------------------------------------------- A18

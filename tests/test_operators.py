@@ -128,3 +128,15 @@ def test_check_constraints(spark):
     assert out[("dim", "primary_key_nulls")] == 1
     assert out[("fact", "foreign_key_orphans:dim")] == 1
     assert out[("dim", "max_length:0")] == 3
+
+
+def test_skewness_stable_under_large_offset(spark):
+    """Money-sized values (1e9 + small spread): raw power sums cancel, central moments do not."""
+    import numpy as np
+    base = [1.0, 2.0, 2.0, 3.0, 10.0, 4.0, 5.0]
+    df = spark.createDataFrame([(1e9 + x,) for x in base], "x double")
+    a = np.array(base)
+    n = len(a)
+    m2, m3 = ((a - a.mean()) ** 2).mean(), ((a - a.mean()) ** 3).mean()
+    want = (m3 / m2 ** 1.5) * np.sqrt(n * (n - 1)) / (n - 2)
+    assert abs(A.skewness(df, "x").first()[0] - want) < 1e-6
