@@ -334,36 +334,45 @@ def design_columns(df: DataFrame, numeric: Sequence[str], categorical: Sequence[
 
 
 def ols(df: DataFrame, y: str, numeric: Sequence[str], categorical: Sequence[str] = ()) -> dict:
-    """Ordinary least squares by the normal equations.
-
-    One aggregation builds X'X, X'y, y'y and n over complete rows (p² + p
-    sums, combined map-side); the p×p solve runs on the driver.  Returns
+    """Ordinary least squares with an intercept.
+
+    One aggregation over complete rows gives the centred cross-products
+    (Spark's ``covar_pop`` / ``var_pop``: co-moments merged pairwise across
+    partial aggregates, so large values do not cancel as raw ``Σx²`` sums
+    would), the means and n (p² + p aggregates, combined map-side).  The
+    slopes solve ``Sxx β = Sxy`` on the driver (a p×p system); the intercept
+    is ``ȳ − β·x̄`` with variance ``σ²(1/n + x̄' Sxx⁻¹ x̄)``.  Returns
     coefficients (intercept first), standard errors, t, p, R², adjusted R².
     """
     need = [y, *numeric, *categorical]
     src = df.where(_all_not_null(need))
     cols, names = design_columns(src, numeric, categorical)
-    xs = [F.lit(1.0)] + cols
     names = ["intercept"] + names
     yy = _x(y)
-    p = len(xs)
-    aggs = [F.sum(xs[i] * xs[j]).alias(f"xx_{i}_{j}") for i in range(p) for j in range(i, p)]
-    aggs += [F.sum(xs[i] * yy).alias(f"xy_{i}") for i in range(p)]
-    aggs += [F.sum(yy * yy).alias("yy"), F.count(F.lit(1)).alias("n"), F.sum(yy).alias("sy")]
+    k = len(cols)
+    aggs = [F.covar_pop(cols[i], cols[j]).alias(f"c_{i}_{j}") for i in range(k) for j in range(i, k)]
+    aggs += [F.covar_pop(cols[i], yy).alias(f"cy_{i}") for i in range(k)]
+    aggs += [F.avg(cols[i]).alias(f"m_{i}") for i in range(k)]
+    aggs += [F.var_pop(yy).alias("vy"), F.avg(yy).alias("my"), F.count(F.lit(1)).alias("n")]
     r = _one_row(src.agg(*aggs))
-    xtx = np.zeros((p, p))
-    for i in range(p):
-        for j in range(i, p):
-            xtx[i, j] = xtx[j, i] = r[f"xx_{i}_{j}"]
-    xty = np.array([r[f"xy_{i}"] for i in range(p)])
     n = r["n"]
-    inv = np.linalg.pinv(xtx)
-    beta = inv @ xty
-    rss = float(r["yy"] - 2 * beta @ xty + beta @ xtx @ beta)
-    tss = float(r["yy"] - r["sy"] ** 2 / n)
+    p = k + 1
+    sxx = np.zeros((k, k))
+    for i in range(k):
+        for j in range(i, k):
+            sxx[i, j] = sxx[j, i] = n * r[f"c_{i}_{j}"]
+    sxy = np.array([n * r[f"cy_{i}"] for i in range(k)])
+    mx = np.array([r[f"m_{i}"] for i in range(k)])
+    syy = n * r["vy"]
+    inv = np.linalg.pinv(sxx) if k else np.zeros((0, 0))
+    slopes = inv @ sxy
+    beta = np.concatenate([[r["my"] - slopes @ mx], slopes])
+    rss = max(float(syy - slopes @ sxy), 0.0)
+    tss = float(syy)
     dof = n - p
     sigma2 = rss / dof
-    se = np.sqrt(np.maximum(np.diag(inv) * sigma2, 0))
+    var = np.concatenate([[sigma2 * (1.0 / n + mx @ inv @ mx)], np.diag(inv) * sigma2])
+    se = np.sqrt(np.maximum(var, 0))
     t = beta / se
     r2 = 1 - rss / tss
     return {"names": names, "coef": beta.tolist(), "se": se.tolist(), "t": t.tolist(),

@@ -137,3 +137,23 @@ def test_jarque_bera_and_median_ci(spark):
     assert r["jb_p"] > 0.001 and r["ks_p"] > 0.001
     m = H.median_ci(df, "x")
     assert m["lo"] < m["median"] < m["hi"]
+
+
+def test_ols_stable_under_large_offsets(spark):
+    """Money-sized y and x (offsets 1e9 / 1e6): slopes and R² equal the fit on
+    centred data, which raw normal-equation sums would lose."""
+    rng = np.random.default_rng(1)
+    n = 300
+    x1 = rng.normal(size=n)
+    x2 = rng.normal(size=n)
+    e = rng.normal(0, 0.5, n)
+    y = 3.0 * x1 - 1.0 * x2 + e
+    df = spark.createDataFrame([(float(a + 1e6), float(b + 1e6), float(c + 1e9)) for a, b, c in zip(x1, x2, y)],
+                               "x1 double, x2 double, y double")
+    fit = H.ols(df, "y", ["x1", "x2"])
+    X = np.column_stack([np.ones(n), x1, x2])
+    beta, *_ = np.linalg.lstsq(X, y, rcond=None)
+    resid = y - X @ beta
+    r2 = 1 - resid @ resid / ((y - y.mean()) @ (y - y.mean()))
+    assert np.allclose(fit["coef"][1:], beta[1:], atol=1e-6)
+    assert abs(fit["r2"] - r2) < 1e-8
