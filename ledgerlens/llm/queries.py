@@ -7,12 +7,40 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, simhash, warc
+from . import bit_sliced, decontam, hilbert, line_dedup, packing, simhash, warc
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = hilbert.shard_documents(read_table(spark, sf_dir, "documents"))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"), "hilbert")
+
+
+def op3_bit_sliced_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read_table(spark, sf_dir, "embeddings")
+    return bit_sliced.top_k(vectors, vectors.where(F.col("vec_id") % 50 == 0))
+
+
+def op4_site_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_dedup.drop_boilerplate(read_table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "source", "text", F.col("_n_lines").alias("n_lines"),
+                          F.col("_n_dropped").alias("n_dropped"))
+
+
+def tokenizer_path() -> str:
+    """Where the public byte-level tokenizer lies on this machine."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def op7_bounded_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op8_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc.round_trip(read_table(spark, sf_dir, "pages"))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -30,12 +58,42 @@ def op10_positional_decontamination(spark: SparkSession, sf_dir: str) -> DataFra
 
 
 QUERIES: dict[str, Query] = {
+    "op2_hilbert_sharding": op2_hilbert_sharding,
+    "op3_bit_sliced_top_k": op3_bit_sliced_top_k,
+    "op4_site_line_dedup": op4_site_line_dedup,
+    "op7_bounded_packing": op7_bounded_packing,
     "op8_warc_zstd": op8_warc_zstd,
     "op9_simhash_mih": op9_simhash_mih,
     "op10_positional_decontamination": op10_positional_decontamination,
 }
 
 ORACLES: dict[str, str] = {
+    "op3_bit_sliced_top_k": """
+        WITH v AS (
+            SELECT vec_id, [floor(256 * x::DOUBLE) FOR x IN embedding] AS q FROM embeddings
+            WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+        s AS (
+            SELECT a.vec_id AS query_id, b.vec_id, list_dot_product(a.q, b.q)::BIGINT AS score
+            FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0)
+        SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank,
+               vec_id, score
+        FROM s QUALIFY rank <= 5""",
+    "op4_site_line_dedup": """
+        WITH l AS (
+            SELECT doc_id, source, i, ls[i] AS line, trim(ls[i], ' ') AS t
+            FROM (SELECT doc_id, source, ls, unnest(range(1, len(ls) + 1)) AS i
+                  FROM (SELECT doc_id, source, string_split(text, chr(10)) AS ls FROM documents))),
+        pages AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
+        common AS (
+            SELECT source, t FROM (SELECT source, t, count(DISTINCT doc_id) AS n FROM l WHERE t <> '' GROUP BY source, t) c
+            JOIN pages p USING (source) WHERE c.n >= 5 AND c.n > 0.1::DOUBLE * p.n),
+        kept AS (
+            SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE common.t IS NOT NULL) AS n_dropped,
+                   coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE common.t IS NULL), '') AS text
+            FROM l LEFT JOIN common USING (source, t) GROUP BY doc_id)
+        SELECT d.doc_id, d.source, kept.text, coalesce(n_lines, 0)::BIGINT AS n_lines,
+               coalesce(n_dropped, 0)::BIGINT AS n_dropped
+        FROM documents d LEFT JOIN kept USING (doc_id)""",
     "op8_warc_zstd": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
         d AS (SELECT page_id, strlen(html) AS payload_bytes, sha1(html) AS payload_digest FROM p),
