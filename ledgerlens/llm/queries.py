@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bit_sliced, decontam, hilbert, license_scan, line_dedup, packing, simhash, warc
+from . import bit_sliced, decontam, hilbert, license_scan, line_dedup, packing, simhash, toxicity, warc
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_counterfactual_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op2_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = hilbert.shard_documents(read_table(spark, sf_dir, "documents"))
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
@@ -62,6 +66,7 @@ def op10_positional_decontamination(spark: SparkSession, sf_dir: str) -> DataFra
 
 
 QUERIES: dict[str, Query] = {
+    "op1_counterfactual_toxicity": op1_counterfactual_toxicity,
     "op2_hilbert_sharding": op2_hilbert_sharding,
     "op3_bit_sliced_top_k": op3_bit_sliced_top_k,
     "op4_site_line_dedup": op4_site_line_dedup,
