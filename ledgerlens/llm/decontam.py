@@ -260,3 +260,18 @@ def items_digest(items) -> "F.Column":
     """SHA-256 (lower-case hex) of item ids sorted as strings and joined by commas."""
     names = F.array_sort(F.transform(items, lambda x: x.cast("string")))
     return F.sha2(F.concat_ws(",", names), 256)
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                      **how) -> DataFrame:
+    """``docs`` without contaminated rows; columns are those of ``docs``, and rows without words stay.
+
+    Rows are told apart by a hash of id and text, so repeated and null ids
+    are judged row by row.  The hashes to drop are written first, so Spark
+    broadcasts them only if their files are small.
+    """
+    row = F.xxhash64(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
+    keyed = docs.select(row.alias("_row"), F.col(text_col).alias("_text"))
+    found = contamination(keyed, benchmark, id_col="_row", text_col="_text", **how)
+    drop = materialise(found.where("contaminated").select(F.col("doc_id").alias("_row")).distinct(), "contaminated")
+    return docs.join(drop, row == F.col("_row"), "left_anti")

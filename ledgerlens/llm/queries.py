@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bit_sliced, decontam, hilbert, license_scan, line_dedup, packing, simhash, toxicity, warc
+from . import bit_sliced, decontam, hilbert, license_scan, line_dedup, packing, run_index_dedup, simhash, toxicity, warc
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,6 +38,10 @@ def op5_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(read_table(spark, sf_dir, "documents")).drop("n_kept")
 
 
+def op6_run_index_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_index_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
+
+
 def tokenizer_path() -> str:
     """Where the public byte-level tokenizer lies on this machine."""
     import public_tokenizers
@@ -71,6 +75,7 @@ QUERIES: dict[str, Query] = {
     "op3_bit_sliced_top_k": op3_bit_sliced_top_k,
     "op4_site_line_dedup": op4_site_line_dedup,
     "op5_license_rules": op5_license_rules,
+    "op6_run_index_dedup": op6_run_index_dedup,
     "op7_bounded_packing": op7_bounded_packing,
     "op8_warc_zstd": op8_warc_zstd,
     "op9_simhash_mih": op9_simhash_mih,
