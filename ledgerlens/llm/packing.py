@@ -3,7 +3,7 @@
 Each task keeps a fixed number of open windows, places every document by best
 fit, and emits the fullest window when none fits.  What is left open at the
 end of the tasks (a fixed number of windows per task) is merged in a second
-pass over window sizes alone.
+pass over the lengths of the pieces alone.
 """
 
 from __future__ import annotations
@@ -129,15 +129,23 @@ def pack_parts(docs: DataFrame, tokenizer: str, size: int = 2048, windows: int =
 
 
 def _merge(group: pd.DataFrame, size: int) -> pd.DataFrame:
-    """Best fit over one bounded group of leftover windows, largest first: where each goes and by how much it moves."""
+    """The pieces of one bounded group of leftover windows anew by best fit, longest first: where each one goes."""
     bins: list[tuple[int, int]] = []  # (tokens used, sequence id)
+    names = iter(sorted(set(group["sequence_id"])))
     out = []
-    for used, name in sorted(zip(group["used"], group["sequence_id"]), key=lambda w: (-w[0], w[1])):
-        at = bisect_right(bins, size - used, key=lambda b: b[0]) - 1
-        filled, into = bins.pop(at) if at >= 0 else (0, name)
-        out.append((name, into, filled))
-        insort(bins, (filled + used, into), key=lambda b: b[0])
-    return pd.DataFrame(out, columns=["sequence_id", "into", "shift"]).astype("int64")
+    for length, name, offset in sorted(zip(group["length"], group["sequence_id"], group["offset"]),
+                                       key=lambda p: (-p[0], p[1], p[2])):
+        at = bisect_right(bins, size - length, key=lambda b: b[0]) - 1
+        if at >= 0:
+            filled, into = bins.pop(at)
+        else:
+            filled, into = 0, next(names, None)
+            if into is None:  # more windows than before: the old placing stands
+                return group.assign(into=group["sequence_id"], place=group["offset"])[
+                    ["sequence_id", "offset", "into", "place"]]
+        out.append((name, offset, into, filled))
+        insort(bins, (filled + length, into), key=lambda b: b[0])
+    return pd.DataFrame(out, columns=["sequence_id", "offset", "into", "place"]).astype("int64")
 
 
 def pack(docs: DataFrame, tokenizer: str, size: int = 2048, windows: int = 64, end_id: int = 1,
@@ -148,18 +156,19 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 2048, windows: int = 64, e
     text is empty and gives that one id; null ids stay null and repeated rows
     are documents of their own.  A document longer than ``size`` is cut into
     full pieces and a rest; others stay whole.  An empty table gives no rows.
-    Leftovers meet in groups of about ``MERGE_GROUP`` windows, so the last
-    pass stays bounded however many tasks there were.
+    The pieces of leftover windows are placed anew in groups of about
+    ``MERGE_GROUP`` windows, so the last pass stays bounded however many tasks
+    there were.
     """
     pieces = materialise(
         pack_parts(docs, tokenizer, size, windows, end_id, id_col, text_col, with_ids), "pieces")
-    left = pieces.where("open").groupBy("sequence_id").agg(F.sum("length").alias("used"))
-    left = materialise(left, "leftovers")
-    groups = max(1, -(-left.count() // MERGE_GROUP))
-    moved = (left.withColumn("g", F.pmod(F.xxhash64("sequence_id"), F.lit(groups))).groupBy("g")
-             .applyInPandas(lambda g: _merge(g, size), "sequence_id long, into long, shift long"))
+    left = pieces.where("open")
+    windows_left = left.agg(F.count_distinct("sequence_id")).first()[0]
+    groups = max(1, -(-windows_left // MERGE_GROUP))
+    moved = (left.select("sequence_id", "offset", "length")
+             .withColumn("g", F.pmod(F.xxhash64("sequence_id"), F.lit(groups))).groupBy("g")
+             .applyInPandas(lambda g: _merge(g, size), "sequence_id long, offset long, into long, place long"))
     done = pieces.where("not open").drop("open")
-    merged = (pieces.where("open").drop("open").join(moved, "sequence_id")
-              .withColumn("offset", F.col("offset") + F.col("shift")).withColumn("sequence_id", F.col("into"))
-              .drop("into", "shift"))
-    return done.unionByName(merged)
+    merged = (left.drop("open").join(moved, ["sequence_id", "offset"])
+              .withColumn("offset", F.col("place")).withColumn("sequence_id", F.col("into")).drop("into", "place"))
+    return done.unionByName(merged.select(done.columns))
