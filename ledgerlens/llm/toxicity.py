@@ -120,8 +120,9 @@ def _examples(rows: DataFrame, swaps: int) -> DataFrame:
                 words = set(words_of((text.as_py() or "").encode()))
                 if len(known) > CACHE_WORDS:
                     known.clear()
-                for w in words - known.keys():
-                    known[w] = features(w)
+                for w in words:
+                    if w not in known:
+                        known[w] = features(w)
                 has.append([b for w in words for b in known[w]])
                 pairs = [swapped(words, table, v) for v in range(swaps)] if words & table.keys() else []
                 lost.append([p[0] for p in pairs])
@@ -298,8 +299,9 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "sc
                 words = set(words_of(text.as_py() or b""))
                 if len(known) > CACHE_WORDS:
                     known.clear()
-                for w in words - known.keys():
-                    known[w] = sum(weight(b, 0.0) for b in features(w))
+                for w in words:
+                    if w not in known:
+                        known[w] = sum(weight(b, 0.0) for b in features(w))
                 s = model.bias + math.fsum(map(known.__getitem__, words))
                 out.append(1 / (1 + math.exp(-s)) if s > -700 else 0.0)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.float64())],
