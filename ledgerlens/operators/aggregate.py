@@ -192,8 +192,13 @@ def mode_by(df: DataFrame, by: str | Sequence[str], column: str, name: str = "mo
 
 # ----------------------------------------------------------------------------- A16
 def quantiles(df: DataFrame, column: str, probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
-    """Exact linear quantiles (``PERCENTILEX.INC`` / ``quantile_cont``)."""
-    return group_quantiles(df, list(by), column, {f"p{int(round(p * 100)):02d}": p for p in probs})
+    """Exact linear quantiles (``PERCENTILEX.INC`` / ``quantile_cont``),
+    in columns ``p25``, ``p99``, ``p99_1``, ..."""
+    def name(p: float) -> str:
+        whole, _, rest = f"{p * 100:.6f}".rstrip("0").rstrip(".").partition(".")
+        return f"p{int(whole):02d}" + (f"_{rest}" if rest else "")
+
+    return group_quantiles(df, list(by), column, {name(p): p for p in probs})
 
 
 def trim_below_quantile(df: DataFrame, column: str, p: float) -> DataFrame:

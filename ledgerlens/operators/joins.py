@@ -41,10 +41,12 @@ def append_missing(base: DataFrame, other: DataFrame, key: str) -> DataFrame:
     """Append rows of ``other`` whose key is absent from ``base``.
 
     Null keys never match, so rows of ``other`` with a null key are kept
-    (``left_anti`` semantics, unlike ``NOT IN``).
+    (``left_anti`` semantics, unlike ``NOT IN``).  The result has the columns
+    of ``base``; those that ``other`` lacks are null in its rows, and columns
+    only ``other`` has are left out.
     """
     missing = other.join(base.select(key).where(F.col(key).isNotNull()).distinct(), key, "left_anti")
-    return base.unionByName(missing, allowMissingColumns=True)
+    return base.unionByName(missing.select(*[c for c in base.columns if c in other.columns]), allowMissingColumns=True)
 
 
 def lookup_key(fact: DataFrame, dim: DataFrame, cols: Sequence[str], key: str) -> DataFrame:

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .features import encoder_stages, fold_column, standardise
+from .windows import percent_below
 
 
 # ----------------------------------------------------------------------------- M10–M12
@@ -160,18 +161,26 @@ def cluster_profile(df: DataFrame, cluster: str, value: str, means: Sequence[str
 
 
 # ----------------------------------------------------------------------------- M23, M24
+# Cut-offs and labels of the exit probability.
+TIERS = ((0.5, "High likelihood"), (0.25, "Moderate likelihood"))
+LOWEST_TIER = "Lower likelihood"
+
+
 def score(reg_model: PipelineModel, clf_model: PipelineModel, df: DataFrame,
-          tiers=((0.6, "High"), (0.3, "Medium")), default_tier: str = "Low") -> DataFrame:
+          tiers=TIERS, default_tier: str = LOWEST_TIER, known: DataFrame | None = None,
+          amount: str | None = None) -> DataFrame:
     """Batch scoring — predicted amount (expm1 of the log prediction),
-    exit probability, tier."""
+    exit probability, tier, and with ``known`` the percentage of its non-null
+    ``amount`` values below the prediction."""
     from ..functions.columns import tier
     r = reg_model.transform(df).withColumn("predicted_amount", F.expm1("prediction")).drop(
         "prediction", "features", *[c for c in reg_model.transform(df.limit(0)).columns if c.endswith(("__idx", "__ohe"))])
     keep = [c for c in r.columns if not c.endswith(("__idx", "__ohe"))]
     c = clf_model.transform(r.select(*keep))
     c = c.withColumn("exit_probability", vector_to_array("probability")[1])
-    return c.withColumn("tier", tier("exit_probability", [t for t, _ in tiers], [n for _, n in tiers],
-                                     default=default_tier))
+    c = c.withColumn("tier", tier("exit_probability", [t for t, _ in tiers], [n for _, n in tiers],
+                                  default=default_tier))
+    return c if known is None else percent_below(c, "predicted_amount", known, amount, "percentile")
 
 
 def learning_curve(pipe: Pipeline, df: DataFrame, key: str, evaluator, sizes: Sequence[float],

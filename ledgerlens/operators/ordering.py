@@ -2,157 +2,93 @@
 
 ``Window.orderBy(...)`` with no ``partitionBy`` moves every row into one
 task.  That is fine after aggregating to a bounded number of groups (years,
-countries) but not over entity- or row-grain data.  The two helpers here
-give the same answers at any size:
-
-1. range-partition and sort on the order key (a distributed sort);
-2. number / accumulate rows inside each partition (narrow, no shuffle);
-3. one tiny aggregate gives per-partition totals — one row per partition,
-   so its size is bounded by the partition count we chose, not by the data;
+countries) but not over entity- or row-grain data.  The helpers here give
+the same answers by one path at every size:
+
+1. range-partition on the order key and write the result once, with the
+   number of its partition, to a scratch table in the shared folder;
+2. number / accumulate the rows inside each partition (a window per
+   partition, so types and nulls behave as in SQL);
+3. one row of totals per partition, whose running sum gives the offsets: the
+   row count is the partition count, whatever the data;
 4. a broadcast join of those offsets finishes the global value.
 
-Spark seeds the range-boundary sample with the RDD id, so two separate jobs
-over the same ``repartitionByRange`` may cut partitions differently.  The
-ranged frame is therefore persisted (memory and disk): the totals job and
-the final job read the same partitions.  A lost cached block is recomputed
-from the same shuffle dependency — the same, already fixed partitioner — so
-results stay consistent when executors die.
+Spark seeds the range-boundary sample with the RDD id, so two plans over the
+same ``repartitionByRange`` may cut partitions differently; writing the ranged
+rows fixes the cut for every reader and survives lost executors.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
-from pyspark.storagelevel import StorageLevel
+
+from ..session import scratch_table
 
 _PID = "__pid"
 _LOCAL = "__local"
 
-# Inputs with at most this many rows (a checked count) are ordered by one
-# window task — cheaper than a range shuffle and bounded by the check.
-SMALL_ROWS = 100_000
-
 
 def _order_exprs(order: Sequence) -> list[Column]:
     return [F.col(o) if isinstance(o, str) else o for o in order]
 
 
-def _partitions(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        return num_partitions
-    spark = df.sparkSession
-    return max(int(spark.conf.get("spark.sql.shuffle.partitions")),
-               spark.sparkContext.defaultParallelism)
-
-
-def _ranged(df: DataFrame, order: Sequence, num_partitions: int | None) -> DataFrame:
+def _placed(df: DataFrame, order: Sequence, num_partitions: int | None) -> DataFrame:
+    """``df`` range-partitioned by ``order``, with its partition in ``__pid``, as a scratch table."""
     exprs = _order_exprs(order)
-    n = _partitions(df, num_partitions)
-    return (df.repartitionByRange(n, *exprs)
-              .sortWithinPartitions(*exprs)
-              .withColumn(_PID, F.spark_partition_id()))
+    parts = [num_partitions] if num_partitions else []
+    return scratch_table(df.repartitionByRange(*parts, *exprs).withColumn(_PID, F.spark_partition_id()), "ordered")
 
 
-def _pinned(df: DataFrame) -> DataFrame:
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
-
-
-def _offsets(spark, totals: list, cols: Sequence[str]) -> DataFrame:
-    """Exclusive prefix sums of per-partition totals (one row per partition)."""
-    totals = sorted(totals, key=lambda r: r[_PID])
-    run = {c: 0 for c in cols}
-    rows = []
-    for r in totals:
-        rows.append((r[_PID], *[run[c] for c in cols]))
-        for c in cols:
-            run[c] += r[c] or 0
-    schema = T.StructType([T.StructField(_PID, T.IntegerType())] +
-                          [T.StructField("__off_" + c, T.DoubleType() if isinstance(run[c], float)
-                                         else T.LongType()) for c in cols])
-    return spark.createDataFrame(rows, schema)
-
-
-def _checked(df: DataFrame, small_rows: int | None) -> tuple[DataFrame, bool]:
-    """Persist the input once and test its row count against the small bound."""
-    limit = SMALL_ROWS if small_rows is None else small_rows
-    if limit <= 0:
-        return df, False
-    pinned = _pinned(df)
-    return pinned, pinned.count() <= limit
+def _before(totals: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Sums of ``cols`` over all earlier partitions; ``totals`` has one row per partition."""
+    w = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    return totals.select(_PID, *[F.sum(c).over(w).alias("__off_" + c) for c in cols])
 
 
 def global_row_number(df: DataFrame, order: Sequence, name: str = "row_number",
-                      num_partitions: int | None = None, small_rows: int | None = None) -> DataFrame:
+                      num_partitions: int | None = None) -> DataFrame:
     """1-based row number in ``order`` (which must be a total order to be deterministic)."""
-    df, small = _checked(df, small_rows)
-    if small:
-        return df.withColumn(name, F.row_number().over(Window.orderBy(*_order_exprs(order))).cast("long"))
-    ranged = _pinned(_ranged(df, order, num_partitions).withColumn(
-        _LOCAL, F.monotonically_increasing_id() - F.shiftleft(F.col(_PID).cast("long"), 33)))
-    totals = ranged.groupBy(_PID).agg(F.count(F.lit(1)).alias("n")).collect()
-    df.unpersist()  # the ranged copy is materialised; keep one cached copy only
-    offs = _offsets(df.sparkSession, totals, ["n"])
-    return (ranged.join(F.broadcast(offs), _PID, "left")
-                  .withColumn(name, F.coalesce(F.col("__off_n"), F.lit(0)) + F.col(_LOCAL) + 1)
+    placed = _placed(df, order, num_partitions)
+    offs = _before(placed.groupBy(_PID).agg(F.count(F.lit(1)).alias("n")), ["n"])
+    local = F.row_number().over(Window.partitionBy(_PID).orderBy(*_order_exprs(order)))
+    return (placed.withColumn(_LOCAL, local.cast("long")).join(F.broadcast(offs), _PID, "left")
+                  .withColumn(name, F.coalesce(F.col("__off_n"), F.lit(0)) + F.col(_LOCAL))
                   .drop(_PID, _LOCAL, "__off_n"))
 
 
 def running_totals(df: DataFrame, order: Sequence, sum_cols: Sequence[str],
-                   prefix: str = "cum_", num_partitions: int | None = None,
-                   small_rows: int | None = None) -> DataFrame:
+                   prefix: str = "cum_", num_partitions: int | None = None) -> DataFrame:
     """Inclusive running sums of ``sum_cols`` in global ``order``.
 
     Rows with equal order keys are accumulated one by one, so pass a
-    total order (e.g. distinct values after a ``groupBy``).
+    total order (e.g. distinct values after a ``groupBy``).  Types are those
+    of SQL ``SUM`` (decimals stay decimals); nulls add nothing, and a sum is
+    null until the first value.
     """
-    df, small = _checked(df, small_rows)
-    if small:
-        w = Window.orderBy(*_order_exprs(order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return df.withColumns({prefix + c: F.sum(c).over(w) for c in sum_cols})
-    ranged = _pinned(_ranged(df, order, num_partitions))
-    in_schema = ranged.schema
-    out_schema = T.StructType(list(in_schema.fields) + [
-        T.StructField(prefix + c, T.DoubleType() if isinstance(in_schema[c].dataType,
-                      (T.DoubleType, T.FloatType, T.DecimalType)) else T.LongType())
-        for c in sum_cols])
-    is_float = {c: isinstance(out_schema[prefix + c].dataType, T.DoubleType) for c in sum_cols}
-
-    def local_cumsum(batches):
-        carry = {c: 0 for c in sum_cols}
-        for pdf in batches:
-            for c in sum_cols:
-                s = pdf[c].astype("float64" if is_float[c] else "int64")
-                cs = s.cumsum() + carry[c]
-                pdf[prefix + c] = cs
-                if len(cs):
-                    carry[c] = cs.iloc[-1]
-            yield pdf
-
-    local = _pinned(ranged.mapInPandas(local_cumsum, out_schema))
-    totals = ranged.groupBy(_PID).agg(*[F.sum(c).alias(c) for c in sum_cols]).collect()
-    df.unpersist()  # the ranged copy is materialised; keep one cached copy only
-    totals = [{_PID: r[_PID], **{c: (float(r[c]) if is_float[c] else int(r[c] or 0))
-                                 for c in sum_cols}} for r in totals]
-    offs = _offsets(df.sparkSession, totals, list(sum_cols))
-    out = local.join(F.broadcast(offs), _PID, "left")
+    placed = _placed(df, order, num_partitions)
+    w = Window.partitionBy(_PID).orderBy(*_order_exprs(order)).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    local = placed.withColumns({prefix + c: F.sum(c).over(w) for c in sum_cols})
+    types = {c: local.schema[prefix + c].dataType for c in sum_cols}
+    totals = placed.groupBy(_PID).agg(*[F.sum(c).alias(c) for c in sum_cols])
+    out = local.join(F.broadcast(_before(totals, sum_cols)), _PID, "left")
     for c in sum_cols:
-        out = out.withColumn(prefix + c, F.col(prefix + c) + F.coalesce(F.col("__off_" + c), F.lit(0)))
+        here, off = F.col(prefix + c), F.col("__off_" + c)
+        out = out.withColumn(prefix + c, F.coalesce((off + here).cast(types[c]), here, off.cast(types[c])))
     return out.drop(_PID, *["__off_" + c for c in sum_cols])
 
 
 def attach_row(df: DataFrame, row_df: DataFrame) -> DataFrame:
     """Attach the columns of a one-row frame (an ungrouped aggregate: exactly
-    one row by construction) to every row as typed literals.  One small
-    action instead of a constant-key join, which Catalyst would plan as a
-    nested-loop (cartesian) join."""
-    r = row_df.first()
-    return df.select("*", *[F.lit(None if r is None else r[f.name]).cast(f.dataType).alias(f.name)
-                            for f in row_df.schema.fields])
+    one row by construction) to every row, as a scalar subquery: no action
+    while the query is built, and no constant-key join, which Catalyst would
+    plan as a nested loop."""
+    row = row_df.select(F.struct(*[F.col(c) for c in row_df.columns]).alias("row")).scalar()
+    return df.select("*", *[row.getField(c).alias(c) for c in row_df.columns])
 
 
 def small_window(order: Sequence | None = None) -> Window:
@@ -175,38 +111,45 @@ def ntile_of_position(pos: Column, n_rows: Column, buckets: int) -> Column:
 
 
 def group_quantiles(df: DataFrame, by: Sequence[str], value, probs: dict[str, float],
-                    num_partitions: int | None = None, small_rows: int | None = None) -> DataFrame:
+                    num_partitions: int | None = None) -> DataFrame:
     """Exact linear-interpolated quantiles of ``value`` per group of ``by``.
 
-    Same definition as SQL ``percentile``/``median`` (position ``p*(n-1)``),
-    computed without collecting any group: one distributed sort gives every
-    row a global position; per-group first position and count are a
-    map-side-combined aggregate; the wanted positions (two per quantile per
-    group) are fetched with an equi-join on the unique position, so a group
-    holding a third of all rows is spread over many sort partitions and
-    never lands in one task.  Null values are ignored; groups with no value
-    are absent.
+    Same definition as SQL ``percentile``/``median`` (position ``p*(n-1)``).
+    Rows are first counted per (group, value) with map-side combine, so a hot
+    group and a hot value both shrink before anything is shuffled; the counts
+    are accumulated in global order, and each group keeps the values whose
+    span of positions holds the wanted ones.  Null values are ignored; groups
+    with no value are absent (without ``by`` the one row is null).
     """
     by = list(by)
     v = F.col(value) if isinstance(value, str) else value
     base = df.select(*by, v.cast("double").alias("__v")).where(F.col("__v").isNotNull())
+    counts = base.groupBy(*by, "__v").agg(F.count(F.lit(1)).alias("__n"))
     order = [F.col(b).asc_nulls_first() for b in by] + [F.col("__v").asc()]
-    numbered = global_row_number(base, order, "__rn", num_partitions, small_rows)
-    stats = numbered.groupBy(*by).agg(F.min("__rn").alias("__s"), F.count(F.lit(1)).alias("__n"))
-    qs = F.array(*[F.struct(F.lit(k).alias("q"), F.lit(float(p)).alias("p")) for k, p in probs.items()])
-    pos = (stats.select(*by, "__s", "__n", F.explode(qs).alias("__qp"))
-                .select(*by, F.col("__qp.q").alias("__q"),
-                        (F.col("__s") + F.col("__qp.p") * (F.col("__n") - 1)).alias("__pos")))
-    pos = pos.select(*by, "__q", F.floor("__pos").cast("long").alias("__lo"),
-                     F.ceil("__pos").cast("long").alias("__hi"),
-                     (F.col("__pos") - F.floor("__pos")).alias("__f"))
-    vals = numbered.select("__rn", "__v")
-    lo = vals.select(F.col("__rn").alias("__lo"), F.col("__v").alias("__vlo"))
-    hi = vals.select(F.col("__rn").alias("__hi"), F.col("__v").alias("__vhi"))
-    got = pos.join(lo, "__lo").join(hi, "__hi")
-    got = got.select(*by, "__q", (F.col("__vlo") + F.col("__f") * (F.col("__vhi") - F.col("__vlo"))).alias("__x"))
-    keys = [F.col(b) for b in by]
-    return got.groupBy(*keys).agg(*[F.max(F.when(F.col("__q") == k, F.col("__x"))).alias(k) for k in probs])
+    spans = running_totals(counts, order, ["__n"], "__to", num_partitions).withColumnRenamed("__to__n", "__to")
+    stats = spans.groupBy(*by).agg(F.min(F.col("__to") - F.col("__n")).alias("__first"), F.sum("__n").alias("__total"))
+    if by:
+        keyed = stats.select(*[F.col(b).alias("__k_" + b) for b in by], "__first", "__total")
+        cond = None
+        for b in by:
+            c = F.col(b).eqNullSafe(F.col("__k_" + b))
+            cond = c if cond is None else cond & c
+        spans = spans.join(keyed, cond)
+    else:
+        spans = attach_row(spans, stats)
+    to = F.col("__to") - F.col("__first")
+
+    def at(position: Column) -> Column:
+        return F.max(F.when((position >= to - F.col("__n")) & (position < to), F.col("__v")))
+
+    parts, out = [], []
+    for i, (name, p) in enumerate(probs.items()):
+        position = F.lit(float(p)) * (F.col("__total") - 1)
+        parts += [at(F.floor(position)).alias(f"__lo{i}"), at(F.ceil(position)).alias(f"__hi{i}"),
+                  F.max(position - F.floor(position)).alias(f"__f{i}")]
+        lo, hi, f = (F.col(f"__{x}{i}") for x in ("lo", "hi", "f"))
+        out.append((lo + f * (hi - lo)).alias(name))
+    return spans.groupBy(*by).agg(*parts).select(*by, *out)
 
 
 def with_quantiles(agg: DataFrame, df: DataFrame, by: Sequence[str], value,
@@ -225,5 +168,3 @@ def with_quantiles(agg: DataFrame, df: DataFrame, by: Sequence[str], value,
 
 __all__ = ["global_row_number", "running_totals", "small_window", "ntile_of_position",
            "group_quantiles", "with_quantiles", "attach_row"]
-
-_ = pd  # pandas is used inside tasks by mapInPandas

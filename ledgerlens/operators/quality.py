@@ -147,11 +147,14 @@ def name_collision_audit(df: DataFrame, name: str, group: str) -> DataFrame:
 
 
 # ----------------------------------------------------------------------------- D13
-def match_rate(df: DataFrame, flag: str) -> DataFrame:
-    """Matched rows, total and rate of a match flag."""
-    return df.agg(F.count_if(F.col(flag)).alias("matched"), F.count(F.lit(1)).alias("total"),
-                  (F.count_if(F.col(flag)).cast("double") / F.count(F.lit(1)).cast("double") * 100)
-                  .alias("match_pct"))
+def match_rate(df: DataFrame, flag: str, reference: DataFrame) -> DataFrame:
+    """Rows of ``df`` that matched, rows of the reference list, and the
+    matched rows as a percentage of that list."""
+    matched = df.agg(F.count_if(F.col(flag)).alias("matched"))
+    both = attach_row(matched, reference.agg(F.count(F.lit(1)).alias("reference_rows")))
+    return both.select("matched", "reference_rows",
+                       F.try_divide(F.col("matched").cast("double") * 100, F.col("reference_rows").cast("double"))
+                       .alias("match_pct"))
 
 
 def unmapped_values(df: DataFrame, source: str, mapped: str) -> DataFrame:
@@ -183,30 +186,43 @@ def check_constraints(tables: Mapping[str, DataFrame], spec: Mapping[str, Mappin
     rows = []
     for t, s in spec.items():
         df = tables[t]
-        checks = []
-        pk = s.get("primary_key")
-        if pk:
-            checks.append(("primary_key_duplicates", pk, duplicate_keys(df, pk)))
-            checks.append(("primary_key_nulls", pk, df.agg(F.count_if(
-                reduce(lambda a, b: a | b, [F.col(c).isNull() for c in pk])).alias("duplicate_rows"))))
-        for u in s.get("unique", []):
-            checks.append(("unique_duplicates", u, duplicate_keys(df, u)))
-        for c in s.get("not_null", []):
-            checks.append(("not_null", [c], df.agg(F.count_if(F.col(c).isNull()).alias("duplicate_rows"))))
+        simple = []  # null and length checks: one scan for all of a table
+        keys = []
+        if s.get("primary_key"):
+            pk = s["primary_key"]
+            keys.append(("primary_key_duplicates", pk, duplicate_keys(df, pk)))
+            simple.append(("primary_key_nulls", pk, reduce(lambda a, b: a | b, [F.col(c).isNull() for c in pk])))
+        keys += [("unique_duplicates", u, duplicate_keys(df, u)) for u in s.get("unique", [])]
+        simple += [("not_null", [c], F.col(c).isNull()) for c in s.get("not_null", [])]
+        simple += [(f"max_length:{n}", [c], F.length(c) > n) for c, n in s.get("max_length", {}).items()]
         for cols, ref, rcols in s.get("foreign_keys", []):
             r = tables[ref].select(*[F.col(rc).alias(c) for c, rc in zip(cols, rcols)]).distinct()
             child = df.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cols])).select(*cols)
             orphans = child.join(r, list(cols), "left_anti").agg(F.count(F.lit(1)).alias("duplicate_rows"))
-            checks.append((f"foreign_key_orphans:{ref}", cols, orphans))
-        for c, n in s.get("max_length", {}).items():
-            checks.append((f"max_length:{n}", [c], df.agg(F.count_if(F.length(c) > n).alias("duplicate_rows"))))
-        for name, cols, r in checks:
+            keys.append((f"foreign_key_orphans:{ref}", cols, orphans))
+        if simple:
+            wide = df.agg(*[F.count_if(bad).alias(f"c{i}") for i, (_, _, bad) in enumerate(simple)])
+            long = ", ".join(f"'{name}', '{','.join(cols)}', c{i}" for i, (name, cols, _) in enumerate(simple))
+            rows.append(wide.selectExpr(f"stack({len(simple)}, {long}) AS (`check`, columns, violations)")
+                            .select(F.lit(t).alias("table"), "check", "columns", F.col("violations").cast("long")))
+        for name, cols, r in keys:
             rows.append(r.select(F.lit(t).alias("table"), F.lit(name).alias("check"),
                                  F.lit(",".join(cols)).alias("columns"),
                                  F.col("duplicate_rows").cast("long").alias("violations")))
     return _union(rows)
 
 
+class ConstraintViolated(ValueError):
+    pass
+
+
+def require_constraints(tables: Mapping[str, DataFrame], spec: Mapping[str, Mapping]) -> None:
+    """D15 as a gate: raise if any check of ``spec`` finds violations."""
+    bad = check_constraints(tables, spec).where("violations > 0").collect()
+    if bad:
+        raise ConstraintViolated("; ".join(f"{r['table']}.{r['columns']}: {r['check']} {r['violations']}" for r in bad))
+
+
 # ----------------------------------------------------------------------------- D16
 def warehouse_inventory(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Rows and columns per table."""

@@ -166,12 +166,9 @@ def chi_square(df: DataFrame, a: str, b: str, top_n: int | None = None) -> dict:
 
 # ----------------------------------------------------------------------------- rank tests
 def _ranked_values(df: DataFrame, col: str, by: Sequence[str] = ()):
-    """Per-(value, *by) counts — persisted: every later step reads them —
-    and the per-value table ``(value, t, avg_rank)``."""
-    from pyspark.storagelevel import StorageLevel
+    """Per-(value, *by) counts, and the per-value table ``(value, t, avg_rank)``."""
     x = _x(col)
-    per = (df.where(x.isNotNull()).groupBy(x.alias("value"), *by).agg(F.count(F.lit(1)).alias("cnt"))
-             .persist(StorageLevel.MEMORY_AND_DISK))
+    per = df.where(x.isNotNull()).groupBy(x.alias("value"), *by).agg(F.count(F.lit(1)).alias("cnt"))
     vals = per.groupBy("value").agg(F.sum("cnt").alias("t"))
     cum = running_totals(vals, ["value"], ["t"], prefix="cum_")
     ranked = cum.select("value", "t", ((F.col("cum_t") - F.col("t")) + (F.col("t") + 1) / 2.0).alias("avg_rank"))
@@ -192,13 +189,13 @@ def value_ranks(df: DataFrame, col: str, by: Sequence[str] = ()) -> DataFrame:
 def mann_whitney_stats(df: DataFrame, col: str, flag: str) -> DataFrame:
     """H8: U of the flagged group, mean/sd of U under H0 with tie
     correction, z with continuity correction and U/(n1·n0) (= AUC)."""
-    g = F.coalesce(F.col(flag), F.lit(False)).cast("int").alias("__g")
-    per, ranked = _ranked_values(df.select(F.col(col), g), col, ["__g"])
-    r = per.join(ranked.select("value", "avg_rank"), "value")
-    s = r.agg(F.sum(F.when(F.col("__g") == 1, F.col("cnt") * F.col("avg_rank"))).alias("r1"),
-              F.sum(F.when(F.col("__g") == 1, F.col("cnt"))).alias("n1"),
-              F.sum(F.when(F.col("__g") == 0, F.col("cnt"))).alias("n0"))
-    s = attach_row(s, _tie_sum(ranked))
+    x, g = _x(col), F.coalesce(F.col(flag), F.lit(False)).cast("boolean")
+    per = df.where(x.isNotNull()).groupBy(x.alias("value")).agg(
+        F.count_if(g).alias("c1"), F.count_if(~g).alias("c0"), F.count(F.lit(1)).alias("t"))
+    ranked = running_totals(per, ["value"], ["t"], prefix="cum_").withColumn(
+        "avg_rank", (F.col("cum_t") - F.col("t")) + (F.col("t") + 1) / 2.0)
+    s = ranked.agg(F.sum(F.col("c1") * F.col("avg_rank")).alias("r1"), F.sum("c1").alias("n1"),
+                   F.sum("c0").alias("n0"), F.sum(F.pow("t", 3) - F.col("t")).alias("tie_sum"))
     n = F.col("n1") + F.col("n0")
     u1 = F.col("r1") - F.col("n1") * (F.col("n1") + 1) / 2.0
     mu = F.col("n1") * F.col("n0") / 2.0
@@ -320,21 +317,44 @@ def pearson_test(df: DataFrame, x: str, y: str) -> dict:
 
 
 # ----------------------------------------------------------------------------- H17–H19, H22
-def design_columns(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str] = ()):
+MAX_LEVELS = 500
+
+
+def design_levels(df: DataFrame, categorical: Sequence[str], max_levels: int = MAX_LEVELS) -> dict[str, list]:
+    """Sorted levels of each categorical.  A design matrix needs a column per
+    level, so more than ``max_levels`` is an error; group rare levels first
+    (A21) or keep the ``top_n`` most frequent."""
+    out = {}
+    for c in categorical:
+        found = df.where(F.col(c).isNotNull()).select(c).distinct().orderBy(c).limit(max_levels + 1).collect()
+        if len(found) > max_levels:
+            raise ValueError(f"{c} has more than {max_levels} levels; group the rare ones")
+        out[c] = [r[0] for r in found]
+    return out
+
+
+def design_columns(numeric: Sequence[str], levels: dict[str, list]):
     """Numeric columns plus one 0/1 column per non-first level of each
-    categorical (levels sorted; the first is the reference).  Level lists
-    are distinct values of a categorical — bounded by its cardinality."""
+    categorical (the first is the reference)."""
     cols, names = [_x(c) for c in numeric], list(numeric)
-    for c in categorical:
-        levels = [r[0] for r in df.where(F.col(c).isNotNull()).select(c).distinct().orderBy(c).collect()]
-        for lv in levels[1:]:
+    for c, own in levels.items():
+        for lv in own[1:]:
             cols.append(F.when(F.col(c) == F.lit(lv), 1.0).otherwise(0.0))
             names.append(f"{c}[{lv}]")
     return cols, names
 
 
-def ols(df: DataFrame, y: str, numeric: Sequence[str], categorical: Sequence[str] = ()) -> dict:
-    """Ordinary least squares with an intercept.
+def keep_top_levels(df: DataFrame, column: str, n: int) -> DataFrame:
+    """Rows of the ``n`` most frequent values of ``column`` (ties by value); null rows go."""
+    top = (df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("__lv")).agg(F.count(F.lit(1)).alias("__c"))
+             .orderBy(F.col("__c").desc(), "__lv").limit(n).select("__lv"))
+    return df.join(F.broadcast(top), F.col(column) == F.col("__lv"), "left_semi")
+
+
+def ols(df: DataFrame, y: str, numeric: Sequence[str], categorical: Sequence[str] = (),
+        top_n: int | None = None) -> dict:
+    """Ordinary least squares with an intercept, on the rows of the
+    ``top_n`` most frequent values of each categorical if given.
 
     One aggregation over complete rows gives the centred cross-products
     (Spark's ``covar_pop`` / ``var_pop``: co-moments merged pairwise across
@@ -346,7 +366,10 @@ def ols(df: DataFrame, y: str, numeric: Sequence[str], categorical: Sequence[str
     """
     need = [y, *numeric, *categorical]
     src = df.where(_all_not_null(need))
-    cols, names = design_columns(src, numeric, categorical)
+    for c in categorical if top_n else ():
+        src = keep_top_levels(src, c, top_n)
+    levels = design_levels(src, categorical)
+    cols, names = design_columns(numeric, levels)
     names = ["intercept"] + names
     yy = _x(y)
     k = len(cols)
@@ -377,7 +400,8 @@ def ols(df: DataFrame, y: str, numeric: Sequence[str], categorical: Sequence[str
     r2 = 1 - rss / tss
     return {"names": names, "coef": beta.tolist(), "se": se.tolist(), "t": t.tolist(),
             "p": [dist.t_two_sided(float(v), dof) for v in t], "r2": r2,
-            "adj_r2": 1 - (1 - r2) * (n - 1) / dof, "n": n, "rss": rss, "sigma2": sigma2}
+            "adj_r2": 1 - (1 - r2) * (n - 1) / dof, "n": n, "rss": rss, "sigma2": sigma2,
+            "numeric": list(numeric), "levels": levels}
 
 
 def _all_not_null(cols):
@@ -404,14 +428,17 @@ def ols_spark_ml(df: DataFrame, y: str, numeric: Sequence[str], categorical: Seq
     return Pipeline(stages=stages).fit(src.withColumn(y, _x(y)))
 
 
-def residual_table(df: DataFrame, y: str, fit: dict, numeric: Sequence[str], categorical: Sequence[str] = ()):
-    """Fitted value and residual per row for an :func:`ols` fit."""
-    cols, _ = design_columns(df, numeric, categorical)
-    beta = fit["coef"]
-    fitted = F.lit(beta[0])
-    for b, c in zip(beta[1:], cols):
+def residual_table(df: DataFrame, y: str, fit: dict):
+    """Fitted value and residual per row for an :func:`ols` fit, by the
+    fit's own levels; a level the fit has not seen gives a null."""
+    cols, _ = design_columns(fit["numeric"], fit["levels"])
+    fitted = F.lit(fit["coef"][0])
+    for b, c in zip(fit["coef"][1:], cols, strict=True):
         fitted = fitted + F.lit(b) * c
-    return df.withColumn("fitted", fitted).withColumn("residual", _x(y) - F.col("fitted"))
+    known = F.lit(True)
+    for c, own in fit["levels"].items():
+        known = known & F.col(c).isin(own)
+    return df.withColumn("fitted", F.when(known, fitted)).withColumn("residual", _x(y) - F.col("fitted"))
 
 
 def vif(df: DataFrame, cols: Sequence[str]) -> dict[str, float]:
@@ -432,7 +459,7 @@ def vif(df: DataFrame, cols: Sequence[str]) -> dict[str, float]:
 def breusch_pagan(df: DataFrame, y: str, numeric: Sequence[str], categorical: Sequence[str] = ()) -> dict:
     """LM = n·R² of squared residuals on the regressors; F variant."""
     fit = ols(df, y, numeric, categorical)
-    res = residual_table(df.where(_all_not_null([y, *numeric, *categorical])), y, fit, numeric, categorical)
+    res = residual_table(df.where(_all_not_null([y, *numeric, *categorical])), y, fit)
     aux = ols(res.withColumn("__e2", F.col("residual") * F.col("residual")), "__e2", numeric, categorical)
     k = len(aux["names"]) - 1
     n = aux["n"]

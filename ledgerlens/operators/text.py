@@ -18,13 +18,15 @@ from .ordering import running_totals
 from .reshape import dedupe_keep_first
 from .windows import top_n_per_group
 
-_HEADING = r"^\s*#{1,6}\s+(.+?)\s*$"
+# Section headings have two number signs; text before the first belongs to this section.
+_HEADING = r"^\s*##\s+(.+?)\s*$"
 _ITEM = r"^\s*(\d+)\.\s+(.*\S)\s*$"
+FIRST_SECTION = "General"
 
 
 def extract_numbered_items(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
     """``N. text`` lines with the latest heading above them carried
-    down (null before any heading), bold marks removed, one row per
+    down (``General`` before any), bold marks removed, one row per
     (document, number) — the first occurrence.
 
     Only heading and item lines take part.  A running count of headings in
@@ -47,7 +49,8 @@ def extract_numbered_items(docs: DataFrame, key: str, text: str = "text") -> Dat
         F.regexp_extract("line", _ITEM, 1).cast("int").alias("number"),
         F.trim(F.regexp_replace(F.regexp_extract("line", _ITEM, 2), r"\*\*", "")).alias("item"))
     placed = items.join(heads, (items["__cum__h"] == heads["__hno"]) & items[key].eqNullSafe(heads["__hkey"]),
-                        "left").select(key, "number", "line_no", "section", "item")
+                        "left").select(key, "number", "line_no",
+                                       F.coalesce("section", F.lit(FIRST_SECTION)).alias("section"), "item")
     first = dedupe_keep_first(placed, [key, "number"], ["line_no"])
     return first.select(key, "number", "section", "item")
 

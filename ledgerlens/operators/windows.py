@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .ordering import global_row_number, ntile_of_position, running_totals, small_window
+from .ordering import attach_row, global_row_number, ntile_of_position, running_totals, small_window
 
 
 def _c(c) -> Column:
@@ -182,6 +182,27 @@ def global_ranks(df: DataFrame, specs: dict[str, str], dense: bool = False) -> D
     return out.select(*df.columns, *specs)
 
 
+def percent_below(df: DataFrame, value: str, reference: DataFrame, column: str,
+                  name: str = "percentile") -> DataFrame:
+    """Percentage of the non-null ``column`` values of ``reference`` that are
+    strictly below each row's ``value`` (null where the value is null or
+    there is nothing to compare with).
+
+    Both sides are counted per distinct value first; one running count over
+    the values answers for all rows.
+    """
+    known = reference.where(F.col(column).isNotNull()).groupBy(F.col(column).cast("double").alias("__v")).agg(
+        F.count(F.lit(1)).alias("__n"))
+    asked = df.where(F.col(value).isNotNull()).select(F.col(value).cast("double").alias("__v"), F.lit(0).cast("long").alias("__n"))
+    per = known.unionByName(asked).groupBy("__v").agg(F.sum("__n").alias("__n"))
+    below = running_totals(per, ["__v"], ["__n"], prefix="__to").select(
+        "__v", (F.col("__to__n") - F.col("__n")).alias("__below"))
+    out = attach_row(df.join(below, F.col(value).cast("double") == F.col("__v"), "left"),
+                     known.agg(F.sum("__n").alias("__all")))
+    pct = F.try_divide(F.col("__below").cast("double"), F.col("__all").cast("double")) * 100
+    return out.withColumn(name, pct).drop("__v", "__below", "__all")
+
+
 def top_n_share(df: DataFrame, key: str, value: str, n: int, ties: bool = True,
                 name: str = "top_share") -> DataFrame:
     """Share of the grand total held by the top ``n`` keys (``TOPN``
@@ -192,7 +213,6 @@ def top_n_share(df: DataFrame, key: str, value: str, n: int, ties: bool = True,
     ties their smallest total is the threshold (a key ranks within ``n`` iff
     its total reaches the ``n``-th largest), applied in one conditional sum.
     """
-    from .ordering import attach_row
     agg = df.groupBy(key).agg(F.sum(F.col(value).cast("decimal(18,2)")).alias("__t"))
     top = agg.orderBy(F.col("__t").desc_nulls_last(), F.col(key).asc()).limit(n)
     if ties:

@@ -212,20 +212,43 @@ _LINES_SQL = """lines AS (
          unnest(string_split(text, chr(10))) AS line FROM documents)"""
 
 
-@query("c36_k2_numbered_items", with_star(r"""
-WITH l AS (SELECT doc_id, line_no, line,
-    CASE WHEN regexp_matches(line, '^\s*#{1,6}\s+(.+?)\s*$') THEN regexp_extract(line, '^\s*#{1,6}\s+(.+?)\s*$', 1) END AS h
-  FROM lines),
-s AS (SELECT *, last_value(h IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY line_no
-        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS section FROM l),
-i AS (SELECT doc_id, line_no, section, CAST(regexp_extract(line, '^\s*(\d+)\.\s+(.*\S)\s*$', 1) AS INTEGER) AS number,
+# Every document's lines as an insights report: by line number, headings, numbered bold items and plain lines.
+_REPORT_SQL = _LINES_SQL + r""",
+report AS (
+  SELECT doc_id, line_no, CASE WHEN line_no % 4 = 2 THEN '## Part ' || CAST((doc_id + line_no) % 5 AS VARCHAR)
+    WHEN line_no % 4 IN (3, 0) THEN CAST(line_no AS VARCHAR) || '. **' || line || '**' ELSE line END AS line FROM lines),
+heads AS (SELECT doc_id, line_no, line,
+    CASE WHEN regexp_matches(line, '^\s*##\s+(.+?)\s*$') THEN regexp_extract(line, '^\s*##\s+(.+?)\s*$', 1) END AS h
+  FROM report),
+sections AS (SELECT *, coalesce(last_value(h IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY line_no
+        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 'General') AS section FROM heads),
+found AS (SELECT doc_id, line_no, section, CAST(regexp_extract(line, '^\s*(\d+)\.\s+(.*\S)\s*$', 1) AS INTEGER) AS number,
         trim(replace(regexp_extract(line, '^\s*(\d+)\.\s+(.*\S)\s*$', 2), '**', '')) AS item
-      FROM s WHERE regexp_matches(line, '^\s*(\d+)\.\s+(.*\S)\s*$'))
-SELECT doc_id, number, section, item FROM (
-  SELECT *, ROW_NUMBER() OVER (PARTITION BY doc_id, number ORDER BY line_no) AS rn FROM i) x WHERE rn = 1""",
-    _LINES_SQL))
+      FROM sections WHERE regexp_matches(line, '^\s*(\d+)\.\s+(.*\S)\s*$')),
+items AS (SELECT doc_id, number, section, item FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY doc_id, number ORDER BY line_no) AS rn FROM found) x WHERE rn = 1)"""
+
+
+def _report_items(spark, sf):
+    def line(text, i):
+        no = i + 1
+        return (F.when(no % 4 == 2, F.concat(F.lit("## Part "), ((F.col("doc_id") + no) % 5).cast("string")))
+                 .when((no % 4 == 3) | (no % 4 == 0), F.concat(no.cast("string"), F.lit(". **"), text, F.lit("**")))
+                 .otherwise(text))
+    docs = _tables(spark, sf)["documents"].select(
+        "doc_id", F.array_join(F.transform(F.split("text", "\n"), line), "\n").alias("text"))
+    return K.extract_numbered_items(docs, "doc_id")
+
+
+@query("c36_k2_numbered_items", with_star("SELECT doc_id, number, section, item FROM items", _REPORT_SQL))
 def c36_k2_numbered_items(spark, sf):
-    return K.search_insights(K.extract_numbered_items(_tables(spark, sf)["documents"], "doc_id"))
+    return _report_items(spark, sf)
+
+
+@query("k2_search_insights", with_star("""
+SELECT doc_id, number, section, item FROM items WHERE section = 'Part 2' AND contains(lower(item), 'th')""", _REPORT_SQL))
+def k2_search_insights(spark, sf):
+    return K.search_insights(_report_items(spark, sf), "th", "Part 2")
 
 
 # =============================================================================
@@ -272,10 +295,10 @@ def j1_enrich_left(spark, sf):
 
 
 @query("j2_u1_append_missing", with_star("""
-SELECT startup_id, CAST(funding_total_usd AS DOUBLE) AS funding, NULL::VARCHAR AS name FROM star
+SELECT startup_id, CAST(funding_total_usd AS DOUBLE) AS funding FROM star
   WHERE funding_total_usd IS NOT NULL
 UNION ALL
-SELECT c_custkey, NULL, c_name FROM customer WHERE c_custkey NOT IN
+SELECT c_custkey, NULL FROM customer WHERE c_custkey NOT IN
   (SELECT startup_id FROM star WHERE funding_total_usd IS NOT NULL)"""))
 def j2_u1_append_missing(spark, sf):
     e = entities(spark, sf).where(F.col("funding_total_usd").isNotNull()) \
@@ -324,8 +347,8 @@ def j4_match_entities(spark, sf):
 
 
 @query("d13_match_rate", with_star("""
-SELECT COUNT(*) FILTER (WHERE r.valuation IS NOT NULL) AS matched, COUNT(*) AS total,
-  CAST(COUNT(*) FILTER (WHERE r.valuation IS NOT NULL) AS DOUBLE) / CAST(COUNT(*) AS DOUBLE) * 100 AS match_pct
+SELECT COUNT(*) FILTER (WHERE r.valuation IS NOT NULL) AS matched, (SELECT COUNT(*) FROM ref) AS reference_rows,
+  CAST(COUNT(*) FILTER (WHERE r.valuation IS NOT NULL) AS DOUBLE) * 100 / (SELECT COUNT(*) FROM ref) AS match_pct
 FROM star s LEFT JOIN ref1 r ON lower(trim(s.name)) IS NOT DISTINCT FROM r.name_key
   AND s.country_name IS NOT DISTINCT FROM r.country_name""", _MATCH_REF_SQL))
 def d13_match_rate(spark, sf):
@@ -333,7 +356,7 @@ def d13_match_rate(spark, sf):
     e = entities(spark, sf).select("startup_id", C.normalise_key("name").alias("name_key"), "country_name")
     out = J.match_entities(e, _match_ref(t), ["name_key", "country_name"], ["o_orderkey"], ["valuation"],
                            flag="is_matched", check_rows=False)
-    return D.match_rate(out, "is_matched")
+    return D.match_rate(out, "is_matched", _match_ref(t))
 
 
 @query("j7_date_roles", with_star("""
@@ -549,18 +572,8 @@ def d12_name_collision_audit(spark, sf):
 
 
 def _star_spec():
-    return {
-        "fact_startup_funding": {"primary_key": ["startup_id"], "not_null": ["startup_id"],
-                                 "foreign_keys": [(["geography_id"], "dim_geography", ["geography_id"]),
-                                                  (["industry_id"], "dim_industry", ["industry_id"]),
-                                                  (["first_funding_date_id"], "dim_date", ["date_id"]),
-                                                  (["startup_id"], "dim_startup", ["startup_id"])]},
-        "dim_startup": {"primary_key": ["startup_id"], "max_length": {"name": 18}},
-        "dim_geography": {"primary_key": ["geography_id"], "unique": [["country_name", "region", "city"]]},
-        "dim_date": {"primary_key": ["date_id"]},
-        "fact_funding_by_type": {"primary_key": ["startup_id", "round_type_id"],
-                                 "foreign_keys": [(["round_type_id"], "dim_round_type", ["round_type_id"])]},
-    }
+    from .star import CONSTRAINTS
+    return {**CONSTRAINTS, "dim_startup": {**CONSTRAINTS["dim_startup"], "max_length": {"name": 18}}}
 
 
 @query("d15_check_constraints", with_star("""
@@ -616,12 +629,12 @@ def d17_quality_report(spark, sf):
 SELECT primary_category, COUNT(*) AS n FROM feat WHERE primary_category IS NOT NULL GROUP BY primary_category"""))
 def s5_s6_registered_sql(spark, sf):
     from ..sources.warehouse import QueryRegistry
-    _wh(spark, sf)  # S5: opens the live version and registers its tables as views
     reg = QueryRegistry({"by_industry": """
-        SELECT i.primary_category, COUNT(*) AS n FROM fact_startup_funding f
-        JOIN dim_industry i ON f.industry_id = i.industry_id
+        SELECT i.primary_category, COUNT(*) AS n FROM {fact_startup_funding} f
+        JOIN {dim_industry} i ON f.industry_id = i.industry_id
         WHERE i.primary_category IS NOT NULL GROUP BY i.primary_category"""})
-    return reg.run(spark, "by_industry")
+    t = _wh(spark, sf)  # S5: the live version's tables, bound to the text
+    return reg.run(spark, "by_industry", {n: t[n] for n in ("fact_startup_funding", "dim_industry")})
 
 
 @query("s7_lookup_table", with_star("""

@@ -13,8 +13,10 @@ from ..operators import explain as X
 from ..operators import features as M
 from ..operators import models as ML
 from ..operators.evaluate import roc_auc
+from ..session import read_tables
 from .catalog import query
 from .catalog_more import wide
+from .star import startup_entities
 from .oracle_ctes import with_star
 
 NUMERIC = ["funding_rounds", "years_since_founded", "num_round_types_used", "category_count"]
@@ -226,8 +228,8 @@ def m23_score(spark, sf):
     reg, test = _reg_fit(spark, sf, "linear")
     train, _ = _clf_data(spark, sf)
     clf = ML.pipeline(CATEG, NUMERIC + FLAGS, ML.weighted_classifier("logistic")).fit(train)
-    out = ML.score(reg, clf, test.drop("label"))
-    return out.select("startup_id", "predicted_amount", "exit_probability", "tier")
+    out = ML.score(reg, clf, test.drop("label"), known=startup_entities(read_tables(spark, sf)), amount="funding_total_usd")
+    return out.select("startup_id", "predicted_amount", "exit_probability", "tier", "percentile")
 
 
 @query("m24_learning_curve")

@@ -255,7 +255,7 @@ FROM feat, r WHERE {X} IS NOT NULL AND funding_rounds IS NOT NULL"""))
 def h22_residual_table(spark, sf):
     w = _w(spark, sf).where(F.col(X).isNotNull() & F.col("funding_rounds").isNotNull())
     fit = H.ols(w, X, ["funding_rounds"])
-    return H.residual_table(w, X, fit, ["funding_rounds"]).select("startup_id", "fitted", "residual")
+    return H.residual_table(w, X, fit).select("startup_id", "fitted", "residual")
 
 
 # =============================================================================

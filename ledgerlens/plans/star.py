@@ -167,33 +167,66 @@ class StarSchema:
 
 # Bumped whenever the star's definition changes: a published star is reused
 # only by code that builds the same tables.
-STAR_VERSION = "4"
+STAR_VERSION = "5"
 
 # Dimensions before facts (load order of S4).
 TABLE_ORDER = ["dim_date", "dim_geography", "dim_industry", "dim_round_type", "dim_startup",
                "fact_startup_funding", "fact_funding_by_type"]
 
+# What must hold before a star is published.
+CONSTRAINTS = {
+    "fact_startup_funding": {"primary_key": ["startup_id"], "not_null": ["startup_id"],
+                             "foreign_keys": [(["geography_id"], "dim_geography", ["geography_id"]),
+                                              (["industry_id"], "dim_industry", ["industry_id"]),
+                                              (["first_funding_date_id"], "dim_date", ["date_id"]),
+                                              (["startup_id"], "dim_startup", ["startup_id"])]},
+    "dim_startup": {"primary_key": ["startup_id"]},
+    "dim_geography": {"primary_key": ["geography_id"], "unique": [["country_name", "region", "city"]]},
+    "dim_date": {"primary_key": ["date_id"]},
+    "fact_funding_by_type": {"primary_key": ["startup_id", "round_type_id"],
+                             "foreign_keys": [(["round_type_id"], "dim_round_type", ["round_type_id"])]},
+}
 
-def star_from_tables(spark: SparkSession, sf_dir: str) -> StarSchema:
-    return StarSchema(startup_entities(read_tables(spark, sf_dir)))
+SOURCES = ("customer", "nation", "orders", "region")
+
+
+def star_from_tables(spark: SparkSession, sf_dir: str, fresh: bool = False) -> StarSchema:
+    """The star's plan over the given tables; ``fresh`` lists their files anew."""
+    tables = {n: spark.read.parquet(f"{sf_dir.rstrip('/')}/{n}.parquet") for n in SOURCES} if fresh \
+        else read_tables(spark, sf_dir)
+    return StarSchema(startup_entities(tables))
+
+
+def publish_star(spark: SparkSession, sf_dir: str, root: str) -> str:
+    """Build the star, check its constraints (D15), and publish it below ``root``."""
+    from ..operators.quality import require_constraints
+    from ..sources.warehouse import load_warehouse
+
+    return load_warehouse(star_from_tables(spark, sf_dir, fresh=True).tables(), root, order=TABLE_ORDER,
+                          checks=lambda staged: require_constraints(staged, CONSTRAINTS))
 
 
 _WAREHOUSES: dict[tuple, dict[str, DataFrame]] = {}
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The published star for ``sf_dir``: built and written once per session
-    (S4, atomic version switch), then read back as Parquet (S5)."""
-    from ..sources.warehouse import load_warehouse, read_warehouse, warehouse_root
+    """The published star for ``sf_dir``.
+
+    Its folder is named after the source files' names, sizes and modification
+    times and the star's definition, so a changed source builds a new star.
+    """
+    from ..sources.warehouse import read_warehouse, source_fingerprint, warehouse_root
 
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    base = sf_dir.rstrip("/")
+    print_ = source_fingerprint(spark, [f"{base}/{n}.parquet" for n in SOURCES])
+    key = (spark.sparkContext.applicationId, base, print_)
     if key not in _WAREHOUSES:
-        tag = hashlib.sha1(f"{key[1]}|{STAR_VERSION}".encode()).hexdigest()[:12]
+        tag = hashlib.sha1(f"{base}|{print_}|{STAR_VERSION}".encode()).hexdigest()[:12]
         root = warehouse_root(spark, "star-" + tag)
         try:
             tables = read_warehouse(spark, root)
         except FileNotFoundError:
-            load_warehouse(star_from_tables(spark, sf_dir).tables(), root, order=TABLE_ORDER)
+            publish_star(spark, sf_dir, root)
             tables = read_warehouse(spark, root)
         _WAREHOUSES[key] = tables
     return _WAREHOUSES[key]

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,15 +42,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only when the session names none (local tests) a scratch folder is
-    created; on a cluster the platform's shared folder is always used.
+    Where it is unset, a local master (tests, bench) gets a scratch folder;
+    on a cluster that is an error, since executors do not share one.
     """
     sc = spark.sparkContext
     current = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not current:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         current = tempfile.mkdtemp(prefix="ledgerlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", current)
     if sc._jsc.sc().getCheckpointDir().isEmpty():
@@ -57,10 +60,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def scratch_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once as Parquet below the shared folder and read back:
+    fixes its rows for several readers and cuts the lineage at a point that
+    survives lost executors.  The tables lie in ``<shared>/ledgerlens/<application>/``
+    and can go when the application ends."""
+    spark = df.sparkSession
+    path = (f"{ensure_checkpoint_dir(spark).rstrip('/')}/ledgerlens/{spark.sparkContext.applicationId}/"
+            f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 class _Tables(dict):

@@ -2,25 +2,29 @@
 
 Layout under a root folder on the shared filesystem::
 
-    root/v<millis>/<table>/part-*.parquet   one folder per published version
-    root/_CURRENT                          name of the live version
+    root/<version>/<table>/part-*.parquet   one folder per published version
+    root/_CURRENT-<version>                 marks a version as published
 
 ``load_warehouse`` writes every table of a new version (dimensions first),
-optionally runs the constraint checks, and only then switches ``_CURRENT``
-with a rename, so readers never see a half-loaded warehouse and a failed load
-leaves the previous version live (all-or-nothing).
+optionally runs the constraint checks, and only then renames the version's
+marker into place.  A marker never replaces another, so at every moment the
+newest marker names a complete version: readers are never without one, and a
+failed load leaves the previous version live.  Versions sort by time and end
+in a random part, so two writers never share one.  Beyond the newest ``keep``
+versions, old ones are removed after a publish.
 """
 
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir
 
-POINTER = "_CURRENT"
+MARKER = "_CURRENT-"
 
 
 def _fs(spark: SparkSession, path: str):
@@ -29,16 +33,47 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p, jvm
 
 
-def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    fs, p, jvm = _fs(spark, path)
-    tmp = jvm.org.apache.hadoop.fs.Path(path + ".tmp")
+def _mark(spark: SparkSession, root: str, version: str, text: str) -> None:
+    """Publish ``version``: its marker appears complete, by one rename to a new name."""
+    fs, tmp, jvm = _fs(spark, f"{root}/.{MARKER}{version}.tmp")
     out = fs.create(tmp, True)
     out.write(bytearray(text.encode("utf-8")))
     out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    if not fs.rename(tmp, p):
-        raise OSError(f"could not publish {path}")
+    if not fs.rename(tmp, jvm.org.apache.hadoop.fs.Path(f"{root}/{MARKER}{version}")):
+        raise OSError(f"could not publish {version} below {root}")
+
+
+def _published(spark: SparkSession, root: str) -> list[str]:
+    """Published versions, oldest first."""
+    fs, p, _ = _fs(spark, root)
+    if not fs.exists(p):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(p)]
+    return sorted(n[len(MARKER):] for n in names if n.startswith(MARKER))
+
+
+def _remove_old(spark: SparkSession, root: str, keep: int) -> None:
+    """Remove published versions beyond the newest ``keep``: the marker first, then the tables."""
+    for version in _published(spark, root)[:-keep]:
+        for name in (f"{MARKER}{version}", version):
+            fs, p, _ = _fs(spark, f"{root}/{name}")
+            fs.delete(p, True)
+
+
+def source_fingerprint(spark: SparkSession, paths: Sequence[str]) -> str:
+    """Names, sizes and modification times of the files below ``paths``: changes when a source does."""
+    import hashlib
+
+    out = hashlib.sha1()
+    for path in paths:
+        fs, p, _ = _fs(spark, path)
+        files = fs.listFiles(p, True)
+        seen = []
+        while files.hasNext():
+            f = files.next()
+            seen.append(f"{f.getPath().getName()}|{f.getLen()}|{f.getModificationTime()}")
+        out.update("\n".join([path, *sorted(seen)]).encode())
+    return out.hexdigest()
 
 
 def warehouse_root(spark: SparkSession, name: str) -> str:
@@ -49,15 +84,16 @@ def warehouse_root(spark: SparkSession, name: str) -> str:
 def load_warehouse(tables: Mapping[str, DataFrame], root: str, order: Sequence[str] | None = None,
                    checks: Callable[[dict[str, DataFrame]], None] | None = None,
                    empty_as_null: bool = True,
-                   partition_by: Mapping[str, Sequence[str]] | None = None) -> str:
+                   partition_by: Mapping[str, Sequence[str]] | None = None, keep: int = 2) -> str:
     """Idempotent full reload of a set of tables; returns the new version.
 
     ``partition_by`` names Hive-style partition columns per table (e.g. a
     summary by year), so filters on them prune whole folders."""
     names = list(order or tables.keys())
     spark = next(iter(tables.values())).sparkSession
-    version = f"v{int(time.time() * 1000)}"
-    base = f"{root.rstrip('/')}/{version}"
+    root = root.rstrip("/")
+    version = f"v{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    base = f"{root}/{version}"
     for n in names:
         df = tables[n]
         if empty_as_null:
@@ -74,37 +110,50 @@ def load_warehouse(tables: Mapping[str, DataFrame], root: str, order: Sequence[s
         w.parquet(f"{base}/{n}")
     staged = {n: spark.read.parquet(f"{base}/{n}") for n in names}
     if checks is not None:
-        checks(staged)  # raises → pointer untouched, old version stays live
-    _write_text(spark, f"{root.rstrip('/')}/{POINTER}", version + "\n" + ",".join(names))
+        checks(staged)  # raises → no marker, old version stays live
+    _mark(spark, root, version, ",".join(names))
+    _remove_old(spark, root, keep)
     return version
 
 
 def current_version(spark: SparkSession, root: str) -> tuple[str, list[str]]:
-    fs, p, jvm = _fs(spark, f"{root.rstrip('/')}/{POINTER}")
-    if not fs.exists(p):
+    root = root.rstrip("/")
+    versions = _published(spark, root)
+    if not versions:
         raise FileNotFoundError(root)
-    stream = fs.open(p)
-    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+    fs, p, jvm = _fs(spark, f"{root}/{MARKER}{versions[-1]}")
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(fs.open(p), "UTF-8"))
     try:
-        version = reader.readLine().strip()
         names = (reader.readLine() or "").strip()
     finally:
         reader.close()
-    return version, [n for n in names.split(",") if n]
+    return versions[-1], [n for n in names.split(",") if n]
+
 
+def read_warehouse(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """Open the live version's tables.
 
-def read_warehouse(spark: SparkSession, root: str, register: bool = True) -> dict[str, DataFrame]:
-    """Open the live version's tables and register them as temp views."""
+    Nothing is registered under a session-wide name: two warehouses with the
+    same table names can be open at once.  :class:`QueryRegistry` binds SQL
+    texts to the tables it is given.
+    """
     version, names = current_version(spark, root)
-    out = {n: spark.read.parquet(f"{root.rstrip('/')}/{version}/{n}") for n in names}
-    if register:
-        for n, df in out.items():
-            df.createOrReplaceTempView(n)
-    return out
+    return {n: spark.read.parquet(f"{root.rstrip('/')}/{version}/{n}") for n in names}
+
+
+def register_views(tables: Mapping[str, DataFrame], prefix: str = "") -> None:
+    """Temp views ``<prefix><table>`` of the session; a prefix per warehouse keeps them apart."""
+    for n, df in tables.items():
+        df.createOrReplaceTempView(prefix + n)
 
 
 class QueryRegistry:
-    """Named SQL texts run with ``spark.sql`` over registered views."""
+    """Named SQL texts run with ``spark.sql``.
+
+    A text names its tables as ``{table}`` and its parameters as ``:name``;
+    each run binds the placeholders to the tables passed in, so a text never
+    reads another warehouse's view.  Plain names refer to views.
+    """
 
     def __init__(self, queries: Mapping[str, str] | None = None):
         self._q = dict(queries or {})
@@ -115,5 +164,5 @@ class QueryRegistry:
     def names(self) -> list[str]:
         return sorted(self._q)
 
-    def run(self, spark: SparkSession, name: str, **params) -> DataFrame:
-        return spark.sql(self._q[name], args=params or None)
+    def run(self, spark: SparkSession, name: str, tables: Mapping[str, DataFrame] | None = None, **params) -> DataFrame:
+        return spark.sql(self._q[name], args=params or None, **dict(tables or {}))

@@ -17,7 +17,7 @@ def _skewed(spark, n=3000):
 
 def test_row_number_unique_and_ordered(spark):
     df = _skewed(spark)
-    n = global_row_number(df, ["v", "id"], "rn", num_partitions=7, small_rows=0)
+    n = global_row_number(df, ["v", "id"], "rn", num_partitions=7)
     r = n.agg(F.count("*").alias("c"), F.count_distinct("rn").alias("d"), F.min("rn").alias("lo"),
               F.max("rn").alias("hi")).first()
     assert (r.c, r.d, r.lo, r.hi) == (3000, 3000, 1, 3000)
@@ -27,8 +27,7 @@ def test_row_number_unique_and_ordered(spark):
 
 def test_group_quantiles_match_percentile_on_hot_group(spark):
     df = _skewed(spark)
-    q = group_quantiles(df, ["g"], "v", {"p25": 0.25, "med": 0.5, "p90": 0.9}, num_partitions=6,
-                        small_rows=0)
+    q = group_quantiles(df, ["g"], "v", {"p25": 0.25, "med": 0.5, "p90": 0.9}, num_partitions=6)
     ref = df.groupBy("g").agg(F.percentile("v", 0.25).alias("a"), F.median("v").alias("b"),
                               F.percentile("v", 0.9).alias("c"))
     j = q.join(ref, "g").collect()
@@ -39,7 +38,7 @@ def test_group_quantiles_match_percentile_on_hot_group(spark):
 
 def test_running_totals(spark):
     df = spark.range(1, 501).select(F.col("id").alias("k"), (F.col("id") % 3).alias("x"))
-    out = running_totals(df, ["k"], ["x"], num_partitions=5, small_rows=0)
+    out = running_totals(df, ["k"], ["x"], num_partitions=5)
     ref = df.withColumn("c", F.sum("x").over(Window.orderBy("k").rowsBetween(Window.unboundedPreceding, 0)))
     assert out.join(ref, "k").where(F.col("cum_x") != F.col("c")).count() == 0
 
@@ -52,32 +51,47 @@ def test_ntile_formula_matches_sql(spark):
         assert got.join(ref, "pos").where(F.col("b") != F.col("b2")).count() == 0
 
 
-def test_small_path_agrees_with_distributed(spark):
-    df = _skewed(spark, 900)
-    a = global_row_number(df, ["v", "id"], "rn")            # checked small path
-    b = global_row_number(df, ["v", "id"], "rn2", small_rows=0)
-    assert a.join(b, "id").where(F.col("rn") != F.col("rn2")).count() == 0
-    qa = {r.g: r.m for r in group_quantiles(df, ["g"], "v", {"m": 0.5}).collect()}
-    qb = {r.g: r.m for r in group_quantiles(df, ["g"], "v", {"m": 0.5}, small_rows=0).collect()}
-    assert qa == qb
+def test_equal_values_are_counted_before_the_shuffle(spark):
+    """A third of all values are equal: exact quantiles, and the hot value is one row after map-side counting."""
+    df = spark.range(3000).select(F.lit("g").alias("g"), F.when(F.col("id") % 3 == 0, 0.0).otherwise(F.col("id").cast("double")).alias("v"))
+    got = group_quantiles(df, ["g"], "v", {"p33": 0.33, "m": 0.5}, num_partitions=6).first()
+    ref = df.agg(F.percentile("v", 0.33), F.median("v")).first()
+    assert abs(got.p33 - ref[0]) < 1e-9 and abs(got.m - ref[1]) < 1e-9
+
+
+def test_running_totals_types_and_nulls(spark):
+    from decimal import Decimal
+    rows = [(i, None if i < 3 or i % 7 == 0 else Decimal(i) / 4, None if i % 5 == 0 else i, i / 3) for i in range(200)]
+    df = spark.createDataFrame(rows, "k int, d decimal(18,2), n long, f double")
+    out = running_totals(df, ["k"], ["d", "n", "f"], num_partitions=5)
+    w = Window.orderBy("k").rowsBetween(Window.unboundedPreceding, 0)
+    ref = df.select("k", *[F.sum(c).over(w).alias("r_" + c) for c in "dnf"])
+    assert [out.schema["cum_" + c].dataType for c in "dnf"] == [ref.schema["r_" + c].dataType for c in "dnf"]
+    for r in out.join(ref, "k").collect():
+        assert (r.cum_d, r.cum_n) == (r.r_d, r.r_n) and abs(r.cum_f - r.r_f) < 1e-6
+
+
+def test_empty_input(spark):
+    df = spark.createDataFrame([], "g string, v double")
+    assert group_quantiles(df, ["g"], "v", {"m": 0.5}).count() == 0
+    assert group_quantiles(df, [], "v", {"m": 0.5}).collect()[0].m is None
+    assert global_row_number(df, ["v"]).count() == 0 and running_totals(df, ["v"], ["v"]).count() == 0
 
 
 @pytest.mark.parametrize("dense", [False, True])
-def test_global_ranks_distributed_matches_sql_rank(spark, monkeypatch, dense):
-    """Forced range-sorted path: ties, a hot value holding a third of the
+def test_global_ranks_distributed_matches_sql_rank(spark, dense):
+    """Ties, a hot value holding a third of the
     rows, and nulls (ranked last) agree with Spark's single-window rank."""
     import random
 
     from pyspark.sql import Window
     from pyspark.sql import functions as F
 
-    from ledgerlens.operators import ordering
     from ledgerlens.operators.windows import global_ranks
     rnd = random.Random(3)
     rows = [(i, 5 if i % 3 == 0 else (None if i % 17 == 0 else rnd.randint(0, 40)), rnd.randint(0, 3))
             for i in range(900)]
     df = spark.createDataFrame(rows, "k int, v int, w int")
-    monkeypatch.setattr(ordering, "SMALL_ROWS", 0)
     got = {r.k: (r.rv, r.rw) for r in global_ranks(df, {"rv": "v", "rw": "w"}, dense=dense).collect()}
     fn = F.dense_rank if dense else F.rank
     ref = df.select("k", fn().over(Window.orderBy(F.col("v").desc())).alias("rv"),

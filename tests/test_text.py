@@ -47,12 +47,11 @@ def _expected_items(docs):
     return out
 
 
-def test_distributed_paths_match_per_document_scan(spark, monkeypatch):
-    """Range-sorted path (forced): headings carried across partition borders,
+def test_distributed_paths_match_per_document_scan(spark):
+    """Headings carried across partition borders,
     never across documents; one hot document holds most lines."""
     import random
 
-    from ledgerlens.operators import ordering
     rnd = random.Random(7)
     docs = []
     for d in range(6):
@@ -68,7 +67,6 @@ def test_distributed_paths_match_per_document_scan(spark, monkeypatch):
                 lines.append(rnd.choice(["", "plain text", "Hubs and more"]))
         docs.append((d, "\n".join(lines)))
     frame = spark.createDataFrame(docs, "doc_id int, text string").repartition(3)
-    monkeypatch.setattr(ordering, "SMALL_ROWS", 0)
     got = {(r.doc_id, r.number): (r.section, r.item)
            for r in K.extract_numbered_items(frame, "doc_id").collect()}
     assert got == _expected_items(docs)
