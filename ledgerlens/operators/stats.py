@@ -102,8 +102,9 @@ def welch_stats(df: DataFrame, col: str, flag: str) -> DataFrame:
                     ((F.col("mean1") - F.col("mean0")) / pooled).alias("cohens_d"))
 
 
-def welch_t(df: DataFrame, col: str, flag: str) -> dict:
-    s = _one_row(welch_stats(df, col, flag))
+def welch_t(df: DataFrame, col: str, flag: str, conf: float = 0.95) -> dict:
+    """The Welch test with its p, and the interval of the difference."""
+    s = mean_difference_ci(df, col, flag, conf)
     return {**s, "p": dist.t_two_sided(s["t"], s["df"])}
 
 
@@ -258,50 +259,54 @@ def anova(df: DataFrame, group: str, col: str, min_n: int = 30) -> dict:
     return {**s, "p": dist.f_sf(s["f"], s["df_between"], s["df_within"])}
 
 
-def _pairs(g: DataFrame, group: str) -> DataFrame:
-    """Every pair of groups (a < b) — bounded by the number of groups, not rows."""
-    a = g.select(*[F.col(c).alias(c + "_a") for c in g.columns])
-    b = g.select(*[F.col(c).alias(c + "_b") for c in g.columns])
-    return a.join(b, F.col(group + "_a") < F.col(group + "_b"))
-
-
-def tukey_stats(df: DataFrame, group: str, col: str, min_n: int = 0) -> DataFrame:
-    """Tukey–Kramer pairwise differences and studentized range q."""
-    g = group_stats(df, group, col, min_n)
-    pooled = g.agg((F.sum((F.col("n") - 1) * F.col("var")) / (F.sum("n") - F.count(F.lit(1)))).alias("msw"),
-                   (F.sum("n") - F.count(F.lit(1))).alias("df_within"), F.count(F.lit(1)).alias("k"))
-    p = attach_row(_pairs(g, group), pooled)
-    se = F.sqrt(F.col("msw") / 2 * (1 / F.col("n_a") + 1 / F.col("n_b")))
-    return p.select(F.col(group + "_a").alias("group_a"), F.col(group + "_b").alias("group_b"),
-                    (F.col("mean_b") - F.col("mean_a")).alias("diff"),
-                    (F.abs(F.col("mean_b") - F.col("mean_a")) / se).alias("q"), "k", "df_within")
-
-
-def tukey_hsd(df: DataFrame, group: str, col: str, alpha: float = 0.05, min_n: int = 0) -> list[dict]:
-    rows = [r.asDict() for r in tukey_stats(df, group, col, min_n).collect()]  # k(k-1)/2 rows
-    for r in rows:
-        r["p_adj"] = dist.tukey_sf(r["q"], int(r["k"]), float(r["df_within"]))
-        r["reject"] = r["p_adj"] < alpha
-    return rows
-
-
-def pairwise_welch_stats(df: DataFrame, group: str, col: str, min_n: int = 0) -> DataFrame:
-    """Welch t for every pair of groups."""
-    g = group_stats(df, group, col, min_n)
-    p = _pairs(g, group)
-    a, b = F.col("var_a") / F.col("n_a"), F.col("var_b") / F.col("n_b")
-    return p.select(F.col(group + "_a").alias("group_a"), F.col(group + "_b").alias("group_b"),
-                    ((F.col("mean_a") - F.col("mean_b")) / F.sqrt(a + b)).alias("t"),
-                    ((a + b) * (a + b) / (a * a / (F.col("n_a") - 1) + b * b / (F.col("n_b") - 1))).alias("df"))
+MAX_GROUPS = 200
+
+
+def bounded_groups(g: DataFrame, group: str, max_groups: int = MAX_GROUPS) -> list[dict]:
+    """Group statistics as driver rows in group order.  Every pair of them is
+    compared, so more than ``max_groups`` is an error: name fewer groups, or
+    raise the least number of rows a group needs."""
+    rows = g.orderBy(group).limit(max_groups + 1).collect()
+    if len(rows) > max_groups:
+        raise ValueError(f"more than {max_groups} groups of {group} to compare pairwise")
+    return [r.asDict() for r in rows]
+
+
+def tukey_hsd(df: DataFrame, group: str, col: str, alpha: float = 0.05, min_n: int = 0,
+              max_groups: int = MAX_GROUPS) -> list[dict]:
+    """Tukey–Kramer pairwise differences, studentized range q, adjusted
+    p and decision for every pair of groups."""
+    gs = bounded_groups(group_stats(df, group, col, min_n), group, max_groups)
+    k, total = len(gs), sum(g["n"] for g in gs)
+    if k < 2:
+        return []
+    dof = total - k
+    msw = sum((g["n"] - 1) * (g["var"] or 0.0) for g in gs) / dof
+    out = []
+    for i, a in enumerate(gs):
+        for b in gs[i + 1:]:
+            diff = b["mean"] - a["mean"]
+            q = abs(diff) / math.sqrt(msw / 2 * (1 / a["n"] + 1 / b["n"]))
+            p = dist.tukey_sf(q, k, float(dof))
+            out.append({"group_a": a[group], "group_b": b[group], "diff": diff, "q": q, "k": k, "df_within": dof,
+                        "p_adj": p, "reject": p < alpha})
+    return out
 
 
-def pairwise_welch_bonferroni(df: DataFrame, group: str, col: str, min_n: int = 0) -> list[dict]:
-    rows = [r.asDict() for r in pairwise_welch_stats(df, group, col, min_n).collect()]
-    m = len(rows)
-    for r in rows:
-        r["p"] = dist.t_two_sided(r["t"], r["df"])
-        r["p_bonferroni"] = min(1.0, r["p"] * m)
-    return rows
+def pairwise_welch_bonferroni(df: DataFrame, group: str, col: str, min_n: int = 0,
+                              max_groups: int = MAX_GROUPS) -> list[dict]:
+    """Welch t, degrees of freedom, p and Bonferroni-adjusted p for every pair of groups."""
+    gs = bounded_groups(group_stats(df, group, col, min_n), group, max_groups)
+    out = []
+    for i, x in enumerate(gs):
+        for y in gs[i + 1:]:
+            a, b = x["var"] / x["n"], y["var"] / y["n"]
+            t = (x["mean"] - y["mean"]) / math.sqrt(a + b)
+            dof = (a + b) ** 2 / (a * a / (x["n"] - 1) + b * b / (y["n"] - 1))
+            out.append({"group_a": x[group], "group_b": y[group], "t": t, "df": dof, "p": dist.t_two_sided(t, dof)})
+    for r in out:
+        r["p_bonferroni"] = min(1.0, r["p"] * len(out))
+    return out
 
 
 # ----------------------------------------------------------------------------- H16
@@ -344,13 +349,6 @@ def design_columns(numeric: Sequence[str], levels: dict[str, list]):
     return cols, names
 
 
-def keep_top_levels(df: DataFrame, column: str, n: int) -> DataFrame:
-    """Rows of the ``n`` most frequent values of ``column`` (ties by value); null rows go."""
-    top = (df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("__lv")).agg(F.count(F.lit(1)).alias("__c"))
-             .orderBy(F.col("__c").desc(), "__lv").limit(n).select("__lv"))
-    return df.join(F.broadcast(top), F.col(column) == F.col("__lv"), "left_semi")
-
-
 def ols(df: DataFrame, y: str, numeric: Sequence[str], categorical: Sequence[str] = (),
         top_n: int | None = None) -> dict:
     """Ordinary least squares with an intercept, on the rows of the
@@ -367,7 +365,7 @@ def ols(df: DataFrame, y: str, numeric: Sequence[str], categorical: Sequence[str
     need = [y, *numeric, *categorical]
     src = df.where(_all_not_null(need))
     for c in categorical if top_n else ():
-        src = keep_top_levels(src, c, top_n)
+        src = semi_join_top_n(src, c, top_n)
     levels = design_levels(src, categorical)
     cols, names = design_columns(numeric, levels)
     names = ["intercept"] + names

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from ..operators import windows as W
 from ..session import read_tables
 from . import summaries as R
-from . import testbed
 from .oracle_ctes import with_star
 from .star import warehouse
 
@@ -261,11 +260,17 @@ SELECT primary_category, COUNT(*) AS startup_count, CAST(SUM(funding_total_usd)
 FROM feat WHERE primary_category IS NOT NULL GROUP BY primary_category"""
 
 
+_SUMMARIES: dict[tuple, dict] = {}
+
+
 def _summaries(spark, sf):
+    """The summaries of the star as it is now, refreshed once per session and star."""
     from ..sources.warehouse import warehouse_root
-    import hashlib
-    key = hashlib.sha1(sf.rstrip("/").encode()).hexdigest()[:12]
-    return R.refresh_summaries(_wh(spark, sf), warehouse_root(spark, "summaries-" + key))
+    from .star import star_tag
+    key = (spark.sparkContext.applicationId, star_tag(spark, sf))
+    if key not in _SUMMARIES:
+        _SUMMARIES[key] = R.refresh_summaries(_wh(spark, sf), warehouse_root(spark, "summaries-" + key[1]))
+    return _SUMMARIES[key]
 
 
 @query("r4_industry_summary", with_star(_R4_SQL))
@@ -303,5 +308,3 @@ def _load_all():
     # further registrations live in sibling modules; importing registers them
     from . import catalog_clean, catalog_ml, catalog_more, catalog_stats  # noqa: F401
 
-
-_ = (testbed, _tables)

@@ -18,7 +18,7 @@ from . import domain, testbed
 from .catalog import _tables, _wh, query
 from .catalog_more import wide
 from .oracle_ctes import with_star
-from .star import startup_entities
+from .star import star_from_tables, startup_entities
 
 _DIRTY_MONEY_SQL = """dirty AS (
   SELECT o_orderkey, CASE WHEN o_orderkey % 13 = 0 THEN ' - ' WHEN o_orderkey % 17 = 0 THEN 'nan'
@@ -118,7 +118,7 @@ SELECT DISTINCT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_id, d AS full_dat
 FROM (SELECT founded_at AS d FROM star UNION SELECT first_funding_at FROM star UNION SELECT last_funding_at FROM star) x
 WHERE d IS NOT NULL"""))
 def c13_u4_date_dimension(spark, sf):
-    return _wh(spark, sf)["dim_date"]
+    return star_from_tables(spark, sf).dim_date
 
 
 @query("c14_c23_date_keys", with_star("""
@@ -136,9 +136,7 @@ SELECT startup_id, years_since_founded, days_to_first_funding, funding_span_days
   is_multi_round, num_round_types_used, has_debt_financing, log_funding_total_usd, furthest_round_type,
   furthest_stage_category, is_exited, is_closed FROM feat"""))
 def c15_c22_engineered_features(spark, sf):
-    f = _wh(spark, sf)["fact_startup_funding"]
-    s = _wh(spark, sf)["dim_startup"]
-    return f.join(s.select("startup_id", "is_exited", "is_closed"), "startup_id").select(
+    return star_from_tables(spark, sf).wide.select(
         "startup_id", "years_since_founded", "days_to_first_funding", "funding_span_days", "avg_funding_per_round",
         "is_multi_round", "num_round_types_used", "has_debt_financing", "log_funding_total_usd",
         "furthest_round_type", "furthest_stage_category", "is_exited", "is_closed")
@@ -314,7 +312,7 @@ SELECT startup_id, CAST(DENSE_RANK() OVER (ORDER BY country_name NULLS FIRST, re
   CAST(DENSE_RANK() OVER (ORDER BY primary_category NULLS FIRST, market NULLS FIRST) AS BIGINT) AS industry_id
 FROM feat"""))
 def j3_u3_dimension_keys(spark, sf):
-    return _wh(spark, sf)["fact_startup_funding"].select("startup_id", "geography_id", "industry_id")
+    return star_from_tables(spark, sf).fact_startup_funding.select("startup_id", "geography_id", "industry_id")
 
 
 _MATCH_REF_SQL = """ref AS (
@@ -431,14 +429,14 @@ SELECT CAST(ROW_NUMBER() OVER (ORDER BY country_name NULLS FIRST, region NULLS F
   AS geography_id, country_name, region, city
 FROM (SELECT DISTINCT country_name, region, city FROM feat) d"""))
 def u3_build_dimension(spark, sf):
-    return _wh(spark, sf)["dim_geography"]
+    return star_from_tables(spark, sf).dim_geography
 
 
 @query("u5_unpivot_positive", with_star("""
 SELECT startup_id, rt.round_type_id, CAST(amount_usd AS DOUBLE) AS amount_usd
 FROM fact_type ft JOIN round_type rt ON ft.round_type_name = rt.round_type_name"""))
 def u5_unpivot_positive(spark, sf):
-    fb = _wh(spark, sf)["fact_funding_by_type"]
+    fb = star_from_tables(spark, sf).fact_funding_by_type
     return fb.select("startup_id", "round_type_id", F.col("amount_usd").cast("double").alias("amount_usd"))
 
 

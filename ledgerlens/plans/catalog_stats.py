@@ -8,6 +8,8 @@ differences between engines far below the compared precision).
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from ..operators import dist
@@ -30,14 +32,61 @@ def _row(spark, d: dict, cols):
     return spark.createDataFrame([tuple(d[c] for c in cols)], cols)
 
 
+def _rounded(d: dict, *names: str) -> dict:
+    """p-values are reported to six decimals."""
+    return {**d, **{n: round(d[n], 6) for n in names}}
+
+
+# SQL for what DuckDB lacks.  Tails are integrated by Simpson's rule (2,000 steps); the quantile and the
+# tail of Student's t use their normalising series, which agree to about ten digits at these sample sizes.
+
+def _simpson(f: str, lo: str, hi: str) -> str:
+    """Integral over ``at_`` of the SQL expression ``f``."""
+    return (f"(SELECT SUM(CASE WHEN i_ IN (0, 2000) THEN 1 WHEN i_ % 2 = 1 THEN 4 ELSE 2 END * ({f})) * (({hi}) - ({lo})) / 6000.0 "
+            f"FROM (SELECT i_, ({lo}) + (({hi}) - ({lo})) * i_ / 2000.0 AS at_ FROM range(0, 2001) steps_(i_)))")
+
+
+def _norm_p(z: str) -> str:
+    """Two-sided normal p of |z| (nothing is left beyond 12)."""
+    return "GREATEST(0.0, 1 - 2 * " + _simpson(f"exp(-at_ * at_ / 2) / {math.sqrt(2 * math.pi)!r}", "0.0", f"LEAST(abs({z}), 12.0)") + ")"
+
+
+def _t_p(t: str, df: str) -> str:
+    a = f"({df} - 0.5)"
+    y = f"({a} * ln(1 + ({t}) * ({t}) / {df}))"
+    b = f"(48.0 * {a} * {a})"
+    return _norm_p(f"((((((-0.4 * {y} - 3.3) * {y} - 24.0) * {y} - 85.5) / (0.8 * {y} * {y} + 100.0 + {b}) + {y} + 3.0) / {b} + 1.0) * sqrt({y}))")
+
+
+def _t_quantile(df: str, p: float = 0.975) -> str:
+    z = dist.norm_ppf(p)
+    return (f"({z!r} + {(z**3 + z) / 4!r} / {df} + {(5 * z**5 + 16 * z**3 + 3 * z) / 96!r} / ({df} * {df}) "
+            f"+ {(3 * z**7 + 19 * z**5 + 17 * z**3 - 15 * z) / 384!r} / ({df} * {df} * {df}))")
+
+
+def _chi2_p(stat: str, df: str) -> str:
+    f = f"CASE WHEN at_ <= 0 THEN 0 ELSE exp(({df} / 2.0 - 1) * ln(at_) - at_ / 2 - {df} / 2.0 * ln(2) - lgamma({df} / 2.0)) END"
+    return f"GREATEST(0.0, 1 - {_simpson(f, '0.0', stat)})"
+
+
+def _f_p(stat: str, d1: str, d2: str) -> str:
+    """P(F > stat), from the beta density of d1 F / (d2 + d1 F)."""
+    a, b = f"({d1} / 2.0)", f"({d2} / 2.0)"
+    f = (f"CASE WHEN at_ <= 0 THEN 0 ELSE exp(({a} - 1) * ln(at_) + ({b} - 1) * ln(1 - at_) + lgamma({a} + {b}) "
+         f"- lgamma({a}) - lgamma({b})) END")
+    return f"GREATEST(0.0, 1 - {_simpson(f, '0.0', f'{d1} * {stat} / ({d2} + {d1} * {stat})')})"
+
+
+
 # =============================================================================
 # H-series
 # =============================================================================
 
 @query("h1_mean_ci", with_star(f"""
-SELECT COUNT({X}) AS n, AVG({X}) AS mean, STDDEV_SAMP({X}) AS sd, STDDEV_SAMP({X}) / SQRT(COUNT({X})) AS se FROM feat"""))
+SELECT n, mean, sd, se, mean - {_t_quantile('(n - 1.0)')} * se AS lo, mean + {_t_quantile('(n - 1.0)')} * se AS hi FROM (
+SELECT COUNT({X}) AS n, AVG({X}) AS mean, STDDEV_SAMP({X}) AS sd, STDDEV_SAMP({X}) / SQRT(COUNT({X})) AS se FROM feat) s"""))
 def h1_mean_ci(spark, sf):
-    return H.mean_stats(_w(spark, sf), X)
+    return _row(spark, H.mean_ci(_w(spark, sf), X), ["n", "mean", "sd", "se", "lo", "hi"])
 
 
 _Z975 = repr(dist.norm_ppf(0.975))
@@ -56,55 +105,63 @@ def h2_median_ci(spark, sf):
     return _row(spark, r, ["n", "lo", "median", "hi"])
 
 
-@query("h3_proportion_ci", with_star("""
+@query("h3_proportion_ci", with_star(f"""
+SELECT *, p - {dist.norm_ppf(0.975)!r} * se AS lo, p + {dist.norm_ppf(0.975)!r} * se AS hi FROM (
 SELECT SUM(CAST(is_exited AS DOUBLE)) AS successes, COUNT(is_exited) AS n,
   SUM(CAST(is_exited AS DOUBLE)) / COUNT(is_exited) AS p,
   SQRT((SUM(CAST(is_exited AS DOUBLE)) / COUNT(is_exited)) * (1 - SUM(CAST(is_exited AS DOUBLE)) / COUNT(is_exited))
-       / COUNT(is_exited)) AS se FROM feat"""))
+       / COUNT(is_exited)) AS se FROM feat) s"""))
 def h3_proportion_ci(spark, sf):
-    return H.proportion_stats(_w(spark, sf), "is_exited")
+    return _row(spark, H.proportion_ci(_w(spark, sf), "is_exited"), ["successes", "n", "p", "se", "lo", "hi"])
 
 
 _WELCH = f"""
 WITH g AS (SELECT COUNT({X}) FILTER (WHERE is_unicorn) AS n1, AVG({X}) FILTER (WHERE is_unicorn) AS mean1,
   VAR_SAMP({X}) FILTER (WHERE is_unicorn) AS var1, COUNT({X}) FILTER (WHERE NOT is_unicorn) AS n0,
   AVG({X}) FILTER (WHERE NOT is_unicorn) AS mean0, VAR_SAMP({X}) FILTER (WHERE NOT is_unicorn) AS var0 FROM feat)
+SELECT *, diff - {_t_quantile('df')} * sqrt(var1 / n1 + var0 / n0) AS lo, diff + {_t_quantile('df')} * sqrt(var1 / n1 + var0 / n0) AS hi,
+  round({_t_p('t', 'df')}, 6) AS p FROM (
 SELECT n1, mean1, var1, n0, mean0, var0, mean1 - mean0 AS diff,
   (mean1 - mean0) / SQRT(var1 / n1 + var0 / n0) AS t,
   (var1 / n1 + var0 / n0) * (var1 / n1 + var0 / n0)
     / ((var1 / n1) * (var1 / n1) / (n1 - 1) + (var0 / n0) * (var0 / n0) / (n0 - 1)) AS df,
-  (mean1 - mean0) / SQRT(((n1 - 1) * var1 + (n0 - 1) * var0) / (n1 + n0 - 2)) AS cohens_d FROM g"""
+  (mean1 - mean0) / SQRT(((n1 - 1) * var1 + (n0 - 1) * var0) / (n1 + n0 - 2)) AS cohens_d FROM g) s"""
 
 
 @query("h4_h9_h10_welch_t", with_star(_WELCH))
 def h4_h9_h10_welch_t(spark, sf):
-    return H.welch_stats(_w(spark, sf), X, "is_unicorn")
+    r = _rounded(H.welch_t(_w(spark, sf), X, "is_unicorn"), "p")
+    return _row(spark, r, ["n1", "mean1", "var1", "n0", "mean0", "var0", "diff", "t", "df", "cohens_d", "lo", "hi", "p"])
 
 
-@query("h5_two_proportion_z", with_star("""
+@query("h5_two_proportion_z", with_star(f"""
 WITH s AS (SELECT SUM(CAST(is_exited AS DOUBLE)) FILTER (WHERE market IS NOT DISTINCT FROM 'BUILDING') AS x1,
   COUNT(*) FILTER (WHERE market IS NOT DISTINCT FROM 'BUILDING') AS n1,
   SUM(CAST(is_exited AS DOUBLE)) FILTER (WHERE market IS DISTINCT FROM 'BUILDING') AS x0,
   COUNT(*) FILTER (WHERE market IS DISTINCT FROM 'BUILDING') AS n0 FROM feat)
+SELECT *, round({_norm_p('z')}, 6) AS p FROM (
 SELECT x1, n1, x0, n0, x1 / n1 AS p1, x0 / n0 AS p0,
   (x1 / n1 - x0 / n0) / SQRT(((x1 + x0) / (n1 + n0)) * (1 - (x1 + x0) / (n1 + n0)) * (1.0 / n1 + 1.0 / n0)) AS z
-FROM s"""))
+FROM s) t"""))
 def h5_two_proportion_z(spark, sf):
-    return H.two_proportion_stats(_w(spark, sf), "is_exited", "market", "BUILDING")
+    r = _rounded(H.two_proportion_z(_w(spark, sf), "is_exited", "market", "BUILDING"), "p")
+    return _row(spark, r, ["x1", "n1", "x0", "n0", "p1", "p0", "z", "p"])
 
 
-@query("h6_h7_chi_square", with_star("""
+@query("h6_h7_chi_square", with_star(f"""
 WITH o AS (SELECT market, status, COUNT(*) AS observed FROM feat WHERE market IS NOT NULL AND status IS NOT NULL
            GROUP BY market, status),
 e AS (SELECT o.*, SUM(observed) OVER (PARTITION BY market) * SUM(observed) OVER (PARTITION BY status)
         / SUM(observed) OVER () AS expected, SUM(observed) OVER () AS n FROM o)
+SELECT *, round({_chi2_p('chi2', 'dof')}, 6) AS p FROM (
 SELECT SUM(CAST(observed AS DOUBLE) * observed / expected) - MIN(n) AS chi2, MIN(n) AS n,
   COUNT(DISTINCT market) AS rows, COUNT(DISTINCT status) AS cols,
   (COUNT(DISTINCT market) - 1) * (COUNT(DISTINCT status) - 1) AS dof,
   SQRT((SUM(CAST(observed AS DOUBLE) * observed / expected) - MIN(n))
-       / (MIN(n) * (LEAST(COUNT(DISTINCT market), COUNT(DISTINCT status)) - 1))) AS cramers_v FROM e"""))
+       / (MIN(n) * (LEAST(COUNT(DISTINCT market), COUNT(DISTINCT status)) - 1))) AS cramers_v FROM e) s"""))
 def h6_h7_chi_square(spark, sf):
-    return H.chi_square_stats(_w(spark, sf), "market", "status")
+    r = _rounded(H.chi_square(_w(spark, sf), "market", "status", top_n=8), "p")
+    return _row(spark, r, ["chi2", "n", "rows", "cols", "dof", "cramers_v", "p"])
 
 
 _RANKS = f"""
@@ -114,41 +171,47 @@ r AS (SELECT value, t, SUM(t) OVER (ORDER BY value) - t + (t + 1) / 2.0 AS avg_r
 ties AS (SELECT SUM(CAST(t AS DOUBLE) * t * t - t) AS tie_sum FROM per)"""
 
 
-@query("h8_mann_whitney", with_star("""
+@query("h8_mann_whitney", with_star(f"""
 WITH s AS (SELECT SUM(avg_rank) FILTER (WHERE g = 1) AS r1, COUNT(*) FILTER (WHERE g = 1) AS n1,
            COUNT(*) FILTER (WHERE g = 0) AS n0 FROM v JOIN r ON v.x = r.value)
+SELECT *, round({_norm_p('z')}, 6) AS p FROM (
 SELECT n1, n0, r1 - n1 * (n1 + 1) / 2.0 AS u, n1 * n0 / 2.0 AS mu,
   SQRT(n1 * n0 / 12.0 * ((n1 + n0 + 1) - tie_sum / ((n1 + n0) * (n1 + n0 - 1)))) AS sigma,
   (ABS(r1 - n1 * (n1 + 1) / 2.0 - n1 * n0 / 2.0) - 0.5)
     / SQRT(n1 * n0 / 12.0 * ((n1 + n0 + 1) - tie_sum / ((n1 + n0) * (n1 + n0 - 1)))) AS z,
-  (r1 - n1 * (n1 + 1) / 2.0) / (n1 * n0) AS auc FROM s, ties""", _RANKS))
+  (r1 - n1 * (n1 + 1) / 2.0) / (n1 * n0) AS auc FROM s, ties) t""", _RANKS))
 def h8_mann_whitney(spark, sf):
-    return H.mann_whitney_stats(wide(spark, sf, [X, "is_exited"]), X, "is_exited")
+    r = _rounded(H.mann_whitney(wide(spark, sf, [X, "is_exited"]), X, "is_exited"), "p")
+    return _row(spark, r, ["n1", "n0", "u", "mu", "sigma", "z", "auc", "p"])
 
 
-@query("h13_kruskal_wallis", with_star("""
+@query("h13_kruskal_wallis", with_star(f"""
 WITH g AS (SELECT market, SUM(avg_rank) AS rsum, COUNT(*) AS ng FROM v JOIN r ON v.x = r.value
            WHERE market IS NOT NULL GROUP BY market),
 s AS (SELECT SUM(rsum * rsum / ng) AS a, SUM(ng) AS n, COUNT(*) AS k FROM g)
+SELECT *, round({_chi2_p('h', 'dof')}, 6) AS p FROM (
 SELECT n, k, (12.0 / (n * (n + 1)) * a - 3 * (n + 1)) / (1 - tie_sum / (CAST(n AS DOUBLE) * n * n - n)) AS h,
-  k - 1 AS dof FROM s, ties""", _RANKS))
+  k - 1 AS dof FROM s, ties) t""", _RANKS))
 def h13_kruskal_wallis(spark, sf):
-    return H.kruskal_wallis_stats(wide(spark, sf, [X, "market"]), "market", X)
+    r = _rounded(H.kruskal_wallis(wide(spark, sf, [X, "market"]), "market", X), "p")
+    return _row(spark, r, ["n", "k", "h", "dof", "p"])
 
 
 _GROUPS = f"""gs AS (SELECT market, COUNT({X}) AS n, AVG({X}) AS mean, VAR_SAMP({X}) AS var FROM feat
   WHERE market IS NOT NULL AND {X} IS NOT NULL GROUP BY market HAVING COUNT({X}) >= 30)"""
 
 
-@query("h11_h12_anova", with_star("""
+@query("h11_h12_anova", with_star(f"""
 WITH t AS (SELECT SUM(n) AS big_n, SUM(n * mean) / SUM(n) AS grand, COUNT(*) AS k FROM gs),
 s AS (SELECT SUM(n * (mean - grand) * (mean - grand)) AS ss_between, SUM((n - 1) * COALESCE(var, 0)) AS ss_within,
         MIN(big_n) AS n, MIN(k) AS k FROM gs, t)
+SELECT *, round({_f_p('f', 'df_between', 'df_within')}, 6) AS p FROM (
 SELECT ss_between, ss_within, n, k, k - 1 AS df_between, n - k AS df_within,
-  (ss_between / (k - 1)) / (ss_within / (n - k)) AS f, ss_between / (ss_between + ss_within) AS eta_squared FROM s""",
+  (ss_between / (k - 1)) / (ss_within / (n - k)) AS f, ss_between / (ss_between + ss_within) AS eta_squared FROM s) r""",
     _GROUPS))
 def h11_h12_anova(spark, sf):
-    return H.anova_stats(_w(spark, sf), "market", X, 30)
+    r = _rounded(H.anova(_w(spark, sf), "market", X, 30), "p")
+    return _row(spark, r, ["ss_between", "ss_within", "n", "k", "df_between", "df_within", "f", "eta_squared", "p"])
 
 
 @query("h14_tukey_hsd", with_star("""
@@ -157,24 +220,42 @@ SELECT a.market AS group_a, b.market AS group_b, b.mean - a.mean AS diff,
   ABS(b.mean - a.mean) / SQRT(msw / 2 * (1.0 / a.n + 1.0 / b.n)) AS q, k, df_within
 FROM gs a JOIN gs b ON a.market < b.market, p""", _GROUPS))
 def h14_tukey_hsd(spark, sf):
-    return H.tukey_stats(_w(spark, sf), "market", X, 30)
+    return _tukey(spark, sf).drop("p_adj", "reject")
+
+
+def _tukey(spark, sf):
+    rows = H.tukey_hsd(_w(spark, sf), "market", X, min_n=30)
+    return spark.createDataFrame([tuple(r.values()) for r in rows],
+                                 "group_a string, group_b string, diff double, q double, k long, df_within long, "
+                                 "p_adj double, reject boolean")
+
+
+@query("h14_tukey_decisions")
+def h14_tukey_decisions(spark, sf):
+    """The studentized range has no SQL form; its p-values are unit-tested against table values."""
+    return _tukey(spark, sf).select("group_a", "group_b", "q", "p_adj", "reject")
 
 
-@query("h15_pairwise_welch", with_star("""
+@query("h15_pairwise_welch", with_star(f"""
+SELECT *, round({_t_p('t', 'df')}, 6) AS p, round(LEAST(1.0, {_t_p('t', 'df')} * COUNT(*) OVER ()), 6) AS p_bonferroni FROM (
 SELECT a.market AS group_a, b.market AS group_b, (a.mean - b.mean) / SQRT(a.var / a.n + b.var / b.n) AS t,
   (a.var / a.n + b.var / b.n) * (a.var / a.n + b.var / b.n)
     / ((a.var / a.n) * (a.var / a.n) / (a.n - 1) + (b.var / b.n) * (b.var / b.n) / (b.n - 1)) AS df
-FROM gs a JOIN gs b ON a.market < b.market""", _GROUPS))
+FROM gs a JOIN gs b ON a.market < b.market) w""", _GROUPS))
 def h15_pairwise_welch(spark, sf):
-    return H.pairwise_welch_stats(_w(spark, sf), "market", X, 30)
+    rows = [_rounded(r, "p", "p_bonferroni") for r in H.pairwise_welch_bonferroni(_w(spark, sf), "market", X, 30)]
+    return spark.createDataFrame([tuple(r.values()) for r in rows],
+                                 "group_a string, group_b string, t double, df double, p double, p_bonferroni double")
 
 
 @query("h16_pearson", with_star(f"""
+SELECT *, round({_t_p('t', '(n - 2.0)')}, 6) AS p FROM (
 SELECT CORR({X}, years_since_founded) AS r, COUNT(*) AS n,
   CORR({X}, years_since_founded) * SQRT((COUNT(*) - 2) / (1 - CORR({X}, years_since_founded) * CORR({X}, years_since_founded))) AS t
-FROM feat WHERE {X} IS NOT NULL AND years_since_founded IS NOT NULL"""))
+FROM feat WHERE {X} IS NOT NULL AND years_since_founded IS NOT NULL) s"""))
 def h16_pearson(spark, sf):
-    return H.pearson_stats(_w(spark, sf), X, "years_since_founded")
+    r = _rounded(H.pearson_test(_w(spark, sf), X, "years_since_founded"), "p")
+    return _row(spark, r, ["r", "n", "t", "p"])
 
 
 @query("h17_simple_regression", with_star(f"""

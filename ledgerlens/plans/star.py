@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..operators.joins import lookup_key
 from ..operators.reshape import build_date_dimension, build_dimension, unpivot_positive
-from ..session import read_tables
+from ..session import read_tables, scratch_table
 from . import domain
 
 
@@ -102,18 +102,21 @@ def engineer_features(df: DataFrame, round_cols, reference_date: str) -> DataFra
 
 @dataclass
 class StarSchema:
-    """Five dimensions and two facts built lazily from an entity table."""
+    """Five dimensions and two facts built lazily from an entity table.
+
+    ``engineered``: the entity table with its derived columns, where the
+    caller has already written it (every table is derived from it)."""
 
     entities: DataFrame
+    engineered: DataFrame | None = None
     round_cols: list = field(default_factory=lambda: list(domain.STAR_ROUND_COLUMNS))
     reference_date: str = domain.STAR_REFERENCE_DATE
 
     @cached_property
     def wide(self) -> DataFrame:
-        # the hub every dimension and fact is derived from: computed once
-        from pyspark.storagelevel import StorageLevel
-        return engineer_features(self.entities, self.round_cols, self.reference_date) \
-            .persist(StorageLevel.MEMORY_AND_DISK)
+        if self.engineered is not None:
+            return self.engineered
+        return engineer_features(self.entities, self.round_cols, self.reference_date)
 
     @cached_property
     def dim_geography(self) -> DataFrame:
@@ -202,26 +205,35 @@ def publish_star(spark: SparkSession, sf_dir: str, root: str) -> str:
     from ..operators.quality import require_constraints
     from ..sources.warehouse import load_warehouse
 
-    return load_warehouse(star_from_tables(spark, sf_dir, fresh=True).tables(), root, order=TABLE_ORDER,
+    plan = star_from_tables(spark, sf_dir, fresh=True)
+    star = StarSchema(plan.entities, scratch_table(plan.wide, "star-entities"))  # the hub of all tables: written once
+    return load_warehouse(star.tables(), root, order=TABLE_ORDER,
                           checks=lambda staged: require_constraints(staged, CONSTRAINTS))
 
 
 _WAREHOUSES: dict[tuple, dict[str, DataFrame]] = {}
 
 
+def star_tag(spark: SparkSession, sf_dir: str) -> str:
+    """Names the star of ``sf_dir`` as it is now: its source files and the star's definition."""
+    from ..sources.warehouse import source_fingerprint
+
+    base = sf_dir.rstrip("/")
+    found = source_fingerprint(spark, [f"{base}/{n}.parquet" for n in SOURCES])
+    return hashlib.sha1(f"{base}|{found}|{STAR_VERSION}".encode()).hexdigest()[:12]
+
+
 def warehouse(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The published star for ``sf_dir``.
 
     Its folder is named after the source files' names, sizes and modification
     times and the star's definition, so a changed source builds a new star.
     """
-    from ..sources.warehouse import read_warehouse, source_fingerprint, warehouse_root
+    from ..sources.warehouse import read_warehouse, warehouse_root
 
-    base = sf_dir.rstrip("/")
-    print_ = source_fingerprint(spark, [f"{base}/{n}.parquet" for n in SOURCES])
-    key = (spark.sparkContext.applicationId, base, print_)
+    tag = star_tag(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, tag)
     if key not in _WAREHOUSES:
-        tag = hashlib.sha1(f"{base}|{print_}|{STAR_VERSION}".encode()).hexdigest()[:12]
         root = warehouse_root(spark, "star-" + tag)
         try:
             tables = read_warehouse(spark, root)
