@@ -12,7 +12,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .ordering import global_row_number
+from .ordering import attach_row, global_row_number
 
 
 def _prediction(out: str) -> Callable[[DataFrame], Column]:
@@ -23,25 +23,43 @@ def _prediction(out: str) -> Callable[[DataFrame], Column]:
 
 
 # ----------------------------------------------------------------------------- X1
-def permutation_importance(model, df: DataFrame, features: Sequence[str], key: str,
-                           metric: Callable[[DataFrame], float], repeats: int = 3, seed: int = 42) -> DataFrame:
-    """Drop in ``metric`` when one feature's values are shuffled across
-    rows.  The shuffle is a join on position: rows numbered in key order
-    meet values numbered in a seeded hash order (unique positions, so no
-    skew); the model is re-applied to the permuted frame."""
-    spark = df.sparkSession
-    base = metric(model.transform(df))
-    numbered = global_row_number(df, [key], "__pos")
-    rows = []
-    for f in features:
-        for r in range(repeats):
-            perm = global_row_number(df.select(key, f), [F.xxhash64(F.col(key), F.lit(seed + r)), key], "__pos") \
-                .select("__pos", F.col(f).alias("__perm"))
-            shuffled = numbered.join(perm, "__pos").withColumn(f, F.col("__perm")).drop("__perm", "__pos")
-            rows.append((f, r, base - metric(model.transform(shuffled))))
-    out = spark.createDataFrame(rows, "feature string, repeat int, importance double")
-    return out.groupBy("feature").agg(F.avg("importance").alias("importance_mean"),
-                                      F.stddev_samp("importance").alias("importance_sd"))
+def r2_column(label: Column, pred: Column) -> Column:
+    """R² as an aggregate expression."""
+    return 1 - F.sum((label - pred) * (label - pred)) / (F.var_pop(label) * F.count(label))
+
+
+def permutation_importance(model, df: DataFrame, features: Sequence[str], key: str, label: str = "label",
+                           metric: Callable[[Column, Column], Column] = r2_column, repeats: int = 10, seed: int = 42,
+                           output: str = "prediction") -> DataFrame:
+    """Drop in ``metric`` when one feature's values are moved to other rows.
+
+    Rows are numbered once, in a seeded hash order; repeat ``r`` gives each
+    row the values that stand a seeded number of places further on (an
+    equi-join on the position, so no skew).  All features and repeats are
+    scored by one ``transform`` and measured by one aggregate.
+    """
+    feats = list(features)
+    numbered = global_row_number(df, [F.xxhash64(F.col(key), F.lit(seed)), key], "__pos")
+    n = df.count()
+    pred = _prediction(output)
+    if n < 2:
+        raise ValueError("at least two rows are needed to move values between")
+    shifts = [1 + (seed * 7919 + 104_729 * (r + 1)) % (n - 1) for r in range(repeats)]
+    moved = F.array(*[F.struct(F.lit(r).alias("r"), F.lit(s).alias("by")) for r, s in enumerate(shifts)])
+    rows = numbered.withColumn("__m", F.explode(moved)).withColumn(
+        "__from", F.pmod(F.col("__pos") - 1 + F.col("__m.by"), F.lit(n)) + 1)
+    other = numbered.select(F.col("__pos").alias("__from"), *[F.col(f).alias("__v_" + f) for f in feats])
+    rows = rows.join(other, "__from").withColumn("__f", F.explode(F.array(*[F.lit(f) for f in feats])))
+    for f in feats:
+        rows = rows.withColumn(f, F.when(F.col("__f") == f, F.col("__v_" + f)).otherwise(F.col(f)))
+    rows = rows.withColumn("__r", F.col("__m.r")).drop("__m", "__from", "__pos", *["__v_" + f for f in feats])
+    shuffled, plain = model.transform(rows), model.transform(df)
+    base = plain.agg(metric(F.col(label).cast("double"), pred(plain)).alias("__base"))
+    per = shuffled.groupBy(F.col("__f").alias("feature"), "__r").agg(
+        metric(F.col(label).cast("double"), pred(shuffled)).alias("__metric"))
+    drop = attach_row(per, base).withColumn("__drop", F.col("__base") - F.col("__metric"))
+    return drop.groupBy("feature").agg(F.avg("__drop").alias("importance_mean"),
+                                       F.stddev_samp("__drop").alias("importance_sd"))
 
 
 # ----------------------------------------------------------------------------- X2, X3
@@ -68,29 +86,36 @@ def ice(model, df: DataFrame, feature: str, grid: Sequence[float], key: str, row
 
 # ----------------------------------------------------------------------------- X4, X5
 def sampled_shapley(model, explain: DataFrame, background: DataFrame, features: Sequence[str], key: str,
-                    samples: int = 32, seed: int = 42, output: str = "prediction") -> DataFrame:
+                    samples: int = 32, seed: int = 42, output: str = "prediction",
+                    background_rows: int | None = None) -> DataFrame:
     """Sampled Shapley values (Štrumbelj & Kononenko, 2014).
 
     For every explained row, feature j and sample m: draw a background row b
     and a feature order π (both from seeded hashes); build the coalition
     instance (features before j in π from the row, the rest from b) with and
     without j's own value; φ_j is the mean output difference.  The
-    background is a bounded sample (its row count is the caller's limit) and
-    is broadcast; the work is rows × samples × features model evaluations in
-    one ``transform``.  Returns ``(key, feature, phi)``.
+    background is all of ``background``, or its ``background_rows`` rows of
+    smallest hash; rows meet their background by an equi-join on a unique
+    position.  The work is rows × samples × features model evaluations in one
+    ``transform``.  Returns ``(key, feature, phi)``.
     """
     pred = _prediction(output)
     feats = list(features)
-    bg = background.select(*feats).limit(10_000)
-    nb = bg.count()
-    bgn = global_row_number(bg, [F.xxhash64(*[F.col(f) for f in feats])] + feats, "__bidx") \
+    order = [F.xxhash64(*[F.col(f) for f in feats])] + feats
+    bg = background.select(*feats)
+    if background_rows is not None:
+        bg = bg.orderBy(*order).limit(background_rows)
+    bgn = global_row_number(bg, order, "__bidx") \
         .select((F.col("__bidx") - 1).alias("__bidx"), *[F.col(f).alias("__b_" + f) for f in feats])
+    nb = bgn.count()
+    if not nb:
+        raise ValueError("the background has no rows")
     passthrough = [c for c in explain.columns if c not in feats and c != key]
     rows = explain.select(key, *feats, *passthrough)
     rows = rows.withColumn("__m", F.explode(F.sequence(F.lit(0), F.lit(samples - 1)))) \
                .withColumn("__j", F.explode(F.array(*[F.lit(f) for f in feats])))
     rows = rows.withColumn("__bidx", F.pmod(F.xxhash64(F.col(key), F.col("__m"), F.lit(seed)), F.lit(nb)))
-    rows = rows.join(F.broadcast(bgn), "__bidx")
+    rows = rows.join(bgn, "__bidx")
     # position of every feature in this sample's random order
     pos = {f: F.xxhash64(F.col(key), F.col("__m"), F.lit(f), F.lit(seed + 1)) for f in feats}
     pos_map = F.create_map(*[x for f in feats for x in (F.lit(f), pos[f])])

@@ -123,21 +123,28 @@ def cluster_features(df: DataFrame, cols: Sequence[str], log_cols: Sequence[str]
     return VectorAssembler(inputCols=list(cols), outputCol="features", handleInvalid="skip").transform(src)
 
 
-def choose_k(df: DataFrame, ks: Sequence[int] = range(2, 9), starts: int = 10, seed: int = 42):
+def choose_k(df: DataFrame, ks: Sequence[int] = range(2, 9), starts: int = 10, seed: int = 42, parallelism: int = 4):
     """Per k the best of ``starts`` seeded K-means fits (lowest cost) and
     its silhouette.  Silhouette is Spark's distributed squared-Euclidean
-    silhouette (no pairwise distance table)."""
+    silhouette (no pairwise distance table).  The fits read one cached
+    column of features, ``parallelism`` at a time."""
+    from multiprocessing.pool import ThreadPool
+
     ev = ClusteringEvaluator(featuresCol="features", predictionCol="prediction")
-    out = []
-    for k in ks:
-        best = None
-        for s in range(starts):
-            m = KMeans(k=k, seed=seed + s, featuresCol="features", maxIter=50).fit(df)
-            if best is None or m.summary.trainingCost < best.summary.trainingCost:
-                best = m
-        sil = ev.evaluate(best.transform(df))
-        out.append({"k": k, "inertia": best.summary.trainingCost, "silhouette": sil, "model": best})
-    return out
+    vectors = df.select("features").persist()
+    try:
+        def fit(task):
+            k, s = task
+            m = KMeans(k=k, seed=seed + s, featuresCol="features", maxIter=50).fit(vectors)
+            return k, m.summary.trainingCost, s, m
+
+        with ThreadPool(parallelism) as pool:
+            fits = pool.map(fit, [(k, s) for k in ks for s in range(starts)], chunksize=1)
+        best = {k: min((f for f in fits if f[0] == k), key=lambda f: f[1:3]) for k in ks}
+        return [{"k": k, "inertia": best[k][1], "silhouette": ev.evaluate(best[k][3].transform(vectors)),
+                 "model": best[k][3]} for k in ks]
+    finally:
+        vectors.unpersist()
 
 
 def assign_clusters(model, df: DataFrame, name: str = "cluster") -> DataFrame:
@@ -185,13 +192,16 @@ def score(reg_model: PipelineModel, clf_model: PipelineModel, df: DataFrame,
 
 def learning_curve(pipe: Pipeline, df: DataFrame, key: str, evaluator, sizes: Sequence[float],
                    k: int = 3, seed: int = 42) -> list[dict]:
-    """CV metric on nested hash samples of growing size."""
+    """CV metric on nested hash samples of growing size, and the metric
+    on the sample itself of a model fitted to all of it."""
     from .features import hash_unit
     out = []
     for frac in sizes:
-        sub = df.where(hash_unit(key, seed + 101) < frac)
+        sub = df.where(hash_unit(key, seed + 101) < frac).persist()
         _, mean, sd = cross_validate(pipe, sub, key, evaluator, k=k, seed=seed)
-        out.append({"fraction": frac, "metric_mean": mean[0], "metric_sd": sd[0]})
+        own = evaluator.evaluate(pipe.fit(sub).transform(sub))
+        sub.unpersist()
+        out.append({"fraction": frac, "metric_mean": mean[0], "metric_sd": sd[0], "training_metric": own})
     return out
 
 

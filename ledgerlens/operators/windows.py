@@ -36,7 +36,8 @@ def top_n_per_group(df: DataFrame, group: str | Sequence[str], order: str, n: in
     ``WindowGroupLimit`` on the map side of the exchange, so each input task
     ships at most ``n`` (plus ties) rows per group.  Above that threshold
     (or when ``salts`` is given) a salted first pass does the same by hand:
-    rows are ranked inside ``(group, salt)`` buckets and only each bucket's
+    rows are ranked inside ``(group, salt)`` buckets, as many as there are
+    shuffle partitions, and only each bucket's
     top ``n`` survive (a row in the global top ``n`` is in its bucket's top
     ``n``), then the survivors are ranked per group.
     """
@@ -44,10 +45,11 @@ def top_n_per_group(df: DataFrame, group: str | Sequence[str], order: str, n: in
     ordering = [F.col(order).desc()] + [F.col(t).asc() for t in tie_break]
     fn = F.rank if ties else F.row_number
     if salts is None:
-        limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
-        salts = 0 if 0 < n <= limit else 16
+        conf = df.sparkSession.conf
+        limit = int(conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+        salts = 0 if 0 < n <= limit else int(conf.get("spark.sql.shuffle.partitions"))
     if salts and salts > 1:
-        salt = F.abs(F.xxhash64(*df.columns)) % salts
+        salt = F.pmod(F.monotonically_increasing_id(), F.lit(salts))  # by row, so equal rows spread too
         w1 = Window.partitionBy(*groups, salt).orderBy(*ordering)
         df = df.withColumn("__r1", fn().over(w1)).where(F.col("__r1") <= n).drop("__r1")
     w = Window.partitionBy(*groups).orderBy(*ordering)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..operators import explain as X
 from ..operators import features as M
 from ..operators import models as ML
+from ..operators import evaluate as E
 from ..operators.evaluate import roc_auc
 from ..session import read_tables
 from .catalog import query
@@ -160,28 +161,33 @@ def _reg_fit(spark, sf, kind="linear"):
 
 @query("m10_m12_m18_regression_models")
 def m10_m12_m18_regression_models(spark, sf):
-    ev = ML.regression_evaluator("label", "r2")
     res = {}
     for kind in ["linear", "ridge", "lasso", "tree", "forest", "gbt"]:
         m, test = _reg_fit(spark, sf, kind)
-        res[kind] = {"r2": ev.evaluate(m.transform(test))}
+        own = E.regression_metrics(m.transform(test), "label", "prediction", len(NUMERIC + FLAGS)).first()
+        res[kind] = {k: own[k] for k in ("mae", "rmse", "r2", "adj_r2")}
     return ML.compare_models(spark, res, "r2")
 
 
 def _clf_data(spark, sf):
-    d = M.class_weights(_data(spark, sf).withColumn("label", F.col(LABEL_CLF).cast("double")), "label")
-    return M.split(d, "startup_id", 0.2)
+    train, test = M.split(_data(spark, sf).withColumn("label", F.col(LABEL_CLF).cast("double")), "startup_id", 0.2)
+    return M.class_weights(train, "label"), test  # weights from the training rows alone
 
 
 @query("m13_m15_classifiers")
 def m13_m15_classifiers(spark, sf):
     train, test = _clf_data(spark, sf)
     res = {}
-    for kind, kw in [("logistic", {}), ("forest", {"numTrees": 20, "maxDepth": 5}), ("gbt", {"maxIter": 10})]:
-        est = ML.weighted_classifier(kind, **kw)
-        m = ML.pipeline(CATEG, NUMERIC + FLAGS, est).fit(train)
-        res[kind] = {"auc": roc_auc(m.transform(test).withColumn("__p", vector_to_array("probability")[1]),
-                                    "label", "__p").first()["auc"]}
+    for kind, kw in [("logistic", {}), ("forest", {"numTrees": 20, "maxDepth": 5}), ("gbt", {"maxIter": 10}),
+                     ("gbt_positive_weight", {"maxIter": 10})]:
+        est = ML.weighted_classifier(kind.split("_")[0], **kw)
+        rows = ML.positive_weight(train, "label") if kind.endswith("positive_weight") else train
+        out = ML.pipeline(CATEG, NUMERIC + FLAGS, est).fit(rows).transform(test).select(
+            "label", "prediction", vector_to_array("probability")[1].alias("__p")).persist()
+        own = E.classification_metrics(out, "label", "prediction").first()
+        res[kind] = {"auc": roc_auc(out, "label", "__p").first()["auc"],
+                     **{k: own[k] for k in ("accuracy", "precision", "recall", "f1")}}
+        out.unpersist()
     return ML.compare_models(spark, res, "auc")
 
 
@@ -190,7 +196,7 @@ def m16_m17_cross_validation_search(spark, sf):
     from pyspark.ml.tuning import ParamGridBuilder
     d = _data(spark, sf).withColumn("label", F.col(LABEL_REG))
     est = ML.tree_regressor("forest", numTrees=10)
-    grid = ML.random_search(ParamGridBuilder().addGrid(est.maxDepth, [2, 3, 4]).addGrid(est.numTrees, [5, 10]), 3)
+    grid = ML.random_search(ParamGridBuilder().addGrid(est.maxDepth, [2, 3, 4]).addGrid(est.numTrees, [5, 10]), 10)
     _, mean, sd = ML.cross_validate(ML.pipeline(CATEG, NUMERIC + FLAGS, est), d, "startup_id",
                                     ML.regression_evaluator("label"), k=3, grid=grid, parallelism=3)
     return spark.createDataFrame([(i, float(m), float(s)) for i, (m, s) in enumerate(zip(mean, sd))],
@@ -206,7 +212,7 @@ def m19_feature_importance(spark, sf):
 @query("m20_m21_choose_k")
 def m20_m21_choose_k(spark, sf):
     df = ML.cluster_features(_data(spark, sf), ["funding_rounds", "num_round_types_used", LABEL_REG])
-    res = ML.choose_k(df, [2, 3, 4], starts=2)
+    res = ML.choose_k(df)  # k from 2 to 8, ten starts each
     return spark.createDataFrame([(r["k"], float(r["inertia"]), float(r["silhouette"])) for r in res],
                                  "k int, inertia double, silhouette double")
 
@@ -237,18 +243,16 @@ def m24_learning_curve(spark, sf):
     d = _data(spark, sf).withColumn("label", F.col(LABEL_REG))
     est = ML.linear_regressor("linear")
     res = ML.learning_curve(ML.pipeline(CATEG, NUMERIC + FLAGS, est), d, "startup_id",
-                            ML.regression_evaluator("label"), [0.5, 1.0], k=3)
-    return spark.createDataFrame([(float(r["fraction"]), float(r["metric_mean"]), float(r["metric_sd"]))
-                                  for r in res],
-                                 "fraction double, r2_mean double, r2_sd double")
+                            ML.regression_evaluator("label"), [0.1, 0.28, 0.46, 0.64, 0.82, 1.0], k=3)
+    return spark.createDataFrame([(float(r["fraction"]), float(r["metric_mean"]), float(r["metric_sd"]),
+                                   float(r["training_metric"])) for r in res],
+                                 "fraction double, r2_mean double, r2_sd double, training_r2 double")
 
 
 @query("x1_permutation_importance")
 def x1_permutation_importance(spark, sf):
     m, test = _reg_fit(spark, sf, "forest")
-    ev = ML.regression_evaluator("label")
-    return X.permutation_importance(m, test, ["funding_rounds", "num_round_types_used"], "startup_id",
-                                    ev.evaluate, repeats=2)
+    return X.permutation_importance(m, test, NUMERIC + FLAGS + CATEG, "startup_id")  # every feature, ten repeats
 
 
 @query("x2_partial_dependence")
@@ -260,15 +264,14 @@ def x2_partial_dependence(spark, sf):
 @query("x3_ice")
 def x3_ice(spark, sf):
     m, test = _reg_fit(spark, sf, "forest")
-    return X.ice(m, test, "funding_rounds", [1, 2, 3, 4], "startup_id", rows=50)
+    return X.ice(m, test, "funding_rounds", [1, 2, 3, 4], "startup_id", rows=300)
 
 
 def _shapley(spark, sf):
     m, test = _reg_fit(spark, sf, "forest")
     feats = NUMERIC + FLAGS
-    explain = test.orderBy(F.xxhash64("startup_id"), "startup_id").limit(20)
-    others = explain.drop(*feats)
-    phi = X.sampled_shapley(m, explain, test, feats, "startup_id", samples=16)
+    others = test.drop(*feats)
+    phi = X.sampled_shapley(m, test, test, feats, "startup_id", samples=16)  # the whole test set
     return phi, others
 
 

@@ -63,9 +63,8 @@ def test_linear_fit_and_shapley_additivity(spark):
 def test_permutation_importance_and_pd(spark):
     df = _data(spark)
     m = ML.pipeline(["c"], ["x1", "x2"], ML.linear_regressor("linear")).fit(df)
-    ev = ML.regression_evaluator("label")
     imp = {r.feature: r.importance_mean for r in
-           X.permutation_importance(m, df, ["x1", "x2"], "id", ev.evaluate, repeats=2).collect()}
+           X.permutation_importance(m, df, ["x1", "x2"], "id", repeats=2).collect()}
     assert imp["x1"] > imp["x2"] > 0
     pd_ = X.partial_dependence(m, df, "x1", [0.0, 1.0]).orderBy("grid_value").collect()
     assert abs((pd_[1].average_output - pd_[0].average_output) - 2.0) < 0.05
