@@ -36,6 +36,10 @@ def modeling(spark, sf):
     return t.withColumn(LABEL_CLF, F.col(LABEL_CLF).cast("int"))
 
 
+_COMPLETE_SQL = """funding_rounds IS NOT NULL AND years_since_founded IS NOT NULL AND num_round_types_used IS NOT NULL
+  AND category_count IS NOT NULL AND log_funding_total_usd IS NOT NULL"""
+
+
 @query("m1_modeling_table", with_star("""
 WITH ti AS (SELECT primary_category FROM feat WHERE primary_category IS NOT NULL GROUP BY primary_category
             ORDER BY COUNT(*) DESC, primary_category LIMIT 5),
@@ -65,11 +69,15 @@ def _data(spark, sf):
     return M.complete_cases(modeling(spark, sf), _ALL)
 
 
-@query("m3_hash_split")
+# The hash has no SQL form; that the parts are both there, overlap nowhere and make up all rows has one.
+@query("m3_hash_split", with_star(f"SELECT COUNT(*) AS rows, 0 AS in_both, true AS both_parts FROM feat WHERE {_COMPLETE_SQL}"))
 def m3_hash_split(spark, sf):
     train, test = M.split(_data(spark, sf), "startup_id", 0.2)
-    return train.select(F.lit("train").alias("part")).unionByName(test.select(F.lit("test").alias("part"))) \
-        .groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    parts = train.select("startup_id", F.lit(1).alias("train"), F.lit(0).alias("test")).unionByName(
+        test.select("startup_id", F.lit(0).alias("train"), F.lit(1).alias("test")))
+    per = parts.groupBy("startup_id").agg(F.max("train").alias("train"), F.max("test").alias("test"))
+    return per.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.col("train") * F.col("test")).cast("int").alias("in_both"),
+                   ((F.max("train") == 1) & (F.max("test") == 1)).alias("both_parts"))
 
 
 # Sizes are exact and hash-independent: round(0.2 · n_class) rows of each class go to test.
@@ -217,6 +225,15 @@ def m20_m21_choose_k(spark, sf):
                                  "k int, inertia double, silhouette double")
 
 
+@query("m21_assigned_rows", with_star(f"SELECT COUNT(*) AS rows, 3 AS clusters FROM feat WHERE {_COMPLETE_SQL}"))
+def m21_assigned_rows(spark, sf):
+    """Every complete row is assigned to one of the clusters (which one has no SQL form)."""
+    df = ML.cluster_features(_data(spark, sf), ["funding_rounds", "num_round_types_used", LABEL_REG])
+    out = ML.assign_clusters(ML.choose_k(df, [3], starts=2)[0]["model"], df)
+    return out.where(F.col("cluster").isNotNull()).agg(F.count(F.lit(1)).alias("rows"),
+                                                       F.count_distinct("cluster").cast("int").alias("clusters"))
+
+
 @query("m22_cluster_profile", with_star("""
 WITH m AS (SELECT market, status, ROW_NUMBER() OVER (PARTITION BY market ORDER BY COUNT(*) DESC, status) AS rn
            FROM feat WHERE status IS NOT NULL GROUP BY market, status)
@@ -255,8 +272,19 @@ def x1_permutation_importance(spark, sf):
     return X.permutation_importance(m, test, NUMERIC + FLAGS + CATEG, "startup_id")  # every feature, ten repeats
 
 
-@query("x2_partial_dependence")
+# For a straight line the mean output at a grid value is the line itself.
+@query("x2_partial_dependence", with_star(f"""
+SELECT CAST(g AS DOUBLE) AS grid_value, a + b * g AS average_output FROM range(1, 7) r(g), (
+  SELECT regr_intercept(log_funding_total_usd, CAST(funding_rounds AS DOUBLE)) AS a,
+    regr_slope(log_funding_total_usd, CAST(funding_rounds AS DOUBLE)) AS b FROM feat WHERE {_COMPLETE_SQL}) s"""))
 def x2_partial_dependence(spark, sf):
+    d = _data(spark, sf).withColumn("label", F.col(LABEL_REG))
+    m = ML.pipeline([], ["funding_rounds"], ML.linear_regressor("linear")).fit(d)
+    return X.partial_dependence(m, d, "funding_rounds", [1, 2, 3, 4, 5, 6])
+
+
+@query("x2_partial_dependence_forest")
+def x2_partial_dependence_forest(spark, sf):
     m, test = _reg_fit(spark, sf, "forest")
     return X.partial_dependence(m, test, "funding_rounds", [1, 2, 3, 4, 5, 6])
 

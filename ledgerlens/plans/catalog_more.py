@@ -24,12 +24,13 @@ _DIM_COLS = {
     "industry": {"primary_category", "market"},
     "ff": {"ff_full_date", "ff_year"},
     "fd": {"fd_full_date", "fd_year"},
+    "ld": {"ld_full_date", "ld_year"},
 }
 
 
 def wide(spark, sf, cols=None):
-    """J6 + J7: fact ⋈ startup ⟕ geography ⟕ industry, plus the first-funding
-    and founded date roles.  With ``cols`` only the dimensions providing
+    """J6 + J7: fact ⋈ startup ⟕ geography ⟕ industry, plus the first-funding,
+    founded and last-funding date roles.  With ``cols`` only the dimensions providing
     those columns are joined (Spark cannot drop an outer join by itself)."""
     t = _wh(spark, sf)
     f, s, g, i, d = (t["fact_startup_funding"], t["dim_startup"], t["dim_geography"],
@@ -48,6 +49,8 @@ def wide(spark, sf, cols=None):
         j = join_date_role(j, d.select("date_id", "full_date", "year"), "first_funding_date_id", "ff_")
     if uses("fd"):
         j = join_date_role(j, d.select("date_id", "full_date", "year"), "founded_date_id", "fd_")
+    if uses("ld"):
+        j = join_date_role(j, d.select("date_id", "full_date", "year"), "last_funding_date_id", "ld_")
     j = j.withColumn("funding", F.col("funding_total_usd").cast("double"))
     return j if need is None else j.select(*cols)
 
@@ -475,12 +478,33 @@ SELECT 'founded' AS role, CAST(year(founded_at) AS INTEGER) AS year, COUNT(*) AS
 FROM feat WHERE founded_at IS NOT NULL GROUP BY 2
 UNION ALL
 SELECT 'first_funding', CAST(year(first_funding_at) AS INTEGER), COUNT(*) FROM feat
-WHERE first_funding_at IS NOT NULL GROUP BY 2"""))
+WHERE first_funding_at IS NOT NULL GROUP BY 2
+UNION ALL
+SELECT 'last_funding', CAST(year(last_funding_at) AS INTEGER), COUNT(*) FROM feat
+WHERE last_funding_at IS NOT NULL GROUP BY 2"""))
 def b5_date_role_switch(spark, sf):
     w = wide(spark, sf)
     a = B.measure_by_date_role(w, ["total_startups"], "fd_year").select(F.lit("founded").alias("role"), "*")
     b = B.measure_by_date_role(w, ["total_startups"], "ff_year").select(F.lit("first_funding").alias("role"), "*")
-    return a.unionByName(b)
+    c = B.measure_by_date_role(w, ["total_startups"], "ld_year").select(F.lit("last_funding").alias("role"), "*")
+    return a.unionByName(b).unionByName(c)
+
+
+@query("b2_total_investors", """
+SELECT s_nationkey, COUNT(DISTINCT s_suppkey) AS total_investors FROM supplier GROUP BY s_nationkey""")
+def b2_total_investors(spark, sf):
+    return B.measure(_tables(spark, sf)["supplier"], ["total_investors"], ["s_nationkey"], roles={"investor": "s_suppkey"})
+
+
+@query("b9_round_type_share", with_star("""
+SELECT market, round_type_name, CAST(SUM(amount_usd) AS DOUBLE) AS funding_by_round_type,
+  CAST(SUM(amount_usd) AS DOUBLE) / SUM(CAST(SUM(amount_usd) AS DOUBLE)) OVER (PARTITION BY market) AS share
+FROM fact_type JOIN feat USING (startup_id) GROUP BY market, round_type_name"""))
+def b9_round_type_share(spark, sf):
+    t = _wh(spark, sf)
+    rounds = (t["fact_funding_by_type"].join(t["dim_round_type"].select("round_type_id", "round_type_name"), "round_type_id")
+              .join(wide(spark, sf, ["startup_id", "market"]), "startup_id"))
+    return B.share_ignoring(rounds, "funding_by_round_type", ["market", "round_type_name"], "round_type_name")
 
 
 @query("b7_rank_and_top_flag", with_star("""

@@ -270,9 +270,32 @@ def h17_simple_regression(spark, sf):
                                  "intercept double, slope double, r2 double, n long")
 
 
-@query("h17_ols_table")
+_TWO = "CAST(funding_rounds AS DOUBLE)", "CAST(num_round_types_used AS DOUBLE)"
+
+
+# Two regressors: the normal equations in closed form.
+@query("h17_ols_table", with_star(f"""
+WITH m AS (SELECT COUNT(*) AS n, AVG({_TWO[0]}) AS m1, AVG({_TWO[1]}) AS m2, AVG({X}) AS my,
+  COUNT(*) * VAR_POP({_TWO[0]}) AS s11, COUNT(*) * VAR_POP({_TWO[1]}) AS s22, COUNT(*) * COVAR_POP({_TWO[0]}, {_TWO[1]}) AS s12,
+  COUNT(*) * COVAR_POP({_TWO[0]}, {X}) AS s1y, COUNT(*) * COVAR_POP({_TWO[1]}, {X}) AS s2y, COUNT(*) * VAR_POP({X}) AS syy
+  FROM feat WHERE {X} IS NOT NULL AND funding_rounds IS NOT NULL AND num_round_types_used IS NOT NULL),
+b AS (SELECT *, (s1y * s22 - s2y * s12) / (s11 * s22 - s12 * s12) AS b1, (s2y * s11 - s1y * s12) / (s11 * s22 - s12 * s12) AS b2 FROM m),
+v AS (SELECT *, (syy - b1 * s1y - b2 * s2y) / (n - 3) AS s2, s11 * s22 - s12 * s12 AS det FROM b),
+r AS (SELECT 'intercept' AS term, my - b1 * m1 - b2 * m2 AS coef, n - 3.0 AS df,
+    sqrt(s2 * (1.0 / n + (m1 * m1 * s22 + m2 * m2 * s11 - 2 * m1 * m2 * s12) / det)) AS se FROM v
+  UNION ALL SELECT 'funding_rounds', b1, n - 3.0, sqrt(s2 * s22 / det) FROM v
+  UNION ALL SELECT 'num_round_types_used', b2, n - 3.0, sqrt(s2 * s11 / det) FROM v)
+SELECT term, coef, se, coef / se AS t, round({_t_p('(coef / se)', 'df')}, 6) AS p FROM r"""))
 def h17_ols_table(spark, sf):
-    fit = H.ols(_w(spark, sf), X, ["funding_rounds", "years_since_founded", "num_round_types_used"], ["market"])
+    fit = H.ols(_w(spark, sf), X, ["funding_rounds", "num_round_types_used"])
+    rows = list(zip(fit["names"], fit["coef"], fit["se"], fit["t"], [round(p, 6) for p in fit["p"]]))
+    return spark.createDataFrame(rows, "term string, coef double, se double, t double, p double")
+
+
+@query("h17_ols_categorical")
+def h17_ols_categorical(spark, sf):
+    """With a column per level of the three most frequent markets."""
+    fit = H.ols(_w(spark, sf), X, ["funding_rounds", "years_since_founded", "num_round_types_used"], ["market"], top_n=3)
     rows = list(zip(fit["names"], fit["coef"], fit["se"], fit["t"], fit["p"]))
     return spark.createDataFrame(rows, "term string, coef double, se double, t double, p double")
 
@@ -290,10 +313,18 @@ def h18_vif(spark, sf):
     return spark.createDataFrame(list(v.items()), "feature string, vif double")
 
 
-@query("h19_breusch_pagan")
+# One regressor: R² of the squared residuals of the fitted line; with one degree of freedom the
+# chi-square tail is that of a normal, and the F tail that of Student's t.
+@query("h19_breusch_pagan", with_star(f"""
+WITH d AS (SELECT {X} AS y, CAST(funding_rounds AS DOUBLE) AS x FROM feat WHERE {X} IS NOT NULL AND funding_rounds IS NOT NULL),
+l AS (SELECT regr_intercept(y, x) AS a, regr_slope(y, x) AS b FROM d),
+e AS (SELECT x, (y - a - b * x) * (y - a - b * x) AS e2 FROM d, l),
+q AS (SELECT COUNT(*) AS n, regr_r2(e2, x) AS r2 FROM e),
+s AS (SELECT n * r2 AS lm, r2 / ((1 - r2) / (n - 2)) AS f, n - 2.0 AS df FROM q)
+SELECT lm, round({_norm_p('sqrt(lm)')}, 6) AS lm_p, f, round({_t_p('sqrt(f)', 'df')}, 6) AS f_p FROM s"""))
 def h19_breusch_pagan(spark, sf):
-    r = H.breusch_pagan(_w(spark, sf), X, ["funding_rounds", "num_round_types_used"])
-    return spark.createDataFrame([(r["lm"], r["lm_p"], r["f"], r["f_p"])], "lm double, lm_p double, f double, f_p double")
+    r = _rounded(H.breusch_pagan(_w(spark, sf), X, ["funding_rounds"]), "lm_p", "f_p")
+    return _row(spark, r, ["lm", "lm_p", "f", "f_p"])
 
 
 @query("h20_jarque_bera", with_star(f"""

@@ -30,6 +30,7 @@ class Measure:
     build: Callable[[Mapping[str, str]], Column] | None
     quantile: float | None = None      # exact quantile of the value column instead of an expression
     doc: str = ""
+    fact: str = "entity"               # the fact it is defined over: entity, round (one row per entity and type), investor
 
 
 def _n(cond=None):
@@ -47,6 +48,7 @@ DEFAULT_ROLES = {
     "age": "years_since_founded", "country": "country_name", "unicorn": "is_unicorn",
     "exited": "is_exited", "closed": "is_closed", "multi_round": "is_multi_round",
     "stage": "furthest_stage_category", "status": "status",
+    "amount": "amount_usd", "investor": "investor_id",
 }
 
 
@@ -87,6 +89,9 @@ REGISTRY: dict[str, Measure] = {m.name: m for m in [
     Measure("multi_round_success_lift", lambda r: F.try_divide(
         _exit_rate(r, F.col(r["status"]).isNotNull() & F.col(r["multi_round"])),
         _exit_rate(r, ~F.col(r["multi_round"])))),
+    # B2, B9 over their own facts
+    Measure("total_investors", lambda r: F.count_distinct(r["investor"]), doc="DISTINCTCOUNT(investor)", fact="investor"),
+    Measure("funding_by_round_type", lambda r: F.sum(F.col(r["amount"]).cast("decimal(18,2)")).cast("double"), fact="round"),
     # B8
     Measure("funding_p90", None, quantile=0.9, doc="PERCENTILEX.INC(value, 0.9)"),
 ]}
@@ -94,7 +99,11 @@ REGISTRY: dict[str, Measure] = {m.name: m for m in [
 
 def measure(df: DataFrame, names: Sequence[str], by: Sequence[str] = (), filters: Column | str | None = None,
             roles: Mapping[str, str] | None = None) -> DataFrame:
-    """Evaluate registered measures per group in one aggregation."""
+    """Evaluate registered measures per group in one aggregation over ``df``,
+    which holds the fact that all of them are defined over."""
+    facts = {REGISTRY[n].fact for n in names}
+    if len(facts) > 1:
+        raise ValueError(f"measures of different facts: {sorted(facts)}")
     r = {**DEFAULT_ROLES, **(roles or {})}
     src = df
     if filters is not None:
@@ -148,6 +157,7 @@ def share_ignoring(df: DataFrame, value_measure: str, by: Sequence[str], ignore:
     return with_tot.select(*agg.columns, _ratio(F.col(value_measure), F.col("__tot")).alias(name))
 
 
+# Thresholds of the status colours and of the top flag.
 def kpi_status(rate: Column, green: float = 0.15, amber: float = 0.08) -> Column:
     """Green / Amber / Red by thresholds."""
     return tier(rate, [green, amber], ["Green", "Amber"], default="Red")
