@@ -74,3 +74,16 @@ def test_kmeans_choose_k(spark):
     df = ML.cluster_features(_data(spark), ["x1", "x2"])
     res = ML.choose_k(df, [2, 3], starts=2)
     assert [r["k"] for r in res] == [2, 3] and res[1]["inertia"] <= res[0]["inertia"]
+
+
+def test_shapley_uses_all_of_a_large_background(spark):
+    """More than 10,000 background rows: each can be drawn, and a bound is the caller's."""
+    df = spark.range(12_000).selectExpr("id", "CAST(id AS DOUBLE) AS x1", "CAST(0 AS DOUBLE) AS x2", "'a' AS c",
+                                        "CAST(id AS DOUBLE) AS label")
+    m = ML.pipeline([], ["x1", "x2"], ML.linear_regressor("linear")).fit(df.where("id < 200"))
+    explain = df.where("id >= 11000 and id < 11400")
+    whole = X.sampled_shapley(m, explain, df, ["x1", "x2"], "id", samples=16)
+    mean = whole.where("feature = 'x1'").agg(F.avg("phi")).first()[0]
+    assert abs(mean - (11_200 - 6_000)) < 300  # against the mean of all 12,000 rows
+    few = X.sampled_shapley(m, explain, df, ["x1", "x2"], "id", samples=4, background_rows=10)
+    assert few.count() == 800

@@ -22,7 +22,7 @@ def test_append_missing_keeps_null_keys(spark):
     other = spark.createDataFrame([("a", "n1"), ("c", "n2"), (None, "n3")], "k string, name string")
     out = J.append_missing(base, other, "k")
     assert out.count() == 3
-    assert {r.name for r in out.where(F.col("v").isNull()).collect()} == {"n2", "n3"}
+    assert {r.k for r in out.where(F.col("v").isNull()).collect()} == {"c", None}
 
 
 def test_lookup_key_composite_nullable(spark):
@@ -140,3 +140,39 @@ def test_skewness_stable_under_large_offset(spark):
     m2, m3 = ((a - a.mean()) ** 2).mean(), ((a - a.mean()) ** 3).mean()
     want = (m3 / m2 ** 1.5) * np.sqrt(n * (n - 1)) / (n - 2)
     assert abs(A.skewness(df, "x").first()[0] - want) < 1e-6
+
+
+def test_append_missing_has_the_columns_of_the_base(spark):
+    base = spark.createDataFrame([(1, "a")], "k int, v string")
+    other = spark.createDataFrame([(1, 9), (2, 9), (None, 9)], "k int, extra int")
+    out = J.append_missing(base, other, "k")
+    assert out.columns == ["k", "v"]
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted([(1, "a"), (2, None), (None, None)], key=repr)
+
+
+def test_match_rate_is_a_share_of_the_reference(spark):
+    from ledgerlens.operators import quality as Q
+    rows = spark.createDataFrame([(True,), (False,), (True,), (None,)], "m boolean")
+    r = Q.match_rate(rows, "m", spark.range(8)).first()
+    assert (r.matched, r.reference_rows, r.match_pct) == (2, 8, 25.0)
+    assert Q.match_rate(rows, "m", spark.range(0)).first().match_pct is None
+
+
+def test_percent_below(spark):
+    from ledgerlens.operators.windows import percent_below
+    known = spark.createDataFrame([(float(v),) for v in [1, 2, 2, 3]] + [(None,)], "a double")
+    asked = spark.createDataFrame([(0.5,), (2.0,), (2.5,), (9.0,), (None,)], "p double")
+    got = {r.p: r.percentile for r in percent_below(asked, "p", known, "a").collect()}
+    assert got == {0.5: 0.0, 2.0: 25.0, 2.5: 75.0, 9.0: 100.0, None: None}
+
+
+def test_quantile_names_do_not_collide(spark):
+    from ledgerlens.operators import aggregate as AG
+    out = AG.quantiles(spark.range(1, 1002).selectExpr("CAST(id AS DOUBLE) AS x"), "x", [0.05, 0.5, 0.99, 0.991])
+    assert out.columns == ["p05", "p50", "p99", "p99_1"] and tuple(out.first()) == (51.0, 501.0, 991.0, 992.0)
+
+
+def test_top_n_spreads_equal_rows_of_a_hot_group(spark):
+    from ledgerlens.operators.windows import top_n_per_group
+    df = spark.range(500).selectExpr("'hot' AS g", "7 AS v")
+    assert top_n_per_group(df, "g", "v", 20, salts=4, ties=False).count() == 20

@@ -86,3 +86,61 @@ def test_save_and_load_model(spark, tmp_path):
     back = S.load_model(path)
     assert abs(back.stages[-1].coefficients[0] - 2.0) < 1e-6
     assert os.path.isdir(path)
+
+
+def test_registry_binds_its_tables(spark, tmp_path):
+    """Two warehouses with the same table names are open at once; each run reads the one it is given."""
+    reg = WH.QueryRegistry({"total": "SELECT SUM(x) AS s FROM {fact}"})
+    opened = []
+    for i, n in enumerate((3, 5)):
+        root = str(tmp_path / f"wh{i}")
+        WH.load_warehouse({"fact": spark.range(n).selectExpr("id AS x")}, root)
+        opened.append(WH.read_warehouse(spark, root))
+    assert [reg.run(spark, "total", t).first()["s"] for t in opened] == [3, 10]
+    assert reg.run(spark, "total", opened[0]).first()["s"] == 3
+
+
+def test_readers_always_find_a_version_while_others_publish(spark, tmp_path):
+    import threading
+    root = str(tmp_path / "wh")
+    WH.load_warehouse({"t": spark.range(1)}, root)
+    stop, faults = threading.Event(), []
+
+    def read():
+        while not stop.is_set():
+            try:
+                WH.current_version(spark, root)
+            except Exception as e:  # noqa: BLE001
+                faults.append(e)
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    versions = [WH.load_warehouse({"t": spark.range(i)}, root) for i in range(2, 7)]
+    stop.set()
+    reader.join()
+    assert not faults
+    assert versions == sorted(set(versions)) and WH.current_version(spark, root)[0] == versions[-1]
+    assert WH.read_warehouse(spark, root)["t"].count() == 6
+    kept = [p.name for p in (tmp_path / "wh").iterdir() if p.name.startswith("v")]
+    assert sorted(kept) == versions[-2:]  # older versions are gone
+
+
+def test_star_follows_its_sources(spark, tmp_path):
+    from ledgerlens.plans.star import SOURCES, warehouse
+    src = "/root/testdata/sf0.001"
+    for t in SOURCES:
+        spark.read.parquet(f"{src}/{t}.parquet").write.parquet(str(tmp_path / f"{t}.parquet"))
+    first = warehouse(spark, str(tmp_path))["fact_startup_funding"].count()
+    spark.read.parquet(f"{src}/customer.parquet").where("c_custkey % 2 = 0").write.mode("overwrite").parquet(
+        str(tmp_path / "customer.parquet"))
+    again = warehouse(spark, str(tmp_path))["fact_startup_funding"].count()
+    assert 0 < again < first
+
+
+def test_star_with_broken_constraints_is_not_published(spark):
+    from ledgerlens.operators.quality import ConstraintViolated, require_constraints
+    tables = {"dim": spark.createDataFrame([(1,), (1,)], "k int"), "fact": spark.createDataFrame([(2,)], "k int")}
+    with pytest.raises(ConstraintViolated, match="primary_key_duplicates"):
+        require_constraints(tables, {"dim": {"primary_key": ["k"]}})
+    with pytest.raises(ConstraintViolated, match="foreign_key_orphans:dim"):
+        require_constraints(tables, {"fact": {"foreign_keys": [(["k"], "dim", ["k"])]}})

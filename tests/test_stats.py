@@ -157,3 +157,39 @@ def test_ols_stable_under_large_offsets(spark):
     r2 = 1 - resid @ resid / ((y - y.mean()) @ (y - y.mean()))
     assert np.allclose(fit["coef"][1:], beta[1:], atol=1e-6)
     assert abs(fit["r2"] - r2) < 1e-8
+
+
+def test_tails_converge_at_any_size():
+    import math
+
+    from ledgerlens.operators import dist
+    assert abs(dist.chi2_sf(1e6, 1e6) - 0.499812) < 1e-5 and abs(dist.chi2_sf(1e7, 1e7) - 0.499941) < 1e-5
+    assert abs(dist.chi2_sf(3.841458820694124, 1) - 0.05) < 1e-12
+    assert abs(dist.t_two_sided(1.96, 1e13) - 2 * dist.norm_sf(1.96)) < 1e-9
+    for t in (0.3, 1.96, 5.0):  # the series takes over from the beta without a step
+        assert abs(dist.t_two_sided(t, 1000.0) - dist.t_two_sided(t, 1000.0001)) < 1e-9
+    assert abs(dist.t_ppf(0.975, 10) - 2.228138851964939) < 1e-9 and abs(dist.t_ppf(0.975, 1) - 12.706204736432095) < 1e-7
+    assert abs(dist.tukey_sf(3.5, 5, 4999) - dist.tukey_sf(3.5, 5, 5001)) < 1e-6
+    assert abs(dist.tukey_sf(3.5, 5, 1e9) - dist.tukey_sf(3.5, 5, math.inf)) < 1e-6
+    assert abs(dist.tukey_sf(3.877, 3, 10) - 0.05) < 1e-3  # table value
+    assert abs(dist.f_sf(1.0, 1e6, 1e6) - 0.5) < 1e-9
+
+
+def test_pairwise_tests_bound_their_groups(spark):
+    import pytest
+    df = spark.range(60).selectExpr("CAST(id % 6 AS STRING) AS g", "CAST(id * id % 17 AS DOUBLE) AS x")
+    assert len(H.tukey_hsd(df, "g", "x")) == 15 and len(H.pairwise_welch_bonferroni(df, "g", "x")) == 15
+    with pytest.raises(ValueError):
+        H.tukey_hsd(df, "g", "x", max_groups=5)
+    with pytest.raises(ValueError):
+        H.design_levels(df, ["g"], max_levels=5)
+
+
+def test_residuals_use_the_levels_of_the_fit(spark):
+    rows = [(float(i), "abc"[i % 3], 2.0 * i + {"a": 0.0, "b": 5.0, "c": 9.0}["abc"[i % 3]]) for i in range(30)]
+    df = spark.createDataFrame(rows, "x double, g string, y double")
+    fit = H.ols(df, "y", ["x"], ["g"])
+    part = H.residual_table(df.where("g <> 'a'"), "y", fit)  # lacks the reference level
+    assert max(abs(r.residual) for r in part.collect()) < 1e-9
+    new = spark.createDataFrame([(1.0, "z", 3.0)], df.schema)
+    assert H.residual_table(new, "y", fit).first().fitted is None

@@ -48,8 +48,9 @@ def main() -> None:
     total = df.count()
 
     runs = {
-        "group_quantiles": lambda: group_quantiles(df, ["g"], "l_extendedprice", {"median": 0.5, "p90": 0.9},
-                                                   small_rows=0),
+        "group_quantiles": lambda: group_quantiles(df, ["g"], "l_extendedprice", {"median": 0.5, "p90": 0.9}),
+        "group_quantiles, a third of the values equal": lambda: group_quantiles(
+            df.withColumn("v", F.when(F.col("g") == "hot", 0.0).otherwise(F.col("l_extendedprice"))), [], "v", {"median": 0.5}),
         "dedupe_keep_first": lambda: U.dedupe_keep_first(df, ["g"], ["l_orderkey", "l_linenumber", "l_partkey"]),
         "mode_by": lambda: A.mode_by(df, "g", "l_returnflag"),
         "top_n_per_group": lambda: W.top_n_per_group(df, "g", "l_extendedprice", 10),
