@@ -103,9 +103,10 @@ def mean_by(df: DataFrame, by: str, value: str, name: str = "mean") -> DataFrame
 # ----------------------------------------------------------------------------- A6, A14
 def share_of_total(agg: DataFrame, column: str, name: str = "share_pct",
                    decimals: int | None = None) -> DataFrame:
-    """Each row's share of the column total (aggregated input)."""
-    pct = F.col(column).cast("double") * 100 / F.sum(column).over(small_window()).cast("double")
-    return agg.withColumn(name, F.round(pct, decimals) if decimals is not None else pct)
+    """Each row's share of the column total."""
+    with_total = attach_row(agg, agg.agg(F.sum(column).alias("__total")))
+    pct = F.col(column).cast("double") * 100 / F.col("__total").cast("double")
+    return with_total.withColumn(name, F.round(pct, decimals) if decimals is not None else pct).drop("__total")
 
 
 def group_share(df: DataFrame, by: str, value: str, total: str = "total",
@@ -225,11 +226,6 @@ def skewness(df: DataFrame, column: str, by: Sequence[str] = (), log1p: bool = F
     return (df.groupBy(*by) if by else df.groupBy()).agg(adj.alias(name))
 
 
-def skewness_stable(df: DataFrame, column: str, name: str = "skewness") -> DataFrame:
-    """A17 without grouping (kept for callers of the earlier name)."""
-    return skewness(df, column, name=name)
-
-
 # ----------------------------------------------------------------------------- A18
 def histogram(df: DataFrame, column: str, bins: int = 10) -> DataFrame:
     """Equal-width bins between min and max; the last bin is closed.
@@ -309,11 +305,11 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Count, mean and sample standard deviation per column (long form, numeric)."""
-    parts = [df.agg(F.lit(c).alias("column"), F.count(c).alias("count"),
-                    F.avg(F.col(c).cast("double")).alias("mean"),
-                    F.stddev_samp(F.col(c).cast("double")).alias("std")) for c in cols]
-    from functools import reduce
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    wide = df.agg(*[a for i, c in enumerate(cols) for a in (
+        F.count(c).alias(f"n{i}"), F.avg(F.col(c).cast("double")).alias(f"m{i}"),
+        F.stddev_samp(F.col(c).cast("double")).alias(f"s{i}"))])
+    rows = ", ".join(f"'{c}', n{i}, m{i}, s{i}" for i, c in enumerate(cols))
+    return wide.selectExpr(f"stack({len(cols)}, {rows}) AS (column, count, mean, std)")
 
 
 # ----------------------------------------------------------------------------- A22, A24

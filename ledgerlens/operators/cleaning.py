@@ -55,10 +55,13 @@ def fix_values(df: DataFrame, key: str, value: str, fixes: Mapping[str, str]) ->
 
 def map_codes(df: DataFrame, col: str, out: str, lookup: DataFrame, lookup_key: str,
               lookup_value: str, overrides: Mapping[str, str] | None = None) -> DataFrame:
-    """Code lookup — manual override first, then the reference table
-    (a broadcast-sized code list), else null.  Works in either direction."""
-    ref = lookup.select(F.col(lookup_key).alias("__lk"), F.col(lookup_value).alias("__lv")).distinct()
-    j = df.join(F.broadcast(ref), df[col] == ref["__lk"], "left")
+    """Code lookup — manual override first, then the reference table,
+    else null.  The table is data: swap key and value for the other
+    direction.  A key listed more than once gives its smallest value, so rows
+    never multiply; Spark broadcasts the table if it is small."""
+    ref = lookup.where(F.col(lookup_key).isNotNull()).groupBy(F.col(lookup_key).alias("__lk")).agg(
+        F.min(lookup_value).alias("__lv"))
+    j = df.join(ref, df[col] == ref["__lk"], "left")
     ov = C.literal_map(overrides)[F.col(col)] if overrides else F.lit(None).cast("string")
     return j.withColumn(out, F.coalesce(ov, F.col("__lv").cast("string"))).drop("__lk", "__lv")
 

@@ -7,12 +7,12 @@ sort; threshold sweeps are one pass of conditional sums.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ordering import attach_row, group_quantiles, running_totals, with_quantiles
+from .ordering import attach_row, running_totals, with_quantiles
 
 
 def _x(c):
@@ -171,6 +171,14 @@ def worst_predictions(df: DataFrame, label: str, pred: str, n: int = 10, key: Se
     return df.withColumn("abs_error", e).orderBy(F.col("abs_error").desc(), *key).limit(n)
 
 
+def error_buckets(df: DataFrame, label: str, pred: str, edges: Sequence[float]) -> DataFrame:
+    """Rows and mean absolute error per bucket of the absolute error:
+    bucket ``i`` holds errors from ``edges[i - 1]`` up to below ``edges[i]``."""
+    src = df.select(F.abs(_x(pred) - _x(label)).alias("e")).where(F.col("e").isNotNull())
+    bucket = sum((F.when(F.col("e") >= F.lit(float(x)), 1).otherwise(0) for x in edges), F.lit(0))
+    return src.groupBy(bucket.cast("int").alias("bucket")).agg(F.count(F.lit(1)).alias("n"), F.avg("e").alias("mae"))
+
+
 def error_by(df: DataFrame, label: str, pred: str, group: str) -> DataFrame:
     """Mean absolute error and count per group."""
     return df.groupBy(group).agg(F.avg(F.abs(_x(pred) - _x(label))).alias("mae"), F.count(F.lit(1)).alias("n"))
@@ -194,16 +202,10 @@ def residual_distribution(df: DataFrame, label: str, pred: str) -> DataFrame:
 
 
 def leakage_check(df: DataFrame, label: str, candidates: Sequence[str]) -> DataFrame:
-    """Correlation of each candidate with the label on pairwise-complete rows."""
-    parts = [df.where(F.col(c).isNotNull() & F.col(label).isNotNull())
-               .agg(F.lit(c).alias("feature"), F.corr(_x(c), _x(label)).alias("corr"),
-                    F.count(F.lit(1)).alias("n")) for c in candidates]
-    from functools import reduce
-    return reduce(lambda a, b: a.unionByName(b), parts)
-
-
-def median_of(df: DataFrame, col: str) -> DataFrame:
-    return group_quantiles(df, [], col, {"median": 0.5})
-
-
-_ = Mapping
+    """Correlation of each candidate with the label on pairwise-complete
+    rows (``corr`` itself leaves out rows with a null), in one pass."""
+    wide = df.agg(*[a for i, c in enumerate(candidates) for a in (
+        F.corr(_x(c), _x(label)).alias(f"r{i}"),
+        F.count_if(F.col(c).isNotNull() & F.col(label).isNotNull()).alias(f"n{i}"))])
+    rows = ", ".join(f"'{c}', r{i}, n{i}" for i, c in enumerate(candidates))
+    return wide.selectExpr(f"stack({len(candidates)}, {rows}) AS (feature, corr, n)")

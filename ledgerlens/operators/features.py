@@ -6,7 +6,6 @@ repartitioning and re-execution, unlike ``randomSplit``.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -53,7 +52,7 @@ def stratified_split(df: DataFrame, label: str, key: str, test_fraction: float =
     h = df.withColumn("__h", hash_unit(key, seed))
     numbered = global_row_number(h, [F.col(label).asc_nulls_first(), "__h", key], "__rn")
     per = numbered.groupBy(label).agg(F.min("__rn").alias("__s"), F.count(F.lit(1)).alias("__n"))
-    j = numbered.join(F.broadcast(per), numbered[label].eqNullSafe(per[label]), "inner").drop(per[label])
+    j = numbered.join(per, numbered[label].eqNullSafe(per[label]), "inner").drop(per[label])
     cut = F.round(F.col("__n") * F.lit(test_fraction))
     return j.withColumn("is_test", (F.col("__rn") - F.col("__s")) < cut).drop("__h", "__rn", "__s", "__n")
 
@@ -85,12 +84,16 @@ def impute_constant(df: DataFrame, cols: Sequence[str], value: str = "Unknown")
 
 
 def impute_median(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """M6: numeric gaps as the column's exact median (distributed quantile)."""
+    """M6: numeric gaps as the column's exact median: one distributed quantile
+    over (column, value) pairs for all columns."""
     from .ordering import group_quantiles
-    med = {}
-    for c in cols:
-        med[c] = group_quantiles(df, [], c, {"m": 0.5}).first()["m"]
-    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(med[c])) for c in cols})
+    pairs = ", ".join(f"'{i}', CAST(`{c}` AS DOUBLE)" for i, c in enumerate(cols))
+    long = df.selectExpr(f"stack({len(cols)}, {pairs}) AS (col, value)")
+    found = group_quantiles(long, ["col"], "value", {"m": 0.5})
+    wide = found.agg(*[F.max(F.when(F.col("col") == str(i), F.col("m"))).alias(f"__med{i}") for i in range(len(cols))])
+    out = attach_row(df, wide)
+    return out.withColumns({c: F.coalesce(F.col(c).cast("double"), F.col(f"__med{i}")) for i, c in enumerate(cols)}) \
+              .drop(*[f"__med{i}" for i in range(len(cols))])
 
 
 def standardise(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -142,7 +145,4 @@ def class_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
     tot = counts.agg(F.sum("__nc").alias("__n"), F.count(F.lit(1)).alias("__k"))
     w = attach_row(counts, tot) \
               .select(label, (F.col("__n") / (F.col("__k") * F.col("__nc"))).alias(name))
-    return df.join(F.broadcast(w), label, "left")
-
-
-_ = math
+    return df.join(w, label, "left")  # small for few classes: Spark broadcasts it then

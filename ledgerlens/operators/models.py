@@ -156,11 +156,12 @@ def cluster_profile(df: DataFrame, cluster: str, value: str, means: Sequence[str
                     mode_col: str | None = None) -> DataFrame:
     """Count, % of rows, median of ``value``, means, rates and mode per cluster."""
     from .aggregate import mode_by
-    from .ordering import small_window, with_quantiles
+    from .ordering import attach_row, with_quantiles
     agg = df.groupBy(cluster).agg(F.count(F.lit(1)).alias("n"),
                                   *[F.avg(F.col(m).cast("double")).alias(f"mean_{m}") for m in means],
                                   *[F.avg(F.col(r).cast("double")).alias(f"rate_{r}") for r in rates])
-    agg = agg.withColumn("pct_of_rows", F.col("n").cast("double") * 100 / F.sum("n").over(small_window()))
+    agg = attach_row(agg, agg.agg(F.sum("n").alias("__all"))).withColumn(
+        "pct_of_rows", F.col("n").cast("double") * 100 / F.col("__all")).drop("__all")
     agg = with_quantiles(agg, df, [cluster], value, {"median": 0.5})
     if mode_col:
         agg = agg.join(mode_by(df, cluster, mode_col, "mode"), cluster, "left")

@@ -167,6 +167,12 @@ class RowCountChanged(AssertionError):
     pass
 
 
+def assert_unique(df: DataFrame, keys: Sequence[str]) -> None:
+    """A left join onto ``df`` cannot fan out, since no key (nulls included) occurs twice."""
+    if not df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+        raise RowCountChanged(f"repeated keys on {list(keys)}")
+
+
 def assert_same_rows(before: DataFrame, after: DataFrame) -> int:
     """Fan-out guard — the join must not change the row count."""
     b, a = before.count(), after.count()

@@ -81,11 +81,6 @@ def crosstab(df: DataFrame, row: str, column: str, values: Sequence | None = Non
     return p.count().na.fill(0)
 
 
-def crosstab_long(df: DataFrame, row: str, column: str) -> DataFrame:
-    """U6, long form: counts of present pairs, ``(row, column, n)``."""
-    return df.groupBy(row, column).agg(F.count(F.lit(1)).alias("n"))
-
-
 def compare_keys(a: DataFrame, b: DataFrame, key: str, b_key: str | None = None) -> DataFrame:
     """Every distinct non-null key with the side(s) holding it."""
     b_key = b_key or key
@@ -111,8 +106,3 @@ def reindex_categories(df: DataFrame, column: str, order: Sequence[str],
 def literal_table(spark, rows: Sequence, schema: str) -> DataFrame:
     """A small static table (size fixed by the caller's literal)."""
     return spark.createDataFrame(list(rows), schema)
-
-
-def mapping_table(spark, mapping: Mapping, key: str, value: str,
-                  value_type: str = "string") -> DataFrame:
-    return spark.createDataFrame(list(mapping.items()), f"{key} string, {value} {value_type}")

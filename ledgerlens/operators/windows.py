@@ -86,17 +86,19 @@ def pareto(df: DataFrame, key: str, value: str, total: str = "total_funding",
            decimals: int = 2) -> DataFrame:
     """Totals per key, rank, share and cumulative share of the grand total.
 
-    The cumulative sum uses the default ``RANGE`` frame: keys with equal
-    totals share the value.  Runs on one row per key.
+    Keys with equal totals share the cumulative value.  Counted per distinct
+    total first; one running sum over those gives rank and cumulative value.
     """
-    agg = df.groupBy(key).agg(F.sum(F.col(value).cast("decimal(18,2)")).alias(total))
-    grand = F.sum(total).over(small_window())
-    running = F.sum(total).over(small_window([F.col(total).desc()]))
-    return agg.select(
-        key, F.col(total).cast("double").alias(total),
-        F.rank().over(small_window([F.col(total).desc()])).cast("long").alias(rank_col),
-        F.round(F.col(total).cast("double") / grand.cast("double") * 100, decimals).alias(pct),
-        F.round(running.cast("double") / grand.cast("double") * 100, decimals).alias(cum))
+    agg = df.groupBy(key).agg(F.sum(F.col(value).cast("decimal(18,2)")).alias("__t"))
+    per = agg.groupBy(F.col("__t").alias("__v")).agg(F.count(F.lit(1)).alias("__n"), F.sum("__t").alias("__s"))
+    run = running_totals(per, [F.col("__v").desc_nulls_last()], ["__n", "__s"], prefix="__cum")
+    run = attach_row(run, per.agg(F.sum("__s").alias("__all")))
+    ranked = run.select("__v", (F.col("__cum__n") - F.col("__n") + 1).cast("long").alias("__rank"), "__cum__s", "__all")
+    j = agg.join(ranked, agg["__t"].eqNullSafe(ranked["__v"]))
+    grand = F.col("__all").cast("double")
+    return j.select(key, F.col("__t").cast("double").alias(total), F.col("__rank").alias(rank_col),
+                    F.round(F.col("__t").cast("double") / grand * 100, decimals).alias(pct),
+                    F.round(F.col("__cum__s").cast("double") / grand * 100, decimals).alias(cum))
 
 
 def pareto_rowwise(df: DataFrame, key: str, value: str, total: str = "total_funding",
@@ -104,14 +106,12 @@ def pareto_rowwise(df: DataFrame, key: str, value: str, total: str = "total_fund
                    decimals: int = 2) -> DataFrame:
     """Running sum of already-rounded shares, row by row, ties by key."""
     agg = df.groupBy(key).agg(F.sum(F.col(value).cast("decimal(18,2)")).alias(total))
-    grand = F.sum(total).over(small_window())
-    share = F.round(F.col(total).cast("double") / grand.cast("double") * 100, decimals)
-    with_share = agg.select(key, total, share.alias(pct),
-                            F.rank().over(small_window([F.col(total).desc()])).cast("long").alias(rank_col))
-    frame = small_window([F.col(total).desc(), F.col(key).asc()]).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    return with_share.select(key, F.col(total).cast("double").alias(total), rank_col, pct,
-                             F.round(F.sum(pct).over(frame), decimals).alias(cum))
+    with_all = attach_row(agg, agg.agg(F.sum(total).alias("__all")))
+    share = F.round(F.col(total).cast("double") / F.col("__all").cast("double") * 100, decimals)
+    ranked = global_ranks(with_all.withColumn(pct, share).drop("__all"), {rank_col: total})
+    out = running_totals(ranked, [F.col(total).desc(), F.col(key).asc()], [pct], prefix="__cum_")
+    return out.select(key, F.col(total).cast("double").alias(total), rank_col, pct,
+                      F.round(F.col("__cum_" + pct), decimals).alias(cum))
 
 
 # ----------------------------------------------------------------------------- W5, W6

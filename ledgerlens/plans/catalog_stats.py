@@ -498,6 +498,13 @@ def e9_error_by_group(spark, sf):
     return E.error_by(_scored(spark, sf), "actual", "predicted", "l_returnflag")
 
 
+@query("e9_error_buckets", with_star("""
+SELECT CAST((e >= 5000) AS INTEGER) + CAST((e >= 20000) AS INTEGER) + CAST((e >= 50000) AS INTEGER) AS bucket,
+  COUNT(*) AS n, AVG(e) AS mae FROM (SELECT ABS(predicted - actual) AS e FROM scored) x GROUP BY 1"""))
+def e9_error_buckets(spark, sf):
+    return E.error_buckets(_scored(spark, sf), "actual", "predicted", [5000, 20000, 50000])
+
+
 @query("e10_miss_profile", with_star(f"""
 SELECT CASE WHEN {_PRED} = 1 THEN 'true_positive' ELSE 'false_negative' END AS outcome, COUNT(*) AS n,
   AVG(CAST(actual AS DOUBLE)) AS mean_actual, AVG(CAST(predicted AS DOUBLE)) AS mean_predicted,
