@@ -15,7 +15,7 @@ from ..operators import reshape as U
 from ..operators import text as K
 from ..sources.files import text_lines
 from . import domain, testbed
-from .catalog import _tables, _wh, query
+from .catalog import CATALOG, _tables, _wh, query
 from .catalog_more import wide
 from .oracle_ctes import with_star
 from .star import star_from_tables, startup_entities
@@ -608,19 +608,44 @@ def d16_warehouse_inventory(spark, sf):
     return D.warehouse_inventory({n: t[n] for n in ["fact_startup_funding", "fact_funding_by_type", "dim_round_type"]})
 
 
-@query("d17_quality_report", with_star("""
-SELECT 'validity' AS section, 'funding_total_usd:' || metric AS "check", value FROM (
-  SELECT 'non_null' AS metric, CAST(COUNT(funding_total_usd) AS DOUBLE) AS value FROM star
-  UNION ALL SELECT 'min', MIN(CAST(funding_total_usd AS DOUBLE)) FROM star
-  UNION ALL SELECT 'max', MAX(CAST(funding_total_usd AS DOUBLE)) FROM star
-  UNION ALL SELECT 'non_positive', CAST(COUNT(*) FILTER (WHERE funding_total_usd <= 0) AS DOUBLE) FROM star) v
-UNION ALL SELECT 'duplicates', 'duplicate_rows', CAST(COUNT(*) - COUNT(DISTINCT (l_orderkey, l_linenumber)) AS DOUBLE)
-  FROM lineitem"""))
+# Section -> (query, label columns, value columns); the report and its SQL twin are the union of these.
+_SECTIONS = {
+    "rows": ("d1_row_reconciliation", ["source"], ["raw_rows", "blank_rows", "kept_rows"]),
+    "nulls": ("d2_null_profile", ["column"], ["null_pct"]),
+    "validity": ("d3_validity", ["column"], ["non_null", "min", "max", "non_positive"]),
+    "duplicates": ("d4_duplicate_keys", [], ["duplicate_rows"]),
+    "overview": ("d5_source_overview", ["source"], ["rows", "columns", "blank_rows", "duplicate_rows"]),
+    "cardinality": ("d7_cardinality", ["column"], ["distinct_count", "distinct_pct"]),
+    "overlap": ("d9_key_overlap", ["stage"], ["shared_keys"]),
+    "delimiters": ("d10_delimiter_audit", [], ["leading_pct", "trailing_pct", "naive_empty_pct", "fixed_missing_pct"]),
+    "before_after": ("d11_before_after", ["stage"], ["rows", "nulls", "distinct_values"]),
+    "collisions": ("d12_name_collision_audit", ["p_type"], ["groups"]),
+    "match": ("d13_match_rate", [], ["matched", "reference_rows", "match_pct"]),
+}
+
+
+def _report_sql():
+    parts = []
+    for section, (name, labels, values) in _SECTIONS.items():
+        label = " || '/' || ".join(f'CAST("{c}" AS VARCHAR)' for c in labels)
+        for v in values:
+            check = f"{label} || ':{v}'" if labels else f"'{v}'"
+            parts.append(f"SELECT '{section}' AS section, {check} AS \"check\", CAST(\"{v}\" AS DOUBLE) AS value "
+                         f"FROM ({CATALOG[name][1]}) q")
+    return " UNION ALL ".join(parts)
+
+
+@query("d17_quality_report", _report_sql())
 def d17_quality_report(spark, sf):
-    e = entities(spark, sf)
-    return D.quality_report({"validity": D.validity(e, "funding_total_usd"),
-                             "duplicates": D.duplicate_keys(_tables(spark, sf)["lineitem"],
-                                                            ["l_orderkey", "l_linenumber"])})
+    return D.quality_report({section: CATALOG[name][0](spark, sf) for section, (name, _, _) in _SECTIONS.items()})
+
+
+@query("d13_unmapped_values", """
+SELECT DISTINCT o_orderstatus FROM orders WHERE o_orderstatus IS NOT NULL AND o_orderstatus NOT IN ('F', 'O')""")
+def d13_unmapped_values(spark, sf):
+    known = spark.createDataFrame([("F", "filled"), ("O", "open")], "code string, name string")
+    mapped = CL.map_codes(_tables(spark, sf)["orders"].select("o_orderstatus"), "o_orderstatus", "status", known, "code", "name")
+    return D.unmapped_values(mapped, "o_orderstatus", "status")
 
 
 @query("s5_s6_registered_sql", with_star("""

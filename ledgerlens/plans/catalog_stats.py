@@ -383,6 +383,7 @@ _PRED = "CAST(score >= 0.3 AS INTEGER)"
 
 
 @query("e1_regression_metrics", with_star("""
+SELECT *, 1 - (1 - r2) * (n - 1) / (n - 2) AS adj_r2 FROM (
 SELECT COUNT(*) AS n, AVG(ABS(predicted - actual)) AS mae, AVG((predicted - actual) * (predicted - actual)) AS mse,
   SQRT(AVG((predicted - actual) * (predicted - actual))) AS rmse,
   1 - VAR_POP(actual - predicted) / VAR_POP(actual) AS explained_variance,
@@ -390,9 +391,9 @@ SELECT COUNT(*) AS n, AVG(ABS(predicted - actual)) AS mae, AVG((predicted - actu
   AVG(CASE WHEN actual <> 0 THEN ABS((predicted - actual) / actual) END) AS mape,
   CASE WHEN MIN(LEAST(actual, predicted)) > -1 THEN SQRT(AVG(POW(LN(1 + predicted) - LN(1 + actual), 2))) END AS rmsle,
   quantile_cont(ABS(predicted - actual), 0.5) AS median_ae
-FROM scored"""))
+FROM scored) s"""))
 def e1_regression_metrics(spark, sf):
-    return E.regression_metrics(_scored(spark, sf), "actual", "predicted")
+    return E.regression_metrics(_scored(spark, sf), "actual", "predicted", n_features=1)
 
 
 @query("e2_classification_metrics", with_star(f"""
