@@ -47,9 +47,8 @@ def _dbl(c):
 # =============================================================================
 
 def _fact_named(t):
-    f, s, i = t["fact_startup_funding"], t["dim_startup"], t["dim_industry"]
+    f, i = t["fact_startup_funding"], t["dim_industry"]
     return (f.where(F.col("funding_total_usd").isNotNull())
-             .join(s.select("startup_id", "name"), "startup_id")
              .join(i.where(F.col("primary_category").isNotNull()), "industry_id"))
 
 
@@ -131,9 +130,8 @@ ORDER BY exit_rate_pct DESC, primary_category LIMIT 20"""))
 def a12_outcome_rates_by_group(spark, sf):
     from ..operators.aggregate import conditional_rates
     t = _wh(spark, sf)
-    f, s, i = t["fact_startup_funding"], t["dim_startup"], t["dim_industry"]
-    j = f.join(s.select("startup_id", "is_exited", "is_closed"), "startup_id") \
-         .join(i.where(F.col("primary_category").isNotNull()), "industry_id")
+    f, i = t["fact_startup_funding"], t["dim_industry"]
+    j = f.join(i.where(F.col("primary_category").isNotNull()), "industry_id")
     out = conditional_rates(j, "primary_category", {"exited": "is_exited", "closed": "is_closed"},
                             total="total_startups", min_n=30, decimals=1,
                             rate_names={"exited": "exit_rate_pct", "closed": "closure_rate_pct"})
@@ -147,9 +145,7 @@ SELECT name, funding_total_usd, funding_decile FROM (
   FROM feat WHERE funding_total_usd IS NOT NULL) d
 ORDER BY funding_total_usd DESC, startup_id DESC LIMIT 50"""))
 def w5_decile_top(spark, sf):
-    t = _wh(spark, sf)
-    f, s = t["fact_startup_funding"], t["dim_startup"]
-    base = f.where(F.col("funding_total_usd").isNotNull()).join(s.select("startup_id", "name"), "startup_id")
+    base = _wh(spark, sf)["fact_startup_funding"].where(F.col("funding_total_usd").isNotNull())
     out = W.decile_top(base.select("startup_id", "name", "funding_total_usd"), "funding_total_usd",
                        "startup_id", 50, name="funding_decile")
     return out.select("name", _dbl("funding_total_usd"), "funding_decile")

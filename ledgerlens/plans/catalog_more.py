@@ -19,7 +19,6 @@ def _dbl(c):
 
 
 _DIM_COLS = {
-    "startup": {"name", "status", "is_exited", "is_closed", "is_unicorn", "category_count"},
     "geography": {"country_name", "region", "city"},
     "industry": {"primary_category", "market"},
     "ff": {"ff_full_date", "ff_year"},
@@ -29,18 +28,17 @@ _DIM_COLS = {
 
 
 def wide(spark, sf, cols=None):
-    """J6 + J7: fact ⋈ startup ⟕ geography ⟕ industry, plus the first-funding,
+    """J6 + J7: fact ⟕ geography ⟕ industry, plus the first-funding,
     founded and last-funding date roles.  With ``cols`` only the dimensions providing
     those columns are joined (Spark cannot drop an outer join by itself)."""
     t = _wh(spark, sf)
-    f, s, g, i, d = (t["fact_startup_funding"], t["dim_startup"], t["dim_geography"],
-                     t["dim_industry"], t["dim_date"])
+    f, g, i, d = t["fact_startup_funding"], t["dim_geography"], t["dim_industry"], t["dim_date"]
     need = set(cols) if cols is not None else None
 
     def uses(dim):
         return need is None or bool(need & _DIM_COLS[dim])
 
-    j = f.join(s, "startup_id", "inner")  # inner: the view's entity set
+    j = f  # it carries the attributes of its entity
     if uses("geography"):
         j = j.join(g, "geography_id", "left")
     if uses("industry"):

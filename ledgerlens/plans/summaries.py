@@ -17,10 +17,9 @@ from ..sources.warehouse import load_warehouse, read_warehouse
 
 
 def startup_overview(t: dict[str, DataFrame]) -> DataFrame:
-    """Fact ⋈ startup (inner) ⟕ geography ⟕ industry."""
-    f, s, g, i = (t["fact_startup_funding"], t["dim_startup"], t["dim_geography"], t["dim_industry"])
-    return (f.join(s, "startup_id", "inner")
-             .join(g, "geography_id", "left")
+    """Fact (with its entity's attributes) ⟕ geography ⟕ industry."""
+    f, g, i = t["fact_startup_funding"], t["dim_geography"], t["dim_industry"]
+    return (f.join(g, "geography_id", "left")
              .join(i, "industry_id", "left")
              .select("startup_id", "name", "status", "is_unicorn", "country_name", "city",
                      "primary_category", "market", "funding_total_usd", "funding_rounds",
@@ -29,8 +28,8 @@ def startup_overview(t: dict[str, DataFrame]) -> DataFrame:
 
 def unicorn_scorecard(t: dict[str, DataFrame]) -> DataFrame:
     """R2: unicorns with geography and industry."""
-    f, s, g, i = (t["fact_startup_funding"], t["dim_startup"], t["dim_geography"], t["dim_industry"])
-    return (f.join(s.where(F.col("is_unicorn")), "startup_id", "inner")
+    f, g, i = t["fact_startup_funding"], t["dim_geography"], t["dim_industry"]
+    return (f.where(F.col("is_unicorn"))
              .join(g, "geography_id", "left").join(i, "industry_id", "left")
              .select("name", "country_name", "primary_category", "funding_total_usd",
                      "years_since_founded"))
@@ -38,10 +37,9 @@ def unicorn_scorecard(t: dict[str, DataFrame]) -> DataFrame:
 
 def country_year_funding(t: dict[str, DataFrame]) -> DataFrame:
     """Funding, deals and unicorns per (country, first-funding year)."""
-    f, s, g, d = (t["fact_startup_funding"], t["dim_startup"], t["dim_geography"], t["dim_date"])
+    f, g, d = t["fact_startup_funding"], t["dim_geography"], t["dim_date"]
     j = (f.join(g.where(F.col("country_name").isNotNull()), "geography_id", "inner")
-          .join(d.select("date_id", "year"), f.first_funding_date_id == d.date_id, "inner")
-          .join(s.select("startup_id", "is_unicorn"), "startup_id", "inner"))
+          .join(d.select("date_id", "year"), f.first_funding_date_id == d.date_id, "inner"))
     return j.groupBy("country_name", "year").agg(
         F.sum("funding_total_usd").alias("total_funding"),
         F.count(F.lit(1)).alias("deal_count"),
@@ -50,9 +48,8 @@ def country_year_funding(t: dict[str, DataFrame]) -> DataFrame:
 
 def industry_summary(t: dict[str, DataFrame]) -> DataFrame:
     """Per primary category: startups, funding, mean, exits, unicorns."""
-    f, s, i = t["fact_startup_funding"], t["dim_startup"], t["dim_industry"]
-    j = (f.join(i.where(F.col("primary_category").isNotNull()), "industry_id", "inner")
-          .join(s.select("startup_id", "is_exited", "is_unicorn"), "startup_id", "inner"))
+    f, i = t["fact_startup_funding"], t["dim_industry"]
+    j = f.join(i.where(F.col("primary_category").isNotNull()), "industry_id", "inner")
     return j.groupBy("primary_category").agg(
         F.count(F.lit(1)).alias("startup_count"),
         F.sum("funding_total_usd").alias("total_funding"),
