@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,3 +48,11 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 def ascii_lower(col: Column) -> Column:
     """A-Z to a-z and nothing else."""
     return F.translate(col, UPPER, LOWER)
+
+
+def small_batches(batches: Iterable[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The same rows, at most ``rows`` at a time: what a task holds as Python
+    objects stays small however large the batches that Spark sends."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)

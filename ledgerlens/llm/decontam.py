@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, materialise
+from .common import ascii_lower, materialise, small_batches
 
 #: Not a word: ASCII but digits and letters.  The complement of [^\x00-\x2F\x3A-\x60\x7B-\x7F] after A-Z became a-z.
 _WORD_BYTES = bytes(c if c >= 0x80 or chr(c).isalnum() else 0x20 for c in range(256))
@@ -79,7 +79,7 @@ def build_index(docs: DataFrame, wanted: list[str] | None = None, gap: int = 64,
         shard = TaskContext.get().partitionId() << 32
         terms = dict(fixed or {})
         ids, sizes, parts, held = [], [], [], 0
-        for batch in batches:
+        for batch in small_batches(batches):
             texts = batch.column(1).cast(pa.binary())
             for doc_id, text in zip(batch.column(0), texts):
                 data = text.as_py() or b""

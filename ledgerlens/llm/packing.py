@@ -20,7 +20,7 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import materialise, small_batches
 
 #: Fixed value: how byte-level BPE of this kind cuts text before merging.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -109,7 +109,7 @@ def pack_parts(docs: DataFrame, tokenizer: str, size: int = 2048, windows: int =
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=names)
 
         held = OpenWindows(size, windows, TaskContext.get().partitionId() << 33, emit)
-        for batch in batches:
+        for batch in small_batches(batches):
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 body = encoding.encode_to_numpy(text.as_py() or "", disallowed_special=())
                 ids = np.append(body, end_id).astype("<u4")

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import materialise, small_batches
 
 LENGTH = 200
 GRAM = 64
@@ -251,7 +251,7 @@ def _keyed(texts: DataFrame, length: int, gram: int) -> DataFrame:
     """
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             tids, held, pieces = batch.column(0).to_numpy(), 0, []
             for tid, text in zip(tids, batch.column(1)):
                 data = np.frombuffer(text.as_buffer(), np.uint8)
@@ -286,7 +286,7 @@ def _segments(rows: DataFrame, length: int, with_text: bool) -> DataFrame:
     kinds = [pa.int64()] * 5 + ([pa.binary()] if with_text else [])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-        for batch in batches:
+        for batch in small_batches(batches):
             for tid, text, wanted in zip(*(batch.column(k) for k in range(3))):
                 data, name = text.as_py(), tid.as_py()
                 for w in wanted.as_py():
@@ -319,7 +319,7 @@ def _compared(distinct: DataFrame, length: int) -> DataFrame:
     """The same for segments of overflowing keys, by digests of their windows."""
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             for key, digest, segment in zip(*(batch.column(k) for k in range(3))):
                 data = np.frombuffer(segment.as_buffer(), np.uint8)
                 a, b = rolling_hash(data, length, 1), rolling_hash(data, length, 2)
@@ -341,7 +341,7 @@ def _cut_out(rows: DataFrame) -> DataFrame:
     """``(doc_id, n_bytes, n_removed, n_spans, kept_sha256)`` from ``(doc_id, text, spans)``."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             out = []
             for doc_id, text, spans in zip(*(batch.column(k) for k in range(3))):
                 data, runs = text.as_py(), np.array(spans.as_py() or [], np.int64)

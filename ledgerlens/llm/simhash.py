@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import materialise, small_batches
 from .components import connected_components
 
 SEED = 42
@@ -52,7 +52,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """``(doc_id, text_hash, fp)`` per row; ``fp`` is the fingerprint as a signed long.  Null text counts as empty."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             texts = batch.column(2).cast(pa.binary())
             fps = (fingerprint(t.as_py() or b"", shingle) for t in texts)
             yield pa.RecordBatch.from_arrays(

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialise
+from .common import materialise, small_batches
 from .decontam import words_of
 
 BUCKETS = 1 << 18
@@ -33,7 +33,7 @@ MAX_ROWS = 50_000
 MAX_FEATURES = 20_000
 #: A feature is used if its rates in the two classes differ by so many standard errors, in so many rows.
 MIN_Z, MIN_ROWS = 4.0, 3
-CACHE_WORDS = 500_000
+CACHE_WORDS = 200_000
 
 #: Terms that name groups of people, by kind; terms of one kind are swapped for one another.
 IDENTITY_TERMS = (
@@ -114,7 +114,7 @@ def _examples(rows: DataFrame, swaps: int) -> DataFrame:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, known = swap_table(), {}
-        for batch in batches:
+        for batch in small_batches(batches):
             has, lost, gained = [], [], []
             for text in batch.column(1):
                 words = set(words_of((text.as_py() or "").encode()))
@@ -140,7 +140,7 @@ def _telling(examples: DataFrame, max_features: int) -> tuple[list[int], int, in
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((2, BUCKETS + 1), np.int64)  # the last counts rows
-        for batch in batches:
+        for batch in small_batches(batches):
             for toxic, has in zip(batch.column(0).to_pylist(), batch.column(1)):
                 counts[int(toxic > 0), np.append(np.unique(np.asarray(has.as_py(), np.int64)), BUCKETS)] += 1
         found = np.flatnonzero(counts.sum(axis=0))
@@ -170,7 +170,7 @@ def _compact(examples: DataFrame, chosen: list[int]) -> DataFrame:
     place = {b: i for i, b in enumerate(chosen)}
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small_batches(batches):
             has, at, by, n = [], [], [], []
             for own, lost, gained in zip(*(batch.column(k).to_pylist() for k in (1, 2, 3))):
                 has.append([place[b] for b in own if b in place])
@@ -270,7 +270,7 @@ def fit(rows: DataFrame, swaps: int = 3, swap_weight: float = 10.0, l2: float =
 
         def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out = np.zeros(len(shipped.value) + 1)
-            for batch in batches:
+            for batch in small_batches(batches):
                 out += loss_and_slope(batch, shipped.value, swap_weight)
             yield pa.RecordBatch.from_arrays([pa.array([out.tobytes()], pa.binary())], names=["sums"])
 
@@ -293,7 +293,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "sc
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, float] = {}
         weight = model.weights.get
-        for batch in batches:
+        for batch in small_batches(batches):
             out = []
             for text in batch.column(position).cast(pa.binary()):
                 words = set(words_of(text.as_py() or b""))
