@@ -24,7 +24,7 @@ def shared_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local["):
+    if spark.sparkContext.master.split("[")[0] != "local":
         raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     root = tempfile.mkdtemp(prefix="llm-shared-")
     spark.conf.set("spark.checkpoint.dir", root)
