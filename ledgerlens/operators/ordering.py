@@ -43,6 +43,13 @@ def _placed(df: DataFrame, order: Sequence, num_partitions: int | None) -> DataF
     return scratch_table(df.repartitionByRange(*parts, *exprs).withColumn(_PID, F.spark_partition_id()), "ordered")
 
 
+def _apart(placed: DataFrame) -> DataFrame:
+    """One range partition per task for the window: dealt by range of its
+    number over twice as many tasks, since by hash, or over as many, two of
+    them can meet in one task."""
+    return placed.repartitionByRange(2 * int(placed.sparkSession.conf.get("spark.sql.shuffle.partitions")), _PID)
+
+
 def _before(totals: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Sums of ``cols`` over all earlier partitions; ``totals`` has one row per partition."""
     w = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
@@ -55,7 +62,7 @@ def global_row_number(df: DataFrame, order: Sequence, name: str = "row_number",
     placed = _placed(df, order, num_partitions)
     offs = _before(placed.groupBy(_PID).agg(F.count(F.lit(1)).alias("n")), ["n"])
     local = F.row_number().over(Window.partitionBy(_PID).orderBy(*_order_exprs(order)))
-    return (placed.withColumn(_LOCAL, local.cast("long")).join(F.broadcast(offs), _PID, "left")
+    return (_apart(placed).withColumn(_LOCAL, local.cast("long")).join(F.broadcast(offs), _PID, "left")
                   .withColumn(name, F.coalesce(F.col("__off_n"), F.lit(0)) + F.col(_LOCAL))
                   .drop(_PID, _LOCAL, "__off_n"))
 
@@ -72,7 +79,7 @@ def running_totals(df: DataFrame, order: Sequence, sum_cols: Sequence[str],
     placed = _placed(df, order, num_partitions)
     w = Window.partitionBy(_PID).orderBy(*_order_exprs(order)).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    local = placed.withColumns({prefix + c: F.sum(c).over(w) for c in sum_cols})
+    local = _apart(placed).withColumns({prefix + c: F.sum(c).over(w) for c in sum_cols})
     types = {c: local.schema[prefix + c].dataType for c in sum_cols}
     totals = placed.groupBy(_PID).agg(*[F.sum(c).alias(c) for c in sum_cols])
     out = local.join(F.broadcast(_before(totals, sum_cols)), _PID, "left")
