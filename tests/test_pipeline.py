@@ -79,8 +79,8 @@ def test_clean_merge_match_bridge(spark, extracts):
     matched = J.match_entities(fact, ref, ["company_key", "country_code"], ["o"],
                                ["industry", "select_investors"], flag="is_unicorn")                # J4, D14
     assert matched.count() == fact.count()
-    rate = D.match_rate(matched, "is_unicorn").first()                   # D13
-    assert rate.matched == 2
+    rate = D.match_rate(matched, "is_unicorn", ref).first()              # D13
+    assert rate.matched == 2 and rate.reference_rows == ref.count()
     dim, bridge = J.build_bridge(matched.where("is_unicorn"), "permalink", "select_investors")   # J9
     assert sorted(r.member for r in dim.collect()) == ["Accel", "Sequoia"]
     assert bridge.count() == 3
