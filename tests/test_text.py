@@ -17,7 +17,7 @@ def test_extract_numbered_items(spark):
     docs = spark.createDataFrame([(1, INSIGHTS)], "doc_id int, text string")
     items = K.extract_numbered_items(docs, "doc_id").orderBy("number").collect()
     assert [(r.number, r.section, r.item) for r in items] == [
-        (1, None, "Orphan item"), (2, "Funding", "Late stage is rare"), (3, "Geography", "Hubs are concentrated")]
+        (1, "General", "Orphan item"), (2, "Funding", "Late stage is rare"), (3, "Geography", "Hubs are concentrated")]
 
 
 def test_search(spark):
@@ -29,14 +29,20 @@ def test_search(spark):
     assert K.search_insights(items, "hubs").count() == 1
 
 
+def test_only_two_signs_make_a_heading(spark):
+    docs = spark.createDataFrame([(1, "# Title\n1. first\n### Deep\n2. second\n## Part\n3. third")], "doc_id int, text string")
+    items = K.extract_numbered_items(docs, "doc_id").orderBy("number").collect()
+    assert [(r.number, r.section) for r in items] == [(1, "General"), (2, "General"), (3, "Part")]
+
+
 def _expected_items(docs):
     """Plain per-document scan: the definition C36 must reproduce."""
     import re
     out = {}
     for key, text in docs:
-        section, seen = None, set()
+        section, seen = "General", set()
         for line in text.split("\n"):
-            h = re.match(r"^\s*#{1,6}\s+(.+?)\s*$", line)
+            h = re.match(r"^\s*##\s+(.+?)\s*$", line)
             if h:
                 section = h.group(1)
                 continue
