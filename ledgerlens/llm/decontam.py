@@ -115,10 +115,11 @@ def phrases_of(items: DataFrame, size: int = 13, id_col: str = "item_id", text_c
     """``(phrase, items)``: distinct windows of ``size`` words with the ids of the items that hold them.
 
     An item with fewer words, but some, is one window; items without words
-    have none, and so have items whose id is null, since no id could be reported.
+    have none.  The windows of items whose id is null count as hits, but there
+    is no id to report.
     """
     words = F.regexp_extract_all(ascii_lower(F.col(text_col).cast("string")), F.lit(WORD), F.lit(0))
-    cut = items.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("item"), words.alias("w"))
+    cut = items.select(F.col(id_col).cast("long").alias("item"), words.alias("w"))
     last = F.greatest(F.lit(1), F.size("w") - size + 1)
     windows = cut.where(F.size("w") > 0).select(
         "item", F.explode(F.transform(F.sequence(F.lit(1), last), lambda i: F.slice("w", i, size))).alias("phrase"))
