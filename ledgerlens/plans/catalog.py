@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..operators import windows as W
 from ..session import read_tables
+from ..sources.warehouse import QueryRegistry
 from . import summaries as R
 from .oracle_ctes import with_star
 from .star import warehouse
@@ -222,30 +223,38 @@ def a9_total_by_type(spark, sf):
 # Views and summaries
 # =============================================================================
 
+def _view(spark, sf, name):
+    """A view of the star, read by SQL as a view is."""
+    registry = QueryRegistry({name: f"SELECT * FROM {{{name}}}"})
+    return registry.run(spark, name, {name: R.views(_wh(spark, sf))[name]}).withColumn(
+        "valuation_billion_usd", F.col("valuation_billion_usd").cast("double"))
+
+
 @query("r1_startup_overview", with_star("""
 SELECT startup_id, name, status, is_unicorn, country_name, city, primary_category, market,
   CAST(funding_total_usd AS DOUBLE) AS funding_total_usd, funding_rounds, years_since_founded,
-  furthest_stage_category FROM feat"""))
+  furthest_stage_category, valuation_billion_usd FROM feat"""))
 def r1_startup_overview(spark, sf):
-    v = R.startup_overview(_wh(spark, sf))
+    v = _view(spark, sf, "startup_overview")
     return v.withColumn("funding_total_usd", F.col("funding_total_usd").cast("double"))
 
 
 @query("r2_unicorn_scorecard", with_star("""
 SELECT name, country_name, primary_category, CAST(funding_total_usd AS DOUBLE) AS funding_total_usd,
-  years_since_founded FROM feat WHERE is_unicorn"""))
+  years_since_founded, valuation_billion_usd, valuation_tier FROM feat WHERE is_unicorn"""))
 def r2_unicorn_scorecard(spark, sf):
-    v = R.unicorn_scorecard(_wh(spark, sf))
+    v = _view(spark, sf, "unicorn_scorecard")
     return v.withColumn("funding_total_usd", F.col("funding_total_usd").cast("double"))
 
 
 @query("r3_country_year_funding", with_star("""
-SELECT country_name, CAST(year(first_funding_at) AS INTEGER) AS year,
+SELECT country_name, upper(substr(country_name, 1, 3)) AS country_code, CAST(year(first_funding_at) AS INTEGER) AS year,
   CAST(SUM(funding_total_usd) AS DOUBLE) AS total_funding, COUNT(*) AS deal_count,
   COUNT(*) FILTER (WHERE is_unicorn) AS unicorn_count
-FROM feat WHERE country_name IS NOT NULL AND first_funding_at IS NOT NULL GROUP BY country_name, 2"""))
+FROM feat WHERE country_name IS NOT NULL AND first_funding_at IS NOT NULL GROUP BY country_name, 3"""))
 def r3_country_year_funding(spark, sf):
-    s = R.country_year_funding(_wh(spark, sf))
+    codes = _tables(spark, sf)["nation"].select("n_name", F.upper(F.substring("n_name", 1, 3)).alias("code"))
+    s = R.with_country_code(R.country_year_funding(_wh(spark, sf)), codes, "n_name", "code")
     return s.withColumn("total_funding", F.col("total_funding").cast("double"))
 
 

@@ -600,7 +600,7 @@ def d15_check_constraints(spark, sf):
 
 
 @query("d16_warehouse_inventory", with_star("""
-SELECT 'fact_startup_funding' AS "table", COUNT(*) AS rows, CAST(24 AS BIGINT) AS columns FROM star
+SELECT 'fact_startup_funding' AS "table", COUNT(*) AS rows, CAST(26 AS BIGINT) AS columns FROM star
 UNION ALL SELECT 'fact_funding_by_type', COUNT(*), CAST(3 AS BIGINT) FROM fact_type
 UNION ALL SELECT 'dim_round_type', CAST(5 AS BIGINT), CAST(4 AS BIGINT)"""))
 def d16_warehouse_inventory(spark, sf):

@@ -36,7 +36,8 @@ SELECT c.c_custkey AS startup_id, c.c_name AS name,
     AS founded_at,
   a.first_funding_at, a.last_funding_at, a.funding_total_usd, a.funding_rounds,
   a.seed, a.venture, a.debt_financing, a.undisclosed, a.private_equity,
-  c.c_acctbal >= 9000 AS is_unicorn
+  c.c_acctbal >= 9000 AS is_unicorn,
+  CASE WHEN c.c_acctbal >= 9000 THEN floor(c.c_acctbal / 10) / 100 END AS valuation_billion_usd
 FROM customer c LEFT JOIN a ON a.o_custkey = c.c_custkey
   LEFT JOIN nation n ON n.n_nationkey = c.c_nationkey LEFT JOIN region r ON r.r_regionkey = n.n_regionkey),
 feat0 AS (
@@ -58,7 +59,9 @@ SELECT star.*,
        WHEN debt_financing > 0 THEN 'debt_financing' WHEN seed > 0 THEN 'seed'
        WHEN undisclosed > 0 THEN 'undisclosed' END AS furthest_round_type,
   COALESCE(status IN ('ipo', 'acquired'), false) AS is_exited,
-  COALESCE(status = 'closed', false) AS is_closed
+  COALESCE(status = 'closed', false) AS is_closed,
+  CASE WHEN valuation_billion_usd >= 9.8 THEN 'High' WHEN valuation_billion_usd >= 9.4 THEN 'Middle'
+       WHEN is_unicorn THEN 'Low' END AS valuation_tier
 FROM star),
 feat AS (
 SELECT feat0.*,

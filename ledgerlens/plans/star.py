@@ -74,6 +74,8 @@ def startup_entities(tables: dict[str, DataFrame],
         "first_funding_at", "last_funding_at", "funding_total_usd", "funding_rounds",
         *domain.STAR_ROUND_COLUMNS,
         (F.col("c_acctbal") >= 9000).alias("is_unicorn"),
+        F.when(F.col("c_acctbal") >= 9000, F.floor(F.col("c_acctbal") / 10) / 100).cast("decimal(10,2)")
+        .alias("valuation_billion_usd"),
     )
 
 
@@ -97,12 +99,15 @@ def engineer_features(df: DataFrame, round_cols, reference_date: str) -> DataFra
         C.map_category(furthest, cat).alias("furthest_stage_category"),
         C.in_flag("status", domain.EXIT_STATUSES).alias("is_exited"),
         C.eq_flag("status", domain.CLOSED_STATUS).alias("is_closed"),
+        F.when(F.col("is_unicorn"), C.tier("valuation_billion_usd", [9.8, 9.4], ["High", "Middle"], default="Low"))
+        .alias("valuation_tier"),
     )
 
 
 # Attributes of the entity.  One fact row belongs to one entity, so the fact carries them too and no
 # query has to shuffle two entity-size tables to read a name or a flag.
-ENTITY_COLUMNS = ["name", "status", "is_exited", "is_closed", "is_unicorn", "category_count"]
+ENTITY_COLUMNS = ["name", "status", "is_exited", "is_closed", "is_unicorn", "category_count", "valuation_billion_usd",
+                  "valuation_tier"]
 
 
 @dataclass
@@ -174,7 +179,7 @@ class StarSchema:
 
 # Bumped whenever the star's definition changes: a published star is reused
 # only by code that builds the same tables.
-STAR_VERSION = "6"
+STAR_VERSION = "7"
 
 # Dimensions before facts (load order of S4).
 TABLE_ORDER = ["dim_date", "dim_geography", "dim_industry", "dim_round_type", "dim_startup",

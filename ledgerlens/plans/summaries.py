@@ -23,7 +23,7 @@ def startup_overview(t: dict[str, DataFrame]) -> DataFrame:
              .join(i, "industry_id", "left")
              .select("startup_id", "name", "status", "is_unicorn", "country_name", "city",
                      "primary_category", "market", "funding_total_usd", "funding_rounds",
-                     "years_since_founded", "furthest_stage_category"))
+                     "years_since_founded", "furthest_stage_category", "valuation_billion_usd"))
 
 
 def unicorn_scorecard(t: dict[str, DataFrame]) -> DataFrame:
@@ -32,7 +32,22 @@ def unicorn_scorecard(t: dict[str, DataFrame]) -> DataFrame:
     return (f.where(F.col("is_unicorn"))
              .join(g, "geography_id", "left").join(i, "industry_id", "left")
              .select("name", "country_name", "primary_category", "funding_total_usd",
-                     "years_since_founded"))
+                     "years_since_founded", "valuation_billion_usd", "valuation_tier"))
+
+
+VIEWS = {"startup_overview": startup_overview, "unicorn_scorecard": unicorn_scorecard}
+
+
+def views(t: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """R1, R2 by name, for SQL texts to be bound to (:class:`QueryRegistry`) or to register as views."""
+    return {n: fn(t) for n, fn in VIEWS.items()}
+
+
+def with_country_code(df: DataFrame, codes: DataFrame, name: str, code: str) -> DataFrame:
+    """``country_code`` by a table of codes passed as data."""
+    from ..operators.cleaning import map_codes
+
+    return map_codes(df, "country_name", "country_code", codes, name, code)
 
 
 def country_year_funding(t: dict[str, DataFrame]) -> DataFrame:
