@@ -9,9 +9,9 @@ from pyspark.sql import types as T
 BOM = "﻿"
 
 
-def _header(spark: SparkSession, path: str, encoding: str, sep: str) -> list[str]:
+def _header(spark: SparkSession, path: str, encoding: str, sep: str, multi_line: bool) -> list[str]:
     """Header names only: reads the first line of the (first) file."""
-    first = (spark.read.option("encoding", encoding).option("header", False)
+    first = (spark.read.option("encoding", encoding).option("header", False).option("multiLine", multi_line)
              .option("sep", sep).csv(path).limit(1).collect())
     if not first:
         return []
@@ -24,21 +24,22 @@ def clean_names(names) -> list[str]:
 
 
 def read_csv(spark: SparkSession, path: str, encoding: str = "UTF-8", sep: str = ",",
-             schema: T.StructType | None = None, empty_as_null: bool = True) -> DataFrame:
+             schema: T.StructType | None = None, empty_as_null: bool = True, multi_line: bool = False) -> DataFrame:
     """Read a dirty CSV with every column as text, header names trimmed.
 
     Never infers types: money and dates are parsed afterwards by the
     cleaning expressions.  Works for Latin-1 (``encoding='ISO-8859-1'``) and
-    BOM-prefixed UTF-8 files.
+    BOM-prefixed UTF-8 files.  ``multi_line`` lets quoted values hold line
+    breaks; a file is then read by one task.
     """
     if schema is None:
-        names = _header(spark, path, encoding, sep)
+        names = _header(spark, path, encoding, sep, multi_line)
         schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(len(names))])
         trimmed = clean_names(names)
     else:
         trimmed = clean_names(schema.fieldNames())
     reader = (spark.read.option("header", True).option("encoding", encoding).option("sep", sep)
-              .option("multiLine", False).schema(schema))
+              .option("multiLine", multi_line).schema(schema))
     if not empty_as_null:
         reader = reader.option("nullValue", "\u0000")
     return reader.csv(path).toDF(*trimmed)
@@ -65,10 +66,20 @@ def text_lines(df: DataFrame, key: str, text: str = "text", line: str = "line",
 
 
 def read_text_lines(spark: SparkSession, path: str) -> DataFrame:
-    """S8 for files: ``(path, line_no, line)`` of every text file under ``path``."""
-    docs = spark.read.option("wholetext", True).text(path) \
-                .select(F.input_file_name().alias("path"), F.col("value").alias("text"))
-    return text_lines(docs, "path")
+    """S8 for files: ``(path, line_no, line)`` of every text file under ``path``.
+
+    Files are read in splits, so a large one is shared by many tasks; a
+    distributed row number in (file, split, place) order counts the lines.
+    """
+    from ..operators.ordering import global_row_number
+
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("__at"),
+        F.monotonically_increasing_id().alias("__id"), F.col("value").alias("line"))
+    numbered = global_row_number(lines, ["path", "__at", "__id"], "__rn")
+    first = numbered.groupBy(F.col("path").alias("__path")).agg(F.min("__rn").alias("__first"))
+    return numbered.join(first, F.col("path") == F.col("__path")).select(
+        "path", (F.col("__rn") - F.col("__first") + 1).cast("int").alias("line_no"), "line")
 
 
 def save_model(model, path: str) -> None:

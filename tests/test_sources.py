@@ -74,6 +74,27 @@ def test_text_lines(spark):
     assert [(r.k, r.line_no, r.line) for r in out] == [(1, 1, "a"), (1, 2, ""), (1, 3, "b"), (2, 1, "c")]
 
 
+def test_read_text_lines_counts_per_file_over_splits(spark, tmp_path):
+    texts = {"a.txt": [f"line {i}" for i in range(3000)], "b.txt": ["x", "", "y"]}
+    for name, lines in texts.items():
+        (tmp_path / name).write_text("\n".join(lines) + "\n")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        rows = S.read_text_lines(spark, str(tmp_path)).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    for name, lines in texts.items():
+        got = sorted((r.line_no, r.line) for r in rows if r.path.endswith(name))
+        assert got == [(i + 1, x) for i, x in enumerate(lines)]
+
+
+def test_csv_with_line_breaks_in_quotes(spark, tmp_path):
+    p = tmp_path / "m.csv"
+    p.write_text('k,v\n1,"two\nlines"\n2,one\n')
+    assert sorted(map(tuple, S.read_csv(spark, str(p), multi_line=True).collect())) == [("1", "two\nlines"), ("2", "one")]
+
+
 def test_save_and_load_model(spark, tmp_path):
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import VectorAssembler
