@@ -19,6 +19,7 @@ from __future__ import annotations
 import time
 import uuid
 from collections.abc import Callable, Mapping, Sequence
+from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -84,8 +85,10 @@ def warehouse_root(spark: SparkSession, name: str) -> str:
 def load_warehouse(tables: Mapping[str, DataFrame], root: str, order: Sequence[str] | None = None,
                    checks: Callable[[dict[str, DataFrame]], None] | None = None,
                    empty_as_null: bool = True,
-                   partition_by: Mapping[str, Sequence[str]] | None = None, keep: int = 2) -> str:
-    """Idempotent full reload of a set of tables; returns the new version.
+                   partition_by: Mapping[str, Sequence[str]] | None = None, keep: int = 2,
+                   parallelism: int = 4) -> str:
+    """Idempotent full reload of a set of tables, ``parallelism`` of them at
+    a time and in the given order; returns the new version.
 
     ``partition_by`` names Hive-style partition columns per table (e.g. a
     summary by year), so filters on them prune whole folders."""
@@ -94,12 +97,12 @@ def load_warehouse(tables: Mapping[str, DataFrame], root: str, order: Sequence[s
     root = root.rstrip("/")
     version = f"v{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
     base = f"{root}/{version}"
-    for n in names:
+
+    def write(n: str) -> None:
         df = tables[n]
-        if empty_as_null:
-            df = df.replace("", None, subset=[f.name for f in df.schema.fields
-                                               if f.dataType.typeName() == "string"]) \
-                if any(f.dataType.typeName() == "string" for f in df.schema.fields) else df
+        texts = [f.name for f in df.schema.fields if f.dataType.typeName() == "string"]
+        if empty_as_null and texts:
+            df = df.replace("", None, subset=texts)
         parts = list(partition_by.get(n, [])) if partition_by else []
         # REBALANCE: AQE sizes the output files to the advisory partition size
         # (coalescing small partitions, splitting skewed ones) at any scale
@@ -108,6 +111,9 @@ def load_warehouse(tables: Mapping[str, DataFrame], root: str, order: Sequence[s
         if parts:
             w = w.partitionBy(*parts)
         w.parquet(f"{base}/{n}")
+
+    with ThreadPool(max(1, parallelism)) as pool:  # the tables are independent; nothing is visible before the marker
+        pool.map(write, names, chunksize=1)
     staged = {n: spark.read.parquet(f"{base}/{n}") for n in names}
     if checks is not None:
         checks(staged)  # raises → no marker, old version stays live
