@@ -6,8 +6,8 @@ window of ``length`` bytes is keyed by the smallest hash among its k-grams,
 so equal windows have equal keys wherever they stand.  Keys seen once cannot
 belong to a repeat and are dropped before any text moves.  The segments of
 the other keys (a segment is a stretch of windows with one key) are made
-distinct and dealt to buckets of bounded size, and each bucket builds a
-run-length index of its segments:
+distinct by digest, one text of each is dealt to buckets of bounded size, and
+each bucket builds a run-length index of its segments:
 
 * the suffix order and the Burrows-Wheeler transform, kept as runs;
 * for each run the text position at its head, that at the end of the run
@@ -280,24 +280,36 @@ def _keyed(texts: DataFrame, length: int, gram: int) -> DataFrame:
     return texts.mapInArrow(scan, "key long, tid long, at long")
 
 
-def _segments(rows: DataFrame, length: int, with_text: bool) -> DataFrame:
-    """Segments wanted from ``(tid, text, wanted)`` rows: ``(key, digest, tid, size, start[, segment])``."""
-    names = ["key", "digest", "tid", "size", "start"] + (["segment"] if with_text else [])
-    kinds = [pa.int64()] * 5 + ([pa.binary()] if with_text else [])
+def _segments(rows: DataFrame, length: int) -> DataFrame:
+    """Segments wanted from ``(tid, text, wanted)`` rows, by digest: ``(key, digest, tid, size, start, n, doubt)``."""
+    names = ["key", "digest", "tid", "size", "start", "n", "doubt"]
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in small_batches(batches):
             for tid, text, wanted in zip(*(batch.column(k) for k in range(3))):
                 data, name = text.as_py(), tid.as_py()
                 for w in wanted.as_py():
-                    start, n = w["at"] >> 32, w["at"] >> 24 & 0xFF
-                    part = data[start:start + n + length - 1]
-                    digest = xxhash.xxh64_intdigest(part)
-                    row = (w["key"], digest - (1 << 64) if digest >> 63 else digest, name, len(data), start)
-                    yield (*row, part) if with_text else row
+                    start, n, doubt = w["at"] >> 32, w["at"] >> 24 & 0xFF, w["at"] >> 23 & 1
+                    digest = xxhash.xxh64_intdigest(data[start:start + n + length - 1])
+                    yield w["key"], digest - (1 << 64) if digest >> 63 else digest, name, len(data), start, n, doubt
+
+    return rows.mapInArrow(lambda batches: _batches(names, [pa.int64()] * 7, hashed(batches)),
+                           ", ".join(f"{n} long" for n in names))
+
+
+def _texts_of(rows: DataFrame, length: int) -> DataFrame:
+    """``(key, digest, segment)`` of the segments that ``(text, chosen)`` rows name."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for batch in small_batches(batches):
+            for text, chosen in zip(batch.column(0), batch.column(1)):
+                data = text.as_py()
+                for c in chosen.as_py():
+                    yield c["key"], c["digest"], data[c["start"]:c["start"] + c["n"] + length - 1]
 
-    schema = ", ".join(f"{n} {'binary' if n == 'segment' else 'long'}" for n in names)
-    return rows.mapInArrow(lambda batches: _batches(names, kinds, cut(batches)), schema)
+    return rows.select("text", "chosen").mapInArrow(
+        lambda batches: _batches(["key", "digest", "segment"], [pa.int64(), pa.int64(), pa.binary()], cut(batches)),
+        "key long, digest long, segment binary")
 
 
 def _indexed(distinct: DataFrame, buckets: int, length: int) -> DataFrame:
@@ -398,22 +410,35 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, buck
         F.when(has, F.col("text")).alias("text"),
         F.when(~has & F.col("copied").isNull(), F.sha2("text", 256)).alias("sha")), "noted")
 
-    candidates = noted.where("wanted is not null").select("tid", "text", "wanted")
+    # Segments by digest: how many places, and one place to read each from.  A key with one segment only needs
+    # no index, unless the segment can repeat itself: it is repeated as a whole or not at all.
+    candidates = noted.where("wanted is not null").select("tid", "size", "text", "wanted")
+    places = _segments(candidates.select("tid", "text", "wanted"), length)
     where = _occurrence(F.col("tid"), F.col("start"))
-    distinct = materialise(
-        _segments(candidates, length, True).groupBy("key", "digest").agg(
-            F.first("segment").alias("segment"), (F.min(where) != F.max(where)).alias("again")), "segments")
-    total = distinct.agg(F.sum(F.octet_length("segment")).alias("b")).first()["b"] or 0
-    large = materialise(distinct.groupBy("key").count().where(F.col("count") > max_segments).select("key"), "large-keys")
-    found = _indexed(distinct.join(large, "key", "left_anti"), max(1, -(-total // bucket_bytes)), length)
-    if not large.isEmpty():
-        found = found.unionByName(_compared(distinct.join(large, "key", "left_semi"), length))
+    distinct = materialise(places.groupBy("key", "digest").agg(
+        F.min(F.struct("tid", "size", "start", "n")).alias("place"), (F.min(where) != F.max(where)).alias("again"),
+        F.max("doubt").alias("doubt")), "segments")
+    per_key = distinct.groupBy("key").agg(F.count("*").alias("held"), F.max("doubt").alias("doubt"))
+    mixed = materialise(per_key.where("held > 1 or doubt = 1").select(
+        "key", (F.col("held") > max_segments).alias("large")), "mixed-keys")
+    chosen = distinct.drop("doubt").join(mixed, "key").select("key", "digest", "place.*", "large")
+    size = chosen.agg(F.sum(F.col("n") + length - 1).alias("bytes"), F.max("large").alias("large")).first()
+    buckets = max(1, -(-(size["bytes"] or 0) // bucket_bytes))
+
+    def texts(picked: DataFrame) -> DataFrame:
+        per_text = picked.groupBy("tid", "size").agg(F.collect_list(F.struct("key", "digest", "start", "n")).alias("chosen"))
+        one = candidates.groupBy("tid", "size").agg(F.first("text").alias("text"))  # copies of a text count once
+        return _texts_of(one.join(per_text, ["tid", "size"]), length)
+
+    found = _indexed(texts(chosen.where("not large")), buckets, length)
+    if size["large"]:
+        found = found.unionByName(_compared(texts(chosen.where("large")), length))
     whole = distinct.where("again").select(
-        "key", "digest", F.array(F.lit(0), F.octet_length("segment")).cast("array<long>").alias("spans"))
+        "key", "digest", F.array(F.lit(0), F.col("place.n") + length - 1).cast("array<long>").alias("spans"))
     found = materialise(found.unionByName(whole), "found").groupBy("key", "digest").agg(
         F.flatten(F.collect_list("spans")).alias("spans"))
 
-    places = _segments(candidates, length, False).distinct()
+    places = places.select("key", "digest", "tid", "size", "start").distinct()
     shifted = F.transform("spans", lambda s: s + F.col("start"))
     spans = places.join(found, ["key", "digest"]).select("tid", "size", shifted.alias("spans")).groupBy("tid", "size").agg(
         F.flatten(F.collect_list("spans")).alias("spans"))
