@@ -42,7 +42,7 @@ LENGTH = 200
 GRAM = 64
 #: Text handled at once when keys are computed.
 CHUNK = 1 << 19
-BUCKET_BYTES = 3 << 19
+BUCKET_BYTES = 3 << 18
 #: More distinct segments of one key than this do not go to an index.
 MAX_SEGMENTS = 4096
 #: Windows of a segment; longer stretches are cut, so a count fits a byte.
