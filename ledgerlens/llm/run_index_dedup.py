@@ -135,9 +135,14 @@ class RunIndex:
         self.text = text
         order = suffix_order(text)
         last = text[order - 1]  # the transform; the first suffix is preceded by the last symbol
-        heads = np.flatnonzero(np.concatenate([[True], last[1:] != last[:-1]]))
+        fresh = np.concatenate([[True], last[1:] != last[:-1]])
+        heads = np.flatnonzero(fresh)
         self.symbols, self.run_starts = last[heads], heads
-        head, before = order[heads], order[heads - 1]
+        # Nothing stands before the first suffix, so neither its row nor the one after it goes on from a step before.
+        first = int(np.flatnonzero(order == 0)[0])
+        fresh[first:first + 2] = True
+        rows = np.flatnonzero(fresh)
+        head, before = order[rows], order[rows - 1]
         common = common_prefix(text, head[1:], before[1:])
         by = np.argsort(head)
         self.sample_at, self.sample_other = head[by], before[by]

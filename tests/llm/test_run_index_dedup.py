@@ -96,3 +96,16 @@ def test_hashes_and_minima():
     values = np.array([5, 3, 8, 1, 9, 2, 2, 7])
     for width in (1, 2, 3, 5, 8):
         assert rid.sliding_min(values, width).tolist() == [min(values[i:i + width]) for i in range(9 - width)]
+
+
+def test_first_suffix_among_other_starts():
+    assert rid.RunIndex([b"ab", b"aa"]).repeated(2).tolist() == []
+    rng = random.Random(5)
+    for _ in range(2000):
+        stem = bytes(rng.choices(b"ab", k=rng.randrange(6)))
+        strings = list(dict.fromkeys(stem + bytes(rng.choices(b"ab", k=rng.randrange(1, 9))) for _ in range(rng.randrange(1, 7))))
+        length = rng.randrange(1, 8)
+        index = rid.RunIndex(strings)
+        at = [(int(s) + p, t[p:p + length]) for s, t in zip(index.starts, strings) for p in range(len(t) - length + 1)]
+        seen = Counter(w for _, w in at)
+        assert index.repeated(length).tolist() == [x for x, w in at if seen[w] > 1]
