@@ -60,7 +60,7 @@ def rule_table(rules: Sequence[Rule]) -> Column:
     groups: dict[str, list] = {}
     for rank, rule in enumerate(rules):
         groups.setdefault(rule.keyword, []).append(
-            {"label": rule.label, "priority": rule.priority, "rank": rank, "pattern": f"( (?:{rule.pattern}))(?= )"})
+            {"label": rule.label, "priority": rule.priority, "rank": rank, "pattern": f"(?s)( (?:{rule.pattern}))(?= )"})
     text = json.dumps([{"keyword": k, "rules": v} for k, v in groups.items()])
     return F.from_json(F.lit(text), "array<struct<keyword string, rules array<struct<"
                                     "label string, priority int, rank int, pattern string>>>>")
@@ -77,7 +77,7 @@ def detections(norm: Column, rules: Sequence[Rule]) -> Column:
 
     def matches(rule: Column) -> Column:
         # \G ties each match to the end of the last one: gaps and matches together spell out the text once.
-        pattern = F.concat(F.lit(r"\G(.*?)"), rule["pattern"])
+        pattern = F.concat(F.lit(r"(?s)\G(.*?)"), rule["pattern"])
         found = F.regexp_extract_all(norm, pattern, F.lit(2))
         lengths = F.transform(found, lambda m: F.length(m))
         gaps = F.transform(F.regexp_extract_all(norm, pattern, F.lit(1)), lambda g: F.length(g))
@@ -150,8 +150,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.when(hinted, normalised(text)).alias("norm"))
     phrase = "( (?:" + "|".join(BASE.values()) + "))(?= )"
     base = F.regexp_extract_all("norm", F.lit(phrase), F.lit(1))
-    before = F.regexp_extract("norm", rf"^(.*?){phrase}", 1)
-    last = F.regexp_extract("norm", rf"^(.*){phrase}", 1)
+    before = F.regexp_extract("norm", rf"(?s)^(.*?){phrase}", 1)
+    last = F.regexp_extract("norm", rf"(?s)^(.*){phrase}", 1)
     none = F.array().cast("array<string>")
     rows = rows.select(
         "doc_id", "n_words", F.coalesce(base, none).alias("base"),

@@ -87,3 +87,10 @@ def test_every_base_phrase_passes_the_gate(phrase):
 def test_native_and_without_shuffle(spark):
     plan = license_scan.scan(read_table(spark, SMALL, "documents"))._jdf.queryExecution().executedPlan().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "InArrow", "Exchange"))
+
+
+def test_line_ends_of_unicode_within_words(spark):
+    texts = ["one two\u2028three mit license four cc by five"] + [
+        f"a{c}b mit license c{c}d, cc by {c} e mit licensed; neither the name of x{c}y nor the names of its contributors "
+        f"may be used to endorse or promote products {c} apache license 2.0" for c in "\x85\u2028\u2029"]
+    check(spark, list(enumerate(texts)))
