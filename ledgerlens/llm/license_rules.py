@@ -9,7 +9,8 @@ without it is never tried.  Higher priorities win where detections overlap.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+from collections.abc import Iterator, Sequence
 from typing import NamedTuple
 
 
@@ -20,7 +21,7 @@ class Rule(NamedTuple):
     pattern: str
 
 
-#: Word parts of which every text with a licence notice that a rule knows holds one.
+#: Word parts that most notices hold; see ``gate``.
 STEMS = ("licen", "copyright", "copyleft", "domain", "gpl", "cc", "warrant", "redistribut", "permission", "spdx",
          "unlicen", "permitted", "rights", "merchantab")
 
@@ -42,7 +43,7 @@ mit-0 | 86 | mit | mit no attribution
 x11 | 70 | x11 | x11 licen[cs]e
 isc | 70 | isc | (?:the )?isc licen[cs]e
 isc | 84 | permission | permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted
-0bsd | 86 | 0bsd | (?:bsd zero clause licen[cs]e|0bsd)
+0bsd | 86 | bsd | (?:bsd zero clause licen[cs]e|0bsd)
 0bsd | 85 | zero | zero clause bsd(?: licen[cs]e)?
 bsd | 50 | bsd | (?:the )?bsd licen[cs]e
 bsd | 52 | bsd | bsd style licen[cs]e
@@ -98,7 +99,7 @@ cecill-c | 72 | cecill | cecill c(?: licen[cs]e)?
 eupl | 60 | european | european union public licen[cs]e
 eupl | 58 | eupl | eupl
 bsl-1.0 | 76 | boost | (?:the )?boost software licen[cs]e(?: version)?(?: 1 0)?
-bsl-1.0 | 84 | machine | this licen[cs]e the software to use reproduce display distribute execute and transmit the software
+bsl-1.0 | 84 | transmit | this licen[cs]e the software to use reproduce display distribute execute and transmit the software
 busl-1.1 | 78 | business | business source licen[cs]e(?: version)?(?: 1 1)?
 sspl-1.0 | 78 | server | server side public licen[cs]e(?: version)?(?: 1)?
 elastic-2.0 | 78 | elastic | elastic licen[cs]e(?: version)?(?: 2 0)?
@@ -178,7 +179,7 @@ watcom-1.0 | 74 | watcom | sybase open watcom public licen[cs]e
 nasa-1.3 | 74 | nasa | nasa open source agreement
 mulan-psl-2.0 | 78 | mulan | mulan (?:psl|permissive software licen[cs]e)(?: v| version)?(?: ?2)?
 blueoak-1.0.0 | 78 | blue | blue oak model licen[cs]e
-eudatagram | 72 | eudatagram | eu datagrid software licen[cs]e
+eudatagram | 72 | datagrid | eu datagrid software licen[cs]e
 sgi-b-2.0 | 74 | sgi | sgi free software licen[cs]e b
 intel | 70 | intel | intel open source licen[cs]e
 nokia | 70 | nokia | nokia open source licen[cs]e
@@ -287,3 +288,30 @@ def all_rules() -> list[Rule]:
     """Every rule in its fixed order, base phrases first."""
     base = [Rule(label, 50, phrase.split()[0], phrase) for label, phrase in BASE.items()]
     return [*base, *_written(), *_families()]
+
+
+def _always(pattern: str) -> list[str]:
+    """Word parts that every match of a pattern holds (not all of them: groups, classes and escapes are passed over)."""
+    left = re.sub(r"\\[pP]\{[^}]*\}|\\.", "\n", pattern)
+    left = re.sub(r"\[[^\]]*\]", "\n", left)
+    left, n = re.sub(r"\n(?:[?*+]|\{[^}]*\})+", "\n", left), 1
+    while n:
+        left, n = re.subn(r"\([^()]*\)(?:[?*+]|\{[^}]*\})*", "\n", left)
+    if "|" in left:
+        return []
+    return re.findall(r"[a-z0-9]+", re.sub(r".(?:[?*]|\{[^}]*\})[?+]?", "\n", left))
+
+
+def gate(rules: Sequence[Rule]) -> list[str]:
+    """Word parts of which every text with a match of a rule or a base phrase holds one.
+
+    A match holds its rule's keyword and the fixed words of its pattern.  One
+    of ``STEMS`` in these stands for the rule; otherwise it is the keyword, or
+    the longest word where the keyword is short and so stands in most texts.
+    """
+    parts = set()
+    for keyword, pattern in [(r.keyword, r.pattern) for r in rules] + [(p.split()[0], p) for p in BASE.values()]:
+        known = [keyword, *_always(pattern)]
+        stem = next((s for s in STEMS if any(s in k for k in known)), None)
+        parts.add(stem or (keyword if len(keyword) > 3 else max(known, key=len)))
+    return sorted(p for p in parts if not any(q != p and q in p for q in parts))

@@ -1,6 +1,6 @@
 """Licence scan by ordered signature rules.
 
-Texts that hold none of a few word parts are done at once.  The others are
+Texts that hold none of the word parts that the rules need are done at once.  The others are
 normalised to lower-case words, the rules whose keyword they hold are run,
 and the detections of all rules are resolved: one that lies within another is
 suppressed, and of two that overlap in part the one of lower priority goes.
@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import ascii_lower
-from .license_rules import BASE, STEMS, Rule, all_rules
+from .license_rules import BASE, Rule, all_rules, gate
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: The same words before A-Z became a-z.
@@ -141,9 +141,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     rules = all_rules() if rules is None else rules
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    lowered = F.lower(text)  # holds every ASCII stem that the ASCII-lowered text holds
+    lowered = F.lower(text)  # holds every ASCII word part that the ASCII-lowered text holds
     hinted = F.lit(False)
-    for stem in STEMS:
+    for stem in gate(rules):
         hinted = hinted | F.contains(lowered, F.lit(stem))
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"), F.regexp_count(text, F.lit(WORD_ANY_CASE)).cast("long").alias("n_words"),

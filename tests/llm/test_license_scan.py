@@ -94,3 +94,43 @@ def test_line_ends_of_unicode_within_words(spark):
         f"a{c}b mit license c{c}d, cc by {c} e mit licensed; neither the name of x{c}y nor the names of its contributors "
         f"may be used to endorse or promote products {c} apache license 2.0" for c in "\x85\u2028\u2029"]
     check(spark, list(enumerate(texts)))
+
+
+def sample(tree, most):
+    """A text that a parsed pattern matches, without its options or (``most``) with them."""
+    out = ""
+    for op, arg in tree:
+        name = str(op)
+        if name == "LITERAL":
+            out += chr(arg)
+        elif name == "ANY":
+            out += "x"
+        elif name == "IN":
+            out += chr(arg[0][1] if str(arg[0][0]) == "LITERAL" else arg[0][1][0])
+        elif name == "BRANCH":
+            out += sample(arg[1][-1 if most else 0], most)
+        elif name == "SUBPATTERN":
+            out += sample(arg[3], most)
+        else:
+            low, high, part = arg
+            out += sample(part, most) * max(low, min(high, 1) if most else low)
+    return out
+
+
+def test_every_rule_with_its_notice_alone(spark):
+    rows = []
+    for rule, whole in RULES:
+        said = [sample(re._parser.parse(rule.pattern), most) for most in (False, True)]
+        assert all(whole.search(f" {t} ") for t in said)
+        said = [t for t in said if rule.keyword in t]
+        assert said, rule
+        rows += said
+    rows = list(enumerate(dict.fromkeys(rows)))
+    assert all(slow(t)[6] for _, t in rows)
+    check(spark, rows)
+
+
+def test_texts_beside_the_gate(spark):
+    texts = ["creative commons", "Apache 2.0", "BSD 3 clause", "0BSD", "bsd zero clause license", "MIT No Attribution", "wtfpl", "EUPL",
+             "same terms as Perl", "used for good, not evil", "for research use only", "nothing of the kind"]
+    check(spark, list(enumerate(texts)))
