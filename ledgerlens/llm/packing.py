@@ -9,6 +9,7 @@ pass over the lengths of the pieces alone.
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from bisect import bisect_right, insort
 from collections.abc import Callable, Iterator
@@ -24,6 +25,9 @@ from .common import materialise, small_batches
 
 #: Fixed value: how byte-level BPE of this kind cuts text before merging.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: White space as the pattern sees it, and the longest run of it that tiktoken's matcher is given (it fails at a million).
+SPACES = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+")
+LONG_RUN = 1 << 19
 MERGE_GROUP = 4096
 FLUSH = 1 << 14
 
@@ -61,6 +65,21 @@ def byte_level_bpe(path: str) -> tiktoken.Encoding:
     return known[path]
 
 
+def plain_ids(encoding: tiktoken.Encoding, text: str) -> np.ndarray:
+    """The ids of a text.  A very long run of white space goes to the merges as the one piece that the pattern makes of it:
+    the whole run at the end of the text, else all but its last character."""
+    if len(text) <= LONG_RUN:
+        return encoding.encode_to_numpy(text, disallowed_special=())
+    parts, at = [], 0
+    for run in SPACES.finditer(text):
+        if run.end() - run.start() > LONG_RUN:
+            stop = run.end() - (run.end() < len(text))
+            parts.append(encoding.encode_to_numpy(text[at:run.start()], disallowed_special=()))
+            parts.append(np.array(encoding._encode_single_piece(text[run.start():stop]), np.uint32))
+            at = stop
+    return np.concatenate([*parts, encoding.encode_to_numpy(text[at:], disallowed_special=())])
+
+
 class OpenWindows:
     """At most ``limit`` open windows of ``size`` tokens, kept in order of their fill."""
 
@@ -111,7 +130,7 @@ def pack_parts(docs: DataFrame, tokenizer: str, size: int = 2048, windows: int =
         held = OpenWindows(size, windows, TaskContext.get().partitionId() << 33, emit)
         for batch in small_batches(batches):
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                body = encoding.encode_to_numpy(text.as_py() or "", disallowed_special=())
+                body = plain_ids(encoding, text.as_py() or "")
                 ids = np.append(body, end_id).astype("<u4")
                 for start in range(0, len(ids), size):
                     part = ids[start:start + size]

@@ -85,3 +85,19 @@ def test_windows_stay_bounded_and_emit_the_fullest():
     held.close()
     # c fills b; d fits nowhere and is the second window; e fits d best.
     assert out == [(1, ["b", "c"], False), (2, ["d", "e"], False), (0, ["a"], True)]
+
+
+@pytest.mark.parametrize("run", [" " * 2_000_000, "\n" * 2_000_000, " \n\u2028\u3000" * 500_000])
+def test_very_long_runs_of_white_space(run):
+    encoding = packing.byte_level_bpe(tokenizer_path())
+    for text in (run, f"a b{run}", f"{run}c d", f"a{run}b \x85", f"a{run}\x1cb"):
+        assert [*packing.plain_ids(encoding, text).tolist(), 1] == ids_of(text)
+
+
+def test_cuts_at_runs_change_no_ids(monkeypatch):
+    monkeypatch.setattr(packing, "LONG_RUN", 2)
+    encoding = packing.byte_level_bpe(tokenizer_path())
+    rng = np.random.default_rng(4)
+    for _ in range(500):
+        text = "".join(rng.choice(list(" \n\t\r\x0b\x1c\x1f\x85\xa0\u200b\u2009\u180e\u2028\u3000\ufeffab1!'s"), 30))
+        assert [*packing.plain_ids(encoding, text).tolist(), 1] == ids_of(text)
