@@ -46,9 +46,9 @@ def byte_level_bpe(path: str) -> tiktoken.Encoding:
     """The byte-level BPE of a ``tokenizers`` JSON file, run by tiktoken.
 
     tiktoken merges the same ranks about four times as fast as ``tokenizers``
-    and gives the same ids (the tests compare them); special tokens in a text
-    are ordinary text.  Other kinds of tokenizer are refused.  Kept per process
-    (on the tiktoken module, since this module travels with each task).
+    and gives the same ids (the tests compare them).  Other kinds of tokenizer
+    are refused.  Kept per process (on the tiktoken module, since this module
+    travels with each task).
     """
     known = tiktoken.__dict__.setdefault("_byte_level_bpe", {})
     if path in known:
@@ -58,10 +58,10 @@ def byte_level_bpe(path: str) -> tiktoken.Encoding:
     pre = spec.get("pre_tokenizer") or {}
     if spec["model"]["type"] != "BPE" or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space"):
         raise ValueError(f"{path} is not a byte-level BPE")
-    special = {t["content"] for t in spec.get("added_tokens", ())}
+    special = {t["content"]: t["id"] for t in spec.get("added_tokens", ())}
     alphabet = _byte_alphabet()
     ranks = {bytes(alphabet[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
-    known[path] = tiktoken.Encoding("byte-level-bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+    known[path] = tiktoken.Encoding("byte-level-bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
     return known[path]
 
 
@@ -80,6 +80,16 @@ def plain_ids(encoding: tiktoken.Encoding, text: str) -> np.ndarray:
     return np.concatenate([*parts, encoding.encode_to_numpy(text[at:], disallowed_special=())])
 
 
+def token_ids(encoding: tiktoken.Encoding, text: str, added: bool) -> np.ndarray:
+    """The ids of a text; ``added``: the file's added tokens in it give their own ids, as ``tokenizers`` does by default."""
+    names = sorted(encoding.special_tokens_set, key=len, reverse=True) if added else []
+    if not any(name in text for name in names):
+        return plain_ids(encoding, text)
+    parts = re.split("(" + "|".join(map(re.escape, names)) + ")", text)
+    return np.concatenate([np.array([encoding.encode_single_token(p)], np.uint32) if i % 2 else plain_ids(encoding, p)
+                           for i, p in enumerate(parts)])
+
+
 class OpenWindows:
     """At most ``limit`` open windows of ``size`` tokens, kept in order of their fill."""
 
@@ -110,7 +120,8 @@ class OpenWindows:
 
 
 def pack_parts(docs: DataFrame, tokenizer: str, size: int = 2048, windows: int = 64, end_id: int = 1,
-               id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
+               id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False,
+               added_tokens: bool = False) -> DataFrame:
     """Pieces of every document as placed by its task; ``open`` marks windows left open at the task's end."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -130,7 +141,7 @@ def pack_parts(docs: DataFrame, tokenizer: str, size: int = 2048, windows: int =
         held = OpenWindows(size, windows, TaskContext.get().partitionId() << 33, emit)
         for batch in small_batches(batches):
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                body = plain_ids(encoding, text.as_py() or "")
+                body = token_ids(encoding, text.as_py() or "", added_tokens)
                 ids = np.append(body, end_id).astype("<u4")
                 for start in range(0, len(ids), size):
                     part = ids[start:start + size]
@@ -168,19 +179,21 @@ def _merge(group: pd.DataFrame, size: int) -> pd.DataFrame:
 
 
 def pack(docs: DataFrame, tokenizer: str, size: int = 2048, windows: int = 64, end_id: int = 1,
-         id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
+         id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False,
+         added_tokens: bool = False) -> DataFrame:
     """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset`` (and ``ids``).
 
     Every row of ``docs`` is tokenised whole and closed by ``end_id``; null
     text is empty and gives that one id; null ids stay null and repeated rows
     are documents of their own.  A document longer than ``size`` is cut into
     full pieces and a rest; others stay whole.  An empty table gives no rows.
-    The pieces of leftover windows are placed anew in groups of about
+    With ``added_tokens`` a literal added token of the file gives its own id,
+    otherwise it is ordinary text.  The pieces of leftover windows are placed anew in groups of about
     ``MERGE_GROUP`` windows, so the last pass stays bounded however many tasks
     there were.
     """
     pieces = materialise(
-        pack_parts(docs, tokenizer, size, windows, end_id, id_col, text_col, with_ids), "pieces")
+        pack_parts(docs, tokenizer, size, windows, end_id, id_col, text_col, with_ids, added_tokens), "pieces")
     left = pieces.where("open")
     windows_left = left.agg(F.count_distinct("sequence_id")).first()[0]
     groups = max(1, -(-windows_left // MERGE_GROUP))

@@ -50,7 +50,7 @@ def tokenizer_path() -> str:
 
 
 def op7_bounded_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(read_table(spark, sf_dir, "documents"), tokenizer_path())
+    return packing.pack(read_table(spark, sf_dir, "documents"), tokenizer_path(), added_tokens=True)
 
 
 def op8_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:

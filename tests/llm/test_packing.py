@@ -101,3 +101,20 @@ def test_cuts_at_runs_change_no_ids(monkeypatch):
     for _ in range(500):
         text = "".join(rng.choice(list(" \n\t\r\x0b\x1c\x1f\x85\xa0\u200b\u2009\u180e\u2028\u3000\ufeffab1!'s"), 30))
         assert [*packing.plain_ids(encoding, text).tolist(), 1] == ids_of(text)
+
+
+def test_added_tokens_as_tokenizers_by_default():
+    from tokenizers import Tokenizer
+
+    reference, encoding = Tokenizer.from_file(tokenizer_path()), packing.byte_level_bpe(tokenizer_path())
+    assert packing.token_ids(encoding, "a <|endoftext|> b", True).tolist() == [64, 220, 50256, 275]
+    for text in ("<|endoftext|>", "a  <|endoftext|><|endoftext|>  b", "x\n\n<|endoftext|", "<|<|endoftext|>|>", "plain", ""):
+        assert packing.token_ids(encoding, text, True).tolist() == reference.encode(text, add_special_tokens=False).ids
+
+
+def test_queries_give_added_tokens_their_ids(spark, tmp_path):
+    from ledgerlens.llm import queries
+
+    spark.createDataFrame([(1, "a <|endoftext|> b")], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    row = queries.op7_bounded_packing(spark, str(tmp_path)).first()
+    assert row["ids_crc32"] == zlib.crc32(np.array([64, 220, 50256, 275, 1], "<u4").tobytes())
