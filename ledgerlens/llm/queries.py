@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bit_sliced, decontam, hilbert, license_scan, line_dedup, packing, run_index_dedup, simhash, toxicity, warc
+from . import (
+    bit_sliced, decontam, hilbert, license_scan, line_dedup, packing, prefix_trie, run_index_dedup, simhash, toxicity, warc)
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,6 +70,10 @@ def op10_positional_decontamination(spark: SparkSession, sf_dir: str) -> DataFra
                         decontam.items_digest(F.col("item_ids")).alias("items_sha256"), "contaminated")
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.trie(read_table(spark, sf_dir, "conversations")).drop("n_ends")
+
+
 QUERIES: dict[str, Query] = {
     "op1_counterfactual_toxicity": op1_counterfactual_toxicity,
     "op2_hilbert_sharding": op2_hilbert_sharding,
@@ -80,6 +85,7 @@ QUERIES: dict[str, Query] = {
     "op8_warc_zstd": op8_warc_zstd,
     "op9_simhash_mih": op9_simhash_mih,
     "op10_positional_decontamination": op10_positional_decontamination,
+    "op11_prefix_trie": op11_prefix_trie,
 }
 
 ORACLES: dict[str, str] = {
@@ -142,4 +148,37 @@ ORACLES: dict[str, str] = {
                coalesce(items.n, 0)::BIGINT AS n_items, sha256(coalesce(items.ids, '')) AS items_sha256,
                coalesce(hit.n, 0) > 0 AND 20 * coalesce(hit.n, 0) >= coalesce(len(w), 0) AS contaminated
         FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op11_prefix_trie": """
+        WITH t AS (
+            SELECT conv_id AS c, turn, coalesce(role, '') AS r, coalesce(text, '') AS x
+            FROM conversations WHERE conv_id IS NOT NULL),
+        given AS (
+            SELECT c, list({'r': r, 'x': x} ORDER BY turn NULLS FIRST, r, md5(length(r) || ':' || r || x)) AS l FROM t GROUP BY c),
+        opening AS (
+            SELECT c, l, c - c % 100 AS home, xor(4294967295, list_reduce(
+                list_prepend(4294967295::BIGINT, [ascii(s)::BIGINT FOR s IN string_split(c::VARCHAR, '')]),
+                lambda a, b: list_reduce(list_prepend(xor(a, b), [0::BIGINT FOR i IN range(8)]),
+                                         lambda z, i: xor(z >> 1, 3988292384 * (z & 1))))) % 6 AS h
+            FROM given),
+        rebuilt AS (
+            SELECT o.c, list_concat(coalesce(list_slice(g.l, 1, h), []), list_slice(o.l, h + 1, len(o.l))) AS l
+            FROM opening o LEFT JOIN given g ON g.c = o.home),
+        paths AS (
+            SELECT c, d, len(l) AS n, md5(to_json(list_slice(l, 1, d))::VARCHAR) AS k, md5(to_json(list_slice(l, 1, d - 1))::VARCHAR) AS up,
+                   CASE WHEN d > 0 THEN length(l[d].x) ELSE 0 END AS chars
+            FROM (SELECT c, l, unnest(range(len(l) + 1)) AS d FROM rebuilt)),
+        nodes AS (
+            SELECT d, k, CASE WHEN d > 0 THEN min(up) END AS up, min(c) AS conv_id, count(*) AS n_convs,
+                   (count(*) - 1) * min(chars) AS saved,
+                   sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE d = n), '')) AS ends_sha256
+            FROM paths GROUP BY d, k),
+        linked AS (
+            SELECT a.*, p.conv_id AS parent_conv_id,
+                   (SELECT count(*) FROM nodes b WHERE b.up = a.k AND b.d = a.d + 1) AS n_children
+            FROM nodes a LEFT JOIN nodes p ON p.k = a.up AND p.d = a.d - 1),
+        sums AS (
+            SELECT p.d, p.k, count(*) FILTER (WHERE u.n_children = 0) AS n_leaves, sum(u.saved)::BIGINT AS saved_tokens
+            FROM linked u JOIN paths p ON p.c = u.conv_id AND p.d <= u.d GROUP BY p.d, p.k)
+        SELECT conv_id, d AS depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256
+        FROM linked JOIN sums USING (d, k)""",
 }

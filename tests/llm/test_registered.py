@@ -18,7 +18,7 @@ def plain(value):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_sql_twin(spark, name):
     con = duckdb.connect()
-    for table in "documents embeddings pages benchmark labels".split():
+    for table in "documents embeddings pages benchmark labels conversations".split():
         con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SMALL}/{table}.parquet'")
     found = QUERIES[name](spark, SMALL)
     wanted = con.execute(ORACLES[name])
@@ -29,4 +29,4 @@ def test_sql_twin(spark, name):
 
 
 def test_one_query_per_operator():
-    assert [q.split("_")[0] for q in QUERIES] == [f"op{n}" for n in range(1, 11)]
+    assert [q.split("_")[0] for q in QUERIES] == [f"op{n}" for n in range(1, 12)]
