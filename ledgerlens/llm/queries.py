@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    bit_sliced, decontam, hilbert, license_scan, line_dedup, packing, prefix_trie, run_index_dedup, simhash, toxicity, warc)
+    bit_sliced, decontam, hilbert, license_scan, line_dedup, packing, prefix_trie, ranked_search, run_index_dedup, simhash, toxicity,
+    warc)
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,6 +75,10 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(read_table(spark, sf_dir, "conversations")).drop("n_ends")
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_counterfactual_toxicity": op1_counterfactual_toxicity,
     "op2_hilbert_sharding": op2_hilbert_sharding,
@@ -86,6 +91,7 @@ QUERIES: dict[str, Query] = {
     "op9_simhash_mih": op9_simhash_mih,
     "op10_positional_decontamination": op10_positional_decontamination,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_ranked_search": op12_ranked_search,
 }
 
 ORACLES: dict[str, str] = {
@@ -181,4 +187,24 @@ ORACLES: dict[str, str] = {
             FROM linked u JOIN paths p ON p.c = u.conv_id AND p.d <= u.d GROUP BY p.d, p.k)
         SELECT conv_id, d AS depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256
         FROM linked JOIN sums USING (d, k)""",
+    "op12_ranked_search": r"""
+        WITH d AS (
+            SELECT doc_id, t.term, count(*) AS tf FROM documents, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t(term) GROUP BY doc_id, t.term),
+        q AS (
+            SELECT item_id, t.term, count(*) AS times FROM benchmark, unnest(regexp_extract_all(
+                translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t(term) GROUP BY item_id, t.term),
+        sizes AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM d GROUP BY doc_id),
+        totals AS (SELECT count(*) AS docs, sum(n)::BIGINT AS words FROM sizes),
+        w AS (
+            SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w
+            FROM d, totals GROUP BY term, docs),
+        s AS (
+            SELECT item_id, doc_id,
+                   sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // words))))::BIGINT AS score
+            FROM q JOIN w USING (term) JOIN d USING (term) JOIN sizes USING (doc_id), totals GROUP BY item_id, doc_id)
+        SELECT item_id, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score
+        FROM s WHERE score > 0 QUALIFY rank <= 10""",
 }
