@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from . import (
     bit_sliced, decontam, hilbert, license_scan, line_dedup, packing, prefix_trie, ranked_search, run_index_dedup, simhash, toxicity,
-    warc)
+    warc, weighted_sampling)
 from .common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,6 +79,10 @@ def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op13_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weighted_sampling.fingerprints(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_counterfactual_toxicity": op1_counterfactual_toxicity,
     "op2_hilbert_sharding": op2_hilbert_sharding,
@@ -92,6 +96,7 @@ QUERIES: dict[str, Query] = {
     "op10_positional_decontamination": op10_positional_decontamination,
     "op11_prefix_trie": op11_prefix_trie,
     "op12_ranked_search": op12_ranked_search,
+    "op13_weighted_sampling": op13_weighted_sampling,
 }
 
 ORACLES: dict[str, str] = {

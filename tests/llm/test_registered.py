@@ -29,4 +29,4 @@ def test_sql_twin(spark, name):
 
 
 def test_one_query_per_operator():
-    assert [q.split("_")[0] for q in QUERIES] == [f"op{n}" for n in range(1, 13)]
+    assert [q.split("_")[0] for q in QUERIES] == [f"op{n}" for n in range(1, 14)]
