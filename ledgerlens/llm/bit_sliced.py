@@ -26,24 +26,26 @@ from .common import materialise
 SCALE = 256
 BLOCK_ROWS = 1 << 15
 QUERY_ROWS = 128
-#: Larger components could carry a score out of a long; such vectors take no part.
-LARGEST = 1 << 23
+#: Quantised components of this size or more have no slices in a long: an error, not a row less.
+LARGEST = 1 << 62
 
 
 def quantised(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
-    """``(vec_id, q)``: floor(256 x) of every component of every vector that takes part.
+    """``(vec_id, q, row)``: floor(256 x) of every component of every vector that takes part, and a number per row.
 
-    Left out: null ids, null vectors, and vectors that hold a null, a
-    non-finite component or one of 2**23 or more after quantising.  Rows that
-    repeat an id count once (the smallest vector in array order).
+    Left out: null ids, null vectors, and vectors that hold a null or a
+    non-finite component.  Rows that repeat an id stay rows of their own.  A
+    component of 2**62 or more after quantising raises an error.
     """
+    infinite = float("inf")
     x = F.transform(F.col(vector_col), lambda v: v.cast("double"))
-    fine = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < LARGEST / SCALE))
+    fine = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < infinite))
     rows = vectors.where(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull()).select(
         F.col(id_col).cast("long").alias("vec_id"), x.alias("x")).where(fine.isNull() | fine)
     rows = rows.where(F.forall("x", lambda v: v.isNotNull()))
-    q = F.transform("x", lambda v: F.floor(v * SCALE).cast("long"))
-    return rows.select("vec_id", q.alias("q")).groupBy("vec_id").agg(F.min("q").alias("q"))
+    q = F.transform("x", lambda v: F.when(F.abs(v) < LARGEST / SCALE, F.floor(v * SCALE).cast("long")).otherwise(
+        F.raise_error(F.lit("a component is too large to be sliced")).cast("long")))
+    return rows.select("vec_id", q.alias("q"), F.monotonically_increasing_id().alias("row"))
 
 
 def _matrix(lists: pd.Series, width: int) -> np.ndarray:
@@ -56,7 +58,7 @@ def _matrix(lists: pd.Series, width: int) -> np.ndarray:
 
 def build_block(rows: pd.DataFrame) -> pd.DataFrame:
     """The bit-sliced index of one block: rows by ascending id, slices of (component + 2**(bits-1)) per dimension."""
-    rows = rows.sort_values("vec_id")
+    rows = rows.sort_values(["vec_id", "row"])
     width = max(map(len, rows["q"]), default=0)
     values = _matrix(rows["q"], width)
     top = int(np.abs(values).max(initial=0))
@@ -76,9 +78,9 @@ BLOCKS = "block int, n int, width int, bits int, ids binary, slices binary"
 
 
 def build_index(vectors: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Blocks of the index from ``quantised`` rows; ids are dealt to blocks by hash, so equal vectors spread."""
+    """Blocks of the index from ``quantised`` rows, which are dealt to blocks by a hash of their number."""
     blocks = max(1, -(-vectors.count() // block_rows))
-    dealt = vectors.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
+    dealt = vectors.withColumn("block", F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int"))
     return dealt.groupBy("block").applyInPandas(build_block, BLOCKS)
 
 
@@ -172,10 +174,11 @@ def search_block(block: pd.DataFrame, queries: pd.DataFrame, k: int) -> pd.DataF
             query = np.asarray(q, np.int64)
             scores, base = score_slices(query, slices, words)
             among = every
-            at = int(np.searchsorted(ids, own))
-            if at < len(ids) and ids[at] == own:
-                among = every.copy()
-                among[at >> 6] &= ~(np.uint64(1) << np.uint64(at & 63))
+            first, end = (int(np.searchsorted(ids, own, side)) for side in ("left", "right"))
+            if first < end:
+                full[first:end] = 0
+                among = np.packbits(full, bitorder="little").view(np.uint64)
+                full[first:end] = 1
             for row in select_top(scores, among, k):
                 score = sum(int(s[row >> 6] >> np.uint64(row & 63) & np.uint64(1)) << w for w, s in enumerate(scores))
                 out.append((own, int(ids[row]), score + base))
@@ -186,9 +189,11 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec
           block_rows: int = BLOCK_ROWS, query_rows: int = QUERY_ROWS) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: for each query its ``k`` highest integer inner products over ``vectors``.
 
-    ``queries`` has the same two columns; a row with the query's own id is no
-    candidate.  Ties go to the smaller id; fewer than ``k`` candidates give
-    fewer rows.  Vectors of unequal length are compared as if the shorter had
+    ``queries`` has the same two columns; rows with the query's own id are no
+    candidates.  Rows that repeat an id are candidates one by one, and queries
+    that repeat one share its ``k`` places.  Ties go to the smaller id; fewer
+    than ``k`` candidates give fewer rows.  A score beyond a long raises an
+    error.  Vectors of unequal length are compared as if the shorter had
     zeros at its end.  Empty tables give an empty result.
     """
     rows = materialise(quantised(vectors, id_col, vector_col), "quantised")
@@ -196,7 +201,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "vec
     asked = materialise(quantised(queries, id_col, vector_col), "queries")
     parts = max(1, -(-asked.count() // query_rows))
     blocks = max(1, -(-rows.count() // block_rows))
-    dealt = asked.withColumn("part", F.pmod(F.xxhash64("vec_id"), F.lit(parts)).cast("int"))
+    dealt = asked.withColumn("part", F.pmod(F.xxhash64("row"), F.lit(parts)).cast("int"))
     left = index.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     right = dealt.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     found = (left.groupBy("block", "part").cogroup(right.groupBy("block", "part"))
