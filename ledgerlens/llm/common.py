@@ -45,6 +45,32 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh_names(columns: Iterable[str], *stems: str) -> list[str]:
+    """A name for each stem that none of ``columns`` has, whatever its case."""
+    taken = {c.lower() for c in columns}
+    out = []
+    for name in stems:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def join_on_hot_key(rows: DataFrame, keyed: DataFrame, key: str, count: str, share: int = 4096) -> DataFrame:
+    """``rows`` joined to ``keyed``, one row per ``key`` with the number ``count`` of rows it has.
+
+    Keys with more than one row in ``share`` of all are at most ``share``, so
+    they are broadcast and their rows stay where they are; the rest is joined
+    by Spark's choice.  Both sides should be written tables.
+    """
+    least = rows.count() // share + 2
+    heavy = keyed.where(F.col(count) >= least).drop(count)
+    light = keyed.where(F.col(count) < least).drop(count)
+    rest = rows.join(F.broadcast(heavy.select(key)), key, "left_anti")
+    return rows.join(F.broadcast(heavy), key).unionByName(rest.join(light, key))
+
+
 def ascii_lower(col: Column) -> Column:
     """A-Z to a-z and nothing else."""
     return F.translate(col, UPPER, LOWER)

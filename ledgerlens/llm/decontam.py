@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, materialise, small_batches
+from .common import ascii_lower, fresh_names, materialise, small_batches
 
 #: Not a word: ASCII but digits and letters.  The complement of [^\x00-\x2F\x3A-\x60\x7B-\x7F] after A-Z became a-z.
 _WORD_BYTES = bytes(c if c >= 0x80 or chr(c).isalnum() else 0x20 for c in range(256))
@@ -33,7 +33,7 @@ WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 SHARD_BYTES = 8 << 20
 #: Free positions between two documents of a shard.
 GAP = 64
-INDEX = ("shard long, doc_ids array<long>, doc_words array<int>, terms array<string>, "
+INDEX = ("shard long, gap int, doc_ids array<long>, text_hashes array<long>, doc_words array<int>, terms array<string>, "
          "counts array<int>, postings binary")
 
 
@@ -56,7 +56,7 @@ def build_index(docs: DataFrame, wanted: list[str] | None = None, gap: int = 64,
     """
     fixed = None if wanted is None else {w.encode(): i for i, w in enumerate(sorted(set(wanted)))}
 
-    def flush(shard: int, ids: list, sizes: list, parts: list, terms: dict[bytes, int]) -> pa.RecordBatch:
+    def flush(shard: int, ids: list, hashes: list, sizes: list, parts: list, terms: dict[bytes, int]) -> pa.RecordBatch:
         starts = np.concatenate([[0], np.cumsum(np.array(sizes, np.int64) + gap)[:-1]])
         codes = np.concatenate([c for c, _ in parts]) if parts else np.empty(0, np.int32)
         places = np.concatenate([p + s for (_, p), s in zip(parts, starts)]) if parts else np.empty(0, np.int64)
@@ -66,22 +66,22 @@ def build_index(docs: DataFrame, wanted: list[str] | None = None, gap: int = 64,
         for word, code in terms.items():
             names[code] = word
         return pa.RecordBatch.from_arrays([
-            pa.array([shard], pa.int64()), pa.array([ids], pa.list_(pa.int64())),
-            pa.array([sizes], pa.list_(pa.int32())),
+            pa.array([shard], pa.int64()), pa.array([gap], pa.int32()), pa.array([ids], pa.list_(pa.int64())),
+            pa.array([hashes], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int32())),
             pa.array([[names[c].decode() for c in present]], pa.list_(pa.string())),
             pa.array([counts.astype(np.int32)], pa.list_(pa.int32())),
             pa.array([places[order].astype("<u4").tobytes()], pa.binary())],
-            names=["shard", "doc_ids", "doc_words", "terms", "counts", "postings"])
+            names=["shard", "gap", "doc_ids", "text_hashes", "doc_words", "terms", "counts", "postings"])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         shard = TaskContext.get().partitionId() << 32
         terms = dict(fixed or {})
-        ids, sizes, parts, held = [], [], [], 0
+        ids, hashes, sizes, parts, held = [], [], [], [], 0
         for batch in small_batches(batches):
             texts = batch.column(1).cast(pa.binary())
-            for doc_id, text in zip(batch.column(0), texts):
+            for doc_id, text, digest in zip(batch.column(0), texts, batch.column(2)):
                 data = text.as_py() or b""
                 words = words_of(data)
                 if fixed is None:
@@ -91,17 +91,19 @@ def build_index(docs: DataFrame, wanted: list[str] | None = None, gap: int = 64,
                     found = np.fromiter((get(w, -1) for w in words), np.int32, len(words))
                 places = np.flatnonzero(found >= 0)
                 ids.append(doc_id.as_py())
+                hashes.append(digest.as_py())
                 sizes.append(len(words))
                 parts.append((found[places], places))
                 held += len(data) + 1
                 if held >= shard_bytes:
-                    yield flush(shard, ids, sizes, parts, terms)
+                    yield flush(shard, ids, hashes, sizes, parts, terms)
                     shard, terms = shard + 1, dict(fixed or {})
-                    ids, sizes, parts, held = [], [], [], 0
+                    ids, hashes, sizes, parts, held = [], [], [], [], 0
         if ids:
-            yield flush(shard, ids, sizes, parts, terms)
+            yield flush(shard, ids, hashes, sizes, parts, terms)
 
-    picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    text = F.col(text_col).cast("string")
+    picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
     return picked.mapInArrow(scan, INDEX)
 
 
@@ -151,21 +153,25 @@ def search(index: DataFrame, phrases: list[tuple[list[str], list[int]]], order:
 
     ``phrases``: (words, item ids); ``order``: corpus count of each term.  A
     phrase with a term that a shard lacks is skipped there before any list is
-    read.  Returns ``(shard, ordinal, doc_id, n_words, hits, items, near_items)``; ``hits``
-    are the ascending ordinals of hit words within the document.
+    read.  Returns ``(shard, ordinal, doc_id, text_hash, n_words, hits, items, near_items)``;
+    ``hits`` are the ascending ordinals of hit words within the document.  A
+    phrase and its slop must be shorter than the gap of the index.
     """
     plan = [([w.encode() for w, _ in ranked], [o for _, o in ranked], len(words), items) for words, items in phrases
             for ranked in [sorted(((w, o) for o, w in enumerate(words)), key=lambda x: (order.get(x[0], 0), x[1]))]]
+    longest = max((len(words) for words, _ in phrases), default=0)
     shared = index.sparkSession.sparkContext.broadcast(plan)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                yield one(*(batch.column(k)[row] for k in range(6)))
+                yield one(*(batch.column(k)[row] for k in range(8)))
 
-    def one(shard, doc_ids, doc_words, terms, counts, postings) -> pa.RecordBatch:
+    def one(shard, gap, doc_ids, text_hashes, doc_words, terms, counts, postings) -> pa.RecordBatch:
+        if longest + slop >= gap.as_py():
+            raise ValueError(f"phrases and slop together must stay below the index's gap of {gap} words")
         ids, sizes = doc_ids.as_py(), np.array(doc_words.as_py(), np.int64)
-        starts = np.concatenate([[0], np.cumsum(sizes + GAP)]).astype(np.int64)
+        starts = np.concatenate([[0], np.cumsum(sizes + gap.as_py())]).astype(np.int64)
         places = np.frombuffer(postings.as_py(), "<u4").astype(np.int64)
         ends = np.cumsum(np.array(counts.as_py(), np.int64))
         lists = {t.encode(): places[e - n:e] for t, n, e in zip(terms.as_py(), counts.as_py(), ends)}
@@ -191,13 +197,13 @@ def search(index: DataFrame, phrases: list[tuple[list[str], list[int]]], order:
         n = len(ids)
         return pa.RecordBatch.from_arrays([
             pa.array([shard.as_py()] * n, pa.int64()), pa.array(range(n), pa.int32()), pa.array(ids, pa.int64()),
-            pa.array(sizes, pa.int64()),
+            text_hashes.values, pa.array(sizes, pa.int64()),
             pa.array([hit[cuts[d]:cuts[d + 1]] - starts[d] for d in range(n)], pa.list_(pa.int64())),
             pa.array([sorted(exact.get(d, ())) for d in range(n)], pa.list_(pa.int64())),
             pa.array([sorted(near.get(d, ())) for d in range(n)], pa.list_(pa.int64()))],
-            names=["shard", "ordinal", "doc_id", "n_words", "hits", "items", "near_items"])
+            names=["shard", "ordinal", "doc_id", "text_hash", "n_words", "hits", "items", "near_items"])
 
-    return index.mapInArrow(scan, "shard long, ordinal int, doc_id long, n_words long, hits array<long>, "
+    return index.mapInArrow(scan, "shard long, ordinal int, doc_id long, text_hash long, n_words long, hits array<long>, "
                                   "items array<long>, near_items array<long>")
 
 
@@ -216,7 +222,7 @@ def _blocks(phrases: DataFrame, block_words: int) -> Iterator[list[tuple[list[st
 
 def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 13, share: int = 20, slop: int = 2,
                   block_words: int = 2_000_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document: ``doc_id, n_words, n_hit, item_ids, near_item_ids, contaminated``.
+    """Per document: ``doc_id, text_hash, n_words, n_hit, item_ids, near_item_ids, contaminated``.
 
     A document word inside any occurrence of a benchmark window is hit; a
     document is contaminated if ``n_hit > 0`` and ``share * n_hit >= n_words``.
@@ -233,19 +239,21 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 13, share:
     first, second = next(blocks, []), next(blocks, None)
     wanted = sorted({w for words, _ in first for w in words}) if second is None else None
     index = materialise(build_index(docs, wanted, GAP, id_col, text_col), "index")
-    order = term_counts(index)
+    asked = phrases.select(F.explode("phrase").alias("term")).distinct()
+    order = materialise(term_counts(index).join(asked, "term"), "term-counts")
     results = []
     for block in chain([first], [] if second is None else [second], blocks):
-        terms = index.sparkSession.createDataFrame([(w,) for w in sorted({w for ws, _ in block for w in ws})], "term string")
-        results.append(search(index, block, {r["term"]: r["n"] for r in order.join(terms, "term").collect()}, slop))
+        used = {w for words, _ in block for w in words}
+        counts = {r["term"]: r["n"] for r in order.toLocalIterator() if r["term"] in used}
+        results.append(search(index, block, counts, slop))
     found = results[0]
     if len(results) > 1:
         found = materialise(_union(results), "matches").groupBy("shard", "ordinal").agg(
-            F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),
+            F.first("doc_id").alias("doc_id"), F.first("text_hash").alias("text_hash"), F.first("n_words").alias("n_words"),
             *(F.array_distinct(F.flatten(F.collect_list(c))).alias(c) for c in ("hits", "items", "near_items")))
     n_hit = F.size("hits").cast("long")
     return found.select(
-        "doc_id", "n_words", n_hit.alias("n_hit"), F.col("items").alias("item_ids"),
+        "doc_id", "text_hash", "n_words", n_hit.alias("n_hit"), F.col("items").alias("item_ids"),
         F.col("near_items").alias("near_item_ids"),
         ((n_hit > 0) & (share * n_hit >= F.col("n_words"))).alias("contaminated"))
 
@@ -265,14 +273,18 @@ def items_digest(items) -> "F.Column":
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       **how) -> DataFrame:
-    """``docs`` without contaminated rows; columns are those of ``docs``, and rows without words stay.
+    """``docs`` without contaminated rows; columns are those of ``docs``, whatever their names, and rows
+    without words stay.
 
-    Rows are told apart by a hash of id and text, so repeated and null ids
-    are judged row by row.  The hashes to drop are written first, so Spark
-    broadcasts them only if their files are small.
+    Rows are told apart by their id and a hash of their text, so repeated and
+    null ids are judged row by row; rows equal in both go or stay together.
+    Null text has no words; an empty table stays empty.  What goes is written
+    first, so Spark broadcasts it only if its files are small.
     """
-    row = F.xxhash64(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
-    keyed = docs.select(row.alias("_row"), F.col(text_col).alias("_text"))
-    found = contamination(keyed, benchmark, id_col="_row", text_col="_text", **how)
-    drop = materialise(found.where("contaminated").select(F.col("doc_id").alias("_row")).distinct(), "contaminated")
-    return docs.join(drop, row == F.col("_row"), "left_anti")
+    found = contamination(docs, benchmark, id_col=id_col, text_col=text_col, **how)
+    gone_id, gone_text = fresh_names(docs.columns, "gone_id", "gone_text")
+    drop = materialise(found.where("contaminated").select(
+        F.col("doc_id").alias(gone_id), F.col("text_hash").alias(gone_text)).distinct(), "contaminated")
+    same = F.col(id_col).cast("long").eqNullSafe(F.col(gone_id)) & (
+        F.xxhash64(F.col(text_col).cast("string")) == F.col(gone_text))
+    return docs.join(drop, same, "left_anti")

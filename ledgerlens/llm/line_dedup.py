@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import fresh_names, materialise
 
 RATIO = 0.1
 MIN_PAGES = 5
@@ -44,27 +44,32 @@ def boilerplate(pages: DataFrame, host: Column, text: Column, ratio: float = RAT
 
 
 def drop_boilerplate(pages: DataFrame, host_col: str = "source", text_col: str = "text", ratio: float = RATIO,
-                     min_pages: int = MIN_PAGES) -> DataFrame:
-    """``pages`` with boilerplate lines removed from ``text_col``, and ``_n_lines`` and ``_n_dropped`` at the end.
+                     min_pages: int = MIN_PAGES, counts: tuple[str, str] = ("_n_lines", "_n_dropped")) -> DataFrame:
+    """``pages`` with boilerplate lines removed from ``text_col``, and the columns ``counts`` (lines, lines
+    removed) at the end.
 
     Lines are compared without spaces at their ends; a page counts once for a
     line however often it holds it; blank lines are never boilerplate and
     stay.  Every row is a page, repeated rows included.  Null hosts are one
-    host; null text stays null with 0 lines; a page may end up empty.  Other
-    columns pass unchanged.  The list of lines is written first, so Spark
-    broadcasts it only if its files are small, and else splits a hot host.
+    host; null text stays null with 0 lines; a page may end up empty.  An
+    empty table stays empty.  Other columns pass unchanged, whatever their
+    names; one named as in ``counts`` is an error.  The list of lines is
+    written first, so Spark broadcasts it only if its files are small, and
+    else splits a hot host.
     """
+    if taken := {c.lower() for c in counts} & {c.lower() for c in pages.columns}:
+        raise ValueError(f"the table has {sorted(taken)}; choose other names for the counts")
+    site, gone, left = fresh_names([*pages.columns, *counts], "host", "gone", "left")
     host = F.concat(F.when(F.col(host_col).isNull(), "-").otherwise("+"), F.coalesce(F.col(host_col).cast("string"), F.lit("")))
     text = F.col(text_col).cast("string")
     found = materialise(boilerplate(pages, host, text, ratio, min_pages), "boilerplate").select(
-        F.col("host").alias("_host"), F.col("lines").alias("_lines"))
+        F.col("host").alias(site), F.col("lines").alias(gone))
     lines = F.split(text, "\n")
-    kept = F.filter(lines, lambda l: ~F.array_contains(F.col("_lines"), _digest(F.trim(l))))
-    joined = pages.withColumn("_host", host).join(found, "_host", "left")
-    joined = joined.withColumn("_kept", F.when(F.col("_lines").isNull(), lines).otherwise(kept))
-    n = F.coalesce(F.size(lines), F.lit(0))
-    n = F.when(text.isNull(), F.lit(0)).otherwise(n)
-    dropped = F.when(text.isNull(), F.lit(0)).otherwise(F.size(lines) - F.size("_kept"))
-    columns = [F.when(F.col("_lines").isNull(), text).otherwise(F.array_join("_kept", "\n")).alias(c)
-               if c == text_col else F.col(c) for c in pages.columns]
-    return joined.select(*columns, n.cast("long").alias("_n_lines"), dropped.cast("long").alias("_n_dropped"))
+    kept = F.filter(lines, lambda l: ~F.array_contains(F.col(gone), _digest(F.trim(l))))
+    joined = pages.withColumn(site, host).join(found, site, "left")
+    joined = joined.withColumn(left, F.when(F.col(gone).isNull(), lines).otherwise(kept))
+    n = F.when(text.isNull(), F.lit(0)).otherwise(F.size(lines))
+    dropped = F.when(text.isNull(), F.lit(0)).otherwise(F.size(lines) - F.size(left))
+    counted = joined.withColumns({counts[0]: n.cast("long"), counts[1]: dropped.cast("long")})
+    cut = counted.withColumn(text_col, F.when(F.col(gone).isNull(), text).otherwise(F.array_join(left, "\n")))
+    return cut.drop(site, gone, left)

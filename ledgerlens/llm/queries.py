@@ -68,7 +68,8 @@ def op9_simhash_mih(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_positional_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
-                        decontam.items_digest(F.col("item_ids")).alias("items_sha256"), "contaminated")
+                        decontam.items_digest(F.col("item_ids")).alias("items_sha256"), "contaminated",
+                        F.size("near_item_ids").cast("long").alias("n_near_items"))
 
 
 def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -154,11 +155,24 @@ ORACLES: dict[str, str] = {
         hit AS (SELECT doc_id, count(DISTINCT pos) AS n FROM (SELECT doc_id, unnest(range(p, p + k)) AS pos FROM m)
                 GROUP BY doc_id),
         items AS (SELECT doc_id, count(*) AS n, string_agg(s, ',' ORDER BY s) AS ids
-                  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS s FROM m) GROUP BY doc_id)
+                  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS s FROM m) GROUP BY doc_id),
+        phrases AS (SELECT row_number() OVER () AS wid, item_id, k, string_split(g, ' ') AS ws FROM win),
+        places AS (SELECT wid, item_id, k, unnest(ws) AS word, unnest(range(k)) AS o FROM phrases),
+        pos AS (SELECT doc_id, word, p FROM (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS p FROM d)
+                WHERE word IN (SELECT word FROM places)),
+        rarest AS (SELECT wid, arg_min({'word': word, 'o': o}, n) AS r FROM places
+                   JOIN (SELECT word, count(*) AS n FROM pos GROUP BY word) USING (word) GROUP BY wid, k HAVING count(*) = k),
+        starts AS (SELECT DISTINCT wid, doc_id, p - r.o + s AS base FROM rarest JOIN pos ON word = r.word, range(-2, 3) AS t(s)),
+        near AS (SELECT doc_id, count(DISTINCT item_id) AS n FROM (
+                   SELECT wid, doc_id, base, any_value(item_id) AS item_id
+                   FROM starts JOIN places USING (wid) JOIN pos USING (doc_id, word)
+                   WHERE p BETWEEN base + o - 2 AND base + o + 2 GROUP BY wid, doc_id, base, k HAVING count(DISTINCT o) = k)
+                 GROUP BY doc_id)
         SELECT d.doc_id, coalesce(len(w), 0)::BIGINT AS n_words, coalesce(hit.n, 0)::BIGINT AS n_hit,
                coalesce(items.n, 0)::BIGINT AS n_items, sha256(coalesce(items.ids, '')) AS items_sha256,
-               coalesce(hit.n, 0) > 0 AND 20 * coalesce(hit.n, 0) >= coalesce(len(w), 0) AS contaminated
-        FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)""",
+               coalesce(hit.n, 0) > 0 AND 20 * coalesce(hit.n, 0) >= coalesce(len(w), 0) AS contaminated,
+               coalesce(near.n, 0)::BIGINT AS n_near_items
+        FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id) LEFT JOIN near USING (doc_id)""",
     "op11_prefix_trie": """
         WITH t AS (
             SELECT conv_id AS c, turn, coalesce(role, '') AS r, coalesce(text, '') AS x

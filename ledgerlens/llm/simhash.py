@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, small_batches
+from .common import fresh_names, join_on_hot_key, materialise, small_batches
 from .components import connected_components
 
 SEED = 42
@@ -90,15 +90,15 @@ def links(distinct: DataFrame, max_bits: int = 3) -> DataFrame:
 def _rows_with_components(docs: DataFrame, id_col: str, text_col: str, shingle: int, max_bits: int) -> DataFrame:
     """``(doc_id, text_hash, fp, root, component_id)`` per row; ``root`` is a fingerprint that names the component."""
     rows = materialise(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
-    distinct = materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("rep")), "distinct")
+    distinct = materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")), "distinct")
     label = connected_components(links(distinct.select("fp"), max_bits)).withColumnRenamed("node", "fp")
     linked = distinct.join(label, "fp")
     smallest = linked.groupBy("root").agg(F.min("rep").alias("smallest"))
     moved = linked.join(smallest, "root").select("fp", "root", "smallest", F.lit(True).alias("moved"))
-    per_print = distinct.join(moved, "fp", "left").select(
-        "fp", F.coalesce("root", "fp").alias("root"),
-        F.when(F.col("moved"), F.col("smallest")).otherwise(F.col("rep")).alias("component_id"))
-    return rows.join(per_print, "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
+    per_print = materialise(distinct.join(moved, "fp", "left").select(
+        "fp", "n", F.coalesce("root", "fp").alias("root"),
+        F.when(F.col("moved"), F.col("smallest")).otherwise(F.col("rep")).alias("component_id")), "labelled")
+    return join_on_hot_key(rows, per_print, "fp", "n").select("doc_id", "text_hash", "fp", "root", "component_id")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -120,18 +120,20 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """``docs`` with one row per near-duplicate component: that of the smallest id.
 
     A null id gives way to any other id; among rows of one id the smallest
-    text hash stays, and of rows equal in id and text any one.  Columns are
-    those of ``docs``.
+    text hash stays, and of rows equal in id and text any one.  Null text is
+    empty.  An empty table stays empty.  Columns are those of ``docs``,
+    whatever their names.
     """
     found = materialise(_rows_with_components(docs, id_col, text_col, shingle, max_bits), "components-of-rows")
     rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
-    keeper = found.groupBy("root").agg(F.min(rank).alias("keeper"), F.count("*").alias("n"))
-    drop = found.join(keeper, "root").where(~rank.eqNullSafe(F.col("keeper")))
-    drop = materialise(drop.select(F.col("doc_id").alias("_drop_id"), F.col("text_hash").alias("_drop_text")).distinct(),
+    keeper = materialise(found.groupBy("root").agg(F.min(rank).alias("keeper"), F.count("*").alias("n")), "keepers")
+    drop = join_on_hot_key(found, keeper, "root", "n").where(~rank.eqNullSafe(F.col("keeper")))
+    gone_id, gone_text = fresh_names(docs.columns, "gone_id", "gone_text")
+    drop = materialise(drop.select(F.col("doc_id").alias(gone_id), F.col("text_hash").alias(gone_text)).distinct(),
                        "dropped-rows")
     text_hash = F.xxhash64(F.col(text_col).cast("string"))
-    kept = docs.join(drop, F.col(id_col).cast("long").eqNullSafe(F.col("_drop_id"))
-                     & (text_hash == F.col("_drop_text")), "left_anti")
+    kept = docs.join(drop, F.col(id_col).cast("long").eqNullSafe(F.col(gone_id))
+                     & (text_hash == F.col(gone_text)), "left_anti")
     keys = found.select("doc_id", "text_hash")
     repeated = not keys.groupBy("doc_id", "text_hash").count().where("count > 1").isEmpty()
     return kept.dropDuplicates([id_col, text_col]) if repeated else kept

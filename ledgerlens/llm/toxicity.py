@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialise, small_batches
+from .common import fresh_names, materialise, small_batches
 from .decontam import words_of
 
 BUCKETS = 1 << 18
@@ -321,6 +321,12 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                threshold: float = 0.5) -> DataFrame:
-    """``docs`` without the rows that score ``threshold`` or more; columns are those of ``docs``."""
+    """``docs`` without the rows that score ``threshold`` or more; columns are those of ``docs``, whatever
+    their names.
+
+    Null and empty texts get the model's bias; repeated rows go or stay
+    together; an empty table stays empty, and empty labels give the prior.
+    """
     model = fit(training_rows(docs, labels, MAX_ROWS, id_col, text_col))
-    return score(docs, model, text_col, "_toxicity").where(F.col("_toxicity") < threshold).drop("_toxicity")
+    [name] = fresh_names(docs.columns, "toxicity")
+    return score(docs, model, text_col, name).where(F.col(name) < threshold).drop(name)

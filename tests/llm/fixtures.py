@@ -5,7 +5,14 @@ from pyspark.sql import DataFrame, SparkSession
 SMALL = "/root/testdata/sf0.001"
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 #: Extra columns whose names operators use themselves.
-CLASHING = "score double, fp long, shard int, rank int, key long, open boolean, items string, _host string, lines string"
+CLASHING = (
+    "score double, fp long, shard int, rank int, key long, open boolean, items string, _host string, lines string, "
+    "_lines string, _kept string, host string, gone string, left string, _drop_id long, _drop_text string, gone_id long, "
+    "gone_text string, text_hash long, root long, component_id long, rep long, n long, _row long, _text string, "
+    "_toxicity double, toxicity double, _id long, _toxic int, has string, doc_ids string, n_words long, n_hit long, "
+    "item_ids string, contaminated boolean, ordinal int, hits string, start long, length long, sequence_id long, "
+    "offset long, ids string, piece int, tokens string, predicted int, held_out boolean, size long, hilbert long, slot long, "
+    "codes string, _at long, _part long, _offset long")
 
 LONG = "the quick brown fox jumps over the lazy dog and runs away " * 4000
 
@@ -27,10 +34,9 @@ def edge_docs(spark: SparkSession) -> DataFrame:
 def with_clashes(docs: DataFrame) -> DataFrame:
     from pyspark.sql import functions as F
 
-    for part in CLASHING.split(", "):
-        name, kind = part.split()
-        docs = docs.withColumn(name, F.lit("1").cast(kind))
-    return docs
+    kinds = dict(part.split() for part in CLASHING.split(", "))
+    return docs.withColumns({name: F.lit("true" if kind == "boolean" else "1").cast(kind) for name, kind in kinds.items()
+                             if name not in docs.columns})
 
 
 def empty_docs(spark: SparkSession) -> DataFrame:

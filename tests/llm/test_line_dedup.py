@@ -1,5 +1,6 @@
 from collections import Counter
 
+import pytest
 from fixtures import edge_docs, empty_docs, rows_of, with_clashes
 from pyspark.sql import functions as F
 
@@ -41,11 +42,16 @@ def test_shuffled_join_gives_the_same(spark):
 
 
 def test_edges(spark):
-    docs = with_clashes(edge_docs(spark)).drop("_host")
+    docs = with_clashes(edge_docs(spark))
     found = line_dedup.drop_boilerplate(docs)
     assert found.columns == [*docs.columns, "_n_lines", "_n_dropped"]
     assert rows_of(found, *docs.columns) == rows_of(docs)
     assert line_dedup.drop_boilerplate(empty_docs(spark)).count() == 0
+    named = docs.withColumn("_n_lines", F.lit("theirs"))
+    with pytest.raises(ValueError, match="_n_lines"):
+        line_dedup.drop_boilerplate(named)
+    other = line_dedup.drop_boilerplate(named, counts=("a", "b"))
+    assert other.columns == [*named.columns, "a", "b"] and rows_of(other, *named.columns) == rows_of(named)
 
 
 def test_host_of(spark):

@@ -57,7 +57,7 @@ def test_edges(spark):
     rows = [(r[0], r[1]) for r in edge_rows() if r[0] != 5] + [(5, "long run of words " * 200), (9, "\0" * 300), (10, "\0" * 300 + "é")]
     assert run(spark, rows) == slow(rows, 200)
     assert rid.remove_repeats(empty_docs(spark)).count() == 0
-    assert rid.remove_repeats(with_clashes(edge_docs(spark)).drop("key")).count() == len(edge_rows())
+    assert rid.remove_repeats(with_clashes(edge_docs(spark))).count() == len(edge_rows())
 
 
 def test_long_text_in_chunks(spark, monkeypatch):
