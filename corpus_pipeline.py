@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import decontam, line_dedup, packing, simhash, toxicity
-from ledgerlens.llm.common import materialise, read_table
+from ledgerlens.llm.common import fresh_names, materialise, read_table
 from ledgerlens.llm.queries import tokenizer_path
 
 
@@ -22,10 +22,11 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def site_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document without the boilerplate lines of its source; ``n_chars`` follows the text."""
-    cleaned = line_dedup.drop_boilerplate(docs)
-    cleaned = cleaned.withColumn("n_chars", F.when(F.col("_n_dropped") > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    lines, dropped = fresh_names(docs.columns, "lines", "dropped")
+    cleaned = line_dedup.drop_boilerplate(docs, counts=(lines, dropped))
+    cleaned = cleaned.withColumn("n_chars", F.when(F.col(dropped) > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType))
                                  .otherwise(F.col("n_chars")))
-    return cleaned.select(docs.columns)
+    return cleaned.drop(lines, dropped)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
