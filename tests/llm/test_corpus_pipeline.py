@@ -2,7 +2,8 @@ import os
 import sys
 
 import pytest
-from fixtures import SMALL, edge_docs, rows_of
+from fixtures import SMALL, edge_docs, rows_of, with_clashes
+from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
 
@@ -49,7 +50,7 @@ def test_stages_match_brute_force(spark):
 
 @pytest.mark.parametrize("name,stage", pipeline.STAGES)
 def test_stages_bear_odd_rows_and_none(spark, name, stage):
-    docs = edge_docs(spark)
+    docs = with_clashes(edge_docs(spark)).withColumn("_n_dropped", F.lit(7)).withColumn("dropped", F.lit("x"))
     found = stage(spark, docs, SMALL)
     if name != "packing":
         assert found.columns == docs.columns and found.count() <= docs.count()
