@@ -18,7 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .ordering import attach_row, global_row_number, ntile_of_position, running_totals, small_window
+from .ordering import (attach_row, global_lag, global_rank, global_row_number, ntile_of_position, running_totals,
+                       small_window)
 
 
 def _c(c) -> Column:
@@ -75,9 +76,9 @@ def yoy_growth(df: DataFrame, period: str, value: str, total: str = "total_fundi
 
 
 def pct_change(df: DataFrame, order: str, value: str, name: str = "pct_change") -> DataFrame:
-    """Change from the previous row, ``(x - prev) / prev`` (bounded input)."""
-    prev = F.lag(value).over(small_window([order]))
-    return df.withColumn(name, F.try_divide(F.col(value) - prev, prev.cast("double")))
+    """Change from the previous row, ``(x - prev) / prev``, over rows of any number."""
+    out = global_lag(df, [order], value, "__prev")
+    return out.withColumn(name, F.try_divide(F.col(value) - F.col("__prev"), F.col("__prev").cast("double"))).drop("__prev")
 
 
 # ----------------------------------------------------------------------------- W3, W4
@@ -86,19 +87,15 @@ def pareto(df: DataFrame, key: str, value: str, total: str = "total_funding",
            decimals: int = 2) -> DataFrame:
     """Totals per key, rank, share and cumulative share of the grand total.
 
-    Keys with equal totals share the cumulative value.  Counted per distinct
-    total first; one running sum over those gives rank and cumulative value.
+    Keys with equal totals share the cumulative value; rank and running total
+    stay with the rows of the keys, however many share a total.
     """
     agg = df.groupBy(key).agg(F.sum(F.col(value).cast("decimal(18,2)")).alias("__t"))
-    per = agg.groupBy(F.col("__t").alias("__v")).agg(F.count(F.lit(1)).alias("__n"), F.sum("__t").alias("__s"))
-    run = running_totals(per, [F.col("__v").desc_nulls_last()], ["__n", "__s"], prefix="__cum")
-    run = attach_row(run, per.agg(F.sum("__s").alias("__all")))
-    ranked = run.select("__v", (F.col("__cum__n") - F.col("__n") + 1).cast("long").alias("__rank"), "__cum__s", "__all")
-    j = agg.join(ranked, agg["__t"].eqNullSafe(ranked["__v"]))
+    ranked = attach_row(global_rank(agg, "__t", rank_col, cumulative="__cum"), agg.agg(F.sum("__t").alias("__all")))
     grand = F.col("__all").cast("double")
-    return j.select(key, F.col("__t").cast("double").alias(total), F.col("__rank").alias(rank_col),
-                    F.round(F.col("__t").cast("double") / grand * 100, decimals).alias(pct),
-                    F.round(F.col("__cum__s").cast("double") / grand * 100, decimals).alias(cum))
+    return ranked.select(key, F.col("__t").cast("double").alias(total), rank_col,
+                         F.round(F.col("__t").cast("double") / grand * 100, decimals).alias(pct),
+                         F.round(F.col("__cum").cast("double") / grand * 100, decimals).alias(cum))
 
 
 def pareto_rowwise(df: DataFrame, key: str, value: str, total: str = "total_funding",
@@ -166,21 +163,12 @@ def global_ranks(df: DataFrame, specs: dict[str, str], dense: bool = False) -> D
     """One ``RANK`` (ties skip; ``dense`` for ``DENSE_RANK``) per
     ``{rank_name: value_column}``, descending, nulls last.
 
-    A row's rank is one plus the number of rows with a larger value, so it
-    is computed over distinct values: a map-side-combined count per value,
-    then a running count in descending value order (``running_totals``: one
-    window task up to a checked bound, a range-partitioned scan above it),
-    joined back on the value.  No step sees all rows in one task.
+    The rows are range-partitioned by the value and keep their rank; a value
+    that a third of all rows share is spread like any other (``global_rank``).
     """
     out = df
-    for r, v in specs.items():
-        counts = df.groupBy(F.col(v).alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
-        if dense:
-            counts = counts.withColumn("__n", F.lit(1).cast("long"))
-        cum = running_totals(counts, [F.col("__v").desc_nulls_last()], ["__n"], prefix="__cum")
-        rank = (F.col("__cum__n") if dense else F.col("__cum__n") - F.col("__n") + 1).cast("long")
-        ranks = cum.select(F.col("__v"), rank.alias(r))
-        out = out.join(ranks, out[v].eqNullSafe(ranks["__v"]), "left").drop("__v")
+    for name, value in specs.items():
+        out = global_rank(out, value, name, dense)
     return out.select(*df.columns, *specs)
 
 
@@ -298,10 +286,10 @@ def cagr(monthly: DataFrame, start_year: int, end_year: int, total: str = "total
 
 def cumulative(df: DataFrame, order: str, value: str, name: str = "cumulative",
                pct: str = "cumulative_pct") -> DataFrame:
-    """Running total in time order and its share of the grand total (bounded input)."""
-    run = F.sum(value).over(small_window([order]).rowsBetween(Window.unboundedPreceding, 0))
-    grand = F.sum(value).over(small_window())
-    return df.withColumn(name, run).withColumn(pct, run.cast("double") / grand.cast("double") * 100)
+    """Running total in time order (a total order) and its share of the grand total, over rows of any number."""
+    run = running_totals(df, [order], [value], prefix="__run_").withColumnRenamed(f"__run_{value}", name)
+    out = attach_row(run, df.agg(F.sum(value).alias("__all")))
+    return out.withColumn(pct, F.col(name).cast("double") / F.col("__all").cast("double") * 100).drop("__all")
 
 
 # ----------------------------------------------------------------------------- T1–T4

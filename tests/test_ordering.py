@@ -109,3 +109,67 @@ def test_top_n_share_ties_and_head(spark):
     # head(2) with key tie-break: a, b
     assert abs(top_n_share(df, "k", "v", 2, ties=False).first()[0] - 17 / grand) < 1e-12
     assert abs(top_n_share(df, "k", "v", 50).first()[0] - 1.0) < 1e-12
+
+
+@pytest.mark.parametrize("num_partitions", [None, 1, 13])
+def test_global_rank_and_shared_running_sum_with_hot_values(spark, num_partitions):
+    """A third of all values are equal, others tie, some are null: rank, dense rank and the
+    cumulative sum agree with one window over all rows."""
+    from ledgerlens.operators.ordering import global_rank
+    rows = [(i, None if i % 19 == 0 else 5.0 if i % 3 == 0 else float((i * 7919) % 41)) for i in range(1500)]
+    df = spark.createDataFrame(rows, "k int, v double").selectExpr("k", "cast(v as decimal(18,2)) AS v").repartition(6)
+    w = Window.orderBy(F.col("v").desc_nulls_last())
+    ref = df.select("k", F.rank().over(w).alias("r"), F.dense_rank().over(w).alias("d"), F.sum("v").over(w).alias("c"))
+    want = {x.k: (x.r, x.d, x.c) for x in ref.collect()}
+    plain = global_rank(df, "v", "r", cumulative="c", num_partitions=num_partitions)
+    assert plain.columns == ["k", "v", "r", "c"]
+    assert {x.k: (x.r, x.c) for x in plain.collect()} == {k: (r, c) for k, (r, _, c) in want.items()}
+    dense = global_rank(df, "v", "d", dense=True, num_partitions=num_partitions)
+    assert {x.k: x.d for x in dense.collect()} == {k: d for k, (_, d, _) in want.items()}
+
+
+def test_global_rank_of_one_value_and_of_nothing(spark):
+    from ledgerlens.operators.ordering import global_rank
+    same = spark.range(400).select("id", F.lit(2).alias("v"))
+    got = global_rank(same, "v", "r", cumulative="c", num_partitions=9).select("r", "c").distinct().collect()
+    assert [tuple(r) for r in got] == [(1, 800)]
+    nulls = same.withColumn("v", F.lit(None).cast("int"))
+    assert [tuple(r) for r in global_rank(nulls, "v", "r", cumulative="c").select("r", "c").distinct().collect()] == [(1, None)]
+    assert global_rank(same.limit(0), "v", "r").count() == 0
+
+
+def test_rows_of_a_hot_value_stay_apart(spark):
+    """No range partition of the ranked rows is above twice its fair share although a third of the values are equal."""
+    from ledgerlens.operators import ordering
+    df = spark.range(9000).select("id", F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("v"))
+    placed = ordering._windowed(df.withColumn("s", F.xxhash64("id")), [F.col("v").desc(), "s"], lambda w: {}, 6)
+    sizes = [r["count"] for r in placed.groupBy("__pid").count().collect()]
+    assert len(sizes) == 6 and max(sizes) < 2 * 9000 / 6
+
+
+def test_labels_send_each_partition_to_a_task_of_its_own(spark):
+    from ledgerlens.operators.ordering import _labels
+    for tasks in (1, 4, 37):
+        labels = _labels(spark, 2 * tasks, tasks)
+        assert len(set(labels)) == 2 * tasks
+        at = [r[0] for r in spark.createDataFrame([(x,) for x in labels[:tasks]], "x int").select(
+            F.pmod(F.hash("x"), F.lit(tasks))).collect()]
+        assert sorted(at) == list(range(tasks))
+
+
+def test_lag_and_cumulative_over_callers_order_use_no_single_task(spark):
+    from ledgerlens.operators.windows import cumulative, pct_change
+    rows = [(i, None if i % 11 == 5 else float(i % 7)) for i in range(700)]
+    df = spark.createDataFrame(rows, "k int, v double").repartition(5)
+    w = Window.orderBy("k")
+    lag = df.select("k", F.lag("v").over(w).alias("p"), F.sum("v").over(w).alias("c"))
+    want = {r.k: (r.p, r.c) for r in lag.collect()}
+    vs = dict(rows)
+    got = {r.k: r.pct_change for r in pct_change(df, "k", "v").collect()}
+    for k, (p, _) in want.items():
+        assert got[k] == (None if p in (None, 0.0) or vs[k] is None else pytest.approx((vs[k] - p) / p))
+    run = cumulative(df, "k", "v")
+    assert {r.k: r.cumulative for r in run.collect()} == {k: c for k, (_, c) in want.items()}
+    for out in (pct_change(df, "k", "v"), run):
+        leaf = out._jdf.queryExecution().executedPlan().toString()
+        assert "Window" not in leaf or "__pid" in leaf  # only the offsets, one row per partition, are ordered in one task
