@@ -66,6 +66,48 @@ def map_codes(df: DataFrame, col: str, out: str, lookup: DataFrame, lookup_key:
     return j.withColumn(out, F.coalesce(ov, F.col("__lv").cast("string"))).drop("__lk", "__lv")
 
 
+def code_table(lookup: DataFrame, key: str, value: str, overrides: Mapping[str, str] | None = None) -> DataFrame:
+    """The table in force, ``key, value``: ``lookup`` with the keys of ``overrides`` replaced or added.
+
+    The table is a parameter (a DataFrame kept as data); rows without a key
+    are left out.
+    """
+    base = lookup.where(F.col(key).isNotNull()).select(F.col(key).cast("string").alias("key"), F.col(value).cast("string").alias("value"))
+    if not overrides:
+        return base.distinct()
+    fixed = lookup.sparkSession.createDataFrame(list(overrides.items()), "key string, value string")
+    return base.where(~F.col("key").isin(list(overrides))).unionByName(fixed).distinct()
+
+
+def code_conflicts(table: DataFrame) -> DataFrame:
+    """What keeps a code table from being read in both directions.
+
+    ``side, item, n``: a key with several values, or a value that several
+    keys share; no rows if the table is one to one.
+    """
+    def several(own: str, other: str, side: str) -> DataFrame:
+        return table.where(F.col(own).isNotNull()).groupBy(F.col(own).alias("item")).agg(F.count_distinct(other).alias("n")).where(
+            "n > 1").select(F.lit(side).alias("side"), "item", "n")
+
+    return several("key", "value", "key").unionByName(several("value", "key", "value"))
+
+
+def map_by_table(df: DataFrame, col: str, out: str, table: DataFrame, reverse: bool = False) -> DataFrame:
+    """``out`` from ``col`` by a code table, or with ``reverse`` back from value to key; null where it has no entry.
+
+    A table that is not one to one cannot be reversed: that raises.
+    """
+    if reverse and not code_conflicts(table).isEmpty():
+        raise ValueError("the code table is not one to one; see code_conflicts")
+    source, target = ("value", "key") if reverse else ("key", "value")
+    return map_codes(df, col, out, table, source, target)
+
+
+def unmapped_codes(df: DataFrame, col: str, out: str) -> DataFrame:
+    """Every value of ``col`` that got no ``out``, with its number of rows."""
+    return df.where(F.col(col).isNotNull() & F.col(out).isNull()).groupBy(col).agg(F.count(F.lit(1)).alias("n"))
+
+
 def filter_rows(df: DataFrame, isin: Mapping[str, Sequence] | None = None, eq: Mapping | None = None,
                 at_least: Mapping | None = None, flags: Sequence[str] = ()) -> DataFrame:
     """Combinable filters — membership, equality, minimum, true flags."""

@@ -103,6 +103,57 @@ def c9_map_codes(spark, sf):
                         {"GERMANY": "DEU", "FRANCE": "FRA"})
 
 
+# Three-letter codes of the nations kept as a table; two by hand, and every eleventh nation has none.
+_CODES_SQL = """codes AS (
+  SELECT n_name AS name, CASE n_name WHEN 'NATION_3' THEN 'THR' WHEN 'NATION_11' THEN 'ELV'
+    ELSE concat('N', lpad(CAST(n_nationkey AS VARCHAR), 2, '0')) END AS code
+  FROM nation WHERE n_nationkey % 11 <> 0 OR n_name = 'NATION_11'),
+named AS (SELECT c_custkey, n_name AS country FROM customer JOIN nation ON c_nationkey = n_nationkey)"""
+
+
+def _code_table(spark, sf):
+    n = _tables(spark, sf)["nation"]
+    coded = n.where(F.col("n_nationkey") % 11 != 0).select("n_name", F.concat(
+        F.lit("N"), F.lpad(F.col("n_nationkey").cast("string"), 2, "0")).alias("code"))
+    return CL.code_table(coded, "n_name", "code", {"NATION_3": "THR", "NATION_11": "ELV"})
+
+
+def _named(spark, sf):
+    t = _tables(spark, sf)
+    return t["customer"].join(t["nation"].select("n_nationkey", F.col("n_name").alias("country")),
+                              F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "country")
+
+
+@query("c9_name_to_code", f"""WITH {_CODES_SQL}
+SELECT c_custkey, country, code FROM named LEFT JOIN codes ON country = name""")
+def c9_name_to_code(spark, sf):
+    return CL.map_by_table(_named(spark, sf), "country", "code", _code_table(spark, sf))
+
+
+@query("c9_code_to_name", f"""WITH {_CODES_SQL}
+SELECT c_custkey, codes.code, name AS country FROM named LEFT JOIN codes ON country = name""")
+def c9_code_to_name(spark, sf):
+    codes = _code_table(spark, sf)
+    coded = CL.map_by_table(_named(spark, sf), "country", "code", codes).drop("country")
+    return CL.map_by_table(coded, "code", "country", codes, reverse=True)
+
+
+@query("c9_unmapped_codes", f"""WITH {_CODES_SQL}
+SELECT country, COUNT(*) AS n FROM named LEFT JOIN codes ON country = name WHERE code IS NULL GROUP BY country""")
+def c9_unmapped_codes(spark, sf):
+    return CL.unmapped_codes(CL.map_by_table(_named(spark, sf), "country", "code", _code_table(spark, sf)), "country", "code")
+
+
+# Regions as "codes" of nations: each is shared by several.
+@query("c9_code_conflicts", """
+SELECT 'value' AS side, r_name AS item, COUNT(DISTINCT n_name) AS n FROM nation JOIN region ON n_regionkey = r_regionkey
+GROUP BY r_name HAVING COUNT(DISTINCT n_name) > 1""")
+def c9_code_conflicts(spark, sf):
+    t = _tables(spark, sf)
+    regions = t["nation"].join(t["region"], F.col("n_regionkey") == F.col("r_regionkey"))
+    return CL.code_conflicts(CL.code_table(regions, "n_name", "r_name"))
+
+
 @query("c10_c11_delimited_items", with_star("""
 SELECT startup_id, category_list, primary_category, category_count FROM feat"""))
 def c10_c11_delimited_items(spark, sf):
@@ -700,6 +751,58 @@ def s1_s3_c1_c2_csv_roundtrip(spark, sf):
         F.sum(C.parse_currency("o_totalprice").cast("decimal(18,2)")).cast("double").alias("total"))
 
 
+# Texts that only raw lines can hold: a mark before the header, letters beyond ASCII, a break inside quotes.
+_RAW_SQL = """
+SELECT c_mktsegment, COUNT(*) AS n, CAST(SUM(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS total,
+  {columns} FROM customer GROUP BY c_mktsegment"""
+
+
+def _raw_lines(spark, sf, note):
+    """Customers as CSV lines with one column of ``note``: (line) per row."""
+    c = _tables(spark, sf)["customer"]
+    quoted = F.concat(F.lit('"'), F.replace(note, F.lit('"'), F.lit('""')), F.lit('"'))
+    return c.select(F.concat_ws(",", "c_custkey", "c_mktsegment", F.col("c_acctbal").cast("string"), quoted).alias("line"))
+
+
+@query("s2_byte_order_mark", _RAW_SQL.format(columns="MIN(concat('Süd — ', c_name)) AS first_note, 0 AS marked"))
+def s2_byte_order_mark(spark, sf):
+    """Every file starts with U+FEFF before its header, as spreadsheet programs write it."""
+    from ..sources.files import read_csv, write_raw_csv
+    path = _scratch(spark, "csv-bom")
+    lines = _raw_lines(spark, sf, F.concat(F.lit("Süd — "), "c_name"))
+    write_raw_csv(lines, path, " c_custkey ,c_mktsegment, c_acctbal,note", mark=True)
+    back = read_csv(spark, path)
+    named = back.select("c_custkey", "c_mktsegment", "c_acctbal", "note")
+    return named.groupBy("c_mktsegment").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(C.parse_currency("c_acctbal").cast("decimal(18,2)")).cast("double").alias("total"),
+        F.min("note").alias("first_note"), F.count_if(F.col("c_custkey").contains("\ufeff")).cast("int").alias("marked"))
+
+
+@query("s1_latin1", _RAW_SQL.format(columns="MIN(concat('Großkunde è ', c_name)) AS first_note"))
+def s1_latin1(spark, sf):
+    """Bytes beyond ASCII stand for one letter each, as in old extracts."""
+    from ..sources.files import read_csv
+    path = _scratch(spark, "csv-latin1")
+    c = _tables(spark, sf)["customer"].select("c_custkey", "c_mktsegment", "c_acctbal", F.concat(F.lit("Großkunde è "), "c_name").alias("note"))
+    c.write.option("encoding", "ISO-8859-1").option("header", True).csv(path)
+    back = read_csv(spark, path, encoding="ISO-8859-1")
+    return back.groupBy("c_mktsegment").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(C.parse_currency("c_acctbal").cast("decimal(18,2)")).cast("double").alias("total"),
+        F.min("note").alias("first_note"))
+
+
+@query("s1_quoted_line_breaks", _RAW_SQL.format(columns="MIN(concat('two', chr(10), 'lines \"', c_name, '\"')) AS first_note"))
+def s1_quoted_line_breaks(spark, sf):
+    from ..sources.files import read_csv, write_raw_csv
+    path = _scratch(spark, "csv-breaks")
+    lines = _raw_lines(spark, sf, F.concat(F.lit('two\nlines "'), "c_name", F.lit('"')))
+    write_raw_csv(lines, path, "c_custkey,c_mktsegment,c_acctbal,note", mark=True)
+    back = read_csv(spark, path, multi_line=True)
+    return back.groupBy("c_mktsegment").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(C.parse_currency("c_acctbal").cast("decimal(18,2)")).cast("double").alias("total"),
+        F.min("note").alias("first_note"))
+
+
 @query("s4_s5_published_warehouse", with_star("""
 SELECT 'dim_date' AS "table", COUNT(*) AS rows FROM (SELECT founded_at AS d FROM star UNION SELECT first_funding_at FROM star
   UNION SELECT last_funding_at FROM star) x WHERE d IS NOT NULL

@@ -12,7 +12,7 @@ BOM = "﻿"
 def _header(spark: SparkSession, path: str, encoding: str, sep: str, multi_line: bool) -> list[str]:
     """Header names only: reads the first line of the (first) file."""
     first = (spark.read.option("encoding", encoding).option("header", False).option("multiLine", multi_line)
-             .option("sep", sep).csv(path).limit(1).collect())
+             .option("sep", sep).option("escape", '"').option("recursiveFileLookup", True).csv(path).limit(1).collect())
     if not first:
         return []
     return [str(v) if v is not None else f"_c{i}" for i, v in enumerate(first[0])]
@@ -28,7 +28,7 @@ def read_csv(spark: SparkSession, path: str, encoding: str = "UTF-8", sep: str =
     """Read a dirty CSV with every column as text, header names trimmed.
 
     Never infers types: money and dates are parsed afterwards by the
-    cleaning expressions.  Works for Latin-1 (``encoding='ISO-8859-1'``) and
+    cleaning expressions.  A doubled quote within quotes stands for one.  Works for Latin-1 (``encoding='ISO-8859-1'``) and
     BOM-prefixed UTF-8 files.  ``multi_line`` lets quoted values hold line
     breaks; a file is then read by one task.
     """
@@ -38,7 +38,8 @@ def read_csv(spark: SparkSession, path: str, encoding: str = "UTF-8", sep: str =
         trimmed = clean_names(names)
     else:
         trimmed = clean_names(schema.fieldNames())
-    reader = (spark.read.option("header", True).option("encoding", encoding).option("sep", sep)
+    reader = (spark.read.option("header", True).option("encoding", encoding).option("sep", sep).option("escape", '"')
+              .option("recursiveFileLookup", True)  # folders are parts of the data, not columns
               .option("multiLine", multi_line).schema(schema))
     if not empty_as_null:
         reader = reader.option("nullValue", "\u0000")
@@ -46,9 +47,23 @@ def read_csv(spark: SparkSession, path: str, encoding: str = "UTF-8", sep: str =
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """S3: export with a header; ``single_file`` only for small, bounded results."""
+    """S3: export with a header, quotes within values doubled; ``single_file`` only for small, bounded results."""
     out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").option("header", True).csv(path)
+    out.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+
+
+def write_raw_csv(lines: DataFrame, path: str, header: str, mark: bool = False) -> None:
+    """CSV files from finished text lines (column ``line``), each file starting with ``header``, and with
+    ``mark`` with U+FEFF before it: what Spark's CSV writer cannot make.
+
+    Every task of ``lines`` becomes a folder with one file; the header is a
+    row that sorts first in it.
+    """
+    dealt = lines.select(F.spark_partition_id().alias("__file"), F.lit(1).alias("__place"), "line")
+    first = (BOM if mark else "") + header
+    heads = dealt.select("__file").distinct().select("__file", F.lit(0).alias("__place"), F.lit(first).alias("line"))
+    rows = dealt.unionByName(heads).repartition("__file").sortWithinPartitions("__file", "__place")
+    rows.select("line", "__file").write.mode("overwrite").partitionBy("__file").text(path)
 
 
 def write_parquet(df: DataFrame, path: str, partition_by=None) -> None:
