@@ -195,12 +195,18 @@ def miss_profile(df: DataFrame, label: str, pred: str, score: str, features: Seq
 
 
 def residual_distribution(df: DataFrame, label: str, pred: str) -> DataFrame:
-    """Mean and sample sd of residuals (histogram via A18)."""
+    """Mean and sample sd of residuals; :func:`residual_histogram` has their distribution."""
     r = _x(label) - _x(pred)
     return df.agg(F.avg(r).alias("mean_residual"), F.stddev_samp(r).alias("sd_residual"),
                   F.count(r).alias("n"))
 
 
+def residual_histogram(df: DataFrame, label: str, pred: str, bins: int = 50) -> DataFrame:
+    """Residuals in ``bins`` equal-width bins, ``(bin, lo, hi, count)``, empty bins included."""
+    from .aggregate import histogram
+    return histogram(df.select((_x(label) - _x(pred)).alias("residual")), "residual", bins)
+
+
 def leakage_check(df: DataFrame, label: str, candidates: Sequence[str]) -> DataFrame:
     """Correlation of each candidate with the label on pairwise-complete
     rows (``corr`` itself leaves out rows with a null), in one pass."""

@@ -1,14 +1,18 @@
 """Model fitting, tuning and scoring on Spark ML.
 
-Estimators are distributed Spark ML estimators; tuning runs candidate fits
-in parallel through ``CrossValidator(parallelism=…)`` on hash folds.
+Estimators are distributed Spark ML estimators; candidate fits run side by
+side, on hash folds or, for classifiers, on stratified ones.
 """
 
 from __future__ import annotations
 
 import random
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
+from math import prod
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.clustering import KMeans
@@ -16,11 +20,14 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator, ClusteringEvalu
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from .features import encoder_stages, fold_column, standardise
+from ..session import scratch_table
+from .features import encoder_stages, fold_column, standardise, stratified_folds
+from .ordering import running_totals
 from .windows import percent_below
 
 
@@ -77,20 +84,129 @@ def pipeline(categorical: Sequence[str], numeric: Sequence[str], estimator) -> P
 
 # ----------------------------------------------------------------------------- M16–M18
 def cross_validate(pipe: Pipeline, df: DataFrame, key: str, evaluator, k: int = 5, grid=None,
-                   parallelism: int = 4, seed: int = 42):
-    """K-fold CV on hash folds; returns (fitted CV model, mean metrics, sd metrics)."""
-    folded = fold_column(df, key, k, seed)
+                   parallelism: int = 4, seed: int = 42, stratify: str | None = None):
+    """K-fold CV; returns (fitted CV model, mean metrics, sd metrics).
+
+    ``stratify`` names a classifier's label: every fold then holds each class
+    in the same proportion (``stratified_folds``); without it folds go by hash.
+    """
+    folded = stratified_folds(df, stratify, key, k, seed) if stratify else fold_column(df, key, k, seed)
     cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid or [{}], evaluator=evaluator,
-                        foldCol="fold", parallelism=parallelism, collectSubModels=False)
+                        numFolds=k, foldCol="fold", parallelism=parallelism, collectSubModels=False)
     m = cv.fit(folded)
     return m, list(m.avgMetrics), list(m.stdMetrics)
 
 
-def random_search(grid_builder: ParamGridBuilder, n: int = 10, seed: int = 42):
-    """A seeded sample of ``n`` parameter maps from a full grid."""
-    maps = grid_builder.build()
-    rnd = random.Random(seed)
-    return maps if len(maps) <= n else rnd.sample(maps, n)
+def out_of_fold(models: Mapping[str, Pipeline], df: DataFrame, key: str, label: str = "label", fold: str = "fold",
+                classifier: bool = False, parallelism: int = 4) -> DataFrame:
+    """``key, model, fold, label, prediction`` — what each model says about
+    every row when fitted to the other folds; classifiers add ``score``, the
+    probability of class 1.
+
+    ``fold`` holds whole numbers from 0.  Fits run ``parallelism`` at a time
+    and their predictions are written side by side, so metrics of any number
+    of models and folds are one aggregate over one table.
+    """
+    from multiprocessing.pool import ThreadPool
+
+    rows = df.persist()
+    try:
+        folds = [r[0] for r in rows.select(fold).distinct().orderBy(fold).collect()]
+
+        def predict(task):
+            name, f = task
+            model = models[name].fit(rows.where(F.col(fold) != f))
+            out = model.transform(rows.where(F.col(fold) == f))
+            score = [vector_to_array("probability")[1].alias("score")] if classifier else []
+            return scratch_table(out.select(key, F.lit(name).alias("model"), F.lit(f).cast("int").alias("fold"),
+                                            F.col(label).cast("double").alias("label"), "prediction", *score), "out-of-fold")
+
+        with ThreadPool(parallelism) as pool:
+            parts = pool.map(predict, [(name, f) for name in models for f in folds], chunksize=1)
+    finally:
+        rows.unpersist()
+    return reduce(DataFrame.unionByName, parts)
+
+
+def cv_regression_metrics(predictions: DataFrame) -> DataFrame:
+    """Per model MAE, RMSE and R² over all out-of-fold predictions, and mean and
+    population sd over the folds of each fold's R².
+
+    One aggregate by (model, fold) of sums; the rest is arithmetic on one row
+    per model and fold.  A fold whose labels are all equal has no R².
+    """
+    error = F.col("label") - F.col("prediction")
+    per = predictions.groupBy("model", "fold").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.abs(error)).alias("abs"), F.sum(error * error).alias("sq"),
+        F.var_pop("label").alias("var"), F.avg("label").alias("mean"))
+    r2 = 1 - F.try_divide(F.col("sq"), F.col("n") * F.col("var"))
+    w = Window.partitionBy("model")  # one row per fold
+    centre = F.sum(F.col("mean") * F.col("n")).over(w) / F.sum("n").over(w)
+    per = per.withColumns({"r2": r2, "ss": F.col("n") * (F.col("var") + (F.col("mean") - centre) * (F.col("mean") - centre))})
+    return per.groupBy("model").agg(
+        (F.sum("abs") / F.sum("n")).alias("mae"), F.sqrt(F.sum("sq") / F.sum("n")).alias("rmse"),
+        (1 - F.try_divide(F.sum("sq"), F.sum("ss"))).alias("r2"),
+        F.avg("r2").alias("cv_r2_mean"), F.stddev_pop("r2").alias("cv_r2_sd"), F.count("r2").alias("folds"))
+
+
+def cv_auc(predictions: DataFrame) -> DataFrame:
+    """Per model mean and population sd over the folds of the area under the ROC curve.
+
+    Ranks come from one running count over (model, fold, score) counts, so a
+    score that many rows share is one row; equal scores count half.
+    """
+    counts = predictions.groupBy("model", "fold", "score").agg(
+        F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") != 1).alias("neg"))
+    run = running_totals(counts, ["model", "fold", "score"], ["neg"], prefix="to_")
+    first = run.groupBy("model", "fold").agg(F.min(F.col("to_neg") - F.col("neg")).alias("from_neg"))  # one row per fit
+    below = F.col("to_neg") - F.col("from_neg") - F.col("neg") / 2
+    per = run.join(F.broadcast(first), ["model", "fold"]).groupBy("model", "fold").agg(
+        F.try_divide(F.sum(F.col("pos") * below), (F.sum("pos") * F.sum("neg")).cast("double")).alias("auc"))
+    return per.groupBy("model").agg(F.avg("auc").alias("cv_auc_mean"), F.stddev_pop("auc").alias("cv_auc_sd"),
+                                    F.count("auc").alias("folds"))
+
+
+def draw_candidates(grid: Mapping[str, Sequence], n: int = 10, seed: int = 42) -> list[dict]:
+    """``n`` distinct combinations of a grid (all, if it has no more), the same for a seed.
+
+    Combinations are drawn by number and a number is read as digits, one per
+    parameter; the product itself is never built.
+    """
+    total = prod(len(values) for values in grid.values())
+    rnd, numbers = random.Random(seed), {}
+    if total <= 2 * n:
+        numbers = dict.fromkeys(rnd.sample(range(total), min(n, total)))
+    while len(numbers) < min(n, total):
+        numbers[rnd.randrange(total)] = None
+    out = []
+    for number in numbers:
+        chosen = {}
+        for name, values in grid.items():
+            number, digit = divmod(number, len(values))
+            chosen[name] = values[digit]
+        out.append(chosen)
+    return out
+
+
+def random_search(build, grid: Mapping[str, Sequence], train: DataFrame, key: str, n: int = 10, k: int = 5,
+                  label: str = "label", seed: int = 42, parallelism: int = 4) -> tuple[DataFrame, PipelineModel]:
+    """Random search over ``grid`` for a regression; returns (candidates with their CV R², fitted best).
+
+    ``build(**parameters)`` gives the pipeline of a combination.  Candidates
+    are compared by cross-validation within ``train`` alone; the best (of
+    equals the first drawn) is fitted to all of it, so rows kept apart judge
+    it afterwards.
+    """
+    drawn = draw_candidates(grid, n, seed)
+    folded = fold_column(train, key, k, seed)
+    found = cv_regression_metrics(out_of_fold({str(i): build(**c) for i, c in enumerate(drawn)}, folded, key, label,
+                                              parallelism=parallelism)).collect()
+    score = {int(r["model"]): r for r in found}
+    best = max(range(len(drawn)), key=lambda i: (score[i]["cv_r2_mean"], -i))
+    rows = [(i, str(c), score[i]["cv_r2_mean"], score[i]["cv_r2_sd"], score[i]["folds"], i == best) for i, c in enumerate(drawn)]
+    table = train.sparkSession.createDataFrame(
+        rows, "candidate int, parameters string, cv_r2_mean double, cv_r2_sd double, folds long, is_best boolean")
+    return table, build(**drawn[best]).fit(train)
 
 
 def compare_models(spark, results: dict[str, dict], metric: str, higher_is_better: bool = True) -> DataFrame:
@@ -123,10 +239,56 @@ def cluster_features(df: DataFrame, cols: Sequence[str], log_cols: Sequence[str]
     return VectorAssembler(inputCols=list(cols), outputCol="features", handleInvalid="skip").transform(src)
 
 
-def choose_k(df: DataFrame, ks: Sequence[int] = range(2, 9), starts: int = 10, seed: int = 42, parallelism: int = 4):
-    """Per k the best of ``starts`` seeded K-means fits (lowest cost) and
-    its silhouette.  Silhouette is Spark's distributed squared-Euclidean
-    silhouette (no pairwise distance table).  The fits read one cached
+def silhouette(df: DataFrame, cluster: str = "prediction", features: str = "features", rows: int = 8000,
+               seed: int = 42) -> DataFrame:
+    """Euclidean silhouette of a sample, one row: ``rows, silhouette``.
+
+    The sample is the ``rows`` rows of smallest hash of their features (all,
+    if there are fewer): a fixed, documented bound, so it can be broadcast.
+    Spark deals the sampled points to tasks; a task meets the sample in blocks
+    and keeps, per point, the sum of distances to each cluster, never a pair.
+    A point alone in its cluster counts 0, and fewer than two clusters give
+    null, as in the usual definition.
+    """
+    points = df.select(F.col(cluster).cast("int").alias("c"), vector_to_array(features).alias("x")).where("c IS NOT NULL")
+    sample = scratch_table(points.orderBy(F.xxhash64("x", F.lit(seed)), "x", "c").limit(rows), "silhouette-sample")
+    taken = sample.collect()
+    spark = df.sparkSession
+    if len({r["c"] for r in taken}) < 2:
+        return spark.createDataFrame([(len(taken), None)], "rows long, silhouette double")
+    names, codes = np.unique([r["c"] for r in taken], return_inverse=True)
+    shared = spark.sparkContext.broadcast((np.array([r["x"] for r in taken]), names, codes))
+
+    def widths(batches):
+        own, clusters, code = shared.value
+        sizes = np.bincount(code)
+        for batch in batches:
+            x = np.array(batch.column(1).to_pylist(), dtype=float).reshape(batch.num_rows, own.shape[1])
+            mine = np.searchsorted(clusters, batch.column(0).to_numpy())
+            sums = np.zeros((batch.num_rows, len(clusters)))
+            for i in range(0, len(own), 512):
+                block = own[i:i + 512]
+                apart = np.sqrt(((x[:, None, :] - block[None]) ** 2).sum(axis=2))
+                for j in np.unique(code[i:i + 512]):
+                    sums[:, j] += apart[:, code[i:i + 512] == j].sum(axis=1)
+            row = np.arange(len(x))
+            inside = sums[row, mine] / np.maximum(1, sizes[mine] - 1)
+            means = sums / sizes
+            means[row, mine] = np.inf
+            other = means.min(axis=1)
+            width = np.where(sizes[mine] > 1, (other - inside) / np.maximum(np.maximum(inside, other), 1e-300), 0.0)
+            yield pa.RecordBatch.from_arrays([pa.array(width)], names=["width"])
+
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return sample.repartition(tasks).mapInArrow(widths, "width double").agg(
+        F.count(F.lit(1)).alias("rows"), F.avg("width").alias("silhouette"))
+
+
+def choose_k(df: DataFrame, ks: Sequence[int] = range(2, 9), starts: int = 10, seed: int = 42, parallelism: int = 4,
+             sample_rows: int = 8000):
+    """Per k the best of ``starts`` seeded K-means fits (lowest cost), its
+    Euclidean silhouette on a sample of ``sample_rows`` rows, and Spark's
+    squared-Euclidean silhouette over all rows.  The fits read one cached
     column of features, ``parallelism`` at a time."""
     from multiprocessing.pool import ThreadPool
 
@@ -141,8 +303,12 @@ def choose_k(df: DataFrame, ks: Sequence[int] = range(2, 9), starts: int = 10, s
         with ThreadPool(parallelism) as pool:
             fits = pool.map(fit, [(k, s) for k in ks for s in range(starts)], chunksize=1)
         best = {k: min((f for f in fits if f[0] == k), key=lambda f: f[1:3]) for k in ks}
-        return [{"k": k, "inertia": best[k][1], "silhouette": ev.evaluate(best[k][3].transform(vectors)),
-                 "model": best[k][3]} for k in ks]
+        out = []
+        for k in ks:
+            placed = best[k][3].transform(vectors)
+            out.append({"k": k, "inertia": best[k][1], "model": best[k][3], "squared_silhouette": ev.evaluate(placed),
+                        "silhouette": silhouette(placed, rows=sample_rows, seed=seed).first()["silhouette"]})
+        return out
     finally:
         vectors.unpersist()
 

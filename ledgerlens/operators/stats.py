@@ -79,6 +79,42 @@ def median_ci(df: DataFrame, col: str, conf: float = 0.95) -> dict:
     return {"n": n, **q}
 
 
+def bootstrap_median_ci(df: DataFrame, col: str, conf: float = 0.95, replicates: int = 2000, seed: int = 42) -> dict:
+    """H2: percentile bootstrap of the median, ``replicates`` resamples of all non-null values.
+
+    A resample of n values draws n places of the ordered values; its median
+    needs only the middle one or two of those places.  The j-th smallest of n
+    uniform places is Beta(j, n + 1 - j) distributed, and the next one takes
+    a Beta(1, n - j) share of what is left above it, so each replicate's
+    middle places are drawn outright, in distribution as by resampling.  What
+    travels is two places per replicate; the values come from one running
+    count over the distinct values, cut into slots of places so that a task
+    holds few of either.
+    """
+    base = df.select(_x(col).alias("v")).where(F.col("v").isNotNull())
+    spans = running_totals(base.groupBy("v").agg(F.count(F.lit(1)).alias("n")), ["v"], ["n"], prefix="to_")
+    spans = spans.select("v", (F.col("to_n") - F.col("n")).alias("lo"), F.col("to_n").alias("hi"))
+    n = spans.agg(F.max("hi")).first()[0] or 0
+    empty = {"n": n, "replicates": replicates, "median": None, "lo": None, "hi": None}
+    if n < 2:
+        return empty
+    rng = np.random.default_rng(seed)
+    j = (n + 1) // 2  # the middle place, or the lower of two
+    low = rng.beta(j, n + 1 - j, replicates)
+    high = low if n % 2 else low + (1 - low) * rng.beta(1, n - j, replicates)
+    places = [(i, int(min(n - 1, p * n))) for side in (low, high) for i, p in enumerate(side)]
+    first, last = min(p for _, p in places), max(p for _, p in places)
+    slot = (last - first) // replicates + 1
+    asked = df.sparkSession.createDataFrame(places, "replicate int, place long").withColumn(
+        "slot", F.expr(f"(place - {first}) div {slot}"))
+    near = spans.where((F.col("hi") > first) & (F.col("lo") <= last)).withColumn("slot", F.explode(F.sequence(
+        F.expr(f"(greatest(lo, {first}L) - {first}) div {slot}"), F.expr(f"(least(hi - 1, {last}L) - {first}) div {slot}"))))
+    medians = asked.join(near, "slot").where("place >= lo AND place < hi").groupBy("replicate").agg(F.avg("v").alias("m"))
+    tail = (1 - conf) / 2
+    ends = _one_row(medians.agg(F.percentile("m", tail).alias("lo"), F.percentile("m", 1 - tail).alias("hi")))
+    return {**empty, **_one_row(group_quantiles(base, [], "v", {"median": 0.5})), **ends}
+
+
 # ----------------------------------------------------------------------------- H4, H9, H10
 def two_group_stats(df: DataFrame, col: str, flag: str) -> DataFrame:
     """n, mean, sample variance of ``col`` where ``flag`` is true (1) / not true (0)."""
@@ -385,7 +421,7 @@ def ols(df: DataFrame, y: str, numeric: Sequence[str], categorical: Sequence[str
     sxy = np.array([n * r[f"cy_{i}"] for i in range(k)])
     mx = np.array([r[f"m_{i}"] for i in range(k)])
     syy = n * r["vy"]
-    inv = np.linalg.pinv(sxx) if k else np.zeros((0, 0))
+    inv = _inverse(sxx, names[1:])
     slopes = inv @ sxy
     beta = np.concatenate([[r["my"] - slopes @ mx], slopes])
     rss = max(float(syy - slopes @ sxy), 0.0)
@@ -394,14 +430,28 @@ def ols(df: DataFrame, y: str, numeric: Sequence[str], categorical: Sequence[str
     sigma2 = rss / dof
     var = np.concatenate([[sigma2 * (1.0 / n + mx @ inv @ mx)], np.diag(inv) * sigma2])
     se = np.sqrt(np.maximum(var, 0))
-    t = beta / se
+    t = [float(b / s) if s > 0 else None for b, s in zip(beta, se)]  # a perfect fit has no t and no p
     r2 = 1 - rss / tss
-    return {"names": names, "coef": beta.tolist(), "se": se.tolist(), "t": t.tolist(),
-            "p": [dist.t_two_sided(float(v), dof) for v in t], "r2": r2,
+    return {"names": names, "coef": beta.tolist(), "se": se.tolist(), "t": t,
+            "p": [None if v is None else dist.t_two_sided(v, dof) for v in t], "r2": r2,
             "adj_r2": 1 - (1 - r2) * (n - 1) / dof, "n": n, "rss": rss, "sigma2": sigma2,
             "numeric": list(numeric), "levels": levels}
 
 
+def _inverse(products: np.ndarray, names: Sequence[str]) -> np.ndarray:
+    """The inverse of centred cross-products; columns that depend on each other raise, by name."""
+    size = np.sqrt(np.diag(products))
+    constant = [n for n, s in zip(names, size) if s <= 0]
+    if constant:
+        raise ValueError(f"constant columns cannot stand beside an intercept: {constant}")
+    scaled = products / np.outer(size, size)
+    values, vectors = np.linalg.eigh(scaled) if len(size) else (np.ones(1), None)
+    if values[0] < 1e-12 * len(size):
+        tied = [n for n, v in zip(names, vectors[:, 0]) if abs(v) > 1e-6]
+        raise ValueError(f"collinear columns: {tied}")
+    return np.linalg.inv(scaled) / np.outer(size, size)
+
+
 def _all_not_null(cols):
     cond = F.lit(True)
     for c in cols:
@@ -441,7 +491,8 @@ def residual_table(df: DataFrame, y: str, fit: dict):
 
 def vif(df: DataFrame, cols: Sequence[str]) -> dict[str, float]:
     """Variance inflation factors = diagonal of the inverse correlation
-    matrix (pairwise correlations from one aggregation)."""
+    matrix (pairwise correlations from one aggregation); columns without a
+    finite factor raise, by name."""
     src = df.where(_all_not_null(cols))
     k = len(cols)
     r = _one_row(src.agg(*[F.corr(_x(a), _x(b)).alias(f"c_{i}_{j}") for i, a in enumerate(cols)
@@ -450,7 +501,7 @@ def vif(df: DataFrame, cols: Sequence[str]) -> dict[str, float]:
     for i in range(k):
         for j in range(i + 1, k):
             m[i, j] = m[j, i] = r[f"c_{i}_{j}"]
-    inv = np.linalg.pinv(m)
+    inv = _inverse(m, cols)
     return {c: float(inv[i, i]) for i, c in enumerate(cols)}
 
 

@@ -6,6 +6,9 @@ preparation steps that are plain aggregations carry DuckDB oracles.
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -14,7 +17,8 @@ from ..operators import features as M
 from ..operators import models as ML
 from ..operators import evaluate as E
 from ..operators.evaluate import roc_auc
-from ..session import read_tables
+from ..operators.ordering import attach_row
+from ..session import read_tables, scratch_table
 from .catalog import query
 from .catalog_more import wide
 from .star import startup_entities
@@ -93,6 +97,56 @@ def m4_stratified_split(spark, sf):
     return M.split_sizes(s, "is_test", LABEL_CLF)
 
 
+# Two splits that SQL can name: the first fifth of each class by key, and every fifth key.
+_DRIFT_COLS = ["funding_rounds", "years_since_founded"]
+
+
+@query("m4_split_drift", with_star(f"""
+WITH d AS (SELECT startup_id, CAST(is_exited AS INTEGER) AS is_exited, CAST(funding_rounds AS DOUBLE) AS funding_rounds,
+  CAST(years_since_founded AS DOUBLE) AS years_since_founded FROM feat WHERE {_COMPLETE_SQL}),
+parts AS (
+  SELECT 'stratified' AS split, *, ROW_NUMBER() OVER (PARTITION BY is_exited ORDER BY startup_id)
+    <= CAST(round(COUNT(*) OVER (PARTITION BY is_exited) * 0.2) AS BIGINT) AS is_test FROM d
+  UNION ALL SELECT 'unstratified', *, startup_id % 5 = 0 FROM d),
+classes AS (SELECT split, 'class' AS kind, CAST(is_exited AS VARCHAR) AS name,
+    abs(COUNT(*) FILTER (WHERE NOT is_test) / SUM(COUNT(*) FILTER (WHERE NOT is_test)) OVER (PARTITION BY split)
+      - COUNT(*) FILTER (WHERE is_test) / SUM(COUNT(*) FILTER (WHERE is_test)) OVER (PARTITION BY split)) AS drift
+  FROM parts GROUP BY split, is_exited),
+long AS (SELECT split, is_test, 'funding_rounds' AS name, funding_rounds AS v FROM parts
+  UNION ALL SELECT split, is_test, 'years_since_founded', years_since_founded FROM parts),
+per AS (SELECT split, name, v, COUNT(*) FILTER (WHERE is_test) AS a, COUNT(*) FILTER (WHERE NOT is_test) AS b
+  FROM long GROUP BY split, name, v),
+run AS (SELECT split, name, abs(SUM(a) OVER w / SUM(a) OVER t - SUM(b) OVER w / SUM(b) OVER t) AS gap
+  FROM per WINDOW w AS (PARTITION BY split, name ORDER BY v), t AS (PARTITION BY split, name))
+SELECT split, kind, name, CAST(drift AS DOUBLE) AS drift FROM classes
+UNION ALL SELECT split, 'numeric', name, CAST(MAX(gap) AS DOUBLE) FROM run GROUP BY split, name"""))
+def m4_split_drift(spark, sf):
+    d = _data(spark, sf)
+    splits = {"stratified": M.stratified_split(d, LABEL_CLF, "startup_id", 0.2, shuffle=False),
+              "unstratified": d.withColumn("is_test", F.col("startup_id") % 5 == 0)}
+    out = []
+    for name, parts in splits.items():
+        out.append(M.class_drift(parts, LABEL_CLF).select(
+            F.lit(name).alias("split"), F.lit("class").alias("kind"), F.col(LABEL_CLF).cast("string").alias("name"), "drift"))
+        out.append(M.numeric_drift(parts, _DRIFT_COLS).select(
+            F.lit(name).alias("split"), F.lit("numeric").alias("kind"), F.col("feature").alias("name"),
+            F.col("distance").alias("drift")))
+    return reduce(lambda a, b: a.unionByName(b), out)
+
+
+# Hash splits have no SQL form; that stratifying leaves the classes no further apart has one.
+@query("m4_stratified_against_unstratified", "SELECT true AS not_worse, true AS within_a_row")
+def m4_stratified_against_unstratified(spark, sf):
+    d = _data(spark, sf)
+    by_class = M.class_drift(M.stratified_split(d, LABEL_CLF, "startup_id", 0.2), LABEL_CLF)
+    plain = M.class_drift(d.withColumn("is_test", M.hash_unit("startup_id", 7) < 0.2), LABEL_CLF)
+    n = d.agg(F.count(F.lit(1)).alias("n"))
+    worst = attach_row(attach_row(by_class.agg(F.max("drift").alias("own")), plain.agg(F.max("drift").alias("other"))), n)
+    # rounding each class to whole rows moves a share by a row of the test part at most
+    return worst.select((F.col("own") <= F.col("other")).alias("not_worse"),
+                        (F.col("own") <= 1 / (0.2 * F.col("n") - 1)).alias("within_a_row"))
+
+
 @query("m5_encode")
 def m5_encode(spark, sf):
     from pyspark.ml import Pipeline
@@ -102,6 +156,24 @@ def m5_encode(spark, sf):
     return out.select("startup_id", "features")
 
 
+@query("m5_encoded_levels", with_star(f"""
+WITH ti AS (SELECT primary_category FROM feat WHERE primary_category IS NOT NULL GROUP BY primary_category
+            ORDER BY COUNT(*) DESC, primary_category LIMIT 5)
+SELECT COALESCE(ti.primary_category, 'Other') AS level, CAST(COUNT(*) AS DOUBLE) AS total
+FROM feat f LEFT JOIN ti ON f.primary_category = ti.primary_category WHERE {_COMPLETE_SQL.replace(" AND category_count", " AND f.category_count")}
+GROUP BY 1"""))
+def m5_encoded_levels(spark, sf):
+    """Every level has a column of its own, and the column's sum is the level's number of rows."""
+    from pyspark.ml import Pipeline
+    d = _data(spark, sf)
+    out = Pipeline(stages=M.encoder_stages(["industry_grouped"], [])).fit(d).transform(d)
+    levels = [a["name"] for a in out.schema["industry_grouped__ohe"].metadata["ml_attr"]["attrs"]["binary"]]
+    sums = out.select(vector_to_array("industry_grouped__ohe").alias("v")).agg(
+        F.array(*[F.sum(F.col("v")[i]) for i in range(len(levels))]).alias("sums"))
+    pairs = F.arrays_zip(F.array(*map(F.lit, levels)).alias("level"), F.col("sums"))
+    return sums.select(F.explode(pairs).alias("p")).select(F.col("p")["level"].alias("level"), F.col("p")["sums"].alias("total"))
+
+
 @query("m6_impute", with_star("""
 SELECT startup_id, COALESCE(CAST(years_since_founded AS DOUBLE),
     (SELECT quantile_cont(CAST(years_since_founded AS DOUBLE), 0.5) FROM feat)) AS years_since_founded,
@@ -139,76 +211,163 @@ def _mi_sql():
     FROM (SELECT 1 + (SELECT COUNT(*) FROM edges_{f} ed WHERE CAST(base.{f} AS DOUBLE) > ed.e) AS b, y
           FROM base) t
     GROUP BY b, y) j"""
-    feats = ["funding_rounds", "years_since_founded"]
+    feats = NUMERIC
     edges = "".join(f""",
 all_{f} AS (SELECT DISTINCT unnest(quantile_cont(CAST({f} AS DOUBLE), [0.0,0.1,0.2,0.3,0.4,0.5,0.6,0.7,0.8,0.9,1.0])) AS e FROM base),
 edges_{f} AS (SELECT e FROM all_{f} WHERE e > (SELECT MIN(e) FROM all_{f}) AND e < (SELECT MAX(e) FROM all_{f}))"""
                     for f in feats)
     body = " UNION ALL ".join(part.format(f=f) for f in feats)
-    return with_star(f"""WITH base AS (SELECT funding_rounds, years_since_founded, CAST(is_exited AS INTEGER) AS y
+    return with_star(f"""WITH base AS (SELECT {", ".join(NUMERIC)}, CAST(is_exited AS INTEGER) AS y
   FROM feat WHERE {cc}){edges} {body}""")
 
 
 @query("m9_mutual_information", _mi_sql())
 def m9_mutual_information(spark, sf):
-    return M.mutual_information(_data(spark, sf), ["funding_rounds", "years_since_founded"], LABEL_CLF)
+    return M.mutual_information(_data(spark, sf), NUMERIC, LABEL_CLF)
 
 
-def _reg_fit(spark, sf, kind="linear"):
-    train, test = M.split(_data(spark, sf), "startup_id", 0.2)
-    train = train.withColumn("label", F.col(LABEL_REG))
-    test = test.withColumn("label", F.col(LABEL_REG))
+#: Trees and depth of the analysed application's forest; its 150 boosting rounds are 20 here, each being several Spark jobs.
+FOREST, ROUNDS = {"numTrees": 100, "maxDepth": 12}, 20
+
+
+def _regressor(kind, sd=None, n=None):
     if kind in ("linear", "ridge", "lasso"):
-        st = train.agg(F.stddev_pop("label").alias("sd"), F.count(F.lit(1)).alias("n")).first()
-        est = ML.linear_regressor(kind, 1.0 if kind == "ridge" else 0.01, st["sd"], st["n"])
-    else:
-        est = ML.tree_regressor(kind, maxDepth=4, **({"numTrees": 20} if kind == "forest" else
-                                                     {"maxIter": 10} if kind == "gbt" else {}))
-    return ML.pipeline(CATEG, NUMERIC + FLAGS, est).fit(train), test
+        return ML.linear_regressor(kind, 1.0 if kind == "ridge" else 0.01, sd, n)
+    return ML.tree_regressor(kind, **(FOREST if kind == "forest" else {"maxIter": ROUNDS, "maxDepth": 5} if kind == "gbt"
+                                      else {"maxDepth": 5}))
+
+
+def _reg_parts(spark, sf):
+    train, test = M.split(_data(spark, sf).withColumn("label", F.col(LABEL_REG)), "startup_id", 0.2)
+    return scratch_table(train, "train"), scratch_table(test, "test")
+
+
+def _reg_pipe(kind, train):
+    st = train.agg(F.stddev_pop("label").alias("sd"), F.count(F.lit(1)).alias("n")).first()
+    return ML.pipeline(CATEG, NUMERIC + FLAGS, _regressor(kind, st["sd"], st["n"]))
+
+
+def _reg_fit(spark, sf, kind="linear"):
+    train, test = _reg_parts(spark, sf)
+    return _reg_pipe(kind, train).fit(train), test
 
 
 @query("m10_m12_m18_regression_models")
 def m10_m12_m18_regression_models(spark, sf):
+    """Every regression model: metrics on held-out rows, and R² over five folds of the training rows."""
+    train, test = _reg_parts(spark, sf)
+    pipes = {kind: _reg_pipe(kind, train) for kind in ["linear", "ridge", "lasso", "tree", "forest", "gbt"]}
+    folds = ML.cv_regression_metrics(ML.out_of_fold(pipes, M.fold_column(train, "startup_id", 5), "startup_id"))
+    cv = {r["model"]: {"cv_r2_mean": r["cv_r2_mean"], "cv_r2_sd": r["cv_r2_sd"]} for r in folds.collect()}
     res = {}
-    for kind in ["linear", "ridge", "lasso", "tree", "forest", "gbt"]:
-        m, test = _reg_fit(spark, sf, kind)
-        own = E.regression_metrics(m.transform(test), "label", "prediction", len(NUMERIC + FLAGS)).first()
-        res[kind] = {k: own[k] for k in ("mae", "rmse", "r2", "adj_r2")}
+    for kind, pipe in pipes.items():
+        own = E.regression_metrics(pipe.fit(train).transform(test), "label", "prediction", len(NUMERIC + FLAGS)).first()
+        res[kind] = {k: own[k] for k in ("mae", "rmse", "r2", "adj_r2")} | cv[kind]
     return ML.compare_models(spark, res, "r2")
 
 
+# Straight lines on folds that SQL can name, so that predictions and metrics have a twin.
+_LINES = ["funding_rounds", "num_round_types_used"]
+
+
+def _oof_sql():
+    part = """
+  SELECT '{c}' AS model, d.f AS fold, d.y, l.a + l.b * d.{c} AS p FROM d JOIN (
+    SELECT k.f, regr_intercept(d.y, d.{c}) AS a, regr_slope(d.y, d.{c}) AS b FROM range(5) k(f) JOIN d ON d.f <> k.f GROUP BY k.f) l
+  ON l.f = d.f"""
+    body = " UNION ALL ".join(part.format(c=c) for c in _LINES)
+    return with_star(f"""WITH d AS (SELECT startup_id % 5 AS f, log_funding_total_usd AS y, {", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _LINES)}
+  FROM feat WHERE {_COMPLETE_SQL}), o AS ({body}),
+folds AS (SELECT model, fold, 1 - SUM((y - p) * (y - p)) / (COUNT(*) * VAR_POP(y)) AS r2 FROM o GROUP BY model, fold)
+SELECT model, AVG(abs(y - p)) AS mae, sqrt(AVG((y - p) * (y - p))) AS rmse, 1 - SUM((y - p) * (y - p)) / (COUNT(*) * VAR_POP(y)) AS r2,
+  MIN(c.m) AS cv_r2_mean, MIN(c.s) AS cv_r2_sd, MIN(c.n) AS folds
+FROM o JOIN (SELECT model, AVG(r2) AS m, STDDEV_POP(r2) AS s, COUNT(*) AS n FROM folds GROUP BY model) c USING (model) GROUP BY model""")
+
+
+@query("m18_out_of_fold_metrics", _oof_sql())
+def m18_out_of_fold_metrics(spark, sf):
+    d = _data(spark, sf).withColumn("label", F.col(LABEL_REG)).withColumn("fold", F.col("startup_id") % 5)
+    pipes = {c: ML.pipeline([], [c], ML.linear_regressor("linear")) for c in _LINES}
+    return ML.cv_regression_metrics(ML.out_of_fold(pipes, d, "startup_id"))
+
+
+# With one feature the penalised lines have a closed form (penalty 1 on the square, 0.01 on the size of the slope).
+@query("m10_one_feature_lines", with_star(f"""
+WITH s AS (SELECT COUNT(*) AS n, COVAR_POP(log_funding_total_usd, CAST(funding_rounds AS DOUBLE)) AS xy,
+    VAR_POP(CAST(funding_rounds AS DOUBLE)) AS xx FROM feat WHERE {_COMPLETE_SQL})
+SELECT 'linear' AS model, round(xy / xx, 4) AS slope FROM s
+UNION ALL SELECT 'ridge', round(n * xy / (n * xx + 1), 4) FROM s
+UNION ALL SELECT 'lasso', round(sign(xy) * greatest(abs(xy) - 0.01, 0) / xx, 4) FROM s"""))
+def m10_one_feature_lines(spark, sf):
+    d = _data(spark, sf).withColumn("label", F.col(LABEL_REG))
+    st = d.agg(F.stddev_pop("label").alias("sd"), F.count(F.lit(1)).alias("n")).first()
+    fits = [(kind, ML.pipeline([], ["funding_rounds"], _regressor(kind, st["sd"], st["n"])).fit(d)) for kind in ("linear", "ridge", "lasso")]
+    return spark.createDataFrame([(kind, round(float(m.stages[-1].coefficients[0]), 4)) for kind, m in fits], "model string, slope double")
+
+
 def _clf_data(spark, sf):
-    train, test = M.split(_data(spark, sf).withColumn("label", F.col(LABEL_CLF).cast("double")), "startup_id", 0.2)
+    d = M.stratified_split(_data(spark, sf).withColumn("label", F.col(LABEL_CLF).cast("double")), "label", "startup_id", 0.2)
+    d = scratch_table(d, "classes")
+    train, test = (d.where(F.col("is_test") == part).drop("is_test") for part in (False, True))
     return M.class_weights(train, "label"), test  # weights from the training rows alone
 
 
+def _classifiers():
+    return {"logistic": {}, "forest": FOREST, "gbt": {"maxIter": 20}}
+
+
+def _clf_pipe(kind, **kw):
+    return ML.pipeline(CATEG, NUMERIC + FLAGS, ML.weighted_classifier(kind, **kw))
+
+
 @query("m13_m15_classifiers")
 def m13_m15_classifiers(spark, sf):
+    """Every classifier: metrics on held-out rows, and the area under the ROC curve over five stratified folds."""
     train, test = _clf_data(spark, sf)
+    train = scratch_table(train, "weighted")
+    pipes = {kind: _clf_pipe(kind, **kw) for kind, kw in _classifiers().items()}
+    folded = M.stratified_folds(train, "label", "startup_id", 5)
+    cv = {r["model"]: r for r in ML.cv_auc(ML.out_of_fold(pipes, folded, "startup_id", classifier=True)).collect()}
     res = {}
-    for kind, kw in [("logistic", {}), ("forest", {"numTrees": 20, "maxDepth": 5}), ("gbt", {"maxIter": 10}),
-                     ("gbt_positive_weight", {"maxIter": 10})]:
-        est = ML.weighted_classifier(kind.split("_")[0], **kw)
+    for kind, pipe in [*pipes.items(), ("gbt_positive_weight", pipes["gbt"])]:
         rows = ML.positive_weight(train, "label") if kind.endswith("positive_weight") else train
-        out = ML.pipeline(CATEG, NUMERIC + FLAGS, est).fit(rows).transform(test).select(
+        out = pipe.fit(rows).transform(test).select(
             "label", "prediction", vector_to_array("probability")[1].alias("__p")).persist()
         own = E.classification_metrics(out, "label", "prediction").first()
         res[kind] = {"auc": roc_auc(out, "label", "__p").first()["auc"],
-                     **{k: own[k] for k in ("accuracy", "precision", "recall", "f1")}}
+                     **{k: own[k] for k in ("accuracy", "precision", "recall", "f1")},
+                     **({k: cv[kind][k] for k in ("cv_auc_mean", "cv_auc_sd")} if kind in cv else {})}
         out.unpersist()
     return ML.compare_models(spark, res, "auc")
 
 
+@query("m16_stratified_folds", with_star(f"""
+SELECT is_exited, CAST((rn - 1) % 5 AS INTEGER) AS fold, COUNT(*) AS n FROM (
+  SELECT CAST(is_exited AS INTEGER) AS is_exited, ROW_NUMBER() OVER (ORDER BY CAST(is_exited AS INTEGER) NULLS FIRST) AS rn
+  FROM feat WHERE {_COMPLETE_SQL}) GROUP BY is_exited, (rn - 1) % 5"""))
+def m16_stratified_folds(spark, sf):
+    return M.stratified_folds(_data(spark, sf), LABEL_CLF, "startup_id", 5).groupBy(LABEL_CLF, "fold").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+# The analysed application's search space; its boosting rounds (100, 200, 300) are 4, 8 and 12 here.
+SEARCH_SPACE = {"rounds": [4, 8, 12], "depth": [3, 4, 5, 6], "rate": [0.03, 0.05, 0.1], "rows": [0.8, 0.9, 1.0],
+                "columns": [0.8, 0.9, 1.0]}
+
+
+def boosted(rounds, depth, rate, rows, columns):
+    return ML.pipeline(CATEG, NUMERIC + FLAGS, ML.tree_regressor(
+        "gbt", maxIter=rounds, maxDepth=depth, stepSize=rate, subsamplingRate=rows, featureSubsetStrategy=str(columns)))
+
+
 @query("m16_m17_cross_validation_search")
 def m16_m17_cross_validation_search(spark, sf):
-    from pyspark.ml.tuning import ParamGridBuilder
-    d = _data(spark, sf).withColumn("label", F.col(LABEL_REG))
-    est = ML.tree_regressor("forest", numTrees=10)
-    grid = ML.random_search(ParamGridBuilder().addGrid(est.maxDepth, [2, 3, 4]).addGrid(est.numTrees, [5, 10]), 10)
-    _, mean, sd = ML.cross_validate(ML.pipeline(CATEG, NUMERIC + FLAGS, est), d, "startup_id",
-                                    ML.regression_evaluator("label"), k=3, grid=grid, parallelism=3)
-    return spark.createDataFrame([(i, float(m), float(s)) for i, (m, s) in enumerate(zip(mean, sd))],
-                                 "candidate int, r2_mean double, r2_sd double")
+    """Ten of 324 combinations by five folds of the training rows; the best one's R² on held-out rows."""
+    train, test = _reg_parts(spark, sf)
+    table, best = ML.random_search(boosted, SEARCH_SPACE, train, "startup_id", n=10, k=5)
+    held_out = E.regression_metrics(best.transform(test), "label", "prediction", len(NUMERIC + FLAGS)).select(
+        F.col("r2").alias("held_out_r2"))
+    return attach_row(table, held_out).withColumn("held_out_r2", F.when(F.col("is_best"), F.col("held_out_r2")))
 
 
 @query("m19_feature_importance")
@@ -217,12 +376,36 @@ def m19_feature_importance(spark, sf):
     return spark.createDataFrame(ML.feature_importance(m, test), "feature string, importance double")
 
 
+@query("m19_importance_shares", "SELECT 1.0::DOUBLE AS total, true AS in_order, true AS each_at_most_one")
+def m19_importance_shares(spark, sf):
+    """Importances of a forest are shares of one, largest first."""
+    m, test = _reg_fit(spark, sf, "forest")
+    values = [v for _, v in ML.feature_importance(m, test)]
+    return spark.createDataFrame([(round(sum(values), 9), values == sorted(values, reverse=True), all(0 <= v <= 1 for v in values))],
+                                 "total double, in_order boolean, each_at_most_one boolean")
+
+
 @query("m20_m21_choose_k")
 def m20_m21_choose_k(spark, sf):
     df = ML.cluster_features(_data(spark, sf), ["funding_rounds", "num_round_types_used", LABEL_REG])
     res = ML.choose_k(df)  # k from 2 to 8, ten starts each
-    return spark.createDataFrame([(r["k"], float(r["inertia"]), float(r["silhouette"])) for r in res],
-                                 "k int, inertia double, silhouette double")
+    return spark.createDataFrame([(r["k"], float(r["inertia"]), r["silhouette"], float(r["squared_silhouette"])) for r in res],
+                                 "k int, inertia double, silhouette double, squared_silhouette double")
+
+
+# The sample is by hash and holds up to 8,000 rows: at the checked size that is every row.
+@query("m20_silhouette", with_star(f"""
+WITH pts AS (SELECT startup_id AS i, CAST(is_exited AS INTEGER) AS c, CAST(funding_rounds AS DOUBLE) AS x,
+  CAST(years_since_founded AS DOUBLE) AS y FROM feat WHERE {_COMPLETE_SQL}),
+far AS (SELECT a.i, a.c, b.c AS other, SUM(sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y))) AS s, COUNT(*) AS n
+  FROM pts a JOIN pts b ON true GROUP BY a.i, a.c, b.c),
+widths AS (SELECT i, MIN(n) FILTER (WHERE c = other) AS own, MIN(s) FILTER (WHERE c = other) AS inside,
+  MIN(s / n) FILTER (WHERE c <> other) AS outside FROM far GROUP BY i)
+SELECT COUNT(*) AS rows, AVG(CASE WHEN own > 1 THEN (outside - inside / (own - 1)) / greatest(outside, inside / (own - 1)) ELSE 0 END) AS silhouette
+FROM widths"""))
+def m20_silhouette(spark, sf):
+    d = VectorAssembler(inputCols=["funding_rounds", "years_since_founded"], outputCol="features").transform(_data(spark, sf))
+    return ML.silhouette(d, LABEL_CLF)
 
 
 @query("m21_assigned_rows", with_star(f"SELECT COUNT(*) AS rows, 3 AS clusters FROM feat WHERE {_COMPLETE_SQL}"))
@@ -255,6 +438,21 @@ def m23_score(spark, sf):
     return out.select("startup_id", "predicted_amount", "exit_probability", "tier", "percentile")
 
 
+# The probabilities have no SQL form; what the score columns say of each other has one.
+@query("m23_score_columns", with_star(f"""
+SELECT COUNT(*) AS rows, COUNT(*) AS in_bounds, COUNT(*) AS tier_agrees, COUNT(*) AS percentile_in_bounds FROM feat WHERE {_COMPLETE_SQL}"""))
+def m23_score_columns(spark, sf):
+    d = _data(spark, sf).withColumn("label", F.col(LABEL_REG))
+    reg = ML.pipeline(CATEG, NUMERIC + FLAGS, ML.linear_regressor("linear")).fit(d)
+    clf = _clf_pipe("logistic").fit(M.class_weights(d.withColumn("label", F.col(LABEL_CLF).cast("double")), "label"))
+    out = ML.score(reg, clf, d.drop("label"), known=startup_entities(read_tables(spark, sf)), amount="funding_total_usd")
+    p = F.col("exit_probability")
+    tier = F.when(p >= 0.5, "High likelihood").when(p >= 0.25, "Moderate likelihood").otherwise("Lower likelihood")
+    return out.agg(F.count(F.lit(1)).alias("rows"), F.count_if(p.between(0, 1)).alias("in_bounds"),
+                   F.count_if(F.col("tier") == tier).alias("tier_agrees"),
+                   F.count_if(F.col("percentile").between(0, 100)).alias("percentile_in_bounds"))
+
+
 @query("m24_learning_curve")
 def m24_learning_curve(spark, sf):
     d = _data(spark, sf).withColumn("label", F.col(LABEL_REG))
@@ -283,6 +481,45 @@ def x2_partial_dependence(spark, sf):
     return X.partial_dependence(m, d, "funding_rounds", [1, 2, 3, 4, 5, 6])
 
 
+def _line(spark, sf):
+    d = _data(spark, sf).withColumn("label", F.col(LABEL_REG))
+    return ML.pipeline([], ["funding_rounds"], ML.linear_regressor("linear")).fit(d), d
+
+
+# Moving a feature that the line does not use changes nothing; moving its own costs something.
+@query("x1_unused_feature", "SELECT 'funding_rounds' AS feature, true AS costs UNION ALL SELECT 'years_since_founded', false")
+def x1_unused_feature(spark, sf):
+    m, d = _line(spark, sf)
+    found = X.permutation_importance(m, d, ["funding_rounds", "years_since_founded"], "startup_id")
+    return found.select("feature", (F.col("importance_mean") > 1e-9).alias("costs"))
+
+
+# Every row's curve of a straight line is the line.
+@query("x3_ice_line", with_star(f"""
+SELECT CAST(g AS DOUBLE) AS grid_value, LEAST(300, n) AS curves, round(a + b * g, 6) AS lowest, round(a + b * g, 6) AS highest FROM range(1, 5) r(g), (
+  SELECT COUNT(*) AS n, regr_intercept(log_funding_total_usd, CAST(funding_rounds AS DOUBLE)) AS a,
+    regr_slope(log_funding_total_usd, CAST(funding_rounds AS DOUBLE)) AS b FROM feat WHERE {_COMPLETE_SQL}) s"""))
+def x3_ice_line(spark, sf):
+    m, d = _line(spark, sf)
+    return X.ice(m, d, "funding_rounds", [1, 2, 3, 4], "startup_id", rows=300).groupBy(
+        F.col("grid_value").cast("double").alias("grid_value")).agg(
+        F.count(F.lit(1)).alias("curves"), F.round(F.min("output"), 6).alias("lowest"), F.round(F.max("output"), 6).alias("highest"))
+
+
+# Contributions and base add up to the prediction, within the sampling error of the backgrounds drawn.
+@query("x4_additivity", "SELECT true AS adds_up, true AS base_is_mean")
+def x4_additivity(spark, sf):
+    m, test = _reg_fit(spark, sf, "linear")
+    phi = X.sampled_shapley(m, test, test, NUMERIC + FLAGS, "startup_id", samples=64)
+    out = m.transform(test)
+    base = X.expected_output(m, test)
+    both = phi.groupBy("startup_id").agg(F.sum("phi").alias("s")).join(out.select("startup_id", "prediction"), "startup_id")
+    spread = out.agg(F.stddev_pop("prediction").alias("sd"), F.avg("prediction").alias("mean"))
+    gap = F.col("prediction") - F.col("s") - base
+    return attach_row(both.agg(F.max(F.abs(gap)).alias("worst"), F.avg(gap).alias("bias")), spread).select(
+        (F.col("worst") < 6 * F.col("sd") / 8).alias("adds_up"), (F.abs(F.col("mean") - base) < 1e-9).alias("base_is_mean"))
+
+
 @query("x2_partial_dependence_forest")
 def x2_partial_dependence_forest(spark, sf):
     m, test = _reg_fit(spark, sf, "forest")

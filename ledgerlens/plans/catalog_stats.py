@@ -105,6 +105,18 @@ def h2_median_ci(spark, sf):
     return _row(spark, r, ["n", "lo", "median", "hi"])
 
 
+# Resamples have no SQL form; their number, and that the ends lie by the closed form's, have one.
+@query("h2_bootstrap_median", with_star(f"""
+SELECT COUNT({X}) AS n, 2000 AS replicates, quantile_cont({X}, 0.5) AS median, true AS holds_median, true AS ends_agree FROM feat"""))
+def h2_bootstrap_median(spark, sf):
+    w = _w(spark, sf)
+    own, closed = H.bootstrap_median_ci(w, X), H.median_ci(w, X)
+    width = closed["hi"] - closed["lo"]
+    agree = abs(own["lo"] - closed["lo"]) < 0.2 * width and abs(own["hi"] - closed["hi"]) < 0.2 * width
+    return spark.createDataFrame([(own["n"], own["replicates"], own["median"], own["lo"] <= own["median"] <= own["hi"], agree)],
+                                 "n long, replicates int, median double, holds_median boolean, ends_agree boolean")
+
+
 @query("h3_proportion_ci", with_star(f"""
 SELECT *, p - {dist.norm_ppf(0.975)!r} * se AS lo, p + {dist.norm_ppf(0.975)!r} * se AS hi FROM (
 SELECT SUM(CAST(is_exited AS DOUBLE)) AS successes, COUNT(is_exited) AS n,
@@ -358,6 +370,12 @@ def h21_qq_points(spark, sf):
     return H.qq_points(_w(spark, sf), X, 99)
 
 
+@query("h21_qq_line", f"""
+SELECT regr_slope(sample, theoretical) AS slope, regr_intercept(sample, theoretical) AS intercept FROM ({_qq_sql()}) points""")
+def h21_qq_line(spark, sf):
+    return H.qq_line(H.qq_points(_w(spark, sf), X, 99))
+
+
 @query("h22_residual_table", with_star(f"""
 WITH r AS (SELECT REGR_INTERCEPT({X}, CAST(funding_rounds AS DOUBLE)) AS b0,
              REGR_SLOPE({X}, CAST(funding_rounds AS DOUBLE)) AS b1
@@ -522,6 +540,15 @@ def e11_residual_distribution(spark, sf):
     return E.residual_distribution(_scored(spark, sf), "actual", "predicted")
 
 
+@query("e11_residual_histogram", with_star("""
+WITH r AS (SELECT actual - predicted AS x FROM scored), b AS (SELECT MIN(x) AS low, MAX(x) AS high FROM r),
+n AS (SELECT CAST(least(floor((x - low) / ((high - low) / 50)), 49) AS INTEGER) AS bin, COUNT(*) AS count FROM r, b WHERE x IS NOT NULL GROUP BY 1)
+SELECT CAST(i AS INTEGER) AS bin, low + i * ((high - low) / 50) AS lo, low + (i + 1) * ((high - low) / 50) AS hi, COALESCE(count, 0) AS count
+FROM range(50) t(i), b LEFT JOIN n ON n.bin = i"""))
+def e11_residual_histogram(spark, sf):
+    return E.residual_histogram(_scored(spark, sf), "actual", "predicted")
+
+
 @query("e12_leakage_check", with_star("""
 SELECT 'score' AS feature, CORR(score, CAST(label AS DOUBLE)) AS corr, COUNT(*) AS n FROM scored
 UNION ALL SELECT 'actual', CORR(actual, CAST(label AS DOUBLE)), COUNT(*) FROM scored"""))
