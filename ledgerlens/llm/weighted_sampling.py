@@ -49,7 +49,7 @@ class Sampler:
         self.b = rng.random(DRAWS, np.float32)
         self.once = self._rank(np.zeros(DRAWS, np.float32), slice(None))
         self.ln = np.log(np.arange(1, 1025, dtype=np.float64)).astype(np.float32)
-        self.times, self.plus = (rng.integers(0, 2**64, samples, np.uint64) | np.uint64(1) for _ in range(2))
+        self.times, self.plus = (rng.integers(0, 2**32, (samples, 1), np.uint32) | np.uint32(1) for _ in range(2))
 
     def _rank(self, t: np.ndarray, at) -> np.ndarray:
         return self.ln_c[at] - self.r[at] * (t - self.b[at]) - self.r[at]
@@ -67,25 +67,32 @@ class Sampler:
         order = np.argsort(terms)
         terms, weights = terms[order], weights[order]
         best, term, count = np.full(samples, np.inf, np.float32), np.zeros(samples, np.uint64), np.zeros(samples, np.int64)
+        every = np.arange(samples)
         for i in range(0, len(terms), _STEP):
             own, w = terms[i:i + _STEP], weights[i:i + _STEP]
-            x = own[:, None] * self.times + self.plus
-            x ^= x >> np.uint64(32)
-            x *= _MIX
-            at = (x >> np.uint64(48)).astype(np.int64)
-            rank = self.once[at]
+            x = own.astype(np.uint32) * self.times  # one row per sample
+            x ^= x >> np.uint32(15)
+            x += (own >> np.uint64(32)).astype(np.uint32)
+            x *= self.plus
+            x >>= np.uint32(16)
+            rank = self.once[x]
             more = np.flatnonzero(w > 1)
-            steps = np.floor(self._ln(w[more])[:, None] / self.r[at[more]] + self.b[at[more]])
-            rank[more] = self._rank(steps, at[more])
-            low = rank.argmin(axis=0)
-            every = np.arange(samples)
-            better = rank[low, every] < best
+            steps = np.zeros((samples, 0), np.float32)
+            if len(more):
+                at = x[:, more]
+                steps = np.floor(self._ln(w[more]) / self.r[at] + self.b[at])
+                rank[:, more] = self._rank(steps, at)
+            low = rank.argmin(axis=1)
             place = np.full(len(own), -1)
             place[more] = np.arange(len(more))
-            step = np.where(place[low] >= 0, steps[place[low], every] if len(more) else 0, 0).astype(np.int64)
-            best = np.where(better, rank[low, every], best)
+            repeated = place[low] >= 0
+            step = np.zeros(samples, np.int64)
+            step[repeated] = steps[every[repeated], place[low[repeated]]]
+            lowest = rank[every, low]
+            better = lowest < best
+            best = np.where(better, lowest, best)
             term, count = np.where(better, own[low], term), np.where(better, step, count)
-        x = (term ^ (count.astype(np.uint64) * _MIX)) * self.times
+        x = (term ^ (count.astype(np.uint64) * _MIX)) * (self.times[:, 0].astype(np.uint64) << np.uint64(32) | self.plus[:, 0])
         x ^= x >> np.uint64(29)
         return (x * _MIX >> np.uint64(48)).astype(np.uint16)
 
@@ -152,7 +159,8 @@ def in_order(docs: DataFrame, range_bytes: int = RANGE_BYTES) -> DataFrame:
     ahead = F.struct(F.col("p.before").alias("range"), F.lit(True).alias("guest"))
     spread = placed.select("id", "hash", "text", F.explode(
         F.when(F.col("p.before") >= 0, F.array(own, ahead)).otherwise(F.array(own))).alias("p"))
-    return spread.select("p.range", "p.guest", "id", "hash", "text").repartition("range").sortWithinPartitions(
+    tasks = max(1, len(shared.value))
+    return spread.select("p.range", "p.guest", "id", "hash", "text").repartition(tasks, "range").sortWithinPartitions(
         "range", "guest", "id", "hash")
 
 
