@@ -18,8 +18,11 @@ from pyspark.sql import functions as F
 
 from .common import fresh_names, materialise
 
-RATIO = 0.1
-MIN_PAGES = 5
+#: Site templates put a line on a fixed kind of page: navigation on all, a footer or a notice on about one in ten.
+#: Text of one's own hardly ever stands on one page in twenty, so half the rate of the rarest template is the limit.
+RATIO = 0.05
+#: On fewer pages a share says little: one chance repeat more would move it by a tenth or more.
+MIN_PAGES = 10
 
 
 def host_of(url: Column) -> Column:
@@ -43,11 +46,12 @@ def boilerplate(pages: DataFrame, host: Column, text: Column, ratio: float = RAT
     return common.groupBy("host").agg(F.collect_list("line").alias("lines"))
 
 
-def drop_boilerplate(pages: DataFrame, host_col: str = "source", text_col: str = "text", ratio: float = RATIO,
+def drop_boilerplate(pages: DataFrame, host_col: str | Column = "source", text_col: str = "text", ratio: float = RATIO,
                      min_pages: int = MIN_PAGES, counts: tuple[str, str] = ("_n_lines", "_n_dropped")) -> DataFrame:
     """``pages`` with boilerplate lines removed from ``text_col``, and the columns ``counts`` (lines, lines
     removed) at the end.
 
+    ``host_col`` names the host, or is an expression such as ``host_of(url)``.
     Lines are compared without spaces at their ends; a page counts once for a
     line however often it holds it; blank lines are never boilerplate and
     stay.  Every row is a page, repeated rows included.  Null hosts are one
@@ -60,7 +64,8 @@ def drop_boilerplate(pages: DataFrame, host_col: str = "source", text_col: str =
     if taken := {c.lower() for c in counts} & {c.lower() for c in pages.columns}:
         raise ValueError(f"the table has {sorted(taken)}; choose other names for the counts")
     site, gone, left = fresh_names([*pages.columns, *counts], "host", "gone", "left")
-    host = F.concat(F.when(F.col(host_col).isNull(), "-").otherwise("+"), F.coalesce(F.col(host_col).cast("string"), F.lit("")))
+    given = F.col(host_col) if isinstance(host_col, str) else host_col
+    host = F.concat(F.when(given.isNull(), "-").otherwise("+"), F.coalesce(given.cast("string"), F.lit("")))
     text = F.col(text_col).cast("string")
     found = materialise(boilerplate(pages, host, text, ratio, min_pages), "boilerplate").select(
         F.col("host").alias(site), F.col("lines").alias(gone))

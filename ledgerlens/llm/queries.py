@@ -119,7 +119,7 @@ ORACLES: dict[str, str] = {
         pages AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
         common AS (
             SELECT source, t FROM (SELECT source, t, count(DISTINCT doc_id) AS n FROM l WHERE t <> '' GROUP BY source, t) c
-            JOIN pages p USING (source) WHERE c.n >= 5 AND c.n > 0.1::DOUBLE * p.n),
+            JOIN pages p USING (source) WHERE c.n >= 10 AND c.n > 0.05::DOUBLE * p.n),
         kept AS (
             SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE common.t IS NOT NULL) AS n_dropped,
                    coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE common.t IS NULL), '') AS text

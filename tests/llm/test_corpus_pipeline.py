@@ -12,7 +12,7 @@ from test_decontam import slow as slow_decontam  # noqa: E402
 from test_line_dedup import slow as slow_lines  # noqa: E402
 from test_simhash import slow_components  # noqa: E402
 
-from ledgerlens.llm import toxicity  # noqa: E402
+from ledgerlens.llm import line_dedup, toxicity  # noqa: E402
 from ledgerlens.llm.common import materialise, read_table  # noqa: E402
 
 
@@ -28,7 +28,7 @@ def test_stages_match_brute_force(spark):
     rows = [tuple(r) for r in kept.select("doc_id", "source", "text").collect()]
     cleaned = materialise(stages["line_dedup"](spark, kept, SMALL), "t2")
     assert cleaned.columns == columns
-    assert rows_of(cleaned, "doc_id", "text") == sorted(((r[0], r[1]) for r in slow_lines(rows, 0.1, 5)), key=repr)
+    assert rows_of(cleaned, "doc_id", "text") == sorted(((r[0], r[1]) for r in slow_lines(rows, line_dedup.RATIO, line_dedup.MIN_PAGES)), key=repr)
     assert all(r["n_chars"] == len(r["text"]) for r in cleaned.collect())
 
     rows = [tuple(r) for r in cleaned.select("doc_id", "text").collect()]

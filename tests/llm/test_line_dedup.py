@@ -36,7 +36,7 @@ def test_shuffled_join_gives_the_same(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         found = line_dedup.drop_boilerplate(pages)
-        assert rows_of(found, "doc_id", "text", "_n_lines", "_n_dropped") == slow(rows, 0.1, 5)
+        assert rows_of(found, "doc_id", "text", "_n_lines", "_n_dropped") == slow(rows, line_dedup.RATIO, line_dedup.MIN_PAGES)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
@@ -59,6 +59,14 @@ def test_host_of(spark):
     assert [r[0] for r in urls.select(line_dedup.host_of(F.col("u"))).collect()] == ["blog.a.com", None, None]
 
 
+def test_pages_by_the_host_of_their_url(spark):
+    rows = [(i, f"https://www.{'Shop' if i % 3 else 'news'}.org/p/{i}", f"<nav>\nbody {i}\nshop footer" if i % 3 else f"<nav>\nitem {i}")
+            for i in range(60)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = line_dedup.drop_boilerplate(pages, line_dedup.host_of(F.col("url")), "html")
+    assert rows_of(found, "page_id", "html") == sorted(((i, f"body {i}" if i % 3 else f"item {i}") for i in range(60)), key=repr)
+
+
 def test_native(spark):
     plan = line_dedup.drop_boilerplate(edge_docs(spark))._jdf.queryExecution().toString()
     assert not any(word in plan for word in ("Python", "Pandas", "InArrow", "Cartesian", "NestedLoop"))
