@@ -1,10 +1,12 @@
 """Sharding along a Hilbert curve over several metadata dimensions.
 
-Every dimension is quantised to a few bits by a rule that does not depend on
-the data, the codes become one Hilbert index, the rows are sorted by it, and
-the order is cut into runs whose row counts differ by one at most.  Rows of
-like metadata then share few shards, so a filter on any of the dimensions
-skips most of them (``manifest``).
+Every dimension is quantised to a few bits by cutting its sorted values into
+runs of about equal row counts, so codes keep the order of the values.  The
+codes become one Hilbert index, the rows are sorted by it, and the order is
+cut into runs whose row counts differ by one at most.  Rows of like metadata
+then share few shards, and since the codes keep the order, the smallest and
+largest value per shard (``manifest``) let a filter on any dimension skip
+most of them.
 
 Only DataFrame functions; the sort moves ids and numbers, not texts.
 """
@@ -17,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..operators.ordering import running_totals
 from .common import materialise
 
 BITS = 6
@@ -67,20 +70,27 @@ def hilbert_index(codes: Sequence[Column], bits: int = BITS) -> Column:
     return F.aggregate(levels, F.struct(F.lit(0).cast("long").alias("index"), F.lit(0).alias("state")), level)["index"]
 
 
-def hashed_code(col: Column, bits: int = BITS) -> Column:
-    """A category's code: equal values share one.  Null is a category of its own (code 0)."""
-    return F.when(col.isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64(col), F.lit((1 << bits) - 1)) + 1).cast("int")
+def edges(rows: DataFrame, value: str, bits: int = BITS) -> list[tuple]:
+    """``(smallest value, code)`` of each code in use, ascending: at most ``2**bits`` pairs.
 
+    A value's code is the share of rows with smaller values, in steps of
+    ``2**-bits``.  Counted per distinct value, then one running count.
+    """
+    counts = rows.where(F.col(value).isNotNull()).groupBy(value).agg(F.count("*").alias("n"))
+    run = running_totals(counts, [value], ["n"], prefix="to_")
+    total = run.agg(F.max("to_n")).first()[0] or 1
+    code = F.expr(f"cast((to_n - n) * {1 << bits} div {total} as int)")
+    found = run.groupBy(code.alias("code")).agg(F.min(value).alias("least")).orderBy("code").collect()
+    return [(r["least"], r["code"]) for r in found]
 
-def log_code(col: Column, bits: int = BITS) -> Column:
-    """A non-negative number's code on a logarithmic scale, two steps for each doubling, capped at the last code.
 
-    Null and numbers below 1 have code 0.
-    """
-    n = col.cast("long")
-    digits = F.length(F.bin(n))
-    second = F.when(digits > 1, F.call_function("shiftright", n, digits - 2).bitwiseAND(F.lit(1))).otherwise(F.lit(0))
-    return F.when(n >= 1, F.least(F.lit((1 << bits) - 1), digits * 2 - 1 + second)).otherwise(F.lit(0)).cast("int")
+def ordered_code(col: Column, pairs: Sequence[tuple]) -> Column:
+    """The code of the last of ``edges`` that is not above the value; null comes first (code 0)."""
+    if not pairs:
+        return F.lit(0)
+    known = F.array(*(F.struct(F.lit(least).alias("least"), F.lit(code).alias("code")) for least, code in pairs))
+    below = F.filter(known, lambda e: e["least"] <= col)
+    return F.when(col.isNull() | (F.size(below) == 0), F.lit(0)).otherwise(F.element_at(below, -1)["code"]).cast("int")
 
 
 def ranked(rows: DataFrame, order: Sequence[str]) -> tuple[DataFrame, int]:
@@ -108,19 +118,20 @@ def shard_documents(docs: DataFrame, shards: int = 16, bits: int = BITS, categor
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, size, text_crc32, hilbert, shard, slot`` for every row of ``docs``.
 
-    The dimensions are the ``categories`` (hashed codes) and the size of the
-    text (logarithmic code).  ``size`` is the UTF-8 length plus 1; null text
-    has none, so 1.  Counts of any two shards differ by one at most; ``slot``
-    counts from 0 in curve order.  Ties on the curve go by id, then checksum
-    and size.  An empty table gives no rows, fewer rows than shards leave some
-    shards empty, and repeated rows are placed one by one.
+    The dimensions are the ``categories`` (as text) and the size of the text.
+    ``size`` is the UTF-8 length plus 1; null text has none, so 1.  Counts of
+    any two shards differ by one at most; ``slot`` counts from 0 in curve
+    order.  Ties on the curve go by id, then checksum and size.  An empty
+    table gives no rows, fewer rows than shards leave some shards empty, and
+    repeated rows are placed one by one.  Other columns are ignored.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(
+    dims = [f"d{i}" for i in range(len(categories))]
+    rows = materialise(docs.select(
         F.col(id_col).cast("long").alias("doc_id"), (F.octet_length(text) + F.lit(1)).cast("long").alias("size"),
         F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
-        F.array(*(hashed_code(F.col(c), bits) for c in categories)).alias("codes"))
-    codes = [F.col("codes")[i] for i in range(len(categories))] + [log_code(F.col("size"), bits)]
+        *(F.col(c).cast("string").alias(d) for c, d in zip(categories, dims))), "metadata")
+    codes = [ordered_code(F.col(d), edges(rows, d, bits)) for d in [*dims, "size"]]
     rows = rows.select("doc_id", "size", "text_crc32", hilbert_index(codes, bits).alias("hilbert"))
     placed, total = ranked(rows, ["hilbert", "doc_id", "text_crc32", "size"])
     shard = F.expr(f"rank * {shards} div {max(1, total)}")

@@ -74,13 +74,13 @@ class Sampler:
             x ^= x >> np.uint32(15)
             x += (own >> np.uint64(32)).astype(np.uint32)
             x *= self.plus
-            x >>= np.uint32(16)
-            rank = self.once[x]
+            x = (x >> np.uint32(16)).astype(np.intp)
+            rank = self.once.take(x, mode="clip")
             more = np.flatnonzero(w > 1)
             steps = np.zeros((samples, 0), np.float32)
             if len(more):
                 at = x[:, more]
-                steps = np.floor(self._ln(w[more]) / self.r[at] + self.b[at])
+                steps = np.floor(self._ln(w[more]) / self.r.take(at) + self.b.take(at))
                 rank[:, more] = self._rank(steps, at)
             low = rank.argmin(axis=1)
             place = np.full(len(own), -1)

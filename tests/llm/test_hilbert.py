@@ -48,16 +48,26 @@ def test_edges(spark):
     assert hilbert.shard_documents(empty_docs(spark)).count() == 0
 
 
-def test_shards_can_be_skipped(spark):
+@pytest.mark.parametrize("column", ["source", "lang"])
+def test_a_filter_opens_few_shards_by_the_manifest(spark, column):
+    """What a reader opens: the shards whose smallest and largest value enclose the wanted one."""
     docs = read_table(spark, SMALL, "documents")
     placed = hilbert.shard_documents(docs).join(docs.select("doc_id", "lang", "source"), "doc_id")
-    touched = placed.groupBy("source").agg(F.countDistinct("shard").alias("n")).agg(F.avg("n")).first()[0]
-    assert touched < 8
-    seen = hilbert.manifest(placed, ["size"]).collect()
-    assert sum(r["rows"] for r in seen) == docs.count() and all(r["min_size"] <= r["max_size"] for r in seen)
+    seen = hilbert.manifest(placed, [column, "size"]).collect()
+    assert sum(r["rows"] for r in seen) == docs.count()
+    values = [r[0] for r in docs.select(column).distinct().collect() if r[0] is not None]
+    opened = [sum(r[f"min_{column}"] is not None and r[f"min_{column}"] <= v <= r[f"max_{column}"] for r in seen) for v in values]
+    assert sum(opened) / len(opened) <= (7 if column == "source" else 11)
+    small = [r for r in seen if r["min_size"] <= 200]
+    assert len(small) < 16
 
 
-def test_codes(spark):
-    rows = spark.createDataFrame([(n,) for n in (None, 0, 1, 2, 3, 4, 5, 6, 7, 8, 1 << 40)], "n long")
-    got = [r[0] for r in rows.select(hilbert.log_code(F.col("n"))).collect()]
-    assert got == [0, 0, 1, 3, 4, 5, 5, 6, 6, 7, 63]
+def test_codes_keep_the_order_and_spread_the_rows(spark):
+    rows = spark.createDataFrame([(None if i % 50 == 0 else "hot" if i % 3 == 0 else f"s{i % 40:02d}",) for i in range(900)], "v string")
+    pairs = hilbert.edges(rows, "v", 3)
+    assert len(pairs) <= 8 and [p[1] for p in pairs] == sorted({p[1] for p in pairs}) and pairs[0] == ("hot", 0)
+    coded = rows.select("v", hilbert.ordered_code(F.col("v"), pairs).alias("c")).distinct().collect()
+    ordered = [r["c"] for r in sorted((r for r in coded if r["v"] is not None), key=lambda r: r["v"])]
+    assert ordered == sorted(ordered) and max(ordered) >= 6
+    assert [r["c"] for r in coded if r["v"] is None] == [0]
+    assert hilbert.edges(rows.limit(0), "v") == []
