@@ -248,9 +248,18 @@ def mann_whitney(df: DataFrame, col: str, flag: str) -> dict:
 
 
 def kruskal_wallis_stats(df: DataFrame, group: str, col: str) -> DataFrame:
-    """Tie-corrected Kruskal–Wallis H from per-group rank sums."""
-    per, ranked = _ranked_values(df.where(F.col(group).isNotNull()), col, [group])
-    r = per.join(ranked.select("value", "avg_rank"), "value")
+    """Tie-corrected Kruskal–Wallis H from per-group rank sums.
+
+    A value travels as one row with its count in each group, so the running
+    count over the values brings its rank to all of them and nothing is
+    joined back; a value shared by a third of all rows stays one row.
+    """
+    x = _x(col)
+    per = df.where(F.col(group).isNotNull() & x.isNotNull()).groupBy(x.alias("value"), group).agg(F.count(F.lit(1)).alias("cnt"))
+    values = per.groupBy("value").agg(F.collect_list(F.struct(F.col(group).alias("g"), "cnt")).alias("held"), F.sum("cnt").alias("t"))
+    ranked = running_totals(values, ["value"], ["t"], prefix="cum_").withColumn(
+        "avg_rank", (F.col("cum_t") - F.col("t")) + (F.col("t") + 1) / 2.0)
+    r = ranked.select("avg_rank", F.explode("held").alias("h")).select(F.col("h.g").alias(group), F.col("h.cnt").alias("cnt"), "avg_rank")
     g = r.groupBy(group).agg(F.sum(F.col("cnt") * F.col("avg_rank")).alias("rsum"), F.sum("cnt").alias("ng"))
     s = g.agg(F.sum(F.col("rsum") * F.col("rsum") / F.col("ng")).alias("__a"), F.sum("ng").alias("n"),
               F.count(F.lit(1)).alias("k"))

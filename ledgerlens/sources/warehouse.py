@@ -53,9 +53,21 @@ def _published(spark: SparkSession, root: str) -> list[str]:
     return sorted(n[len(MARKER):] for n in names if n.startswith(MARKER))
 
 
-def _remove_old(spark: SparkSession, root: str, keep: int) -> None:
-    """Remove published versions beyond the newest ``keep``: the marker first, then the tables."""
-    for version in _published(spark, root)[:-keep]:
+def _remove_old(spark: SparkSession, root: str, keep: int, hours: float) -> None:
+    """Remove published versions beyond the newest ``keep`` that were replaced more than ``hours`` ago:
+    the marker first, then the tables.
+
+    A version is replaced when the next one appears, so a reader that opened
+    it has that long to finish.
+    """
+    versions = _published(spark, root)
+    since = {}
+    for version in versions:
+        fs, p, _ = _fs(spark, f"{root}/{MARKER}{version}")
+        since[version] = fs.getFileStatus(p).getModificationTime() / 1000
+    for version, following in list(zip(versions, versions[1:]))[:max(0, len(versions) - keep)]:
+        if since[following] > time.time() - hours * 3600:
+            continue
         for name in (f"{MARKER}{version}", version):
             fs, p, _ = _fs(spark, f"{root}/{name}")
             fs.delete(p, True)
@@ -86,12 +98,14 @@ def load_warehouse(tables: Mapping[str, DataFrame], root: str, order: Sequence[s
                    checks: Callable[[dict[str, DataFrame]], None] | None = None,
                    empty_as_null: bool = True,
                    partition_by: Mapping[str, Sequence[str]] | None = None, keep: int = 2,
-                   parallelism: int = 4) -> str:
+                   parallelism: int = 4, keep_hours: float = 24) -> str:
     """Idempotent full reload of a set of tables, ``parallelism`` of them at
     a time and in the given order; returns the new version.
 
     ``partition_by`` names Hive-style partition columns per table (e.g. a
-    summary by year), so filters on them prune whole folders."""
+    summary by year), so filters on them prune whole folders.  Versions beyond
+    the newest ``keep`` are removed ``keep_hours`` after they were replaced,
+    which must be longer than any read takes."""
     names = list(order or tables.keys())
     spark = next(iter(tables.values())).sparkSession
     root = root.rstrip("/")
@@ -118,7 +132,7 @@ def load_warehouse(tables: Mapping[str, DataFrame], root: str, order: Sequence[s
     if checks is not None:
         checks(staged)  # raises → no marker, old version stays live
     _mark(spark, root, version, ",".join(names))
-    _remove_old(spark, root, keep)
+    _remove_old(spark, root, keep, keep_hours)
     return version
 
 
