@@ -305,6 +305,48 @@ def m10_one_feature_lines(spark, sf):
     return spark.createDataFrame([(kind, round(float(m.stages[-1].coefficients[0]), 4)) for kind, m in fits], "model string, slope double")
 
 
+# One cut of one feature: the tree that lowers the squared error most, and the first round of boosting is that tree.
+@query("m11_m12_stump", with_star(f"""
+WITH v AS (SELECT CAST(funding_rounds AS DOUBLE) AS x, COUNT(*) AS n, SUM(log_funding_total_usd) AS s FROM feat WHERE {_COMPLETE_SQL}
+  GROUP BY funding_rounds),
+c AS (SELECT x, SUM(n) OVER o AS n1, SUM(s) OVER o AS s1, SUM(n) OVER () AS n, SUM(s) OVER () AS s, COUNT(*) OVER o AS i, COUNT(*) OVER () AS k
+  FROM v WINDOW o AS (ORDER BY x)),
+best AS (SELECT * FROM c WHERE i < k ORDER BY s1 * s1 / n1 + (s - s1) * (s - s1) / (n - n1) DESC LIMIT 1)
+SELECT model, round(CASE WHEN v.x <= b.x THEN b.s1 / b.n1 ELSE (b.s - b.s1) / (b.n - b.n1) END, 6) AS prediction,
+  MIN(v.x) AS lowest, MAX(v.x) AS highest, CAST(SUM(v.n) AS BIGINT) AS n
+FROM v, best b, (SELECT unnest(['tree', 'gbt']) AS model) m GROUP BY 1, 2"""))
+def m11_m12_stump(spark, sf):
+    d = _data(spark, sf).withColumn("label", F.col(LABEL_REG))
+    out = []
+    for kind, kw in (("tree", {}), ("gbt", {"maxIter": 1})):
+        m = ML.pipeline([], ["funding_rounds"], ML.tree_regressor(kind, maxDepth=1, maxBins=256, **kw)).fit(d)
+        out.append(m.transform(d).groupBy(F.lit(kind).alias("model"), F.round("prediction", 6).alias("prediction")).agg(
+            F.min("funding_rounds").alias("lowest"), F.max("funding_rounds").alias("highest"), F.count(F.lit(1)).alias("n")))
+    return out[0].unionByName(out[1])
+
+
+# With one yes-or-no feature a weighted logistic fit gives the weighted share of each answer.
+@query("m13_one_flag", with_star(f"""
+WITH d AS (SELECT CAST(has_debt_financing AS INTEGER) AS x, CAST(is_exited AS INTEGER) AS y FROM feat WHERE {_COMPLETE_SQL}),
+cw AS (SELECT y, (SELECT COUNT(*) FROM d) / (2.0 * COUNT(*)) AS w FROM d GROUP BY y)
+SELECT x AS has_debt_financing, COUNT(*) AS n, round(CAST(SUM(CASE WHEN d.y = 1 THEN w ELSE 0 END) / SUM(w) AS DOUBLE), 3) AS p
+FROM d JOIN cw ON d.y = cw.y GROUP BY x"""))
+def m13_one_flag(spark, sf):
+    d = M.class_weights(_data(spark, sf).withColumn("label", F.col(LABEL_CLF).cast("double")), "label")
+    m = ML.pipeline([], ["has_debt_financing"], ML.weighted_classifier("logistic")).fit(d)
+    return m.transform(d).groupBy("has_debt_financing").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.avg(vector_to_array("probability")[1]), 3).alias("p"))
+
+
+@query("m15_positive_weight", with_star(f"""
+SELECT CAST(is_exited AS INTEGER) AS is_exited, COUNT(*) AS n,
+  CASE WHEN is_exited THEN CAST((SELECT COUNT(*) FILTER (WHERE NOT is_exited) / COUNT(*) FILTER (WHERE is_exited) FROM feat
+    WHERE {_COMPLETE_SQL}) AS DOUBLE) ELSE 1.0 END AS weight
+FROM feat WHERE {_COMPLETE_SQL} GROUP BY is_exited"""))
+def m15_positive_weight(spark, sf):
+    return ML.positive_weight(_data(spark, sf), LABEL_CLF).groupBy(LABEL_CLF, "weight").agg(F.count(F.lit(1)).alias("n"))
+
+
 def _clf_data(spark, sf):
     d = M.stratified_split(_data(spark, sf).withColumn("label", F.col(LABEL_CLF).cast("double")), "label", "startup_id", 0.2)
     d = scratch_table(d, "classes")
