@@ -36,7 +36,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise, small_batches
+from .common import join_on_hot_key, materialise, small_batches
 
 LENGTH = 200
 GRAM = 64
@@ -420,8 +420,9 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, buck
 
     keyed = materialise(_keyed(long.select("tid", "text"), length, gram), "keys")
     place = _occurrence(F.col("tid"), F.col("at"))
-    several = keyed.groupBy("key").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a <> b").select("key")
-    wanted = keyed.join(several, "key").groupBy("tid", F.col("at").bitwiseAND(F.lit(SIZE_MASK)).alias("low")).agg(
+    several = materialise(keyed.groupBy("key").agg(
+        F.min(place).alias("a"), F.max(place).alias("b"), F.count("*").alias("n")).where("a <> b").select("key", "n"), "several")
+    wanted = join_on_hot_key(keyed, several, "key", "n").groupBy("tid", F.col("at").bitwiseAND(F.lit(SIZE_MASK)).alias("low")).agg(
         F.collect_set(F.struct("key", "at")).alias("wanted"))
     notes = wanted.join(copies.withColumn("low", F.col("size").bitwiseAND(F.lit(SIZE_MASK))).drop("size"),
                         ["tid", "low"], "full_outer")
