@@ -8,6 +8,8 @@ coalitions); nothing is collected row by row.
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -90,14 +92,15 @@ def sampled_shapley(model, explain: DataFrame, background: DataFrame, features:
                     background_rows: int | None = None) -> DataFrame:
     """Sampled Shapley values (Štrumbelj & Kononenko, 2014).
 
-    For every explained row, feature j and sample m: draw a background row b
-    and a feature order π (both from seeded hashes); build the coalition
-    instance (features before j in π from the row, the rest from b) with and
-    without j's own value; φ_j is the mean output difference.  The
-    background is all of ``background``, or its ``background_rows`` rows of
-    smallest hash; rows meet their background by an equi-join on a unique
-    position.  The work is rows × samples × features model evaluations in one
-    ``transform``.  Returns ``(key, feature, phi)``.
+    For every explained row and sample m: draw a background row b and a
+    feature order π (both from seeded hashes); build the coalition instances
+    that take the first 0, 1, … features of π from the row and the rest from
+    b; φ_j is the mean output difference between the instance that ends with j
+    and the one before it.  The background is all of ``background``, or its
+    ``background_rows`` rows of smallest hash; rows meet their background by
+    an equi-join on a unique position.  The work is rows × samples ×
+    (features + 1) model evaluations in one ``transform``.  Returns
+    ``(key, feature, phi)``.
     """
     pred = _prediction(output)
     feats = list(features)
@@ -111,26 +114,23 @@ def sampled_shapley(model, explain: DataFrame, background: DataFrame, features:
     if not nb:
         raise ValueError("the background has no rows")
     passthrough = [c for c in explain.columns if c not in feats and c != key]
-    rows = explain.select(key, *feats, *passthrough)
-    rows = rows.withColumn("__m", F.explode(F.sequence(F.lit(0), F.lit(samples - 1)))) \
-               .withColumn("__j", F.explode(F.array(*[F.lit(f) for f in feats])))
+    rows = explain.select(key, *feats, *passthrough).withColumn("__m", F.explode(F.sequence(F.lit(0), F.lit(samples - 1))))
     rows = rows.withColumn("__bidx", F.pmod(F.xxhash64(F.col(key), F.col("__m"), F.lit(seed)), F.lit(nb)))
-    rows = rows.join(bgn, "__bidx")
-    # position of every feature in this sample's random order
-    pos = {f: F.xxhash64(F.col(key), F.col("__m"), F.lit(f), F.lit(seed + 1)) for f in feats}
-    pos_map = F.create_map(*[x for f in feats for x in (F.lit(f), pos[f])])
-    pj = pos_map[F.col("__j")]
-    with_j, without_j = {}, {}
-    for f in feats:
-        from_row = (pos[f] < pj) | (F.lit(f) == F.col("__j"))
-        with_j[f] = F.when(from_row, F.col(f)).otherwise(F.col("__b_" + f))
-        before = pos[f] < pj
-        without_j[f] = F.when(before, F.col(f)).otherwise(F.col("__b_" + f))
-    a = rows.select(key, "__j", F.lit(1.0).alias("__sign"), *[with_j[f].alias(f) for f in feats], *passthrough)
-    b = rows.select(key, "__j", F.lit(-1.0).alias("__sign"), *[without_j[f].alias(f) for f in feats], *passthrough)
-    scored = model.transform(a.unionByName(b))
-    return scored.groupBy(key, F.col("__j").alias("feature")).agg(
-        (F.sum(F.col("__sign") * pred(scored)) / F.lit(samples)).alias("phi"))
+    # Spark takes the exploded rows for as small as the table they come from and would broadcast them
+    rows = rows.join(bgn.hint("shuffle_hash"), "__bidx")
+    # place of every feature in this sample's random order
+    rows = rows.withColumns({"__p_" + f: F.xxhash64(F.col(key), F.col("__m"), F.lit(f), F.lit(seed + 1)) for f in feats})
+    rows = rows.withColumns({"__at_" + f: reduce(add, [(F.col("__p_" + g) < F.col("__p_" + f)).cast("int") for g in feats])
+                             for f in feats})
+    rows = rows.withColumn("__taken", F.explode(F.sequence(F.lit(0), F.lit(len(feats)))))
+    mixed = [F.when(F.col("__at_" + f) < F.col("__taken"), F.col(f)).otherwise(F.col("__b_" + f)).alias(f) for f in feats]
+    scored = model.transform(rows.select(key, "__taken", *["__at_" + f for f in feats], *mixed, *passthrough))
+    y = pred(scored)
+    per = scored.groupBy(key).agg(*[(F.sum(F.when(F.col("__at_" + f) == F.col("__taken") - 1, y)
+                                           .when(F.col("__at_" + f) == F.col("__taken"), -y)) / F.lit(samples)).alias(f"__phi{i}")
+                                    for i, f in enumerate(feats)])
+    pairs = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f"__phi{i}").alias("phi")) for i, f in enumerate(feats)])
+    return per.select(key, F.explode(pairs).alias("__pair")).select(key, "__pair.feature", "__pair.phi")
 
 
 def expected_output(model, background: DataFrame, output: str = "prediction") -> float:

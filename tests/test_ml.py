@@ -87,3 +87,36 @@ def test_shapley_uses_all_of_a_large_background(spark):
     assert abs(mean - (11_200 - 6_000)) < 300  # against the mean of all 12,000 rows
     few = X.sampled_shapley(m, explain, df, ["x1", "x2"], "id", samples=4, background_rows=10)
     assert few.count() == 800
+
+
+def _broadcast_after_explode(df):
+    """Whether the plan broadcasts rows that an explode has multiplied."""
+    lines = df._jdf.queryExecution().executedPlan().toString().split("\n")
+    depth = lambda line: len(line) - len(line.lstrip(" :+-*"))
+    for i, line in enumerate(lines):
+        if "BroadcastExchange" in line:
+            below = next((j for j in range(i + 1, len(lines)) if depth(lines[j]) <= depth(line)), len(lines))
+            if any("Generate " in x for x in lines[i + 1:below]):
+                return True
+    return False
+
+
+def test_shapley_does_not_broadcast_its_samples(spark, tmpdir_unique):
+    df = _data(spark)
+    df.where("id < 40").write.parquet(f"{tmpdir_unique}/explain")
+    m = ML.pipeline(["c"], ["x1", "x2"], ML.linear_regressor("linear")).fit(df)
+    phi = X.sampled_shapley(m, spark.read.parquet(f"{tmpdir_unique}/explain"), df, ["x1", "x2"], "id", samples=4)
+    assert not _broadcast_after_explode(phi)
+    assert phi.columns == ["id", "feature", "phi"] and phi.count() == 80
+
+
+def test_shapley_of_a_line_is_coefficient_times_distance(spark):
+    """For a line every order of the features gives a·(x − b), so φ is that over the one background row."""
+    df = _data(spark)
+    m = ML.pipeline([], ["x1", "x2"], ML.linear_regressor("linear")).fit(df)
+    a = dict(zip(["x1", "x2"], m.stages[-1].coefficients))
+    b = df.where("id = 0").first()
+    explain = df.where("id < 5")
+    rows = {r.id: r for r in explain.collect()}
+    for r in X.sampled_shapley(m, explain, df.where("id = 0"), ["x1", "x2"], "id", samples=3).collect():
+        assert abs(r.phi - a[r.feature] * (rows[r.id][r.feature] - b[r.feature])) < 1e-9
