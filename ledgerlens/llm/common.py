@@ -31,17 +31,23 @@ def shared_root(spark: SparkSession) -> str:
     return root
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+#: Parquet asks for the size of what it holds after 100 rows at first; of large rows it then holds gigabytes, and so does a reader.
+LARGE_ROWS = {"parquet.block.size": 16 << 20, "parquet.page.size.row.check.min": 1}
+
+
+def materialise(df: DataFrame, name: str, large_rows: bool = False) -> DataFrame:
     """Write ``df`` as Parquet below the shared folder and read it back.
 
     This cuts the lineage at a point that survives lost executors, fixes the
     rows of a plan that is read more than once, and gives Spark the size by
     which it decides on broadcasts.  Tables lie in
     ``<shared>/llm/<application id>/`` and can go when the application ends.
+    ``large_rows``: rows of megabytes lie in row groups of few rows, since a
+    task reads a row group as a whole.
     """
     spark = df.sparkSession
     path = f"{shared_root(spark)}/llm/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**(LARGE_ROWS if large_rows else {})).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -193,7 +193,7 @@ def search(docs: DataFrame, items: DataFrame, k: int = 10, block_words: int = 2_
     asked = materialise(items.select(
         F.monotonically_increasing_id().alias("key"), F.col(item_col).cast("long").alias("item_id"), words.alias("words")
     ).where(F.size("words") > 0), "items")
-    index = materialise(build_index(docs, id_col, text_col, shard_bytes), "postings")
+    index = materialise(build_index(docs, id_col, text_col, shard_bytes), "postings", large_rows=True)
     n_docs, n_words = index.agg(F.sum("n_docs"), F.sum("n_words")).first()
     total = asked.agg(F.sum(F.size("words"))).first()[0]
     blocks = math.ceil((total or 0) / block_words) if n_words else 0

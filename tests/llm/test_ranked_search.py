@@ -77,3 +77,19 @@ def test_edges(spark):
                 ) == slow(given, [tuple(r) for r in items.collect()])
     assert fast(ranked_search.search(docs.limit(0), items)) == []
     assert fast(ranked_search.search(docs, items.limit(0))) == []
+
+
+def test_index_lies_in_row_groups_of_few_shards(spark):
+    """A task holds a row group as a whole, so its size must not grow with the shards of a file."""
+    import pyarrow.parquet as pq
+
+    from ledgerlens.llm.common import materialise
+    from ledgerlens.llm.ranked_search import build_index
+
+    text = "array_join(transform(sequence(1, 60000), i -> hex(xxhash64(id, i))), ' ')"
+    docs = spark.range(0, 24, 1, 1).selectExpr("id AS doc_id", f"{text} AS text")
+    index = materialise(build_index(docs, shard_bytes=1 << 20), "postings", large_rows=True)
+    files = [pq.read_metadata(f.removeprefix("file:").replace("///", "/")) for f in index.inputFiles()]
+    groups = [m.row_group(i) for m in files for i in range(m.num_row_groups)]
+    assert sum(g.num_rows for g in groups) == index.count() > 8
+    assert max(g.total_byte_size for g in groups) < 24 << 20 < sum(g.total_byte_size for g in groups)
