@@ -288,29 +288,29 @@ def choose_k(df: DataFrame, ks: Sequence[int] = range(2, 9), starts: int = 10, s
              sample_rows: int = 8000):
     """Per k the best of ``starts`` seeded K-means fits (lowest cost), its
     Euclidean silhouette on a sample of ``sample_rows`` rows, and Spark's
-    squared-Euclidean silhouette over all rows.  The fits read one cached
-    column of features, ``parallelism`` at a time."""
+    squared-Euclidean silhouette over all rows.  The fits read one written
+    column of features, ``parallelism`` at a time; each holds its vectors in
+    memory, which Spark leaves out for a cached table (it would decode that
+    table again in every iteration)."""
     from multiprocessing.pool import ThreadPool
 
     ev = ClusteringEvaluator(featuresCol="features", predictionCol="prediction")
-    vectors = df.select("features").persist()
-    try:
-        def fit(task):
-            k, s = task
-            m = KMeans(k=k, seed=seed + s, featuresCol="features", maxIter=50).fit(vectors)
-            return k, m.summary.trainingCost, s, m
+    vectors = scratch_table(df.select("features"), "vectors")
 
-        with ThreadPool(parallelism) as pool:
-            fits = pool.map(fit, [(k, s) for k in ks for s in range(starts)], chunksize=1)
-        best = {k: min((f for f in fits if f[0] == k), key=lambda f: f[1:3]) for k in ks}
-        out = []
-        for k in ks:
-            placed = best[k][3].transform(vectors)
-            out.append({"k": k, "inertia": best[k][1], "model": best[k][3], "squared_silhouette": ev.evaluate(placed),
-                        "silhouette": silhouette(placed, rows=sample_rows, seed=seed).first()["silhouette"]})
-        return out
-    finally:
-        vectors.unpersist()
+    def fit(task):
+        k, s = task
+        m = KMeans(k=k, seed=seed + s, featuresCol="features", maxIter=50).fit(vectors)
+        return k, m.summary.trainingCost, s, m
+
+    with ThreadPool(parallelism) as pool:
+        fits = pool.map(fit, [(k, s) for k in ks for s in range(starts)], chunksize=1)
+    best = {k: min((f for f in fits if f[0] == k), key=lambda f: f[1:3]) for k in ks}
+    out = []
+    for k in ks:
+        placed = best[k][3].transform(vectors)
+        out.append({"k": k, "inertia": best[k][1], "model": best[k][3], "squared_silhouette": ev.evaluate(placed),
+                    "silhouette": silhouette(placed, rows=sample_rows, seed=seed).first()["silhouette"]})
+    return out
 
 
 def assign_clusters(model, df: DataFrame, name: str = "cluster") -> DataFrame:
