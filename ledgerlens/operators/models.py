@@ -53,7 +53,12 @@ def linear_regressor(kind: str = "linear", alpha: float = 1.0, label_sd: float |
 
 
 def tree_regressor(kind: str = "forest", label: str = "label", features: str = "features", seed: int = 42, **kw):
-    """Decision tree, random forest or gradient-boosted trees."""
+    """Decision tree, random forest or gradient-boosted trees.
+
+    A forest keeps every row's node per tree between its passes in place of
+    walking each tree from its root again (``cacheNodeIds``; the same forest).
+    """
+    kw = {"cacheNodeIds": True} | kw if kind == "forest" else kw
     cls = {"tree": DecisionTreeRegressor, "forest": RandomForestRegressor, "gbt": GBTRegressor}[kind]
     return cls(labelCol=label, featuresCol=features, seed=seed, **kw)
 
@@ -65,7 +70,8 @@ def weighted_classifier(kind: str = "logistic", label: str = "label", features:
     if kind == "logistic":
         return LogisticRegression(labelCol=label, featuresCol=features, weightCol=weight, maxIter=100, **kw)
     if kind == "forest":
-        return RandomForestClassifier(labelCol=label, featuresCol=features, weightCol=weight, seed=seed, **kw)
+        return RandomForestClassifier(labelCol=label, featuresCol=features, weightCol=weight, seed=seed,
+                                      **{"cacheNodeIds": True} | kw)  # see tree_regressor
     if kind == "gbt":
         return GBTClassifier(labelCol=label, featuresCol=features, weightCol=weight, seed=seed, **kw)
     raise ValueError(kind)

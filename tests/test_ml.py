@@ -120,3 +120,21 @@ def test_shapley_of_a_line_is_coefficient_times_distance(spark):
     rows = {r.id: r for r in explain.collect()}
     for r in X.sampled_shapley(m, explain, df.where("id = 0"), ["x1", "x2"], "id", samples=3).collect():
         assert abs(r.phi - a[r.feature] * (rows[r.id][r.feature] - b[r.feature])) < 1e-9
+
+
+def test_forest_keeps_its_nodes_and_stays_the_same_forest(spark):
+    df = _data(spark)
+    est = ML.tree_regressor("forest", numTrees=7, maxDepth=6)
+    assert est.getCacheNodeIds() and ML.weighted_classifier("forest").getCacheNodeIds()
+    kept, walked = (ML.pipeline(["c"], ["x1", "x2"], ML.tree_regressor("forest", numTrees=7, maxDepth=6, cacheNodeIds=keep)).fit(df)
+                    for keep in (True, False))
+    assert kept.stages[-1].toDebugString.split("\n")[1:] == walked.stages[-1].toDebugString.split("\n")[1:]
+
+
+def test_kmeans_holds_its_vectors_itself(spark, monkeypatch):
+    """Spark's K-means keeps its vectors in memory only for a table that is not cached."""
+    seen, fit = [], ML.KMeans.fit
+    monkeypatch.setattr(ML.KMeans, "fit", lambda self, df, *a: (seen.append(df.storageLevel), fit(self, df, *a))[1])
+    res = ML.choose_k(ML.cluster_features(_data(spark), ["x1", "x2"]), [2, 3], starts=2)
+    assert len(seen) == 4 and not any(level.useMemory or level.useDisk for level in seen)
+    assert all(0 < r["silhouette"] < 1 for r in res)
