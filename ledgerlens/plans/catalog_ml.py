@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -398,15 +399,16 @@ SEARCH_SPACE = {"rounds": [4, 8, 12], "depth": [3, 4, 5, 6], "rate": [0.03, 0.05
 
 
 def boosted(rounds, depth, rate, rows, columns):
-    return ML.pipeline(CATEG, NUMERIC + FLAGS, ML.tree_regressor(
-        "gbt", maxIter=rounds, maxDepth=depth, stepSize=rate, subsamplingRate=rows, featureSubsetStrategy=str(columns)))
+    return ML.tree_regressor("gbt", maxIter=rounds, maxDepth=depth, stepSize=rate, subsamplingRate=rows,
+                             featureSubsetStrategy=str(columns))
 
 
 @query("m16_m17_cross_validation_search")
 def m16_m17_cross_validation_search(spark, sf):
     """Ten of 324 combinations by five folds of the training rows; the best one's R² on held-out rows."""
     train, test = _reg_parts(spark, sf)
-    table, best = ML.random_search(boosted, SEARCH_SPACE, train, "startup_id", n=10, k=5)
+    encoders = Pipeline(stages=M.encoder_stages(CATEG, NUMERIC + FLAGS))  # no parameter changes them
+    table, best = ML.random_search(boosted, SEARCH_SPACE, train, "startup_id", n=10, k=5, prepare=encoders)
     held_out = E.regression_metrics(best.transform(test), "label", "prediction", len(NUMERIC + FLAGS)).select(
         F.col("r2").alias("held_out_r2"))
     return attach_row(table, held_out).withColumn("held_out_r2", F.when(F.col("is_best"), F.col("held_out_r2")))

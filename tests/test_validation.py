@@ -6,7 +6,8 @@ import random
 import duckdb
 import numpy as np
 import pytest
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.sql import functions as F
 
 from ledgerlens.operators import cleaning as CL
@@ -66,6 +67,25 @@ def test_random_search_judges_within_training_rows(spark):
     assert all(r.folds == 4 for r in found.values()) and best.transform(test).count() == test.count()
 
 
+def test_stages_that_candidates_share_are_fitted_once_per_fold(spark, monkeypatch):
+    train = _rows(spark).withColumn("c", F.expr("CASE WHEN id = 7 THEN 'only one' WHEN id % 11 = 0 THEN NULL ELSE c END"))
+    grid, shared = {"rounds": [1, 2], "rows": [0.8, 1.0]}, Pipeline(stages=M.encoder_stages(["c"], ["x"]))
+
+    def boosted(rounds, rows):
+        return ML.tree_regressor("gbt", maxIter=rounds, maxDepth=2, subsamplingRate=rows, featureSubsetStrategy="0.8")
+
+    whole, own_best = ML.random_search(lambda **kw: ML.pipeline(["c"], ["x"], boosted(**kw)), grid, train, "id", k=3)
+    fits, fit = [], StringIndexer._fit
+    monkeypatch.setattr(StringIndexer, "_fit", lambda self, df: fits.append(1) or fit(self, df))
+    table, best = ML.random_search(boosted, grid, train, "id", k=3, prepare=shared)
+    assert len(fits) == 3 + 1  # not 4 candidates x 3 folds + 1
+    for a, b in zip(table.orderBy("candidate").collect(), whole.orderBy("candidate").collect(), strict=True):
+        assert (a.parameters, a.folds, a.is_best) == (b.parameters, b.folds, b.is_best)
+        assert (a.cv_r2_mean, a.cv_r2_sd) == pytest.approx((b.cv_r2_mean, b.cv_r2_sd), rel=1e-12)
+    found = [dict(m.transform(train).select("id", "prediction").collect()) for m in (best, own_best)]
+    assert found[0] == pytest.approx(found[1], rel=1e-12) and len(found[0]) == 300
+
+
 def test_out_of_fold_metrics_agree_with_sql(spark):
     df = _rows(spark).withColumn("fold", F.col("id") % 4)
     pipes = {"one": ML.pipeline([], ["x"], ML.linear_regressor("linear")), "two": ML.pipeline(["c"], ["x"], ML.linear_regressor("linear"))}
