@@ -277,59 +277,130 @@ def cluster_features(df: DataFrame, cols: Sequence[str], log_cols: Sequence[str]
     return VectorAssembler(inputCols=list(cols), outputCol="features", handleInvalid="skip").transform(src)
 
 
-def silhouette(df: DataFrame, cluster: str = "prediction", features: str = "features", rows: int = 8000,
+#: Rows of a block, rows of a block met at a time, and bytes of blocks that a task holds to meet them.
+_BLOCK, _STRIP, _HELD = 5000, 8, 64 << 20
+
+
+def silhouette(df: DataFrame, cluster: str = "prediction", features: str = "features", rows: int | None = None,
                seed: int = 42) -> DataFrame:
-    """Euclidean silhouette of a sample, one row: ``rows, silhouette``.
+    """Euclidean silhouette of all rows with a cluster, one row: ``rows, silhouette``.
 
-    The sample is the ``rows`` rows of smallest hash of their features (all,
-    if there are fewer): a fixed, documented bound, so it can be broadcast.
-    Spark deals the sampled points to tasks; a task meets the sample in blocks
-    and keeps, per point, the sum of distances to each cluster, never a pair.
     A point alone in its cluster counts 0, and fewer than two clusters give
-    null, as in the usual definition.
+    null, as in the usual definition.  With ``rows`` it is that of as many
+    rows, those of smallest hash of their features.
     """
     points = df.select(F.col(cluster).cast("int").alias("c"), vector_to_array(features).alias("x")).where("c IS NOT NULL")
-    sample = scratch_table(points.orderBy(F.xxhash64("x", F.lit(seed)), "x", "c").limit(rows), "silhouette-sample")
-    taken = sample.collect()
-    spark = df.sparkSession
-    if len({r["c"] for r in taken}) < 2:
-        return spark.createDataFrame([(len(taken), None)], "rows long, silhouette double")
-    names, codes = np.unique([r["c"] for r in taken], return_inverse=True)
-    shared = spark.sparkContext.broadcast((np.array([r["x"] for r in taken]), names, codes))
-
-    def widths(batches):
-        own, clusters, code = shared.value
-        sizes = np.bincount(code)
+    if rows is not None:
+        points = points.orderBy(F.xxhash64("x", F.lit(seed)), "x", "c").limit(rows)
+    found = _silhouettes(points.select(F.array("c").alias("c"), "x"), 1)
+    return df.sparkSession.createDataFrame(found, "rows long, silhouette double")
+
+
+def _silhouettes(points: DataFrame, n: int) -> list[tuple[int, float | None]]:
+    """Rows and Euclidean silhouette of ``n`` clusterings of the same points: ``c``, a point's cluster in each, and ``x``.
+
+    Every point meets every other, and one distance serves all clusterings.
+    Points are packed into blocks, sorted by their clusters; each block meets
+    all blocks, and per point and cluster a sum of distances is kept, never a
+    pair.  A task holds a bounded share of the blocks and nothing of the
+    points is gathered; the driver sees one row per cluster.
+    """
+    points = scratch_table(points, "silhouette-points")
+    counts = points.select(F.posexplode("c").alias("q", "c")).groupBy("q", "c").count().orderBy("q", "c").collect()
+    names = [np.array([r["c"] for r in counts if r["q"] == q]) for q in range(n)]
+    first = np.cumsum([0, *map(len, names)])  # clusters of all clusterings are numbered in one row
+    sizes = np.array([r["count"] for r in counts])
+    total = sum(r["count"] for r in counts if r["q"] == 0)
+    if all(len(c) < 2 for c in names):
+        return [(total, None)] * n
+
+    def pack(batches):
+        for batch in batches:
+            for i in range(0, batch.num_rows, _BLOCK):
+                part = batch.slice(i, _BLOCK)
+                c = part.column(0).flatten().to_numpy().reshape(part.num_rows, n)
+                c = np.stack([first[q] + np.searchsorted(names[q], c[:, q]) for q in range(n)], axis=1).astype("<i8")
+                runs, code, length = np.unique(c, axis=0, return_inverse=True, return_counts=True)
+                x = part.column(1).flatten().to_numpy().reshape(part.num_rows, -1)[np.argsort(code.ravel(), kind="stable")]
+                yield pa.RecordBatch.from_pydict({"x": [x.T.astype("<f8").tobytes()], "runs": [runs.tobytes()],
+                                                  "length": [length.astype("<i8").tobytes()]})
+
+    def unpack(x, runs, length):
+        length = np.frombuffer(length, "<i8")
+        return np.frombuffer(x, "<f8").reshape(-1, length.sum()), np.frombuffer(runs, "<i8").reshape(-1, n), length
+
+    def distances(x, y, starts):
+        """Run by column of ``x``: the sum of its distances to the columns of ``y`` in that run; runs begin at ``starts``."""
+        sums = np.empty((x.shape[1], len(starts)))
+        whole = np.empty((2, _STRIP, y.shape[1]))
+        for i in range(0, x.shape[1], _STRIP):
+            strip = x[:, i:i + _STRIP, None]
+            total, square = whole[:, :strip.shape[1]]
+            for d in range(len(x)):
+                out = square if d else total
+                np.subtract(strip[d], y[d], out=out)
+                np.multiply(out, out, out=out)
+                if d:
+                    np.add(total, square, out=total)
+            np.sqrt(total, out=total)
+            np.add.reduceat(total, starts, axis=1, out=sums[i:i + _STRIP])
+        return np.ascontiguousarray(sums.T)
+
+    def meet(batches):
+        def met():
+            return pa.RecordBatch.from_pydict({"block": [block], "runs": [own[1]], "length": [own[2]], "sums": [sums.tobytes()]})
+
+        block = None
         for batch in batches:
-            x = np.array(batch.column(1).to_pylist(), dtype=float).reshape(batch.num_rows, own.shape[1])
-            mine = np.searchsorted(clusters, batch.column(0).to_numpy())
-            sums = np.zeros((batch.num_rows, len(clusters)))
-            for i in range(0, len(own), 512):
-                block = own[i:i + 512]
-                apart = np.sqrt(((x[:, None, :] - block[None]) ** 2).sum(axis=2))
-                for j in np.unique(code[i:i + 512]):
-                    sums[:, j] += apart[:, code[i:i + 512] == j].sum(axis=1)
-            row = np.arange(len(x))
-            inside = sums[row, mine] / np.maximum(1, sizes[mine] - 1)
-            means = sums / sizes
-            means[row, mine] = np.inf
-            other = means.min(axis=1)
-            width = np.where(sizes[mine] > 1, (other - inside) / np.maximum(np.maximum(inside, other), 1e-300), 0.0)
-            yield pa.RecordBatch.from_arrays([pa.array(width)], names=["width"])
-
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return sample.repartition(tasks).mapInArrow(widths, "width double").agg(
-        F.count(F.lit(1)).alias("rows"), F.avg("width").alias("silhouette"))
-
-
-def choose_k(df: DataFrame, ks: Sequence[int] = range(2, 9), starts: int = 10, seed: int = 42, parallelism: int = 4,
-             sample_rows: int = 8000):
+            for i in range(batch.num_rows):
+                row = [column[i].as_py() for column in batch.columns]
+                if row[0] != block:
+                    if block is not None:
+                        yield met()
+                    block, own = row[0], row[1:4]
+                    x = unpack(*own)[0]
+                    sums = np.zeros((len(sizes), x.shape[1]))
+                y, runs, length = unpack(*row[4:])
+                for clusters, far in zip(runs, distances(x, y, np.cumsum(length) - length)):
+                    sums[clusters] += far
+        if block is not None:
+            yield met()
+
+    def widths(table):
+        runs, length = (np.frombuffer(table.column(name)[0].as_py(), "<i8") for name in ("runs", "length"))
+        owns = np.repeat(runs.reshape(-1, n), length, axis=0)
+        sums = sum(np.frombuffer(s.as_py(), float).reshape(len(sizes), len(owns)) for s in table.column("sums"))
+        row, out = np.arange(len(owns)), []
+        for q in range(n):
+            mine, clusters = owns[:, q], slice(first[q], first[q + 1])
+            inside = sums[mine, row] / np.maximum(1, sizes[mine] - 1)
+            means = sums[clusters] / sizes[clusters, None]
+            means[mine - first[q], row] = np.inf
+            other = means.min(axis=0) if len(means) > 1 else inside
+            out.append(np.where(sizes[mine] > 1, (other - inside) / np.maximum(np.maximum(inside, other), 1e-300), 0.0).sum())
+        return pa.table({"q": pa.array(range(n), pa.int32()), "width": out})
+
+    parts = max(1, total // (16 * _BLOCK))
+    blocks = points.coalesce(parts).mapInArrow(pack, "x binary, runs binary, length binary").select(
+        F.monotonically_increasing_id().alias("block"), "*")
+    blocks = scratch_table(blocks, "silhouette-blocks")
+    held = 1 + blocks.agg(F.sum(F.length("x") + F.length("runs"))).first()[0] // _HELD
+    own = blocks.repartitionByRange(blocks.count(), "block")  # a block is a task
+    other = blocks.coalesce(held).toDF("with", "y", "y_runs", "y_length").drop("with").hint("shuffle_replicate_nl")
+    sums = own.crossJoin(other).mapInArrow(meet, "block long, runs binary, length binary, sums binary")
+    found = sums.groupBy("block").applyInArrow(widths, "q int, width double").groupBy("q").agg(F.sum("width").alias("w")).collect()
+    width = {r["q"]: r["w"] for r in found}
+    return [(total, width[q] / total if len(names[q]) > 1 else None) for q in range(n)]
+
+
+def choose_k(df: DataFrame, ks: Sequence[int] = range(2, 9), starts: int = 10, seed: int = 42,
+             parallelism: int = 4) -> list[dict]:
     """Per k the best of ``starts`` seeded K-means fits (lowest cost), its
-    Euclidean silhouette on a sample of ``sample_rows`` rows, and Spark's
-    squared-Euclidean silhouette over all rows.  The fits read one written
-    column of features, ``parallelism`` at a time; each holds its vectors in
-    memory, which Spark leaves out for a cached table (it would decode that
-    table again in every iteration)."""
+    Euclidean silhouette and Spark's squared-Euclidean silhouette, both over
+    all rows.  The fits read one written column of features, ``parallelism``
+    at a time; each holds its vectors in memory, which Spark leaves out for a
+    cached table (it would decode that table again in every iteration).  The
+    distance of two rows is taken once for all k."""
     from multiprocessing.pool import ThreadPool
 
     ev = ClusteringEvaluator(featuresCol="features", predictionCol="prediction")
@@ -342,13 +413,13 @@ def choose_k(df: DataFrame, ks: Sequence[int] = range(2, 9), starts: int = 10, s
 
     with ThreadPool(parallelism) as pool:
         fits = pool.map(fit, [(k, s) for k in ks for s in range(starts)], chunksize=1)
-    best = {k: min((f for f in fits if f[0] == k), key=lambda f: f[1:3]) for k in ks}
-    out = []
-    for k in ks:
-        placed = best[k][3].transform(vectors)
-        out.append({"k": k, "inertia": best[k][1], "model": best[k][3], "squared_silhouette": ev.evaluate(placed),
-                    "silhouette": silhouette(placed, rows=sample_rows, seed=seed).first()["silhouette"]})
-    return out
+    best = [min((f for f in fits if f[0] == k), key=lambda f: f[1:3]) for k in ks]
+    placed = vectors
+    for i, (_, _, _, m) in enumerate(best):
+        placed = m.transform(placed, {m.predictionCol: f"c{i}"})
+    placed = placed.select(F.array(*[f"c{i}" for i in range(len(best))]).alias("c"), vector_to_array("features").alias("x"))
+    return [{"k": k, "inertia": cost, "model": m, "squared_silhouette": ev.evaluate(m.transform(vectors)), "silhouette": found[1]}
+            for (k, cost, _, m), found in zip(best, _silhouettes(placed, len(best)))]
 
 
 def assign_clusters(model, df: DataFrame, name: str = "cluster") -> DataFrame:

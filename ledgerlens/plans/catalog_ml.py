@@ -437,7 +437,7 @@ def m20_m21_choose_k(spark, sf):
                                  "k int, inertia double, silhouette double, squared_silhouette double")
 
 
-# The sample is by hash and holds up to 8,000 rows: at the checked size that is every row.
+# Every row meets every other.
 @query("m20_silhouette", with_star(f"""
 WITH pts AS (SELECT startup_id AS i, CAST(is_exited AS INTEGER) AS c, CAST(funding_rounds AS DOUBLE) AS x,
   CAST(years_since_founded AS DOUBLE) AS y FROM feat WHERE {_COMPLETE_SQL}),

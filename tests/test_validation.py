@@ -133,6 +133,42 @@ def test_silhouette_equals_brute_force_on_its_sample(spark):
     assert ML.silhouette(df.where("prediction = 1")).first().silhouette is None
 
 
+def _widths(x, c):
+    """Silhouette of every row by brute force: all distances, cluster by cluster."""
+    far = np.zeros((c.max() + 1, len(x)))
+    for i in range(0, len(x), 500):
+        apart = np.sqrt(((x[i:i + 500, None] - x[None]) ** 2).sum(axis=2))
+        for k in range(len(far)):
+            far[k, i:i + 500] = apart[:, c == k].sum(axis=1)
+    size, row = np.bincount(c), np.arange(len(x))
+    inside, means = far[c, row] / (size[c] - 1), far / size[:, None]
+    means[c, row] = np.inf
+    return (means.min(axis=0) - inside) / np.maximum(means.min(axis=0), inside)
+
+
+def test_silhouette_meets_every_row(spark):
+    """More than 8,000 rows, in several blocks: every row counts and meets every other."""
+    rng = np.random.default_rng(3)
+    c = rng.integers(0, 3, 11_000)
+    x = rng.normal(0, 1, (11_000, 2)) + c[:, None] * [2.0, 0.5]
+    rows = [(float(p), float(q), int(k)) for (p, q), k in zip(x, c)] + [(99.0, 99.0, None)]  # in no cluster
+    df = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(
+        spark.createDataFrame(rows, "a double, b double, prediction int"))
+    got = ML.silhouette(df).first()
+    assert got.rows == 11_000 and got.silhouette == pytest.approx(_widths(x, c).mean(), rel=1e-12)
+
+
+def test_choose_k_takes_the_silhouette_of_all_rows(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(0, 1, (9_000, 2)) + rng.integers(0, 3, (9_000, 1)) * [3.0, 1.0]
+    df = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(
+        spark.createDataFrame([(float(p), float(q)) for p, q in x], "a double, b double"))
+    for r in ML.choose_k(df, [2, 3, 5], starts=1):
+        placed = r["model"].transform(df).select("a", "b", "prediction").toPandas()
+        widths = _widths(placed[["a", "b"]].to_numpy(), placed["prediction"].to_numpy())
+        assert r["silhouette"] == pytest.approx(widths.mean(), rel=1e-12)
+
+
 def test_bootstrap_of_the_median_follows_resampling(spark):
     rng = np.random.default_rng(0)
     for values in (np.exp(rng.normal(0, 1, 401)), np.round(rng.normal(0, 2, 400)), np.array([1.0, 2.0])):
